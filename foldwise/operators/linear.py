@@ -121,7 +121,7 @@ def fit_ols(m: Moments, scaler: Scaler, ridge: float = 1e-8) -> LinearModel:
                     break
             except np.linalg.LinAlgError:
                 pass
-            lam *= 10.0
+            lam = max(lam * 10.0, 1e-8)
             if lam > 1e12:
                 b = np.zeros(len(sk))
                 break
