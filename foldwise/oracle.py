@@ -351,6 +351,41 @@ SELECT t.id, round(t.y, 6) AS label, {half_up('m.b + m.w * t.x')} AS prediction
     q["m9_cv_one_point"] = f"""WITH {_FOLD_OLS}
 SELECT fold, n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT fold, {metrics_sql('y', half_up('raw'))} FROM pr GROUP BY fold) s"""
+    its = ", ".join(f"({i})" for i in range(100, 1000, 100))
+    steps = ", ".join(f"({s!r}::DOUBLE)" for s in [1e-4, 1e-3, 1e-2, 1e-1, 1.0])
+    q["m10_linear_grid"] = f"""WITH RECURSIVE
+t AS (SELECT id, label AS y, (n2 - avg(n2) OVER ()) / stddev_samp(n2) OVER () AS z, {fold_expr()} AS fold
+      FROM ({TJ}) s),
+pf AS (SELECT fold, count(*)::DOUBLE AS n, sum(z) AS sz, sum(z * z) AS szz, sum(y) AS sy, sum(z * y) AS szy
+       FROM t GROUP BY fold),
+tot AS (SELECT sum(n) AS n, sum(sz) AS sz, sum(szz) AS szz, sum(sy) AS sy, sum(szy) AS szy FROM pf),
+st AS (SELECT step FROM (VALUES {steps}) v(step)),
+mom AS (SELECT st.step, pf.fold, tot.n - pf.n AS n, tot.sz - pf.sz AS sz, tot.szz - pf.szz AS szz,
+               tot.sy - pf.sy AS sy, tot.szy - pf.szy AS szy FROM pf, tot, st),
+it(step, fold, i, w, b, done) AS (
+    SELECT step, fold, 0, 0.0::DOUBLE, 1.0::DOUBLE, false FROM mom
+    UNION ALL
+    SELECT step, fold, i, nw, nb,
+           i >= 2 AND sqrt((nw - w) * (nw - w) + (nb - b) * (nb - b))
+                      < 0.001 * greatest(sqrt(nw * nw + nb * nb), 1.0)
+    FROM (SELECT it.step, it.fold, it.i + 1 AS i, it.w, it.b,
+                 it.w - (it.step / sqrt(it.i + 1)) * ((mm.szz * it.w + mm.sz * it.b) - mm.szy) / mm.n AS nw,
+                 it.b - (it.step / sqrt(it.i + 1)) * ((mm.sz * it.w + mm.n * it.b) - mm.sy) / mm.n AS nb
+          FROM it JOIN mom mm ON mm.step = it.step AND mm.fold = it.fold
+          WHERE it.i < 900 AND NOT it.done) s
+),
+last AS (SELECT step, fold, max(i) AS imax FROM it GROUP BY step, fold),
+pts AS (SELECT CAST(row_number() OVER (ORDER BY ic.iterations, st.step) - 1 AS INTEGER) AS grid_pos,
+               CAST(ic.iterations AS INTEGER) AS iterations, st.step
+        FROM (VALUES {its}) ic(iterations), st),
+mdl AS (SELECT pts.grid_pos, pts.iterations, pts.step, it.fold, it.w, it.b
+        FROM pts JOIN last ON last.step = pts.step
+        JOIN it ON it.step = pts.step AND it.fold = last.fold AND it.i = least(pts.iterations, last.imax)),
+pr AS (SELECT mdl.grid_pos, mdl.iterations, mdl.step, t.fold, t.y, {half_up('mdl.b + mdl.w * t.z')} AS p
+       FROM t JOIN mdl ON mdl.fold = t.fold),
+fm AS (SELECT grid_pos, iterations, step, fold, {metrics_sql()} FROM pr GROUP BY grid_pos, iterations, step, fold)
+SELECT grid_pos, iterations, step, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae,
+       round(avg(rmse), 4) AS rmse FROM fm GROUP BY grid_pos, iterations, step"""
     q["m14_training_error"] = f"""WITH {_FULL_OLS}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('t.y', half_up('m.b + m.w * t.x'))} FROM t, m) s"""

@@ -653,7 +653,7 @@ def m10_linear_grid(spark, sf):
     tt = _tt(spark, sf, N2_SPEC)
     res = PR.linear_sgd_program(tt, scaled=True, model_selection=True)
     rep = res.grid_report
-    return rep.select("rank", "grid_pos", "iterations", "step", r("corr", 8).alias("corr"),
+    return rep.select("grid_pos", "iterations", "step", r("corr", 8).alias("corr"),
                       r("mae", 4).alias("mae"), r("rmse", 4).alias("rmse"))
 
 
