@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_half_up
 from ..operators.linear import LinearModel, fit_ols, fit_sgd_grid, prediction_from_columns
 from ..operators.metrics import macro_average, regression_metrics
-from ..operators.moments import Moments, collect_moments, moments_frame, total
+from ..operators.moments import Moments, total
 from .training import TrainingTable
 
 # Upper bound for the model table that is broadcast to the scoring pass.
@@ -32,11 +32,8 @@ MAX_MODEL_BROADCAST_BYTES = 64 << 20
 
 
 def fold_moments(tt: TrainingTable, method: str = "auto") -> dict[int, Moments]:
-    frame = moments_frame(tt.df, tt.scaler, "label", "f", "fold", method)
-    got = collect_moments(frame, tt.width)
-    for k in range(tt.n_folds):
-        got.setdefault(k, Moments.zero(tt.width))
-    return got
+    """Standardised moments by fold (computed once per training table)."""
+    return tt.fold_moments(method)
 
 
 def train_moments(per_fold: dict[int, Moments], d: int) -> dict[int, Moments]:

@@ -1,10 +1,11 @@
 """Training and scoring frames.
 
 ``training_frame`` is the lazy plan ``features JOIN labels ON id`` followed by
-encoding; ``prepare_training`` adds the fold column, writes the result once to
-the shared checkpoint folder (partitioned by fold) and fits the scaler, so
-every later pass (moments, scoring, tree fits) reads compact Parquet with
-partition pruning instead of re-running the scans and the join.
+encoding; ``prepare_training`` adds the fold column and writes the result once
+to the shared checkpoint folder (partitioned by fold), so every later pass
+(moments, scoring, tree fits) reads compact Parquet with partition pruning
+instead of re-running the scans and the join. The scaler and the per-fold
+moments come from one further pass.
 
 The join is an inner equi-join on the id: rows without a label (or without
 features) drop out, and an id that appears twice on one side appears twice in
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from ..operators.encode import Encoder, fit_encoder
 from ..operators.folds import assign_folds
-from ..operators.scale import Scaler, fit_scaler
+from ..operators.moments import Moments, fold_moments_one_pass
+from ..operators.scale import Scaler
 from ..session import write_table
 from ..spec import FeatureSpec
 
@@ -32,11 +34,18 @@ def join_labels(features: DataFrame, labels: DataFrame, spec: FeatureSpec) -> Da
     return features.join(lab, spec.id, "inner")
 
 
-def training_frame(features: DataFrame, labels: DataFrame, spec: FeatureSpec,
+def training_frame(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
                    encoder: Encoder | None = None, coding: str = "dummy") -> tuple[DataFrame, Encoder]:
-    """``id, label, f`` (lazy) and the encoder fitted on the feature table."""
+    """``id, label, f`` (lazy) and the encoder fitted on the feature table.
+
+    ``labels=None`` is the single-table form: the label is already a column of
+    ``features`` (no join).
+    """
     enc = encoder or fit_encoder(features, spec, coding=coding)
-    joined = join_labels(features, labels, spec)
+    if labels is None:
+        joined = features.withColumn(spec.label, F.col(spec.label).cast("double"))
+    else:
+        joined = join_labels(features, labels, spec)
     return enc.transform(joined, keep=[spec.id, spec.label]), enc
 
 
@@ -59,9 +68,10 @@ def combined_frame(features: DataFrame, labels: DataFrame, spec: FeatureSpec) ->
 class TrainingTable:
     df: DataFrame          # id, label, f, fold
     encoder: Encoder
-    scaler: Scaler
     n_folds: int
     spec: FeatureSpec
+    _scaler: Scaler | None = None
+    _moments: dict[int, Moments] | None = None
 
     @property
     def width(self) -> int:
@@ -71,15 +81,30 @@ class TrainingTable:
     def feature_names(self) -> list[str]:
         return self.encoder.feature_names
 
+    def fold_moments(self, method: str = "auto") -> dict[int, Moments]:
+        """Standardised moments by fold; the same pass yields the scaler."""
+        if self._moments is None:
+            self._scaler, self._moments = fold_moments_one_pass(
+                self.df, self.width, "f", "label", "fold", method)
+            for k in range(self.n_folds):
+                self._moments.setdefault(k, Moments.zero(self.width))
+        return self._moments
+
+    @property
+    def scaler(self) -> Scaler:
+        """Column means and sample standard deviations (table-wide, fitted once)."""
+        if self._scaler is None:
+            self.fold_moments()
+        return self._scaler
+
 
-def prepare_training(features: DataFrame, labels: DataFrame, spec: FeatureSpec,
+def prepare_training(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
                      n_folds: int = 10, seed: int | None = None, coding: str = "dummy",
                      encoder: Encoder | None = None, materialize: bool = True) -> TrainingTable:
-    """Encode, join, add folds, materialise once, fit the scaler."""
+    """Encode, join, add folds and materialise once (scaler and moments follow lazily)."""
     df, enc = training_frame(features, labels, spec, encoder=encoder, coding=coding)
     df = assign_folds(df, n_folds, spec.id, seed).select(
         F.col(spec.id).alias("id"), F.col(spec.label).alias("label"), "f", "fold")
     if materialize:
         df = write_table(df, "training", partition_by=("fold",))
-    scaler = fit_scaler(df, enc.width, "f", "label")
-    return TrainingTable(df, enc, scaler, n_folds, spec)
+    return TrainingTable(df, enc, n_folds, spec)

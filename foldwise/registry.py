@@ -31,7 +31,8 @@ from .operators import metrics as A
 from .operators import trees as TR
 from .operators.inspect import first_rows, row_count
 from .operators.linear import fit_ols, fit_regularised, fit_sgd
-from .operators.moments import collect_moments, moments_frame, total
+from .operators.moments import moments_frame, total
+from .operators.scale import column_stats
 from .plans import grid as G
 from .plans import programs as PR
 from .plans import select as S
@@ -324,10 +325,11 @@ def e8_nominal_to_binary(spark, sf):
 
 def e9_scaler_fit(spark, sf):
     tt = _tt(spark, sf)
-    rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(tt.scaler.means, tt.scaler.stds))]
-    # the statistics come from one aggregate over the training table
-    df = spark.createDataFrame(rows, "pos int, mean double, std double")
-    return df.select("pos", r("mean", 6).alias("mean"), r("std", 6).alias("std"))
+    st = column_stats(tt.df, tt.width)
+    slots = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"mean_{i}").alias("mean"),
+                               F.col(f"std_{i}").alias("std")) for i in range(tt.width)])
+    return st.select(F.explode(slots).alias("s")).select(
+        "s.pos", r("s.mean", 6).alias("mean"), r("s.std", 6).alias("std"))
 
 
 def e10_scaler_transform(spark, sf):
