@@ -8,7 +8,7 @@ table of points x folds rows whose byte size is checked) and aggregates
 metrics per (point, fold) with map-side partial aggregation.
 
 Estimators without such a shortcut (trees, forests) are fitted per
-(point, fold) with ``pyspark.ml`` on the fold-partitioned table, a few fits at
+(point, fold) with ``pyspark.ml`` on the fold-clustered table, a few fits at
 a time, and scored in one union-all aggregate.
 """
 
@@ -134,13 +134,13 @@ def pooled_metrics(predictions: DataFrame) -> DataFrame:
 # --- estimators without a moments shortcut -------------------------------------
 
 def estimator_cv_predictions(tt: TrainingTable, make_estimator, points: dict[int, tuple],
-                             parallelism: int = 2, rounded: bool = True,
+                             parallelism: int = 4, rounded: bool = True,
                              scale: bool = False) -> DataFrame:
     """Fit ``make_estimator(*params)`` per (point, fold); union the validation predictions.
 
     ``make_estimator`` returns an unfitted ``pyspark.ml`` regressor reading
-    ``features`` / ``label``. Each fit reads the fold-partitioned table with
-    ``fold != k`` (partition pruning) and runs as ordinary distributed jobs;
+    ``features`` / ``label``. Each fit reads the fold-clustered table with
+    ``fold != k`` and runs as ordinary distributed jobs;
     ``parallelism`` fits are submitted at a time.
     """
     from pyspark.ml.functions import array_to_vector

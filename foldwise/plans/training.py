@@ -2,8 +2,8 @@
 
 ``training_frame`` is the lazy plan ``features JOIN labels ON id`` followed by
 encoding; ``prepare_training`` adds the fold column and writes the result once
-to the shared checkpoint folder (partitioned by fold), so every later pass
-(moments, scoring, tree fits) reads compact Parquet with partition pruning
+to the shared checkpoint folder (rows clustered by fold), so every later pass
+(moments, scoring, tree fits) reads compact Parquet with row-group skipping
 instead of re-running the scans and the join. The scaler and the per-fold
 moments come from one further pass.
 
@@ -106,5 +106,5 @@ def prepare_training(features: DataFrame, labels: DataFrame | None, spec: Featur
     df = assign_folds(df, n_folds, spec.id, seed).select(
         F.col(spec.id).alias("id"), F.col(spec.label).alias("label"), "f", "fold")
     if materialize:
-        df = write_table(df, "training", partition_by=("fold",))
+        df = write_table(df, "training", cluster_by=("fold",))
     return TrainingTable(df, enc, n_folds, spec)

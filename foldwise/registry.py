@@ -21,7 +21,7 @@ import datetime as dt
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.columns import fold_of, int_range, join_fields, round_half_up, split_line
@@ -246,18 +246,22 @@ def p7_labeled_point(spark, sf):
 
 
 def p8_fold_filter(spark, sf):
+    """Rows and quantity on each side of every fold, from one grouped pass.
+
+    Validation side of fold k = rows with ``fold = k``; training side = all
+    other rows, i.e. the table total minus the fold (a window over k rows).
+    """
     tt = _tt(spark, sf)
     n1 = tt.feature_names.index("n1")
-    parts = []
-    for k in range(tt.n_folds):
-        train, val = K.fold_split(tt.df, k)
-        for side, d in (("train", train), ("validation", val)):
-            parts.append(d.agg(F.lit(k).alias("cv_fold"), F.lit(side).alias("side"),
-                               F.count(F.lit(1)).alias("n"), r(F.sum(F.col("f")[n1]), 4).alias("qty")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    per = tt.df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("f")[n1]).alias("qty"))
+    w = Window.partitionBy()
+    sides = per.select(
+        F.col("fold").alias("cv_fold"),
+        F.array(F.struct(F.lit("validation").alias("side"), F.col("n").alias("n"), F.col("qty").alias("qty")),
+                F.struct(F.lit("train").alias("side"), (F.sum("n").over(w) - F.col("n")).alias("n"),
+                         (F.sum("qty").over(w) - F.col("qty")).alias("qty"))).alias("s"))
+    return sides.select("cv_fold", F.explode("s").alias("x")).select(
+        "cv_fold", "x.side", "x.n", r("x.qty", 4).alias("qty"))
 
 
 def p9_column_roles(spark, sf):

@@ -62,18 +62,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}foldwise/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def write_table(df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Materialise ``df`` as Parquet in the shared folder and read it back.
 
     This cuts lineage (a lost executor re-reads files instead of recomputing
-    joins) and gives later passes column pruning and, with ``partition_by``,
-    partition pruning (e.g. ``fold != k`` skips one directory).
+    joins) and gives later passes column pruning. ``cluster_by`` sorts each
+    task's rows before writing: one file per task (a directory partitioning
+    would write one file per task *and* value), while Parquet row-group
+    statistics still let a filter such as ``fold = k`` skip most row groups.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if cluster_by:
+        df = df.sortWithinPartitions(*cluster_by)
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
