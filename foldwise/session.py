@@ -14,6 +14,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Parquet row groups of written intermediates: small enough that a filter on a
+# clustering column (fold) skips most of each file.
+ROW_GROUP_BYTES = 16 << 20
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "foldwise") -> SparkSession:
@@ -75,6 +79,15 @@ def write_table(df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> D
     path = scratch_path(spark, name)
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    (df.write.mode("errorifexists")
+     .option("parquet.block.size", ROW_GROUP_BYTES)
+     .parquet(path))
+    out = spark.read.parquet(path)
+    # A small table can come out as a single file (e.g. when every join was
+    # broadcast); spread it so later passes use all cores. Large tables never
+    # take this branch: their partition count follows the data.
+    cores = spark.sparkContext.defaultParallelism
+    if out.rdd.getNumPartitions() < cores:
+        out = out.repartition(cores)
+    return out
 
