@@ -164,6 +164,9 @@ FROM ({TJ}) t"""
     q["s7_prediction_sink"] = f"""WITH {_TRAIN_OLS},
 s AS (SELECT id, n2 AS x FROM ({OF_SCORE}) f)
 SELECT CAST(s.id AS VARCHAR) || ',' || CAST({half_up('m.b + m.w * s.x')} AS VARCHAR) AS value FROM s, m"""
+    q["s8_model_sink"] = f"""WITH {_FULL_OLS}
+SELECT '(intercept)' AS feature, round(b, 4) AS coefficient FROM m
+UNION ALL SELECT 'n2' AS feature, round(w, 8) AS coefficient FROM m"""
     q["s9_first_rows"] = f"""SELECT id, c1, c2, c3, c4, c5, n1, round(n2, 4) AS n2, n3, n4, round(label, 6) AS label
 FROM ({TJ}) t ORDER BY id LIMIT 10"""
     q["s10_fold_rows"] = f"""WITH t AS ({TF}),
@@ -192,6 +195,8 @@ SELECT parts[1] AS id, CAST(len(parts) - 1 AS INTEGER) AS n_rest, parts[2] AS fi
     q["p2_nominal_column"] = f"SELECT id, c3 FROM ({OF}) f"
     q["p3_ids_only"] = f"SELECT id FROM ({TJ}) t"
     q["p4_drop_id"] = f"SELECT c1, c2, c3, c4, c5, n1, round(n2, 4) AS n2, n3, n4 FROM ({OF}) f"
+    q["p5_label_last"] = f"""SELECT c1, c2, c3, c4, c5, n1, round(n2, 4) AS n2, n3, n4, round(label, 6) AS label
+FROM ({TJ}) t"""
     q["p6_unlabelled_rows"] = f"SELECT id, 0.0::DOUBLE AS label FROM ({OF_SCORE}) f"
     q["p7_labeled_point"] = f"""WITH {_encoding_ctes()}
 SELECT r.id, round(r.label, 6) AS label, CAST(count(*) AS INTEGER) AS width, round(sum(e.value), 4) AS total
@@ -232,6 +237,14 @@ st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY po
 SELECT e.id, e.pos, round(CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END, 6) AS z
 FROM enc e JOIN st ON st.pos = e.pos"""
 
+    q["e11_scaling_switch"] = f"""WITH {_encoding_ctes()},
+st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
+z AS (SELECT e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS x
+      FROM enc e JOIN st ON st.pos = e.pos)
+SELECT false AS scaled, pos, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS sd FROM enc GROUP BY pos
+UNION ALL
+SELECT true AS scaled, pos, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS sd FROM z GROUP BY pos"""
+
     # ---- joins ----
     q["j1_label_join"] = f"""SELECT (SELECT count(*) FROM ({OF}) a) AS n_features,
        (SELECT count(*) FROM ({OL}) b) AS n_labels,
@@ -399,4 +412,5 @@ SELECT s.id, {half_up('m.b + m.w * s.n2')} AS prediction, u.unseen_levels FROM s
     q["m16_pooled_cv_least_squares"] = f"""WITH {_FOLD_OLS}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('y', 'raw')} FROM pr) s"""
-    return q
+    # DuckDB rounds a tiny negative to -0.0 where Spark's decimal rounding gives 0.0
+    return {k: v.replace("round(", "0.0 + round(") for k, v in q.items()}

@@ -171,6 +171,15 @@ def s7_prediction_sink(spark, sf):
     return spark.read.text(path)
 
 
+def s8_model_sink(spark, sf):
+    tt, _, model = _ols_n2(spark, sf)
+    path = scratch_path(spark, "model")
+    SK.save_linear_model(spark, model, tt.feature_names, path, tt.encoder.to_json())
+    back = spark.read.parquet(f"{path}/coefficients")
+    return back.select("feature", F.when(F.col("feature") == "(intercept)", r("coefficient", 4))
+                       .otherwise(r("coefficient", 8)).alias("coefficient"))
+
+
 def s9_first_rows(spark, sf):
     j = _joined(spark, sf)
     out = first_rows(j, 10, "id")
@@ -233,6 +242,14 @@ def p4_drop_id(spark, sf):
     return _of(spark, sf).drop("id").withColumn("n2", r("n2", 4))
 
 
+def p5_label_last(spark, sf):
+    """Single-file form: features and label in one CSV, label last, id dropped on read."""
+    path = _csv_copy(spark, _joined(spark, sf), "combined-csv", parts=3)
+    spec = FeatureSpec.positional(["id", "c1", "c2", "c3", "c4", "c5", "n1", "n2", "n3", "n4"])
+    df = CSV.read_combined(spark, path, spec)
+    return df.withColumn("n2", r("n2", 4)).withColumn("label", r("label", 6))
+
+
 def p6_unlabelled_rows(spark, sf):
     enc = _encoder(spark, sf)
     sc = scoring_frame(_of(spark, sf, since=SCORING_CUTOFF), enc, with_label=True)
@@ -342,6 +359,19 @@ def e10_scaler_transform(spark, sf):
     return z.select("id", F.posexplode("f").alias("pos", "z")).select("id", "pos", r("z", 6).alias("z"))
 
 
+def e11_scaling_switch(spark, sf):
+    """Mean and population deviation of what the learner sees, with scaling off and on."""
+    tt = _tt(spark, sf)
+    parts = []
+    for scaled in (False, True):
+        src = tt.scaler.transform(tt.df) if scaled else tt.df
+        long = src.select(F.posexplode("f").alias("pos", "x"))
+        parts.append(long.groupBy("pos").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("sd"))
+                     .select(F.lit(scaled).alias("scaled"), "pos", r("mean", 6).alias("mean"),
+                             r("sd", 6).alias("sd")))
+    return parts[0].unionByName(parts[1])
+
+
 # ---- joins -----------------------------------------------------------------------------
 
 def j1_label_join(spark, sf):
@@ -716,12 +746,13 @@ def flagship_least_squares_cv(spark, sf):
 
 QUERIES = (
     s1_feature_csv_scan, s2_label_csv_scan, s3_header_per_file, s4_training_table, s5_scoring_table,
-    s6_combined_table, s7_prediction_sink, s9_first_rows, s10_fold_rows, s11_training_predictions,
+    s6_combined_table, s7_prediction_sink, s8_model_sink, s9_first_rows, s10_fold_rows, s11_training_predictions,
     s12_model_coefficients, s13_result_report,
-    p1_id_and_rest, p2_nominal_column, p3_ids_only, p4_drop_id, p6_unlabelled_rows, p7_labeled_point,
+    p1_id_and_rest, p2_nominal_column, p3_ids_only, p4_drop_id, p5_label_last, p6_unlabelled_rows, p7_labeled_point,
     p8_fold_filter, p9_column_roles,
     e1_distinct_levels, e2_level_counts, e3_level_index, e4_dummy_width, e5_dummy_coding,
     e6_numeric_passthrough, e7_flatten, e8_nominal_to_binary, e9_scaler_fit, e10_scaler_transform,
+    e11_scaling_switch,
     j1_label_join, j2_level_lookup, j4_param_grid, j5_grid_by_fold,
     a1_row_count, a2_mse, a3_rmse, a4_mae, a5_pearson, a6_macro_average, a7_pooled_metrics,
     a8_metrics_one_pass, a9_fold_moments,

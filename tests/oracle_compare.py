@@ -24,8 +24,6 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        if v == 0.0:
-            return "0.0"
         return repr(v)
     if v is None:
         return "null"
