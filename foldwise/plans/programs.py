@@ -89,8 +89,8 @@ def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, sec
     if model_selection:
         points = {g: (a, b) for g, a, b in G.param_grid(first, second)}
         pf = S.as_params_frame(spark, points, names, ("int", "int"))
-        preds = S.estimator_cv_predictions(tt, make, points, parallelism, scale=scaled)
-        report = S.cv_summary(preds, pf)
+        per_fold = S.estimator_grid_metrics(tt, make, points, parallelism, scale=scaled)
+        report = S.point_report(per_fold, pf)
         best = S.best_point(report)
         params = (int(best[names[0]]), int(best[names[1]]))
     preds = S.estimator_cv_predictions(tt, make, {0: params}, parallelism, scale=scaled)

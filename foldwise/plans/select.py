@@ -171,6 +171,31 @@ def cv_summary(predictions: DataFrame, params: DataFrame | None = None) -> DataF
     return point_report(fold_metrics(predictions), params)
 
 
+def estimator_grid_metrics(tt: TrainingTable, make_estimator, points: dict[int, tuple],
+                           parallelism: int = 4, rounded: bool = True,
+                           scale: bool = False) -> DataFrame:
+    """Per (point, fold) metrics of a grid, without one plan over every fit.
+
+    Each point's k validation predictions are aggregated as soon as its fits
+    are done; only the metric rows (points x folds, a few numbers each) are
+    kept, so a grid of hundreds of points never becomes a union of thousands
+    of plans.
+    """
+    spark = tt.df.sparkSession
+    rows: list = []
+
+    def one_point(g):
+        preds = estimator_cv_predictions(tt, make_estimator, {g: points[g]}, 1, rounded, scale)
+        return [tuple(r) for r in fold_metrics(preds).select(
+            "grid_pos", "fold", "n", "corr", "mae", "mse", "rmse").collect()]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for part in pool.map(one_point, sorted(points)):
+            rows.extend(part)
+    return spark.createDataFrame(
+        rows, "grid_pos int, fold int, n bigint, corr double, mae double, mse double, rmse double")
+
+
 def as_params_frame(spark: SparkSession, params: dict[int, tuple], names: tuple[str, str],
                     types: tuple[str, str]) -> DataFrame:
     rows = [(g, *map(lambda v, t: int(v) if t == "int" else float(v), p, types))

@@ -54,7 +54,7 @@ _cache: dict = {}
 
 
 def _memo(spark: SparkSession, key: tuple, build: Callable):
-    k = (id(spark), key)
+    k = (spark.sparkContext.applicationId, id(spark), key)
     if k not in _cache:
         _cache[k] = build()
     return _cache[k]

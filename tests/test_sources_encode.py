@@ -106,3 +106,44 @@ def test_split_keeps_trailing_empty_fields(spark):
 
     df = spark.createDataFrame([("a,b,,",)], "line string")
     assert df.select(F.size(split_line("line")).alias("n")).collect()[0].n == 4
+
+
+def test_cv_on_tiny_table_with_empty_folds_and_constant_column(spark, fixture_dir, fixture_spec):
+    """5 labelled rows, 10 folds (most empty), c5 single-level, n3 constant: runs and stays defined."""
+    from foldwise.plans import programs as PR
+    from foldwise.plans.training import prepare_training
+
+    feats = CSV.read_features(spark, str(fixture_dir / "features"), fixture_spec).withColumn("n3", F.lit(7.0))
+    spec = fixture_spec.__class__(id="id", nominal=fixture_spec.nominal, numeric=("n1", "n2", "n3"))
+    labels = CSV.read_labels(spark, str(fixture_dir / "labels.csv"), spec)
+    tt = prepare_training(feats, labels, spec)
+    assert tt.scaler.stds[-1] == 0.0 and tt.scaler.means[-1] == 7.0
+    res = PR.least_squares_program(tt)
+    rep = {r.stage: r for r in res.report().collect()}
+    assert rep["training"].mae is not None
+    folds_with_rows = tt.df.select("fold").distinct().count()
+    cv = res.cv.collect()[0]
+    assert cv.folds == 10 and folds_with_rows < 10
+
+
+def test_hot_id_with_a_third_of_the_rows(spark):
+    """One id holds a third of the feature rows: the join multiplies, the fold stays whole."""
+    from foldwise.plans.training import prepare_training
+    from foldwise.spec import FeatureSpec
+
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+        (F.col("id") % 4).cast("string").alias("c1"), (F.col("id") % 7).cast("double").alias("n1"))
+    labels = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+        (F.col("id") % 11).cast("double").alias("label")).dropDuplicates(["id"])
+    spec = FeatureSpec(id="id", nominal=("c1",), numeric=("n1",))
+    tt = prepare_training(base, labels, spec)
+    assert tt.df.count() == n
+    hot_fold = tt.df.filter(F.col("id") == "hot").select("fold").distinct().collect()
+    assert len(hot_fold) == 1
+    sizes = {r.fold: r["count"] for r in tt.df.groupBy("fold").count().collect()}
+    assert sizes[hot_fold[0].fold] >= n // 3
+    m = tt.fold_moments()
+    assert sum(v.n for v in m.values()) == n
