@@ -17,14 +17,12 @@ Shared inputs:
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions.columns import fold_of, int_range, join_fields, round_half_up, split_line
+from .functions.columns import fold_of, join_fields, round_half_up, split_line
 from .operators import encode as E
 from .operators import folds as K
 from .operators import metrics as A
@@ -37,12 +35,11 @@ from .plans import grid as G
 from .plans import programs as PR
 from .plans import select as S
 from .plans.score import linear_predictions, score_table, training_error
-from .plans.training import (TrainingTable, combined_frame, join_labels, prepare_training,
-                             scoring_frame)
+from .plans.training import TrainingTable, combined_frame, join_labels, prepare_training, scoring_frame
 from .session import scratch_path
 from .sources import csv as CSV
 from .sources import sinks as SK
-from .sources.tables import (ORDER_SPEC, SCORING_CUTOFF, order_features, order_labels, table)
+from .sources.tables import ORDER_SPEC, SCORING_CUTOFF, order_features, order_labels, table
 from .spec import FeatureSpec
 
 N2_SPEC = FeatureSpec(id="id", nominal=(), numeric=("n2",), label="label")
@@ -375,20 +372,14 @@ def e11_scaling_switch(spark, sf):
 # ---- joins -----------------------------------------------------------------------------
 
 def j1_label_join(spark, sf):
+    """Row counts of the two inputs and of their inner join, in one aggregate."""
     of, ol = _of(spark, sf), _ol(spark, sf)
-    a = of.agg(F.count(F.lit(1)).alias("n_features"))
-    b = ol.agg(F.count(F.lit(1)).alias("n_labels"))
-    c = join_labels(of, ol, ORDER_SPEC).agg(F.count(F.lit(1)).alias("n_joined"))
-    return _one_row_side_by_side([a, b, c])
-
-
-def _one_row_side_by_side(frames: list[DataFrame]) -> DataFrame:
-    """Join one-row aggregates on a constant key (each side has exactly one row)."""
-    keyed = [f.withColumn("_k", F.lit(0)) for f in frames]
-    out = keyed[0]
-    for f in keyed[1:]:
-        out = out.join(f, "_k")
-    return out.drop("_k")
+    joined = join_labels(of, ol, ORDER_SPEC)
+    tagged = (of.select(F.lit("n_features").alias("src"))
+              .unionByName(ol.select(F.lit("n_labels").alias("src")))
+              .unionByName(joined.select(F.lit("n_joined").alias("src"))))
+    return tagged.agg(*[F.count(F.when(F.col("src") == n, 1)).alias(n)
+                        for n in ("n_features", "n_labels", "n_joined")])
 
 
 def j2_level_lookup(spark, sf):
@@ -484,9 +475,16 @@ def k1_fold_assignment(spark, sf):
 
 
 def k2_fold_pairs(spark, sf):
+    """Size of both sides of every (train, validation) pair, from one grouped pass."""
     tt = _tt(spark, sf)
-    return (K.fold_sides(tt.df, tt.n_folds).groupBy("cv_fold", "side")
-            .agg(F.count(F.lit(1)).alias("n")))
+    per = tt.df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy()
+    sides = per.select(
+        F.col("fold").alias("cv_fold"),
+        F.array(F.struct(F.lit("validation").alias("side"), F.col("n").alias("n")),
+                F.struct(F.lit("train").alias("side"), (F.sum("n").over(w) - F.col("n")).alias("n"))
+                ).alias("s"))
+    return sides.select("cv_fold", F.explode("s").alias("x")).select("cv_fold", "x.side", "x.n")
 
 
 def k3_union_all(spark, sf):
