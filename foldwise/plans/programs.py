@@ -43,6 +43,12 @@ def _cv_row(per_fold: DataFrame) -> DataFrame:
     return macro_average(per_fold.drop("grid_pos"))
 
 
+def _chosen_cv(spark, best: dict) -> DataFrame:
+    """The cross-validated row of the chosen grid point, as a one-row frame."""
+    return spark.createDataFrame([(best["folds"], best["corr"], best["mae"], best["rmse"])],
+                                 "folds int, corr double, mae double, rmse double")
+
+
 def linear_sgd_program(tt: TrainingTable, scaled: bool = True, model_selection: bool = False,
                        iterations: int = G.LINEAR_DEFAULT[0], step: float = G.LINEAR_DEFAULT[1],
                        grid_iterations: list[int] | None = None,
@@ -58,8 +64,11 @@ def linear_sgd_program(tt: TrainingTable, scaled: bool = True, model_selection:
         report = S.point_report(S.fold_metrics(S.score_fold_models(tt, fm)), params)
         best = S.best_point(report)
         iterations, step = int(best["iterations"]), float(best["step"])
-    fm = S.sgd_fold_models(tt, [iterations], [step], scaled, per_fold)
-    cv = _cv_row(S.fold_metrics(S.score_fold_models(tt, fm)))
+        # same folds, deterministic fits: the chosen point's CV is already in the report
+        cv = _chosen_cv(spark, best)
+    else:
+        fm = S.sgd_fold_models(tt, [iterations], [step], scaled, per_fold)
+        cv = _cv_row(S.fold_metrics(S.score_fold_models(tt, fm)))
     model = fit_sgd(total(per_fold, tt.width), tt.scaler, iterations, step, scaled)
     return RunResult({"iterations": iterations, "step": step, "scaled": scaled}, cv,
                      training_error(tt, model), model, report)
@@ -93,8 +102,11 @@ def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, sec
         report = S.point_report(per_fold, pf)
         best = S.best_point(report)
         params = (int(best[names[0]]), int(best[names[1]]))
-    preds = S.estimator_cv_predictions(tt, make, {0: params}, parallelism, scale=scaled)
-    cv = _cv_row(S.fold_metrics(preds))
+        # seeded fits on the same folds: reuse the chosen point's CV instead of refitting
+        cv = _chosen_cv(spark, best)
+    else:
+        preds = S.estimator_cv_predictions(tt, make, {0: params}, parallelism, scale=scaled)
+        cv = _cv_row(S.fold_metrics(preds))
     from pyspark.ml.functions import array_to_vector
     src = tt.scaler.transform(tt.df) if scaled else tt.df
     model = make(*params).fit(src.select("label", array_to_vector("f").alias("features")))

@@ -384,9 +384,9 @@ def j1_label_join(spark, sf):
 
 def j2_level_lookup(spark, sf):
     of = _of(spark, sf)
-    levels = E.level_index(E.distinct_levels(of, ORDER_SPEC.nominal))
+    # the fitted dictionary passed the level-count check, so broadcasting it is bounded
+    levels = _encoder(spark, sf).level_frame(spark)
     long = of.select("id", *ORDER_SPEC.nominal).unpivot(["id"], list(ORDER_SPEC.nominal), "col", "level")
-    # the level table is bounded by the level-count check; broadcast it
     return long.join(F.broadcast(levels), ["col", "level"]).select("id", "col", "level", "idx")
 
 

@@ -134,6 +134,9 @@ def test_linear_program_with_grid(spark):
     assert (res.params["iterations"], res.params["step"]) == (rep[0]["iterations"], rep[0]["step"])
     report = res.report().collect()
     assert [r.stage for r in report] == ["cv", "training"]
+    again = PR.linear_sgd_program(tt, iterations=res.params["iterations"], step=res.params["step"])
+    a, b = res.cv.collect()[0], again.cv.collect()[0]
+    assert (a.corr, a.mae, a.rmse) == pytest.approx((b.corr, b.mae, b.rmse), rel=1e-12)
 
 
 def test_entry_contract(spark):
