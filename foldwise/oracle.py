@@ -350,7 +350,8 @@ cu AS (SELECT feature, value, lead(value) OVER w AS nxt,
               sum(s) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sl,
               sum(n) OVER (PARTITION BY feature) AS nn, sum(s) OVER (PARTITION BY feature) AS ss
        FROM st WINDOW w AS (PARTITION BY feature ORDER BY value)),
-g AS (SELECT feature, (value + nxt) / 2 AS threshold, nl AS n_left, nn - nl AS n_right,
+g AS (SELECT feature, (value + nxt) / 2 AS threshold, CAST(nl AS BIGINT) AS n_left,
+             CAST(nn - nl AS BIGINT) AS n_right,
              nl * (nn - nl) / (nn * nn) * (sl / nl - (ss - sl) / (nn - nl)) * (sl / nl - (ss - sl) / (nn - nl)) AS gain
       FROM cu WHERE nxt IS NOT NULL),
 v AS (SELECT feature, var_pop(label) AS var FROM lo GROUP BY feature),

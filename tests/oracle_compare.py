@@ -36,6 +36,21 @@ def digest(columns: list[str], rows: list[tuple]) -> str:
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
+def type_mismatches(df, rel) -> list[tuple[str, str, str]]:
+    """Columns whose Spark type and DuckDB type differ."""
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if SPARK_TO_DUCK.get(t, t) != duck.get(f.name):
+            out.append((f.name, t, duck.get(f.name)))
+    return out
+
+
 def duckdb_con(sf_dir: str):
     import duckdb
     con = duckdb.connect()
@@ -61,7 +76,7 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
         cur = con.execute(sqls[name])
         dcols = [d[0] for d in cur.description]
         drows = cur.fetchall()
-        ok_cols = sorted(scols) == sorted(dcols)
+        ok_cols = sorted(scols) == sorted(dcols) and not type_mismatches(df, con.sql(sqls[name]))
         ok_n = len(srows) == len(drows)
         ok_hash = ok_cols and digest(scols, srows) == digest(dcols, drows)
         out[name] = dict(cols=ok_cols, rows=ok_n, hash=ok_hash, n=len(srows), sec=round(t1 - t0, 2))

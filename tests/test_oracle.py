@@ -25,5 +25,6 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    assert oc.type_mismatches(df, con.sql(entry.oracle_sql()[name])) == []
     assert len(srows) == len(drows)
     assert oc.digest(df.columns, srows) == oc.digest(dcols, drows)
