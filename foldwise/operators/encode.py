@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 from ..spec import FeatureSpec
 
-DEFAULT_MAX_LEVELS = 100_000
+# Levels are collected to the driver and become dense columns: keep the total bounded.
+DEFAULT_MAX_LEVELS = 10_000
 
 
 def _nominal(c: str) -> Column:
