@@ -182,3 +182,19 @@ def test_one_feature_spec_excludes_nominals(spark):
     t = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), spec,
                          materialize=False)
     assert t.width == 1
+
+
+def test_cv_results_do_not_depend_on_partitioning(spark, tt):
+    from foldwise.plans.training import TrainingTable
+
+    def cv(table):
+        pred = S.score_fold_models(table, S.ols_fold_models(table))
+        return S.point_report(S.fold_metrics(pred)).collect()[0]
+
+    base = cv(tt)
+    for parts in (1, 17):
+        other = TrainingTable(tt.df.repartition(parts), tt.encoder, tt.n_folds, tt.spec)
+        got = cv(other)
+        assert got.corr == pytest.approx(base.corr, rel=1e-9)
+        assert got.mae == pytest.approx(base.mae, rel=1e-9)
+        assert got.rmse == pytest.approx(base.rmse, rel=1e-9)
