@@ -66,27 +66,43 @@ def linear_sgd_program(tt: TrainingTable, scaled: bool = True, model_selection:
         iterations, step = int(best["iterations"]), float(best["step"])
         # same folds, deterministic fits: the chosen point's CV is already in the report
         cv = _chosen_cv(spark, best)
+        model = fit_sgd(total(per_fold, tt.width), tt.scaler, iterations, step, scaled)
+        training = training_error(tt, model)
     else:
         fm = S.sgd_fold_models(tt, [iterations], [step], scaled, per_fold)
-        cv = _cv_row(S.fold_metrics(S.score_fold_models(tt, fm)))
-    model = fit_sgd(total(per_fold, tt.width), tt.scaler, iterations, step, scaled)
+        model = fit_sgd(total(per_fold, tt.width), tt.scaler, iterations, step, scaled)
+        cv, training = _cv_and_training(tt, fm, model, rounded=True, average="macro")
     return RunResult({"iterations": iterations, "step": step, "scaled": scaled}, cv,
-                     training_error(tt, model), model, report)
+                     training, model, report)
+
+
+def _cv_and_training(tt: TrainingTable, fm, model, rounded: bool, average: str):
+    """Cross-validated and training metrics from one scoring pass (see ``score_with_refit``).
+
+    The metric rows are tiny (folds + 1); they are persisted so that reading
+    the CV and the training result separately does not score the table twice.
+    """
+    pred = S.score_with_refit(tt, fm, model, rounded)
+    if average == "pooled":
+        per = regression_metrics(pred.withColumn("is_refit", F.col("fold") == S.REFIT),
+                                 ["is_refit"]).persist()
+        cv = per.filter(~F.col("is_refit")).select(F.lit(tt.n_folds).alias("folds"), "corr", "mae", "rmse")
+        training = per.filter(F.col("is_refit")).drop("is_refit")
+    else:
+        per = S.fold_metrics(pred).persist()
+        cv = _cv_row(per.filter(F.col("fold") != S.REFIT))
+        training = per.filter(F.col("fold") == S.REFIT).drop("grid_pos", "fold")
+    return cv, training
 
 
 def least_squares_program(tt: TrainingTable, rounded: bool = False, average: str = "pooled") -> RunResult:
     """Least squares; metrics pooled over all held-out rows on raw predictions by default."""
     per_fold = S.fold_moments(tt)
     fm = S.ols_fold_models(tt, per_fold)
-    pred = S.score_fold_models(tt, fm, rounded=rounded)
-    if average == "pooled":
-        cv = regression_metrics(pred).select(F.lit(tt.n_folds).alias("folds"), "corr", "mae", "rmse")
-    else:
-        cv = _cv_row(S.fold_metrics(pred))
     model = fit_ols(total(per_fold, tt.width), tt.scaler)
-    return RunResult({"rounded": rounded, "average": average}, cv,
-                     training_error(tt, model, rounded), model, None,
-                     {"fold_models": fm, "predictions": pred})
+    cv, training = _cv_and_training(tt, fm, model, rounded, average)
+    return RunResult({"rounded": rounded, "average": average}, cv, training, model, None,
+                     {"fold_models": fm, "predictions": S.score_fold_models(tt, fm, rounded=rounded)})
 
 
 def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, second: list,

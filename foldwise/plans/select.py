@@ -106,6 +106,32 @@ def score_fold_models(tt: TrainingTable, fm: FoldModels, rounded: bool = True) -
     return out.withColumn("prediction", pred)
 
 
+REFIT = -1   # model key of the model refitted on all rows
+
+
+def score_with_refit(tt: TrainingTable, fm: FoldModels, refit: LinearModel,
+                     rounded: bool = True) -> DataFrame:
+    """CV predictions and training-row predictions of the refit, in one pass.
+
+    Every row is scored by its own fold's model (``fold = k``) and by the refit
+    (``fold = -1``): the row's key list ``[fold, -1]`` is exploded and equi-joined
+    to the broadcast model table, so the table is read once for both results.
+    """
+    spark = tt.df.sparkSession
+    assert len(fm.params) == 1, "one parameter point"
+    g = next(iter(fm.params))
+    models = dict(fm.models)
+    models[(g, REFIT)] = refit
+    table = FoldModels(models, fm.params, fm.width)
+    assert table.nbytes() <= MAX_MODEL_BROADCAST_BYTES
+    keyed = tt.df.select("id", "label", "f", F.explode(F.array("fold", F.lit(REFIT))).alias("fold"))
+    scored = keyed.join(F.broadcast(table.frame(spark)), "fold").select(
+        "grid_pos", "fold", "id", "label",
+        prediction_from_columns("w", "b", fm.width).alias("raw_prediction"))
+    pred = round_half_up("raw_prediction") if rounded else F.col("raw_prediction")
+    return scored.withColumn("prediction", pred)
+
+
 def fold_metrics(predictions: DataFrame) -> DataFrame:
     """``grid_pos, fold, n, corr, mae, mse, rmse``."""
     return regression_metrics(predictions, ["grid_pos", "fold"])
