@@ -106,7 +106,7 @@ def least_squares_program(tt: TrainingTable, rounded: bool = False, average: str
 
 
 def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, second: list,
-                       names: tuple[str, str], model_selection: bool, parallelism: int,
+                       names: tuple[str, str], model_selection: bool, parallelism: int | None,
                        scaled: bool) -> RunResult:
     spark = tt.df.sparkSession
     report = None
@@ -134,7 +134,7 @@ def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, sec
 def tree_program(tt: TrainingTable, model_selection: bool = False,
                  max_depth: int = G.TREE_DEFAULT[0], max_bins: int = G.TREE_DEFAULT[1],
                  depths: list[int] | None = None, bins: list[int] | None = None,
-                 seed: int = DEFAULT_SEED, parallelism: int = 4, scaled: bool = False) -> RunResult:
+                 seed: int = DEFAULT_SEED, parallelism: int | None = None, scaled: bool = False) -> RunResult:
     def make(depth, nbins):
         return tree_estimator(depth, nbins, seed)
     return _estimator_program(tt, make, (max_depth, max_bins), depths or G.TREE_DEPTHS,
@@ -146,7 +146,7 @@ def forest_program(tt: TrainingTable, model_selection: bool = False,
                    num_trees: int = G.FOREST_DEFAULT[0], max_depth: int = G.FOREST_DEFAULT[1],
                    max_bins: int = G.FOREST_BINS, trees: list[int] | None = None,
                    depths: list[int] | None = None, seed: int = DEFAULT_SEED,
-                   parallelism: int = 4, scaled: bool = False) -> RunResult:
+                   parallelism: int | None = None, scaled: bool = False) -> RunResult:
     def make(ntrees, depth):
         return forest_estimator(ntrees, depth, max_bins, seed)
     return _estimator_program(tt, make, (num_trees, max_depth), trees or G.FOREST_TREES,

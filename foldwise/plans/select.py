@@ -159,8 +159,24 @@ def pooled_metrics(predictions: DataFrame) -> DataFrame:
 
 # --- estimators without a moments shortcut -------------------------------------
 
+# Concurrent fits each cache their own binned copy of ~(k-1)/k of the table.
+CONCURRENT_FIT_BYTES = 2 << 30
+
+
+def fit_parallelism(tt: TrainingTable, requested: int | None = None) -> int:
+    """Fits in flight: several for small tables, one when a table copy is large.
+
+    The size estimate comes from the row count the moments pass already
+    produced (rows x (width + 3) doubles), so it costs no extra job.
+    """
+    if requested is not None:
+        return max(1, requested)
+    approx = tt.scaler.n * (tt.width + 3) * 8
+    return 4 if approx <= CONCURRENT_FIT_BYTES else 1
+
+
 def estimator_cv_predictions(tt: TrainingTable, make_estimator, points: dict[int, tuple],
-                             parallelism: int = 4, rounded: bool = True,
+                             parallelism: int | None = None, rounded: bool = True,
                              scale: bool = False) -> DataFrame:
     """Fit ``make_estimator(*params)`` per (point, fold); union the validation predictions.
 
@@ -184,7 +200,7 @@ def estimator_cv_predictions(tt: TrainingTable, make_estimator, points: dict[int
                         F.col("prediction").alias("raw_prediction")))
         return pred
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
         preds = list(pool.map(fit_one, tasks))
     out = preds[0]
     for p in preds[1:]:
@@ -198,7 +214,7 @@ def cv_summary(predictions: DataFrame, params: DataFrame | None = None) -> DataF
 
 
 def estimator_grid_metrics(tt: TrainingTable, make_estimator, points: dict[int, tuple],
-                           parallelism: int = 4, rounded: bool = True,
+                           parallelism: int | None = None, rounded: bool = True,
                            scale: bool = False) -> DataFrame:
     """Per (point, fold) metrics of a grid, without one plan over every fit.
 
@@ -215,7 +231,7 @@ def estimator_grid_metrics(tt: TrainingTable, make_estimator, points: dict[int,
         return [tuple(r) for r in fold_metrics(preds).select(
             "grid_pos", "fold", "n", "corr", "mae", "mse", "rmse").collect()]
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
         for part in pool.map(one_point, sorted(points)):
             rows.extend(part)
     return spark.createDataFrame(

@@ -198,3 +198,55 @@ def test_cv_results_do_not_depend_on_partitioning(spark, tt):
         assert got.corr == pytest.approx(base.corr, rel=1e-9)
         assert got.mae == pytest.approx(base.mae, rel=1e-9)
         assert got.rmse == pytest.approx(base.rmse, rel=1e-9)
+
+
+def _brute_tree(X, y, depth):
+    """Exhaustive regression tree: every midpoint threshold, best variance reduction, first best wins."""
+    def build(idx, level):
+        ys = y[idx]
+        if level == depth or len(idx) < 2 or np.all(ys == ys[0]):
+            return ("leaf", ys.mean())
+        n = len(idx)
+        best = (0.0, None, None)
+        for j in range(X.shape[1]):
+            xs = X[idx, j]
+            values = np.unique(xs)
+            for a, b in zip(values[:-1], values[1:]):
+                t = (a + b) / 2
+                left = xs <= t
+                nl, nr = left.sum(), n - left.sum()
+                gain = nl * nr / (n * n) * (ys[left].mean() - ys[~left].mean()) ** 2
+                if gain > best[0] * (1 + 1e-12):
+                    best = (gain, j, t)
+        if best[1] is None:
+            return ("leaf", ys.mean())
+        _, j, t = best
+        left = X[idx, j] <= t
+        return ("split", j, t, build(idx[left], level + 1), build(idx[~left], level + 1))
+
+    def predict(node, row):
+        while node[0] == "split":
+            node = node[3] if row[node[1]] <= node[2] else node[4]
+        return node[1]
+
+    root = build(np.arange(len(y)), 0)
+    return np.array([predict(root, r) for r in X])
+
+
+def test_tree_matches_brute_force(spark, tt):
+    """Depth-3 tree on two order columns; every distinct value is a candidate for both."""
+    from pyspark.ml.functions import array_to_vector
+
+    i1, i3 = tt.feature_names.index("n1"), tt.feature_names.index("n3")
+    df = tt.df.select(F.array(F.col("f")[i1], F.col("f")[i3]).alias("x"), "label").toPandas()
+    X, y = np.stack(df.x.values), df.label.values
+    assert max(len(np.unique(X[:, 0])), len(np.unique(X[:, 1]))) < 511
+    data = spark.createDataFrame([(list(map(float, r)), float(v)) for r, v in zip(X, y)],
+                                 "x array<double>, label double").repartition(1)
+    model = TR.tree_estimator(3, 512).fit(data.select(array_to_vector("x").alias("features"), "label"))
+    got = np.array([r.prediction for r in model.transform(
+        data.select(array_to_vector("x").alias("features"), "label")).collect()])
+    X2 = np.stack(data.toPandas().x.values)
+    y2 = np.array([r.label for r in data.collect()])
+    want = _brute_tree(X2, y2, 3)
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-6)
