@@ -400,6 +400,39 @@ pr AS (SELECT mdl.grid_pos, mdl.iterations, mdl.step, t.fold, t.y, {half_up('mdl
 fm AS (SELECT grid_pos, iterations, step, fold, {metrics_sql()} FROM pr GROUP BY grid_pos, iterations, step, fold)
 SELECT grid_pos, iterations, step, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae,
        round(avg(rmse), 4) AS rmse FROM fm GROUP BY grid_pos, iterations, step"""
+    q["m13_refit_sgd"] = f"""WITH RECURSIVE {_encoding_ctes()},
+st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
+z AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z
+      FROM enc e JOIN st ON st.pos = e.pos
+      UNION ALL SELECT id, (SELECT total + 4 FROM nd), 1.0::DOUBLE FROM rows),
+dim AS (SELECT max(pos) + 1 AS d FROM z),
+gp AS (SELECT a.pos AS i, b.pos AS j, sum(a.z * b.z) AS g FROM z a JOIN z b ON a.id = b.id GROUP BY a.pos, b.pos),
+gm AS (SELECT list(r ORDER BY i) AS G FROM (SELECT i, list(g ORDER BY j) AS r FROM gp GROUP BY i) x),
+hv AS (SELECT list(h ORDER BY i) AS h FROM (SELECT z.pos AS i, sum(z.z * r.label) AS h
+                                            FROM z JOIN rows r ON r.id = z.id GROUP BY z.pos) x),
+nn AS (SELECT count(*)::DOUBLE AS n FROM rows),
+it(i, w, done) AS (
+    SELECT 0, list_transform(range(d), lambda k: CASE WHEN k = d - 1 THEN 1.0 ELSE 0.0 END::DOUBLE), false FROM dim
+    UNION ALL
+    SELECT i, nw,
+           i >= 2 AND sqrt(list_sum(list_transform(list_zip(nw, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))
+                      < 0.001 * greatest(sqrt(list_dot_product(nw, nw)), 1.0)
+    FROM (SELECT it.i + 1 AS i, it.w,
+                 list_transform(list_zip(it.w, gm.G, hv.h),
+                                lambda p: p[1] - (1.0 / sqrt(it.i + 1)) * (list_dot_product(p[2], it.w) - p[3]) / nn.n) AS nw
+          FROM it, gm, hv, nn WHERE it.i < 200 AND NOT it.done) s
+),
+fin AS (SELECT w FROM it ORDER BY i DESC LIMIT 1),
+wz AS (SELECT CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS wv FROM fin),
+raw AS (SELECT wz.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0 ELSE wz.wv / st.s END AS c, st.m
+        FROM wz JOIN st ON st.pos = wz.pos),
+names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' || lv.level AS feature
+          FROM lv JOIN off ON off.col = lv.col WHERE lv.idx >= 1
+          UNION ALL SELECT CAST(nd.total + k.k AS INTEGER), 'n' || CAST(k.k + 1 AS VARCHAR)
+          FROM nd, (VALUES (0), (1), (2), (3)) k(k))
+SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
+UNION ALL
+SELECT '(intercept)', round((SELECT wv FROM wz WHERE pos = (SELECT d - 1 FROM dim)) - sum(c * m), 4) FROM raw"""
     q["m14_training_error"] = f"""WITH {_FULL_OLS}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('t.y', half_up('m.b + m.w * t.x'))} FROM t, m) s"""
