@@ -433,6 +433,59 @@ names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' |
 SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
 UNION ALL
 SELECT '(intercept)', round((SELECT wv FROM wz WHERE pos = (SELECT d - 1 FROM dim)) - sum(c * m), 4) FROM raw"""
+    q["flagship_least_squares_cv"] = f"""WITH RECURSIVE {_encoding_ctes()},
+st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
+zf AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z,
+              {fold_expr('e.id')} AS fold FROM enc e JOIN st ON st.pos = e.pos),
+lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
+pg AS (SELECT a.fold, a.pos AS i, b.pos AS j, sum(a.z * b.z) AS g FROM zf a JOIN zf b ON a.id = b.id GROUP BY 1, 2, 3),
+ps AS (SELECT fold, pos AS i, sum(z) AS sz FROM zf GROUP BY 1, 2),
+py AS (SELECT zf.fold, zf.pos AS i, sum(zf.z * lab.y) AS szy FROM zf JOIN lab ON lab.id = zf.id GROUP BY 1, 2),
+pn AS (SELECT fold, count(*)::DOUBLE AS n, sum(y) AS sy FROM lab GROUP BY fold),
+keys AS (SELECT k FROM {FOLDS} UNION ALL SELECT -1),
+tg AS (SELECT keys.k, pg.i, pg.j, sum(pg.g) AS g FROM keys JOIN pg ON pg.fold <> keys.k GROUP BY 1, 2, 3),
+ts AS (SELECT keys.k, ps.i, sum(ps.sz) AS sz FROM keys JOIN ps ON ps.fold <> keys.k GROUP BY 1, 2),
+ty AS (SELECT keys.k, py.i, sum(py.szy) AS szy FROM keys JOIN py ON py.fold <> keys.k GROUP BY 1, 2),
+tn AS (SELECT keys.k, sum(pn.n) AS n, sum(pn.sy) AS sy FROM keys JOIN pn ON pn.fold <> keys.k GROUP BY 1),
+cm AS (SELECT tg.k, tg.i, tg.j, tg.g - a.sz * b.sz / tn.n
+              + CASE WHEN tg.i = tg.j THEN 1e-8 * (tg.g - a.sz * a.sz / tn.n) / (tn.n - 1) ELSE 0.0 END AS c
+       FROM tg JOIN ts a ON a.k = tg.k AND a.i = tg.i JOIN ts b ON b.k = tg.k AND b.i = tg.j
+       JOIN tn ON tn.k = tg.k),
+cvec AS (SELECT ty.k, ty.i, ty.szy - ts.sz * tn.sy / tn.n AS c
+         FROM ty JOIN ts ON ts.k = ty.k AND ts.i = ty.i JOIN tn ON tn.k = ty.k),
+sys AS (SELECT m.k, m.A, v.b
+        FROM (SELECT k, list(r ORDER BY i) AS A FROM (SELECT k, i, list(c ORDER BY j) AS r FROM cm GROUP BY k, i) x
+              GROUP BY k) m
+        JOIN (SELECT k, list(c ORDER BY i) AS b FROM cvec GROUP BY k) v ON v.k = m.k),
+cg(k, it, x, r, p, rs, rs0, done) AS (
+    SELECT k, 0, list_transform(b, lambda e: 0.0::DOUBLE), b, b, list_dot_product(b, b),
+           list_dot_product(b, b), false FROM sys
+    UNION ALL
+    SELECT k, it, x2, r2, list_transform(list_zip(r2, p), lambda q: q[1] + (rs2 / rs) * q[2]), rs2, rs0,
+           rs2 <= 1e-30 * rs0 OR it >= 400
+    FROM (SELECT k, it, p, rs, rs0, x2, r2, list_dot_product(r2, r2) AS rs2
+          FROM (SELECT k, it, p, rs, rs0,
+                       list_transform(list_zip(x, p), lambda q: q[1] + alpha * q[2]) AS x2,
+                       list_transform(list_zip(r, ap), lambda q: q[1] - alpha * q[2]) AS r2
+                FROM (SELECT cg.k, cg.it + 1 AS it, cg.x, cg.r, cg.p, cg.rs, cg.rs0, ap,
+                             cg.rs / list_dot_product(cg.p, ap) AS alpha
+                      FROM (SELECT cg.*, list_transform(sys.A, lambda row: list_dot_product(row, cg.p)) AS ap
+                            FROM cg JOIN sys ON sys.k = cg.k WHERE NOT cg.done) cg) s1) s2) s3
+),
+sol AS (SELECT cg.k, cg.x FROM cg JOIN (SELECT k, max(it) AS it FROM cg GROUP BY k) l ON l.k = cg.k AND l.it = cg.it),
+coef AS (SELECT sol.k, CAST(generate_subscripts(sol.x, 1) - 1 AS INTEGER) AS i, unnest(sol.x) AS a FROM sol),
+icpt AS (SELECT coef.k, tn.sy / tn.n - sum(coef.a * ts.sz / tn.n) AS b0
+         FROM coef JOIN ts ON ts.k = coef.k AND ts.i = coef.i JOIN tn ON tn.k = coef.k GROUP BY coef.k, tn.sy, tn.n),
+cvp AS (SELECT zf.id, zf.fold AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON coef.k = zf.fold AND coef.i = zf.pos
+        GROUP BY zf.id, zf.fold),
+trp AS (SELECT zf.id, -1 AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON coef.k = -1 AND coef.i = zf.pos
+        GROUP BY zf.id),
+pr AS (SELECT p.k, lab.fold, lab.y, {half_up('icpt.b0 + p.s')} AS p
+       FROM (SELECT * FROM cvp UNION ALL SELECT * FROM trp) p JOIN icpt ON icpt.k = p.k JOIN lab ON lab.id = p.id),
+pf AS (SELECT fold, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY fold),
+tr AS (SELECT {metrics_sql()} FROM pr WHERE k = -1)
+SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf
+UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
     q["m14_training_error"] = f"""WITH {_FULL_OLS}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('t.y', half_up('m.b + m.w * t.x'))} FROM t, m) s"""
