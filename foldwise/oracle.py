@@ -142,6 +142,31 @@ def _sgd_chain(moments: str, iterations: int, step: float, keys: str = "") -> st
 )"""
 
 
+def _cg_chain(system: str = "sys", max_iter: int = 400) -> str:
+    """Recursive CTE ``cg`` solving ``A x = b`` for every row ``(k, A, b)`` of ``system``.
+
+    Conjugate gradients from x = 0 on symmetric positive definite systems,
+    until the squared residual falls below 1e-30 of its start.
+    """
+    return f"""cg(k, it, x, r, p, rs, rs0, done) AS (
+    SELECT k, 0, list_transform(b, lambda e: 0.0::DOUBLE), b, b, list_dot_product(b, b),
+           list_dot_product(b, b), false FROM {system}
+    UNION ALL
+    SELECT k, it, x2, r2, list_transform(list_zip(r2, p), lambda q: q[1] + (rs2 / rs) * q[2]), rs2, rs0,
+           rs2 <= 1e-30 * rs0 OR it >= {max_iter}
+    FROM (SELECT k, it, p, rs, rs0, x2, r2, list_dot_product(r2, r2) AS rs2
+          FROM (SELECT k, it, p, rs, rs0,
+                       list_transform(list_zip(x, p), lambda q: q[1] + alpha * q[2]) AS x2,
+                       list_transform(list_zip(r, ap), lambda q: q[1] - alpha * q[2]) AS r2
+                FROM (SELECT cg.k, cg.it + 1 AS it, cg.x, cg.r, cg.p, cg.rs, cg.rs0, ap,
+                             cg.rs / list_dot_product(cg.p, ap) AS alpha
+                      FROM (SELECT cg.*, list_transform({system}.A, lambda row: list_dot_product(row, cg.p)) AS ap
+                            FROM cg JOIN {system} ON {system}.k = cg.k WHERE NOT cg.done) cg) s1) s2) s3
+),
+sol AS (SELECT cg.k, cg.x FROM cg JOIN (SELECT k, max(it) AS it FROM cg GROUP BY k) l
+        ON l.k = cg.k AND l.it = cg.it)"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -457,22 +482,7 @@ sys AS (SELECT m.k, m.A, v.b
         FROM (SELECT k, list(r ORDER BY i) AS A FROM (SELECT k, i, list(c ORDER BY j) AS r FROM cm GROUP BY k, i) x
               GROUP BY k) m
         JOIN (SELECT k, list(c ORDER BY i) AS b FROM cvec GROUP BY k) v ON v.k = m.k),
-cg(k, it, x, r, p, rs, rs0, done) AS (
-    SELECT k, 0, list_transform(b, lambda e: 0.0::DOUBLE), b, b, list_dot_product(b, b),
-           list_dot_product(b, b), false FROM sys
-    UNION ALL
-    SELECT k, it, x2, r2, list_transform(list_zip(r2, p), lambda q: q[1] + (rs2 / rs) * q[2]), rs2, rs0,
-           rs2 <= 1e-30 * rs0 OR it >= 400
-    FROM (SELECT k, it, p, rs, rs0, x2, r2, list_dot_product(r2, r2) AS rs2
-          FROM (SELECT k, it, p, rs, rs0,
-                       list_transform(list_zip(x, p), lambda q: q[1] + alpha * q[2]) AS x2,
-                       list_transform(list_zip(r, ap), lambda q: q[1] - alpha * q[2]) AS r2
-                FROM (SELECT cg.k, cg.it + 1 AS it, cg.x, cg.r, cg.p, cg.rs, cg.rs0, ap,
-                             cg.rs / list_dot_product(cg.p, ap) AS alpha
-                      FROM (SELECT cg.*, list_transform(sys.A, lambda row: list_dot_product(row, cg.p)) AS ap
-                            FROM cg JOIN sys ON sys.k = cg.k WHERE NOT cg.done) cg) s1) s2) s3
-),
-sol AS (SELECT cg.k, cg.x FROM cg JOIN (SELECT k, max(it) AS it FROM cg GROUP BY k) l ON l.k = cg.k AND l.it = cg.it),
+{_cg_chain()},
 coef AS (SELECT sol.k, CAST(generate_subscripts(sol.x, 1) - 1 AS INTEGER) AS i, unnest(sol.x) AS a FROM sol),
 icpt AS (SELECT coef.k, tn.sy / tn.n - sum(coef.a * ts.sz / tn.n) AS b0
          FROM coef JOIN ts ON ts.k = coef.k AND ts.i = coef.i JOIN tn ON tn.k = coef.k GROUP BY coef.k, tn.sy, tn.n),
@@ -486,6 +496,28 @@ pf AS (SELECT fold, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY fold),
 tr AS (SELECT {metrics_sql()} FROM pr WHERE k = -1)
 SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf
 UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
+    q["m3_ridge_regression"] = f"""WITH RECURSIVE {_encoding_ctes()},
+st AS (SELECT pos, avg(value) AS m, stddev_pop(value) AS s FROM enc GROUP BY pos),
+ys AS (SELECT avg(label) AS ym, stddev_pop(label) AS ysd, count(*)::DOUBLE AS n FROM rows),
+zc AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z
+       FROM enc e JOIN st ON st.pos = e.pos),
+cm AS (SELECT a.pos AS i, b.pos AS j,
+              sum(a.z * b.z) / (SELECT n FROM ys) + CASE WHEN a.pos = b.pos THEN 0.1 / (SELECT ysd FROM ys) ELSE 0.0 END AS c
+       FROM zc a JOIN zc b ON a.id = b.id GROUP BY a.pos, b.pos),
+cvec AS (SELECT zc.pos AS i, sum(zc.z * (r.label - ys.ym)) / (ys.n * ys.ysd) AS c
+         FROM zc JOIN rows r ON r.id = zc.id, ys GROUP BY zc.pos, ys.n, ys.ysd),
+sys AS (SELECT 0 AS k, (SELECT list(r ORDER BY i) FROM (SELECT i, list(c ORDER BY j) AS r FROM cm GROUP BY i) x) AS A,
+               (SELECT list(c ORDER BY i) FROM cvec) AS b),
+{_cg_chain()},
+coef AS (SELECT CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS pos, unnest(x) AS xv FROM sol),
+raw AS (SELECT coef.pos, CASE WHEN st.s = 0 THEN 0.0 ELSE coef.xv * ys.ysd / st.s END AS c, st.m
+        FROM coef JOIN st ON st.pos = coef.pos, ys),
+names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' || lv.level AS feature
+          FROM lv JOIN off ON off.col = lv.col WHERE lv.idx >= 1
+          UNION ALL SELECT CAST(nd.total + k.k AS INTEGER), 'n' || CAST(k.k + 1 AS VARCHAR)
+          FROM nd, (VALUES (0), (1), (2), (3)) k(k))
+SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
+UNION ALL SELECT '(intercept)', round((SELECT ym FROM ys) - sum(c * m), 4) FROM raw"""
     q["m14_training_error"] = f"""WITH {_FULL_OLS}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('t.y', half_up('m.b + m.w * t.x'))} FROM t, m) s"""
