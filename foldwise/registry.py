@@ -110,8 +110,15 @@ def _train_ols_n2(spark, sf):
 
 
 def _csv_copy(spark, df: DataFrame, name: str, parts: int = 4) -> str:
+    """Write ``df`` as CSV part files (each with a header) in the shared folder.
+
+    A small frame is spread over ``parts`` files so that several headers are
+    read back; a large one is written as it is partitioned (never narrowed).
+    """
     path = scratch_path(spark, name)
-    CSV.write_csv(df.repartition(parts), path)
+    if df.rdd.getNumPartitions() < parts:
+        df = df.repartition(parts)
+    CSV.write_csv(df, path)
     return path
 
 
