@@ -85,19 +85,30 @@ def main() -> None:
             moments()
         return state["pf"]
 
+    quality: dict[str, dict] = {}
+
+    def keep(name, row, **extra):
+        quality[name] = {"corr": round(row["corr"], 6), "mae": round(row["mae"], 3),
+                         "rmse": round(row["rmse"], 3), **extra}
+
     def cv_least_squares():
         fm = S.ols_fold_models(tt(), pf())
         rep = S.point_report(S.fold_metrics(S.score_fold_models(tt(), fm))).collect()
         state["ols"] = fit_ols(total(pf(), tt().width), tt().scaler)
+        keep("cv_least_squares", rep[0])
         return rep
 
     def linear_grid():
         res = PR.linear_sgd_program(tt(), scaled=True, model_selection=True)
-        return res.report().collect()
+        rows = res.report().collect()
+        keep("linear_grid", rows[0], iterations=res.params["iterations"], step=res.params["step"])
+        return rows
 
     def cv_tree():
         res = PR.tree_program(tt(), max_depth=12, max_bins=16)
-        return res.report().collect()
+        rows = res.report().collect()
+        keep("cv_tree", rows[0])
+        return rows
 
     def scoring():
         model = state.get("ols") or fit_ols(total(pf(), tt().width), tt().scaler)
@@ -109,7 +120,9 @@ def main() -> None:
         t = prepare_training(lineitem_table(spark, sf_dir), None, LINEITEM_SPEC)
         pfl = S.fold_moments(t)
         fm = S.ols_fold_models(t, pfl)
-        return S.point_report(S.fold_metrics(S.score_fold_models(t, fm))).collect()
+        rep = S.point_report(S.fold_metrics(S.score_fold_models(t, fm))).collect()
+        keep("lineitem_cv_least_squares", rep[0])
+        return rep
 
     timed("encode_join", encode_join)
     timed("moments", moments)
@@ -122,7 +135,8 @@ def main() -> None:
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cpus": int(cpus), "warmup_sec": warmup}))
+                      "cpus": int(cpus), "warmup_sec": warmup,
+                      "quality_10fold_cv": quality}))
 
 
 if __name__ == "__main__":
