@@ -147,3 +147,36 @@ def test_hot_id_with_a_third_of_the_rows(spark):
     assert sizes[hot_fold[0].fold] >= n // 3
     m = tt.fold_moments()
     assert sum(v.n for v in m.values()) == n
+
+
+def test_label_join_splits_a_hot_id_partition(spark):
+    """With a sort-merge join, adaptive execution splits the partition of an id holding 1/3 of rows."""
+    from foldwise.plans.training import join_labels
+    from foldwise.spec import FeatureSpec
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 300000
+        feats = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+            F.rand(7).alias("n1"))
+        labels = spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit(1.0).alias("label")) \
+            .union(spark.createDataFrame([("hot", 2.0)], "id string, label double"))
+        joined = join_labels(feats, labels, FeatureSpec(id="id", nominal=(), numeric=("n1",)))
+        agg = joined.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s"))
+        row = agg.collect()[0]
+        assert row.n == n and row.s == pytest.approx(2 * 100000 + (n - 100000))
+        plan = agg._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
