@@ -169,7 +169,8 @@ def test_label_join_splits_a_hot_id_partition(spark):
         labels = spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit(1.0).alias("label")) \
             .union(spark.createDataFrame([("hot", 2.0)], "id string, label double"))
         joined = join_labels(feats, labels, FeatureSpec(id="id", nominal=(), numeric=("n1",)))
-        agg = joined.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s"))
+        # keep the payload column so the shuffled rows are realistic (not all alike)
+        agg = joined.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s"), F.sum("n1").alias("x"))
         row = agg.collect()[0]
         assert row.n == n and row.s == pytest.approx(2 * 100000 + (n - 100000))
         plan = agg._jdf.queryExecution().executedPlan().toString()
