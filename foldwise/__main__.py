@@ -59,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--model", default=None, help="save the refitted model here")
             p.add_argument("--test", default=None, help="feature file to score")
             p.add_argument("--output", default=None, help="where to write id,prediction lines")
+            p.add_argument("--train-predictions", default=None,
+                           help="write id,prediction lines of the refitted model on the training rows")
         else:
             p.add_argument("--fold", type=int, default=0)
             p.add_argument("--rows", type=int, default=10)
@@ -122,6 +124,10 @@ def main(argv: list[str] | None = None) -> int:
         saved = (SK.save_linear_model(spark, run.model, tt.feature_names, args.model, tt.encoder.to_json())
                  if isinstance(run.model, LinearModel) else SK.save_ml_model(run.model, args.model))
         print("Saved model" if saved else "Model not saved: path already exists")
+    if args.train_predictions:
+        scaler = tt.scaler if args.scale else None
+        SK.write_predictions(PR.training_predictions(tt, run.model, scaler=scaler), args.train_predictions)
+        print(f"Wrote training predictions to {args.train_predictions}")
     if args.test:
         from .plans.score import score_table
 

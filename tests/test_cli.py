@@ -22,8 +22,10 @@ def _csvs(spark):
 def test_linear_job_with_selection_model_and_scoring(spark, capsys):
     feats, labels, test = _csvs(spark)
     model, out = scratch_path(spark, "cli-model"), scratch_path(spark, "cli-out")
+    trained = scratch_path(spark, "cli-train-pred")
     assert main(["linear", feats, labels, "--scale", "--select", "--model", model,
-                 "--test", test, "--output", out]) == 0
+                 "--test", test, "--output", out, "--train-predictions", trained]) == 0
+    assert spark.read.text(trained).count() > 0
     text = capsys.readouterr().out
     assert "10-Fold CV Correlation Coefficient" in text and "Saved model" in text
     lines = spark.read.text(out).collect()
