@@ -1,11 +1,16 @@
-"""Additive moments of the (standardised) design, one row per fold.
+"""Additive moments of the design, one row per fold.
 
-For u = (z_1..z_d, 1) and the centred label v = y - y0, a fold's moments are
+For u = (x_1 - c_1, .., x_d - c_d, 1) and v = y - c_y a fold's moments are
 ``G = sum u u^T`` and ``h = sum u v`` plus ``sum v^2``. They are additive, so
 the training side of fold k is ``total - fold k`` and every linear fit of a
 cross-validation (any fold, any parameter point, gradient descent or least
 squares) comes from one aggregate over the data.
 
+``fold_moments_one_pass`` takes the shift c from a bounded head sample, so
+the sums stay well conditioned, then derives the scaler (means, sample
+standard deviations) and the standardised moments (over z = (x - mean)/std)
+algebraically: scaler and moments cost one pass together.
+
 Two physical forms of the same aggregate:
 
 * ``sql``: one ``groupBy(fold).agg(sum(z_i*z_j) ...)`` with d(d+1)/2 + 2d + 3
