@@ -121,8 +121,7 @@ def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, sec
         # seeded fits on the same folds: reuse the chosen point's CV instead of refitting
         cv = _chosen_cv(spark, best)
     else:
-        preds = S.estimator_cv_predictions(tt, make, {0: params}, parallelism, scale=scaled)
-        cv = _cv_row(S.fold_metrics(preds))
+        cv = _cv_row(S.estimator_grid_metrics(tt, make, {0: params}, parallelism, scale=scaled))
     from pyspark.ml.functions import array_to_vector
     src = tt.scaler.transform(tt.df) if scaled else tt.df
     model = make(*params).fit(src.select("label", array_to_vector("f").alias("features")))

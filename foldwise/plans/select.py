@@ -216,24 +216,31 @@ def cv_summary(predictions: DataFrame, params: DataFrame | None = None) -> DataF
 def estimator_grid_metrics(tt: TrainingTable, make_estimator, points: dict[int, tuple],
                            parallelism: int | None = None, rounded: bool = True,
                            scale: bool = False) -> DataFrame:
-    """Per (point, fold) metrics of a grid, without one plan over every fit.
+    """Per (point, fold) metrics of an estimator, one task per fit.
 
-    Each point's k validation predictions are aggregated as soon as its fits
-    are done; only the metric rows (points x folds, a few numbers each) are
-    kept, so a grid of hundreds of points never becomes a union of thousands
-    of plans.
+    Each task fits on ``fold != k``, scores ``fold = k`` and aggregates the
+    metrics right away (one row), so a fitted model lives only while its task
+    runs: at most ``parallelism`` models are held at once, and a grid of
+    hundreds of points never becomes one plan over thousands of fits. Folds
+    without validation rows yield no row (as in the grouped linear path).
     """
+    from pyspark.ml.functions import array_to_vector
+
     spark = tt.df.sparkSession
-    rows: list = []
+    src = tt.scaler.transform(tt.df) if scale else tt.df
+    data = src.select("label", "fold", array_to_vector("f").alias("features"))
+    tasks = [(g, k) for g in sorted(points) for k in range(tt.n_folds)]
 
-    def one_point(g):
-        preds = estimator_cv_predictions(tt, make_estimator, {g: points[g]}, 1, rounded, scale)
-        return [tuple(r) for r in fold_metrics(preds).select(
-            "grid_pos", "fold", "n", "corr", "mae", "mse", "rmse").collect()]
+    def one(task):
+        g, k = task
+        model = make_estimator(*points[g]).fit(data.filter(F.col("fold") != k))
+        raw = model.transform(data.filter(F.col("fold") == k)).withColumnRenamed("prediction", "raw")
+        pred = raw.withColumn("prediction", round_half_up("raw") if rounded else F.col("raw"))
+        m = regression_metrics(pred).collect()[0]
+        return None if m["n"] == 0 else (g, k, m["n"], m["corr"], m["mae"], m["mse"], m["rmse"])
 
     with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
-        for part in pool.map(one_point, sorted(points)):
-            rows.extend(part)
+        rows = [r for r in pool.map(one, tasks) if r is not None]
     return spark.createDataFrame(
         rows, "grid_pos int, fold int, n bigint, corr double, mae double, mse double, rmse double")
 
