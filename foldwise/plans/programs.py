@@ -134,11 +134,13 @@ def tree_program(tt: TrainingTable, model_selection: bool = False,
                  max_depth: int = G.TREE_DEFAULT[0], max_bins: int = G.TREE_DEFAULT[1],
                  depths: list[int] | None = None, bins: list[int] | None = None,
                  seed: int = DEFAULT_SEED, parallelism: int | None = None, scaled: bool = False) -> RunResult:
+    fits = S.fit_parallelism(tt, parallelism)
+
     def make(depth, nbins):
-        return tree_estimator(depth, nbins, seed)
+        return tree_estimator(depth, nbins, seed, spark=tt.df.sparkSession, fits_in_flight=fits)
     return _estimator_program(tt, make, (max_depth, max_bins), depths or G.TREE_DEPTHS,
                               bins or G.TREE_BINS, ("max_depth", "max_bins"), model_selection,
-                              parallelism, scaled)
+                              fits, scaled)
 
 
 def forest_program(tt: TrainingTable, model_selection: bool = False,
@@ -146,11 +148,14 @@ def forest_program(tt: TrainingTable, model_selection: bool = False,
                    max_bins: int = G.FOREST_BINS, trees: list[int] | None = None,
                    depths: list[int] | None = None, seed: int = DEFAULT_SEED,
                    parallelism: int | None = None, scaled: bool = False) -> RunResult:
+    fits = S.fit_parallelism(tt, parallelism)
+
     def make(ntrees, depth):
-        return forest_estimator(ntrees, depth, max_bins, seed)
+        return forest_estimator(ntrees, depth, max_bins, seed, spark=tt.df.sparkSession,
+                                fits_in_flight=fits)
     return _estimator_program(tt, make, (num_trees, max_depth), trees or G.FOREST_TREES,
                               depths or G.FOREST_DEPTHS, ("num_trees", "max_depth"),
-                              model_selection, parallelism, scaled)
+                              model_selection, fits, scaled)
 
 
 def training_predictions(tt: TrainingTable, model, rounded: bool = True, scaler=None) -> DataFrame:

@@ -164,15 +164,20 @@ CONCURRENT_FIT_BYTES = 2 << 30
 
 
 def fit_parallelism(tt: TrainingTable, requested: int | None = None) -> int:
-    """Fits in flight: several for small tables, one when a table copy is large.
+    """Fits in flight: several for small tables on roomy executors, else one.
 
-    The size estimate comes from the row count the moments pass already
-    produced (rows x (width + 3) doubles), so it costs no extra job.
+    The table size comes from the row count the moments pass already produced
+    (rows x (width + 3) doubles), so it costs no extra job; a task's heap share
+    comes from the session's memory settings.
     """
     if requested is not None:
         return max(1, requested)
+    from ..operators.trees import task_memory_mb
+
     approx = tt.scaler.n * (tt.width + 3) * 8
-    return 4 if approx <= CONCURRENT_FIT_BYTES else 1
+    heap, tasks = task_memory_mb(tt.df.sparkSession)
+    roomy = heap / max(1, tasks) >= 512
+    return 4 if approx <= CONCURRENT_FIT_BYTES and roomy else 1
 
 
 def estimator_cv_predictions(tt: TrainingTable, make_estimator, points: dict[int, tuple],
