@@ -52,12 +52,16 @@ def level_counts(levels: DataFrame) -> DataFrame:
         "col", "levels", (F.col("levels") - 1).alias("dummies"))
 
 
-def level_index(levels: DataFrame) -> DataFrame:
+def level_index(levels: DataFrame, max_levels: int | None = None) -> DataFrame:
     """``(col, level, idx)``: 0-based rank of the level within its column.
 
-    The window groups one column's distinct levels, whose number is bounded by
-    the level-count check of :func:`fit_encoder`.
+    The window groups one column's distinct levels; their number is checked
+    against ``max_levels`` first (as in :func:`fit_encoder`), so no task
+    receives an unbounded group.
     """
+    cap = DEFAULT_MAX_LEVELS if max_levels is None else max_levels
+    if levels.limit(cap + 1).count() > cap:
+        raise ValueError(f"nominal columns have more than {cap} levels in total")
     w = Window.partitionBy("col").orderBy("level")
     return levels.select("col", "level", (F.row_number().over(w) - 1).cast("int").alias("idx"))
 
