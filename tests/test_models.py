@@ -250,3 +250,13 @@ def test_tree_matches_brute_force(spark, tt):
     y2 = np.array([r.label for r in data.collect()])
     want = _brute_tree(X2, y2, 3)
     assert np.allclose(got, want, rtol=1e-9, atol=1e-6)
+
+
+def test_lasso_zeroes_weak_features(spark, tt):
+    from foldwise.operators.linear import fit_regularised
+
+    ridge = fit_regularised(tt.df, reg_param=1000.0, l1_ratio=0.0)
+    lasso = fit_regularised(tt.df, reg_param=1000.0, l1_ratio=1.0)
+    assert np.count_nonzero(ridge.coef) == tt.width
+    assert 0 < np.count_nonzero(lasso.coef) < tt.width
+    assert lasso.coef[tt.feature_names.index("n2")] != 0.0   # the informative column survives
