@@ -260,3 +260,21 @@ def test_lasso_zeroes_weak_features(spark, tt):
     assert np.count_nonzero(ridge.coef) == tt.width
     assert 0 < np.count_nonzero(lasso.coef) < tt.width
     assert lasso.coef[tt.feature_names.index("n2")] != 0.0   # the informative column survives
+
+
+def test_fused_pass_equals_separate_passes(spark, tt):
+    """CV + training metrics from one scoring pass equal the separately computed ones."""
+    from foldwise.operators.metrics import regression_metrics
+    from foldwise.plans.score import training_error
+
+    for rounded, average in ((False, "pooled"), (True, "macro")):
+        res = PR.least_squares_program(tt, rounded=rounded, average=average)
+        cv, tr = res.cv.collect()[0], res.training.collect()[0]
+        pred = res.extras["predictions"]
+        if average == "pooled":
+            ref = regression_metrics(pred).collect()[0]
+        else:
+            ref = S.point_report(S.fold_metrics(pred)).collect()[0]
+        ref_tr = training_error(tt, res.model, rounded).collect()[0]
+        assert (cv.corr, cv.mae, cv.rmse) == pytest.approx((ref.corr, ref.mae, ref.rmse), rel=1e-12)
+        assert (tr.corr, tr.mae, tr.rmse) == pytest.approx((ref_tr.corr, ref_tr.mae, ref_tr.rmse), rel=1e-12)
