@@ -278,3 +278,17 @@ def test_fused_pass_equals_separate_passes(spark, tt):
         ref_tr = training_error(tt, res.model, rounded).collect()[0]
         assert (cv.corr, cv.mae, cv.rmse) == pytest.approx((ref.corr, ref.mae, ref.rmse), rel=1e-12)
         assert (tr.corr, tr.mae, tr.rmse) == pytest.approx((ref_tr.corr, ref_tr.mae, ref_tr.rmse), rel=1e-12)
+
+
+def test_scoring_pass_plan_shape(spark, tt):
+    """One scan of (label, f, fold), a broadcast join on fold, partial aggregation, no Python."""
+    fm = S.sgd_fold_models(tt, [100, 200], [0.1, 1.0], True)
+    metrics = S.fold_metrics(S.score_fold_models(tt, fm))
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
+    assert "partial_covar_pop" in plan
+    assert "Python" not in plan and "ArrowEval" not in plan
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 1
+    read = scans[0][scans[0].index("[") + 1:scans[0].index("]")]
+    assert sorted(c.split("#")[0] for c in read.split(",")) == ["f", "fold", "label"]
