@@ -8,8 +8,9 @@ table of points x folds rows whose byte size is checked) and aggregates
 metrics per (point, fold) with map-side partial aggregation.
 
 Estimators without such a shortcut (trees, forests) are fitted per
-(point, fold) with ``pyspark.ml`` on the fold-clustered table, a few fits at
-a time, and scored in one union-all aggregate.
+(point, fold) with ``pyspark.ml`` on the fold-clustered table; each task scores
+its own validation rows into one metric row and releases its model, and the
+number of fits in flight follows the table size and the configured memory.
 """
 
 from __future__ import annotations
