@@ -518,6 +518,49 @@ names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' |
           FROM nd, (VALUES (0), (1), (2), (3)) k(k))
 SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
 UNION ALL SELECT '(intercept)', round((SELECT ym FROM ys) - sum(c * m), 4) FROM raw"""
+    q["m9_sgd_cv_all_features"] = f"""WITH RECURSIVE {_encoding_ctes()},
+st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
+dim AS (SELECT total + 4 AS d FROM nd),
+zf AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z,
+              {fold_expr('e.id')} AS fold FROM enc e JOIN st ON st.pos = e.pos
+       UNION ALL SELECT id, (SELECT d FROM dim), 1.0::DOUBLE, {fold_expr()} FROM rows),
+lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
+pg AS (SELECT a.fold, a.pos AS i, b.pos AS j, sum(a.z * b.z) AS g FROM zf a JOIN zf b ON a.id = b.id GROUP BY 1, 2, 3),
+py AS (SELECT zf.fold, zf.pos AS i, sum(zf.z * lab.y) AS h FROM zf JOIN lab ON lab.id = zf.id GROUP BY 1, 2),
+pn AS (SELECT fold, count(*)::DOUBLE AS n FROM lab GROUP BY fold),
+keys AS (SELECT k FROM {FOLDS} UNION ALL SELECT -1),
+tg AS (SELECT keys.k, pg.i, pg.j, sum(pg.g) AS g FROM keys JOIN pg ON pg.fold <> keys.k GROUP BY 1, 2, 3),
+ty AS (SELECT keys.k, py.i, sum(py.h) AS h FROM keys JOIN py ON py.fold <> keys.k GROUP BY 1, 2),
+tn AS (SELECT keys.k, sum(pn.n) AS n FROM keys JOIN pn ON pn.fold <> keys.k GROUP BY 1),
+sys AS (SELECT m.k, m.G, v.h, tn.n
+        FROM (SELECT k, list(r ORDER BY i) AS G FROM (SELECT k, i, list(g ORDER BY j) AS r FROM tg GROUP BY k, i) x
+              GROUP BY k) m
+        JOIN (SELECT k, list(h ORDER BY i) AS h FROM ty GROUP BY k) v ON v.k = m.k
+        JOIN tn ON tn.k = m.k),
+it(k, i, w, done) AS (
+    SELECT sys.k, 0, list_transform(range(dim.d + 1),
+                                    lambda q: CASE WHEN q = dim.d THEN 1.0 ELSE 0.0 END::DOUBLE), false
+    FROM sys, dim
+    UNION ALL
+    SELECT k, i, nw,
+           i >= 2 AND sqrt(list_sum(list_transform(list_zip(nw, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))
+                      < 0.001 * greatest(sqrt(list_dot_product(nw, nw)), 1.0)
+    FROM (SELECT it.k, it.i + 1 AS i, it.w,
+                 list_transform(list_zip(it.w, sys.G, sys.h),
+                                lambda p: p[1] - (1.0 / sqrt(it.i + 1)) * (list_dot_product(p[2], it.w) - p[3]) / sys.n) AS nw
+          FROM it JOIN sys ON sys.k = it.k WHERE it.i < 200 AND NOT it.done) s
+),
+fin AS (SELECT it.k, it.w FROM it JOIN (SELECT k, max(i) AS i FROM it GROUP BY k) l ON l.k = it.k AND l.i = it.i),
+wl AS (SELECT k, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS wv FROM fin),
+cvp AS (SELECT zf.id, zf.fold AS k, sum(wl.wv * zf.z) AS raw FROM zf JOIN wl ON wl.k = zf.fold AND wl.pos = zf.pos
+        GROUP BY zf.id, zf.fold),
+trp AS (SELECT zf.id, -1 AS k, sum(wl.wv * zf.z) AS raw FROM zf JOIN wl ON wl.k = -1 AND wl.pos = zf.pos GROUP BY zf.id),
+pr AS (SELECT p.k, lab.fold, lab.y, {half_up('p.raw')} AS p
+       FROM (SELECT * FROM cvp UNION ALL SELECT * FROM trp) p JOIN lab ON lab.id = p.id),
+pf AS (SELECT fold, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY fold),
+tr AS (SELECT {metrics_sql()} FROM pr WHERE k = -1)
+SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf
+UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
     q["m14_training_error"] = f"""WITH {_FULL_OLS}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('t.y', half_up('m.b + m.w * t.x'))} FROM t, m) s"""

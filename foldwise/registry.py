@@ -691,6 +691,14 @@ def m9_cv_one_point(spark, sf):
                     r("rmse", 4).alias("rmse"))
 
 
+def m9_sgd_cv_all_features(spark, sf):
+    """The cluster linear program at its defaults: 21 scaled features, 200 iterations, step 1.0."""
+    tt = _tt(spark, sf)
+    res = PR.linear_sgd_program(tt, scaled=True, iterations=200, step=1.0)
+    return res.report().select("stage", r("corr", 8).alias("corr"), r("mae", 4).alias("mae"),
+                               r("rmse", 4).alias("rmse"))
+
+
 def m10_linear_grid(spark, sf):
     tt = _tt(spark, sf, N2_SPEC)
     res = PR.linear_sgd_program(tt, scaled=True, model_selection=True)
@@ -770,6 +778,7 @@ QUERIES = (
     f8_array_ops, f9_map_lookup, f10_int_ranges,
     m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m4_decision_tree_cv,
     m5_random_forest_cv, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
+    m9_sgd_cv_all_features,
     m10_linear_grid, m11_tree_grid, m12_forest_grid, m13_refit_sgd, m14_training_error,
     m15_score_table, m16_pooled_cv_least_squares, flagship_least_squares_cv,
 )
