@@ -48,12 +48,6 @@ def guarded_corr(y: Column | str, p: Column | str) -> Column:
     return F.covar_pop(y, p) / F.nullif(F.stddev_pop(y) * F.stddev_pop(p), F.lit(0.0))
 
 
-def int_range(start: int, stop: int, step: int = 1) -> Column:
-    """Integers ``start, start+step, ...`` below ``stop`` (end exclusive)."""
-    last = start + ((stop - start - 1) // step) * step
-    return F.sequence(F.lit(start), F.lit(last), F.lit(step))
-
-
 def split_line(line: Column | str, sep: str = ",") -> Column:
     """Split a text line into its fields (keeps trailing empty fields)."""
     line = F.col(line) if isinstance(line, str) else line

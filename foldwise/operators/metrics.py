@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import guarded_corr, round_half_up
+from ..functions.columns import guarded_corr
 
 METRICS = ("corr", "mae", "rmse")
 
@@ -37,10 +37,6 @@ def regression_metrics(df: DataFrame, group_by: list[str] | tuple[str, ...] = ()
     return df.agg(*cols)
 
 
-def with_rounded(df: DataFrame, raw: str = "raw_prediction", out: str = "prediction") -> DataFrame:
-    return df.withColumn(out, round_half_up(raw))
-
-
 def macro_average(per_fold: DataFrame, group_by: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Mean of the per-fold metrics; a null (undefined) fold makes the mean null."""
     def strict_avg(c: str) -> Column:

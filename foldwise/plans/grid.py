@@ -27,14 +27,6 @@ def param_grid(first: list, second: list) -> list[tuple[int, object, object]]:
     return [(i, a, b) for i, (a, b) in enumerate((a, b) for a in first for b in second)]
 
 
-def grid_frame(spark: SparkSession, first: list, second: list,
-               names: tuple[str, str] = ("p1", "p2"),
-               types: tuple[str, str] = ("double", "double")) -> DataFrame:
-    """The grid as a small DataFrame ``grid_pos, p1, p2`` (parameters, not data)."""
-    return spark.createDataFrame(param_grid(first, second),
-                                 f"grid_pos int, {names[0]} {types[0]}, {names[1]} {types[1]}")
-
-
 def grid_by_fold(spark: SparkSession, first: list, second: list, n_folds: int,
                  names: tuple[str, str] = ("p1", "p2"),
                  types: tuple[str, str] = ("double", "double")) -> DataFrame:

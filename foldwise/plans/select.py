@@ -18,7 +18,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -153,11 +152,6 @@ def best_point(report: DataFrame) -> dict:
     return row[0].asDict() if row else {}
 
 
-def pooled_metrics(predictions: DataFrame) -> DataFrame:
-    """Metrics over all held-out rows together (no per-fold averaging)."""
-    return regression_metrics(predictions, ["grid_pos"])
-
-
 # --- estimators without a moments shortcut -------------------------------------
 
 # Concurrent fits each cache their own binned copy of ~(k-1)/k of the table.
@@ -215,10 +209,6 @@ def estimator_cv_predictions(tt: TrainingTable, make_estimator, points: dict[int
     return out.withColumn("prediction", pred)
 
 
-def cv_summary(predictions: DataFrame, params: DataFrame | None = None) -> DataFrame:
-    return point_report(fold_metrics(predictions), params)
-
-
 def estimator_grid_metrics(tt: TrainingTable, make_estimator, points: dict[int, tuple],
                            parallelism: int | None = None, rounded: bool = True,
                            scale: bool = False) -> DataFrame:
@@ -256,7 +246,3 @@ def as_params_frame(spark: SparkSession, params: dict[int, tuple], names: tuple[
     rows = [(g, *map(lambda v, t: int(v) if t == "int" else float(v), p, types))
             for g, p in sorted(params.items())]
     return spark.createDataFrame(rows, f"grid_pos int, {names[0]} {types[0]}, {names[1]} {types[1]}")
-
-
-def nan_to_none(x: float | None) -> float | None:
-    return None if x is None or not np.isfinite(x) else float(x)

@@ -50,11 +50,6 @@ def read_combined(spark: SparkSession, path: str | list[str], spec: FeatureSpec,
     return df
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Raw text lines (one string column ``value``), for the line-level helpers."""
-    return spark.read.text(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a frame as CSV part files, each with its own header line."""
     df.write.mode("errorifexists").option("header", True).csv(path)

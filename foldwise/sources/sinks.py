@@ -9,7 +9,6 @@ skipped; any other failure propagates.
 
 from __future__ import annotations
 
-import json
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,7 +86,3 @@ def save_ml_model(model, path: str) -> bool:
             return False
         raise
     return True
-
-
-def metadata_json(**kw) -> str:
-    return json.dumps(kw, sort_keys=True)

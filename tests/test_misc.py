@@ -148,3 +148,41 @@ def test_entry_contract(spark):
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 70
+
+
+def test_fold_api_helpers(spark):
+    df = K.assign_folds(spark.range(400).select(F.col("id").cast("string").alias("id")), 4)
+    pairs = K.fold_pairs(df, 4)
+    assert len(pairs) == 4 and all(t.count() + v.count() == 400 for t, v in pairs)
+    from foldwise.operators.inspect import show_folds
+    out = show_folds(df, 4, rows=3)
+    assert out.count() == 4 * 2 * 3
+    rnd = K.assign_random_folds(spark.range(2000), 5, seed=3)
+    counts = [r["count"] for r in rnd.groupBy("fold").count().collect()]
+    assert len(counts) == 5 and min(counts) > 300
+
+
+def test_estimator_predictions_and_split_ranking_on_array(spark):
+    from foldwise.operators import trees as TR
+    from foldwise.plans import select as S
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, order_features, order_labels
+
+    tt = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), ORDER_SPEC)
+    preds = S.estimator_cv_predictions(tt, lambda d, b: TR.tree_estimator(d, b), {0: (3, 16)})
+    assert preds.count() == tt.df.count()
+    assert set(preds.columns) >= {"grid_pos", "fold", "id", "label", "raw_prediction", "prediction"}
+    ranked = TR.best_splits(TR.long_features(tt.df, tt.feature_names)).orderBy(F.desc("gain_ratio")).collect()
+    assert ranked[0].feature == "n2" and len(ranked) == tt.width
+
+
+def test_direct_scaler_equals_one_pass_scaler(spark):
+    from foldwise.operators.scale import fit_scaler
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, order_features, order_labels
+
+    tt = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), ORDER_SPEC)
+    direct = fit_scaler(tt.df, tt.width, "f", "label")
+    assert np.allclose(direct.means, tt.scaler.means, rtol=1e-10, atol=1e-10)
+    assert np.allclose(direct.stds, tt.scaler.stds, rtol=1e-9, atol=1e-12)
+    assert direct.n == tt.scaler.n
