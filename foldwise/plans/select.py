@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_up
-from ..operators.linear import LinearModel, fit_ols, fit_sgd_grid, prediction_from_columns
+from ..operators.linear import (FLAT_MODEL_MAX_WIDTH, LinearModel, fit_ols, fit_sgd_grid,
+                                prediction_from_columns)
 from ..operators.metrics import macro_average, regression_metrics
 from ..operators.moments import Moments, total
 from .training import TrainingTable
@@ -50,9 +51,15 @@ class FoldModels:
     width: int
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(g, k, [float(x) for x in m.coef], float(m.intercept))
-                for (g, k), m in sorted(self.models.items())]
-        return spark.createDataFrame(rows, "grid_pos int, fold int, w array<double>, b double")
+        """``grid_pos, fold, b`` and the coefficients (``w0..`` columns, or one array when wide)."""
+        ordered = sorted(self.models.items())
+        if self.width > FLAT_MODEL_MAX_WIDTH:
+            rows = [(g, k, float(m.intercept), [float(x) for x in m.coef]) for (g, k), m in ordered]
+            return spark.createDataFrame(rows, "grid_pos int, fold int, b double, w array<double>")
+        rows = [(g, k, float(m.intercept), *[float(x) for x in m.coef]) for (g, k), m in ordered]
+        schema = ", ".join(["grid_pos int", "fold int", "b double"] +
+                           [f"w{i} double" for i in range(self.width)])
+        return spark.createDataFrame(rows, schema)
 
     def nbytes(self) -> int:
         return len(self.models) * (self.width + 4) * 8
