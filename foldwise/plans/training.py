@@ -28,12 +28,57 @@ from ..session import write_table
 from ..spec import FeatureSpec
 
 
-def join_labels(features: DataFrame, labels: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Inner join of features and labels on the id (duplicates multiply)."""
+HOT_ID_SUPPORT = 0.01      # an id holding at least this share of feature rows is salted
+SALT_BUCKETS = 32
+
+
+def _adaptive_skew_join(spark) -> bool:
+    on = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    skew = spark.conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true"
+    return on and skew
+
+
+def join_labels(features: DataFrame, labels: DataFrame, spec: FeatureSpec,
+                skew: str = "auto") -> DataFrame:
+    """Inner join of features and labels on the id (duplicates multiply).
+
+    ``skew="auto"`` leaves a hot id to adaptive execution, which splits its
+    partition (``SortMergeJoin(skew=true)``); when the session has that turned
+    off, or with ``skew="salt"``, hot ids are salted explicitly (see
+    :func:`salted_join`). ``skew="none"`` is the plain join.
+    """
     lab = labels.select(F.col(spec.id), F.col(spec.label).cast("double").alias(spec.label))
+    if skew == "salt" or (skew == "auto" and not _adaptive_skew_join(features.sparkSession)):
+        return salted_join(features, lab, spec.id)
     return features.join(lab, spec.id, "inner")
 
 
+def salted_join(left: DataFrame, right: DataFrame, key: str, support: float = HOT_ID_SUPPORT,
+                buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Exact inner join on ``key`` that spreads hot keys of ``left`` over ``buckets`` tasks.
+
+    Candidate hot keys come from Spark's one-pass frequent-items sketch
+    (at most 1/support keys, a superset of the keys above ``support``). Each
+    left row of a hot key gets one salt from its row position (so identical
+    copies are split too); the right rows of hot keys are repeated once per
+    salt. Every left row still meets every right row of its key exactly once;
+    all other keys take the plain join.
+    """
+    hot = left.select(key).stat.freqItems([key], support).collect()[0][0]
+    hot = [h for h in hot if h is not None]
+    if not hot:
+        return left.join(right, key, "inner")
+    is_hot = F.col(key).isin(hot)
+    salted_left = left.filter(is_hot).withColumn(
+        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int"))
+    # right rows of at most 1/support keys, each repeated `buckets` times
+    salted_right = right.filter(is_hot).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    hot_part = salted_left.join(salted_right, [key, "_salt"], "inner").drop("_salt")
+    cold_part = left.filter(~is_hot).join(right.filter(~is_hot), key, "inner")
+    return hot_part.unionByName(cold_part)
+
+
 def training_frame(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
                    encoder: Encoder | None = None, coding: str = "dummy") -> tuple[DataFrame, Encoder]:
     """``id, label, f`` (lazy) and the encoder fitted on the feature table.

@@ -181,3 +181,46 @@ def test_label_join_splits_a_hot_id_partition(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_join_equals_plain_join_with_hot_id_copies(spark):
+    """Explicit salting (used when adaptive skew handling is off) gives the same rows."""
+    from foldwise.plans.training import join_labels
+    from foldwise.spec import FeatureSpec
+
+    n = 30000
+    # a third of the feature rows are identical copies of one row with the hot id
+    feats = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1.0)).otherwise(F.col("id") % 7).cast("double").alias("n1"))
+    labels = spark.range(0, n, 2).select(F.col("id").cast("string").alias("id"), F.lit(1.0).alias("label")) \
+        .union(spark.createDataFrame([("hot", 2.0), ("hot", 3.0)], "id string, label double"))
+    spec = FeatureSpec(id="id", nominal=(), numeric=("n1",))
+    plain = join_labels(feats, labels, spec, skew="none")
+    salted = join_labels(feats, labels, spec, skew="salt")
+    key = lambda df: sorted((r.id, r.n1, r.label) for r in df.collect())
+    assert key(salted) == key(plain)
+    assert salted.filter(F.col("id") == "hot").count() == 2 * (n // 3)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
+
+
+def test_auto_skew_mode_salts_when_adaptive_skew_join_is_off(spark):
+    from foldwise.plans.training import join_labels
+    from foldwise.spec import FeatureSpec
+
+    feats = spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("id"),
+        F.lit(1.0).alias("n1"))
+    labels = spark.createDataFrame([("hot", 1.0), ("1", 2.0)], "id string, label double")
+    spec = FeatureSpec(id="id", nominal=(), numeric=("n1",))
+    key = "spark.sql.adaptive.skewJoin.enabled"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "false")
+        auto = join_labels(feats, labels, spec)
+        assert "_salt" in auto._jdf.queryExecution().executedPlan().toString()
+        assert auto.count() == 1501
+    finally:
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+    assert "_salt" not in join_labels(feats, labels, spec)._jdf.queryExecution().executedPlan().toString()
