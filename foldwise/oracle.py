@@ -21,14 +21,14 @@ FROM orders o
 JOIN customer c ON c.c_custkey = o.o_custkey
 JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey
-LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS qty, sum(l_extendedprice) AS price, count(*) AS lines
+LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS qty, round(sum(l_extendedprice), 2) AS price, count(*) AS lines
            FROM lineitem GROUP BY l_orderkey) l ON l.l_orderkey = o.o_orderkey {where}"""
 
 
 OF = _order_features()
 OF_TRAIN = _order_features("WHERE o.o_orderdate < TIMESTAMP '2000-01-01'")
 OF_SCORE = _order_features("WHERE o.o_orderdate >= TIMESTAMP '2000-01-01'")
-OL = """SELECT l_orderkey AS id, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS label
+OL = """SELECT l_orderkey AS id, round(sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 6) AS label
 FROM lineitem GROUP BY l_orderkey"""
 
 
@@ -108,8 +108,8 @@ LINE = """SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) *
        l_extendedprice AS price FROM lineitem"""
 
 # fixed grid of linear predictions a*n2 + b*n1 (a outer, b inner)
-GRID_A = [0.9, 0.99, 1.1]
-GRID_B = [1.0, 10.0, 100.0]
+GRID_A = [0.95, 1.0, 1.05]
+GRID_B = [100.0, 1000.0, 3000.0]
 _GRID_VALUES = ", ".join(f"({g}, {a}, {b})" for g, (a, b) in
                          enumerate((a, b) for a in GRID_A for b in GRID_B))
 GRID = f"(SELECT grid_pos, a::DOUBLE AS a, b::DOUBLE AS b FROM (VALUES {_GRID_VALUES}) g(grid_pos, a, b))"
@@ -336,7 +336,7 @@ SELECT id, CAST(pos AS INTEGER) AS pos, CASE WHEN pos <= 5 THEN field END AS tex
     q["f3_concat"] = f"""SELECT id, CAST(id AS VARCHAR) || ',' || CAST({half_up(P0)} AS VARCHAR) AS line FROM ({TJ}) t"""
     q["f4_power"] = f"""SELECT l_orderkey, l_linenumber, round(pow(charge - {half_up('0.99 * price')}, 2), 4) AS sq_err
 FROM ({LINE}) l"""
-    q["f5_sqrt"] = f"SELECT l_orderkey, l_linenumber, round(sqrt(charge), 8) AS root FROM ({LINE}) l"
+    q["f5_sqrt"] = f"SELECT l_orderkey, l_linenumber, round(sqrt(charge), 6) AS root FROM ({LINE}) l"
     q["f6_abs"] = f"""SELECT l_orderkey, l_linenumber, round(abs(charge - {half_up('0.99 * price')}), 6) AS abs_err
 FROM ({LINE}) l"""
     q["f7_round_half_up"] = f"""SELECT l_orderkey, l_linenumber, l_linenumber - 3.5::DOUBLE AS x,
@@ -384,7 +384,7 @@ b AS (SELECT g.*, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, th
 SELECT b.feature, round(b.threshold, 4) AS threshold, b.n_left, b.n_right, round(b.gain / v.var, 8) AS gain_ratio
 FROM b JOIN v ON v.feature = b.feature WHERE rn = 1"""
     q["m7_linear_predict"] = f"""WITH {_FULL_OLS}
-SELECT t.id, round(m.b + m.w * t.x, 4) AS raw_prediction FROM t, m"""
+SELECT t.id, round(m.b + m.w * t.x, 3) AS raw_prediction FROM t, m"""
     q["m8_rounded_prediction"] = f"""WITH {_FULL_OLS}
 SELECT t.id, round(t.y, 6) AS label, {half_up('m.b + m.w * t.x')} AS prediction FROM t, m"""
     q["m9_cv_one_point"] = f"""WITH {_FOLD_OLS}

@@ -35,11 +35,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Sums of cents (prices) and of 6-decimal charges are exact decimals; a double
+# sum carries order-dependent noise in the last bits (it differs between
+# partitionings and engines), so the sums are put back on their decimal grid.
+PRICE_DECIMALS = 2
+CHARGE_DECIMALS = 6
+
+
 def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("qty"),
-        F.sum("l_extendedprice").alias("price"),
+        F.round(F.sum("l_extendedprice"), PRICE_DECIMALS).alias("price"),
         F.count(F.lit(1)).alias("lines"),
     )
 
@@ -81,8 +88,8 @@ def order_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label table ``id, label``: net charge of each order with line items."""
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
-        .alias("label")
+        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))),
+                CHARGE_DECIMALS).alias("label")
     ).select(F.col("l_orderkey").alias("id"), "label")
 
 
