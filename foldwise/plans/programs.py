@@ -61,7 +61,7 @@ def linear_sgd_program(tt: TrainingTable, scaled: bool = True, model_selection:
         sts = grid_steps or G.LINEAR_STEPS
         fm = S.sgd_fold_models(tt, its, sts, scaled, per_fold)
         params = S.as_params_frame(spark, fm.params, ("iterations", "step"), ("int", "double"))
-        report = S.point_report(S.fold_metrics(S.score_fold_models(tt, fm)), params)
+        report = S.point_report(S.grid_fold_metrics(tt, fm), params)
         best = S.best_point(report)
         iterations, step = int(best["iterations"]), float(best["step"])
         # same folds, deterministic fits: the chosen point's CV is already in the report

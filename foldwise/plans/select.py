@@ -18,6 +18,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -139,6 +140,36 @@ def score_with_refit(tt: TrainingTable, fm: FoldModels, refit: LinearModel,
     return scored.withColumn("prediction", pred)
 
 
+def canonical_points(fm: FoldModels) -> dict[int, int]:
+    """Grid point -> first grid point with exactly the same models in every fold.
+
+    Gradient descent that stops early gives later iteration counts the same
+    weights; scoring such points once keeps their metrics identical, so ties
+    go to the first point as intended (and the scoring pass does less work).
+    """
+    folds = sorted({k for _, k in fm.models})
+    seen: dict[bytes, int] = {}
+    canon: dict[int, int] = {}
+    for g in sorted(fm.params):
+        key = b"".join(np.asarray([fm.models[(g, k)].intercept, *fm.models[(g, k)].coef],
+                                  dtype=float).tobytes() for k in folds if (g, k) in fm.models)
+        canon[g] = seen.setdefault(key, g)
+    return canon
+
+
+def grid_fold_metrics(tt: TrainingTable, fm: FoldModels, rounded: bool = True) -> DataFrame:
+    """Per (point, fold) metrics of a model grid, scoring each distinct model once."""
+    spark = tt.df.sparkSession
+    canon = canonical_points(fm)
+    reps = sorted(set(canon.values()))
+    sub = FoldModels({key: m for key, m in fm.models.items() if key[0] in reps},
+                     {g: fm.params[g] for g in reps}, fm.width)
+    per = fold_metrics(score_fold_models(tt, sub, rounded))
+    mapping = spark.createDataFrame(sorted(canon.items()), "grid_pos int, canon int")
+    return (per.withColumnRenamed("grid_pos", "canon")
+            .join(F.broadcast(mapping), "canon").drop("canon"))
+
+
 def fold_metrics(predictions: DataFrame) -> DataFrame:
     """``grid_pos, fold, n, corr, mae, mse, rmse``."""
     return regression_metrics(predictions, ["grid_pos", "fold"])

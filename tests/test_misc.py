@@ -186,3 +186,20 @@ def test_direct_scaler_equals_one_pass_scaler(spark):
     assert np.allclose(direct.means, tt.scaler.means, rtol=1e-10, atol=1e-10)
     assert np.allclose(direct.stds, tt.scaler.stds, rtol=1e-9, atol=1e-12)
     assert direct.n == tt.scaler.n
+
+
+def test_identical_grid_models_tie_exactly_and_first_wins(spark):
+    from foldwise.plans import programs as PR
+    from foldwise.plans import select as S
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, order_features, order_labels
+
+    tt = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), ORDER_SPEC)
+    fm = S.sgd_fold_models(tt, [100, 200, 300], [1.0], True)
+    canon = S.canonical_points(fm)
+    assert canon == {0: 0, 1: 0, 2: 0}          # stopped before 100 iterations: one model
+    res = PR.linear_sgd_program(tt, model_selection=True, grid_iterations=[100, 200, 300],
+                                grid_steps=[1.0])
+    rows = res.grid_report.orderBy("grid_pos").collect()
+    assert len({(r.corr, r.mae, r.rmse) for r in rows}) == 1
+    assert res.params["iterations"] == 100
