@@ -80,7 +80,8 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, support: float = HO
 
 
 def training_frame(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
-                   encoder: Encoder | None = None, coding: str = "dummy") -> tuple[DataFrame, Encoder]:
+                   encoder: Encoder | None = None, coding: str = "dummy",
+                   skew: str = "auto") -> tuple[DataFrame, Encoder]:
     """``id, label, f`` (lazy) and the encoder fitted on the feature table.
 
     ``labels=None`` is the single-table form: the label is already a column of
@@ -90,7 +91,7 @@ def training_frame(features: DataFrame, labels: DataFrame | None, spec: FeatureS
     if labels is None:
         joined = features.withColumn(spec.label, F.col(spec.label).cast("double"))
     else:
-        joined = join_labels(features, labels, spec)
+        joined = join_labels(features, labels, spec, skew=skew)
     return enc.transform(joined, keep=[spec.id, spec.label]), enc
 
 
@@ -145,9 +146,13 @@ class TrainingTable:
 
 def prepare_training(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
                      n_folds: int = 10, seed: int | None = None, coding: str = "dummy",
-                     encoder: Encoder | None = None, materialize: bool = True) -> TrainingTable:
-    """Encode, join, add folds and materialise once (scaler and moments follow lazily)."""
-    df, enc = training_frame(features, labels, spec, encoder=encoder, coding=coding)
+                     encoder: Encoder | None = None, materialize: bool = True,
+                     skew: str = "auto") -> TrainingTable:
+    """Encode, join, add folds and materialise once (scaler and moments follow lazily).
+
+    ``skew`` is passed to :func:`join_labels` (``auto``, ``salt`` or ``none``).
+    """
+    df, enc = training_frame(features, labels, spec, encoder=encoder, coding=coding, skew=skew)
     df = assign_folds(df, n_folds, spec.id, seed).select(
         F.col(spec.id).alias("id"), F.col(spec.label).alias("label"), "f", "fold")
     if materialize:

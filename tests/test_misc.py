@@ -203,3 +203,15 @@ def test_identical_grid_models_tie_exactly_and_first_wins(spark):
     rows = res.grid_report.orderBy("grid_pos").collect()
     assert len({(r.corr, r.mae, r.rmse) for r in rows}) == 1
     assert res.params["iterations"] == 100
+
+
+def test_fold_filters_reach_the_parquet_scan(spark):
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, order_features, order_labels
+
+    tt = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), ORDER_SPEC,
+                          skew="salt")
+    val = tt.df.filter(F.col("fold") == 3).select("label")
+    plan = val._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(fold), EqualTo(fold,3)]" in plan
+    assert val.count() == tt.df.filter(F.col("fold") == 3).count() > 0
