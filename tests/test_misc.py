@@ -215,3 +215,18 @@ def test_fold_filters_reach_the_parquet_scan(spark):
     plan = val._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(fold), EqualTo(fold,3)]" in plan
     assert val.count() == tt.df.filter(F.col("fold") == 3).count() > 0
+
+
+def test_training_table_layout_is_one_file_per_task_clustered_by_fold(spark):
+    import os
+
+    from foldwise.session import write_table
+
+    df = K.assign_folds(spark.range(5000).select(F.col("id").cast("string").alias("id")), 10).repartition(4)
+    out = write_table(df, "layout-test", cluster_by=("fold",))
+    files = [f for f in out.inputFiles()]
+    assert files and all("fold=" not in f for f in files)          # no directory per fold
+    assert len(files) <= 4                                          # one file per writing task
+    path = files[0].replace("file:", "")
+    rows = spark.read.parquet(os.path.dirname(path)).count()
+    assert rows == 5000
