@@ -5,10 +5,11 @@ priority, customer segment, customer region, order quarter) and four numeric
 ones (line quantity, line price, line count, customer balance).
 ``order_labels``: the net charge per order, from its line items.
 
-Both come from one aggregate of ``lineitem`` by order key; Spark reuses that
-exchange when both sides appear in one plan. Dimension tables with a fixed
-size (nation, region) are broadcast; customer is joined by key, so the plan
-stays a shuffle join when customer grows with the data.
+Each is its own aggregate of ``lineitem`` by order key (partial aggregation
+before the shuffle): features and labels are separate inputs, as in the
+original programs. Dimension tables with a fixed size (nation, region) are
+broadcast; customer is joined by key, so Spark plans a shuffle join once
+customer outgrows its size-checked broadcast threshold.
 """
 
 from __future__ import annotations
