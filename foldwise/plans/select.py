@@ -87,7 +87,7 @@ def sgd_fold_models(tt: TrainingTable, iterations: list[int], steps: list[float]
 
 
 def score_fold_models(tt: TrainingTable, fm: FoldModels, rounded: bool = True) -> DataFrame:
-    """Validation predictions of every (point, fold) model in one pass.
+    """Validation predictions of every (point, fold) model in one pass (one per chunk).
 
     ``grid_pos, fold, id, label, raw_prediction, prediction``. The model table
     is broadcast only under :data:`MAX_MODEL_BROADCAST_BYTES`; a larger grid is
