@@ -52,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("labels")
         p.add_argument("--nominal", type=int, default=5)
         p.add_argument("--folds", type=int, default=10)
-        p.add_argument("--seed", type=int, default=None, help="fold seed (default: unseeded hash of the id)")
+        p.add_argument("--seed", type=int, default=None, help="fold seed (default: folds from the hash of the id alone)")
         if name != "show-fold":
             p.add_argument("--scale", action="store_true")
             p.add_argument("--select", action="store_true", help="grid search before the final CV")
