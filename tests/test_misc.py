@@ -230,3 +230,15 @@ def test_training_table_layout_is_one_file_per_task_clustered_by_fold(spark):
     path = files[0].replace("file:", "")
     rows = spark.read.parquet(os.path.dirname(path)).count()
     assert rows == 5000
+
+
+def test_salted_and_default_training_tables_are_equal(spark):
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, order_features, order_labels
+
+    def rows(skew):
+        tt = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), ORDER_SPEC,
+                              skew=skew)
+        return sorted((r.id, r.label, r.fold, tuple(r.f)) for r in tt.df.collect())
+
+    assert rows("salt") == rows("auto")
