@@ -292,3 +292,16 @@ def test_scoring_pass_plan_shape(spark, tt):
     assert len(scans) == 1
     read = scans[0][scans[0].index("[") + 1:scans[0].index("]")]
     assert sorted(c.split("#")[0] for c in read.split(",")) == ["f", "fold", "label"]
+
+
+def test_wide_model_scoring_path_equals_flat_path(spark, tt, monkeypatch):
+    """Above the flat-width limit coefficients travel as one array; results must not change."""
+    from foldwise.operators import linear as L
+
+    fm = S.ols_fold_models(tt)
+    flat = S.point_report(S.fold_metrics(S.score_fold_models(tt, fm))).collect()[0]
+    monkeypatch.setattr(L, "FLAT_MODEL_MAX_WIDTH", 2)
+    monkeypatch.setattr(S, "FLAT_MODEL_MAX_WIDTH", 2)
+    assert "w" in fm.frame(spark).columns
+    wide = S.point_report(S.fold_metrics(S.score_fold_models(tt, fm))).collect()[0]
+    assert (wide.corr, wide.mae, wide.rmse) == pytest.approx((flat.corr, flat.mae, flat.rmse), rel=1e-12)
