@@ -242,3 +242,24 @@ def test_salted_and_default_training_tables_are_equal(spark):
         return sorted((r.id, r.label, r.fold, tuple(r.f)) for r in tt.df.collect())
 
     assert rows("salt") == rows("auto")
+
+
+def test_model_with_encoder_round_trip_scores_identically(spark):
+    from foldwise.operators.linear import fit_ols
+    from foldwise.operators.moments import total
+    from foldwise.plans.score import score_table
+    from foldwise.plans.select import fold_moments
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, SCORING_CUTOFF, order_features, order_labels
+
+    tt = prepare_training(order_features(spark, SF_SMALL, before=SCORING_CUTOFF),
+                          order_labels(spark, SF_SMALL), ORDER_SPEC)
+    model = fit_ols(total(fold_moments(tt), tt.width), tt.scaler)
+    path = scratch_path(spark, "model-enc")
+    assert SK.save_linear_model(spark, model, tt.feature_names, path, tt.encoder.to_json())
+    back, enc = SK.load_linear_model(spark, path)
+    assert enc.feature_names == tt.feature_names
+    later = order_features(spark, SF_SMALL, since=SCORING_CUTOFF)
+    a = sorted(tuple(r) for r in score_table(later, tt.encoder, model).collect())
+    b = sorted(tuple(r) for r in score_table(later, enc, back).collect())
+    assert a == b
