@@ -263,3 +263,18 @@ def test_model_with_encoder_round_trip_scores_identically(spark):
     a = sorted(tuple(r) for r in score_table(later, tt.encoder, model).collect())
     b = sorted(tuple(r) for r in score_table(later, enc, back).collect())
     assert a == b
+
+
+def test_scaled_tree_scores_like_its_training_predictions(spark):
+    from foldwise.plans import programs as PR
+    from foldwise.plans.score import score_table
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, order_features, order_labels
+
+    feats = order_features(spark, SF_SMALL)
+    tt = prepare_training(feats, order_labels(spark, SF_SMALL), ORDER_SPEC)
+    run = PR.tree_program(tt, max_depth=4, max_bins=16, scaled=True)
+    trained = {r.id: r.prediction for r in PR.training_predictions(tt, run.model, scaler=tt.scaler).collect()}
+    scored = {r.id: r.prediction for r in score_table(feats, tt.encoder, run.model, scaler=tt.scaler).collect()}
+    common = set(trained) & set(scored)
+    assert len(common) == len(trained) and all(trained[i] == scored[i] for i in common)
