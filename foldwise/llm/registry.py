@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import mixing, quality
+from foldwise.llm import minhash, mixing, quality
 from foldwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -22,7 +26,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_quality, op10_mixing)}
+    return {f.__name__: f for f in (op1_minhash, op7_quality, op10_mixing)}
 
 
 # The word class and white space of the contract, as DuckDB regular expressions.
