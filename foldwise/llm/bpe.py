@@ -43,20 +43,33 @@ def _explicit(pattern: str) -> str:
 
 
 class RankQueue:
-    """Buckets of positions by rank under a three-level bitmap (64 bits a word)."""
+    """Buckets of positions by rank under a three-level bitmap (64 bits a word).
+
+    Entries above the current span of 4096 ranks (one word of the middle level)
+    wait together and are dealt to their buckets when that span is reached.
+    """
+
+    SPAN = 4096
 
     def __init__(self, n_ranks: int):
         self.low = [0] * (n_ranks // 64 + 1)
-        self.mid = [0] * (n_ranks // 4096 + 1)
+        self.mid = [0] * (n_ranks // self.SPAN + 1)
         self.top = 0
         self.buckets: dict[int, list[np.ndarray]] = {}
+        self.end = self.SPAN
+        self.far: list[tuple[np.ndarray, np.ndarray]] = []
 
     def push(self, positions: np.ndarray, ranks: np.ndarray) -> None:
         """Put each position into the bucket of its rank; ``_NONE`` is no rank."""
-        has = ranks != _NONE
-        if not has.any():
-            return
-        positions, ranks = positions[has], ranks[has]
+        near = ranks < self.end
+        n_near = int(np.count_nonzero(near))
+        if n_near < len(ranks):
+            wait = (ranks >= self.end) & (ranks != _NONE)
+            if wait.any():
+                self.far.append((positions[wait], ranks[wait]))
+            if not n_near:
+                return
+            positions, ranks = positions[near], ranks[near]
         if len(ranks) > 1:
             order = np.argsort(ranks, kind="stable")
             positions, ranks = positions[order], ranks[order]
@@ -76,8 +89,14 @@ class RankQueue:
 
     def pop(self) -> tuple[int, np.ndarray] | None:
         """The lowest rank with a bucket, and that bucket's positions in order."""
-        if not self.top:
-            return None
+        while not self.top:
+            if not self.far:
+                return None
+            positions = np.concatenate([p for p, _ in self.far])
+            ranks = np.concatenate([r for _, r in self.far])
+            self.end = (int(ranks.min()) // self.SPAN + 1) * self.SPAN
+            self.far = []
+            self.push(positions, ranks)
         a = (self.top & -self.top).bit_length() - 1
         b = a << 6 | (self.mid[a] & -self.mid[a]).bit_length() - 1
         r = b << 6 | (self.low[b] & -self.low[b]).bit_length() - 1
@@ -130,16 +149,16 @@ class Bpe:
         n = int(ends[-1]) if len(ends) else 0
         if not n:
             return [b""] * len(pieces)
-        ids = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
-        right = np.arange(1, n + 1, dtype=np.int64)
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        ids = self.byte_ids[raw]
+        right = np.arange(1, n + 1, dtype=np.int32)
         right[ends[sizes > 0] - 1] = -1
-        left = np.arange(-1, n - 1, dtype=np.int64)
+        left = np.arange(-1, n - 1, dtype=np.int32)
         left[(ends - sizes)[sizes > 0]] = -1
         pair = np.full(n, _NONE, np.int32)
-        has = np.flatnonzero(right >= 0)
+        has = np.flatnonzero(right >= 0).astype(np.int32)
         # adjacent bytes: one look-up per pair of byte values
         grid = self.rank(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)).reshape(256, 256)
-        raw = np.frombuffer(b"".join(pieces), np.uint8)
         pair[has] = grid[raw[has], raw[has + 1]]
         alive = np.ones(n, bool)
         queue = RankQueue(self.n)
@@ -179,14 +198,18 @@ class Bpe:
 
     def encode(self, units: list[str]) -> list[bytes]:
         """The ids of each unit; a match of the pattern that several units share is merged once."""
-        parts = [self.split(u) for u in units]
+        more: dict[int, list[str]] = {}
         index: dict[str, int] = {}
-        for p in parts:
-            for x in p:
-                index.setdefault(x, len(index))
+        for k, u in enumerate(units):
+            if (u[1:] if u[0] == " " else u).isalpha():  # letters alone are one match
+                index.setdefault(u, len(index))
+            else:
+                more[k] = self.split(u)
+                for x in more[k]:
+                    index.setdefault(x, len(index))
         got = self.merge([x.encode() for x in index])
-        return [got[index[p[0]]] if len(p) == 1 else b"".join([got[index[x]] for x in p])
-                for p in parts]
+        return [b"".join([got[index[x]] for x in more[k]]) if k in more else got[index[u]]
+                for k, u in enumerate(units)]
 
     def decode(self, raw: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, as_ids(raw).tolist()))

@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import minhash, mixing, quality
+from foldwise.llm import bpe, minhash, mixing, quality
 from foldwise.llm.common import table
 
+try:  # the tokenizer files; another folder can be given by any object with PATTERN and path()
+    import public_tokenizers as vocabularies
+except ModuleNotFoundError:
+    vocabularies = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,12 +26,18 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"),
+                          vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash, op7_quality, op10_mixing)}
+    return {f.__name__: f for f in (op1_minhash, op7_quality, op9_bpe,
+                                    op10_mixing)}
 
 
 # The word class and white space of the contract, as DuckDB regular expressions.

@@ -20,9 +20,9 @@ import pyarrow as pa
 SPACE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
-#: Text bytes encoded at once in a task; ids kept from batch to batch.
-BATCH_BYTES = 16 << 20
-KEPT_UNITS = 400_000
+#: Text bytes encoded at once in a task; units whose ids are kept from batch to batch.
+BATCH_BYTES = 4 << 20
+KEPT_UNITS = 600_000
 
 #: Gets new units, returns the ids of each as little-endian unsigned 32-bit bytes.
 Encode = Callable[[list[str]], list[bytes]]
@@ -43,19 +43,22 @@ def text_batches(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 
 def encode_all(texts: list[str], encode: Encode, kept: dict[str, bytes]) -> Iterator[bytes]:
-    """The ids of each text; ``kept`` is the task's table of units and is updated."""
-    if len(kept) > KEPT_UNITS:
+    """The ids of each text; ``kept`` is the task's table of units and is updated.
+
+    When the table is full it shrinks to the units of this batch.
+    """
+    split = [UNIT.findall(t) for t in texts]
+    met = set().union(*split)
+    new = sorted(met.difference(kept))
+    if len(kept) + len(new) > KEPT_UNITS:
+        recent = {u: kept[u] for u in met if u in kept}
         kept.clear()
-    new: set[str] = set()
-    split = UNIT.findall
-    for t in texts:
-        new |= set(split(t)).difference(kept)
+        kept.update(recent)
     if new:
-        fresh = sorted(new)
-        kept.update(zip(fresh, encode(fresh)))
+        kept.update(zip(new, encode(new)))
     get = kept.__getitem__
-    for t in texts:
-        yield b"".join(map(get, split(t)))
+    for units in split:
+        yield b"".join(map(get, units))
 
 
 def as_ids(raw: bytes) -> np.ndarray:
