@@ -67,9 +67,9 @@ class RankQueue:
             wait = (ranks >= self.end) & (ranks != _NONE)
             if wait.any():
                 self.far.append((positions[wait], ranks[wait]))
-            if not n_near:
-                return
             positions, ranks = positions[near], ranks[near]
+        if not n_near:
+            return
         if len(ranks) > 1:
             order = np.argsort(ranks, kind="stable")
             positions, ranks = positions[order], ranks[order]
