@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, minhash, mixing, quality
+from foldwise.llm import bpe, minhash, mixing, pii, quality, tokenfiles, toxicity
 from foldwise.llm.common import table
 
 try:  # the tokenizer files; another folder can be given by any object with PATTERN and path()
@@ -22,6 +22,20 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_tokenfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.read(tokenfiles.write(table(spark, sf_dir, "documents"),
+                                            vocabularies.path("byte_bpe_50k.json")))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -36,8 +50,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash, op7_quality, op9_bpe,
-                                    op10_mixing)}
+    return {f.__name__: f for f in (op1_minhash, op3_pii, op5_toxicity, op6_tokenfiles,
+                                    op7_quality, op9_bpe, op10_mixing)}
 
 
 # The word class and white space of the contract, as DuckDB regular expressions.
