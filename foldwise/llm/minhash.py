@@ -11,13 +11,16 @@ Links are confirmed on full sets, and no bucket is expanded into all pairs:
 
 1. Documents with equal sets form a class (count and 128-bit sum of the set);
    only its least id goes on.
-2. In each bucket every member is compared with the bucket's least id.
+2. Each bucket has a hub, its member with the most bucket fellows in all: in a
+   group of near copies that is one close to their common source. Every member
+   is compared with the hub.
 3. The links' components are found. Members of a bucket that lie in different
    components are compared across components, so that pairs inside a group of
    near copies, already joined, are never listed.
 
-Before sets are fetched, two bits of each signature value rule out pairs far
-below the threshold (a pair at J = 0.75 fails with probability below 1e-10).
+Members of shared buckets get a finer sketch, two bits of each of 1024 min-max
+values, which rules out pairs below J = 0.67 or so before sets are compared (a
+pair at J = 0.75 is ruled out with probability 1e-6).
 
 Defined results: null or empty text, or white space only, has an empty set and
 is linked with nothing; a text of one to four words has one shingle, the whole
@@ -29,6 +32,8 @@ columns are ignored by ``near_duplicates`` and carried by ``keep_first``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,15 +49,17 @@ PERMUTATIONS = 64
 BAND_ROWS = 4
 BANDS = 2 * PERMUTATIONS // BAND_ROWS
 NUM, DEN = 75, 100        # linked if DEN * intersection >= NUM * union
-SKETCH_LONGS = 4          # two bits of each of the 128 values
-SKETCH_APART = 76         # bits that differ: mean 32, deviation 6.3 at J = 0.75
+SKETCH_PERMUTATIONS = 512
+SKETCH_LONGS = 4 * SKETCH_PERMUTATIONS // 64  # two bits of least and greatest values
+SKETCH_APART_FIRST = 118  # of the first quarter: mean 64, deviation 9
+SKETCH_APART = 340        # bits that differ: mean 256, deviation 17.9 at J = 0.75
 
 _G = np.uint64(0x9E3779B97F4A7C15)
 with np.errstate(over="ignore"):
-    _SEEDS = mix64(np.arange(1, 4 * PERMUTATIONS + 1, dtype=np.uint64) * _G)
-    _WORD_MUL = mix64(np.arange(1001, 1001 + WORDS, dtype=np.uint64) * _G) | np.uint64(1)
-_XOR = (_SEEDS[:PERMUTATIONS] >> np.uint64(32)).astype(np.uint32)
-_MUL = (_SEEDS[PERMUTATIONS:2 * PERMUTATIONS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    _SEEDS = mix64(np.arange(1, 2 * SKETCH_PERMUTATIONS + 2, dtype=np.uint64) * _G)
+    _WORD_MUL = mix64(np.arange(5001, 5001 + WORDS, dtype=np.uint64) * _G) | np.uint64(1)
+_XOR = (_SEEDS[:SKETCH_PERMUTATIONS] >> np.uint64(32)).astype(np.uint32)
+_MUL = ((_SEEDS[SKETCH_PERMUTATIONS:-1] >> np.uint64(32)).astype(np.uint32)) | np.uint32(1)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,29 +92,41 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return s, np.searchsorted(srow, np.arange(n_rows + 1))
 
 
-def _signatures(s: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Set sums (rows x 2), sketches (rows x 4) and band keys (rows x BANDS) of non-empty sets."""
-    starts = bounds[:-1]
-    rows = len(starts)
-    low, high = np.empty((PERMUTATIONS, rows), np.uint32), np.empty((PERMUTATIONS, rows), np.uint32)
+def _min_max(s: np.ndarray, starts: np.ndarray, permutations: int) -> np.ndarray:
+    """Least, then greatest shingle of each set under each permutation (2 * permutations x rows)."""
+    out = np.empty((2 * permutations, len(starts)), np.uint32)
     x = (s >> np.uint64(32)).astype(np.uint32)
     with np.errstate(over="ignore"):
-        for k in range(PERMUTATIONS):
+        for k in range(permutations):
             y = (x ^ _XOR[k]) * _MUL[k]
-            low[k] = np.minimum.reduceat(y, starts)
-            high[k] = np.maximum.reduceat(y, starts)
+            np.minimum.reduceat(y, starts, out=out[k])
+            np.maximum.reduceat(y, starts, out=out[permutations + k])
+    return out
+
+
+def _signatures(s: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Set sums (rows x 2) and band keys (rows x BANDS) of non-empty sets."""
+    with np.errstate(over="ignore"):
         sums = np.stack([np.add.reduceat(mix64(s), starts),
                          np.add.reduceat(mix64(s ^ _SEEDS[-1]), starts)], axis=1)
-        values = np.concatenate([low, high]).astype(np.uint64)
-        keys = np.empty((rows, BANDS), np.uint64)
+        values = _min_max(s, starts, PERMUTATIONS).astype(np.uint64)
+        keys = np.empty((len(starts), BANDS), np.uint64)
         for b in range(BANDS):
-            k = np.full(rows, np.uint64(b + 1) * _G, np.uint64)
+            k = np.full(len(starts), np.uint64(b + 1) * _G, np.uint64)
             for v in values[b * BAND_ROWS:(b + 1) * BAND_ROWS]:
                 k = mix64((k ^ v) * _G + np.uint64(1))
             keys[:, b] = k
-        two = (mix64(values * _G) >> np.uint64(62)).astype(np.uint8).T  # rows x 128, 0..3
-    bits = np.stack([two & 1, two >> 1], axis=2).reshape(rows, -1)
-    return sums, np.packbits(bits, axis=1).view(np.uint64), keys
+    return sums, keys
+
+
+def _sketches(s: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Two mixed bits of each min-max value (rows x SKETCH_LONGS)."""
+    values = _min_max(s, starts, SKETCH_PERMUTATIONS)
+    with np.errstate(over="ignore"):
+        two = ((values * np.uint32(0x9E3779B1)) ^ (values >> np.uint32(15))) * np.uint32(0x85EBCA77)
+    two = (two >> np.uint32(30)).astype(np.uint8).T
+    bits = np.stack([two & 1, two >> 1], axis=2).reshape(len(starts), -1)
+    return np.packbits(bits, axis=1).view(np.uint64)
 
 
 def _lists(x: np.ndarray) -> pa.Array:
@@ -124,34 +143,32 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.diff(bounds)
             some = np.flatnonzero(n)
             sums = np.zeros((n_rows, 2), np.uint64)
-            sketch = np.zeros((n_rows, SKETCH_LONGS), np.uint64)
             keys = np.zeros((n_rows, BANDS), np.uint64)
             if len(some):
-                sums[some], sketch[some], keys[some] = _signatures(
-                    s, np.append(bounds[some], len(s)))
+                sums[some], keys[some] = _signatures(s, bounds[some])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(at, n_rows), pa.array(n.astype(np.int64)),
                  pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].view(np.int64)),
-                 _lists(sketch), _lists(keys)],
-                names=["id", "n", "f1", "f2", "sketch", "keys"])
+                 _lists(keys)], names=["id", "n", "f1", "f2", "keys"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at, data, off in byte_chunks(b.column(1)):
             s, bounds = shingle_sets(data, off)
+            some = np.flatnonzero(np.diff(bounds))
+            if not len(some):
+                continue
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(at, len(off) - 1),
-                 pa.ListArray.from_arrays(bounds.astype(np.int32), s.view(np.int64))],
-                names=["id", "s"])
+                [b.column(0).slice(at, len(off) - 1).take(pa.array(some)),
+                 pa.array(np.diff(bounds)[some].astype(np.int64)),
+                 _lists(_sketches(s, bounds[some])),
+                 pa.ListArray.from_arrays(bounds[np.append(some, len(off) - 1)].astype(np.int32),
+                                          s.view(np.int64))], names=["id", "n", "sketch", "s"])
 
 
-def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = arrow_tasks(texts.join(ids, "id", "left_semi").select("id", "t"), _sets,
-                       "id long, s array<long>")
-    sets = write_table(sets, "minhash-sets")
     one = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -161,18 +178,19 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _near(sketch_a: str, sketch_b: str, n_a: str, n_b: str):
-    """A pair's sizes and sketches admit the threshold."""
-    apart = sum((F.bit_count(F.col(sketch_a)[k].bitwiseXOR(F.col(sketch_b)[k]))
-                 for k in range(SKETCH_LONGS)), F.lit(0))
-    return ((DEN * F.least(n_a, n_b) >= NUM * F.greatest(n_a, n_b)) & (apart <= SKETCH_APART))
+    """A pair's sizes and sketches admit the threshold; a quarter of the sketch is tried first."""
+    apart = [F.bit_count(F.col(sketch_a)[k].bitwiseXOR(F.col(sketch_b)[k]))
+             for k in range(SKETCH_LONGS)]
+    return ((DEN * F.least(n_a, n_b) >= NUM * F.greatest(n_a, n_b))
+            & (reduce(add, apart[:SKETCH_LONGS // 4]) <= SKETCH_APART_FIRST)
+            & (reduce(add, apart) <= SKETCH_APART))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-    sig = write_table(arrow_tasks(
-        texts, _sign, "id long, n long, f1 long, f2 long, sketch array<long>, keys array<long>"),
-        "minhash-signatures")
+    sig = write_table(arrow_tasks(texts, _sign, "id long, n long, f1 long, f2 long, keys array<long>"),
+                      "minhash-signatures")
     filled = sig.filter((F.col("n") > 0) & F.col("id").isNotNull())
 
     # 1. Classes of equal sets; the least id stands for the class.
@@ -182,18 +200,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             .select(F.col("id").alias("u"), F.col("first").alias("v")))
     reps = filled.join(first.select(F.col("first").alias("id")), "id", "left_semi")
 
-    # 2. Buckets of two classes or more, each member against the least.
+    # 2. Buckets of two classes or more, each member against the hub.
     members = reps.select("id", F.explode("keys").alias("key"))
-    buckets = (members.groupBy("key").agg(F.min("id").alias("c"), F.max("id").alias("d"))
-               .filter("c <> d").drop("d"))
+    buckets = (members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
+                                          F.count(F.lit(1)).alias("size"))
+               .filter("lo <> hi").select("key", "size"))
     shared = write_table(members.join(buckets, "key"), "minhash-buckets")
-    about = write_table(reps.select("id", "n", "sketch"), "minhash-sketches")
-    left = about.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
-    right = about.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
-    stars = (shared.filter("c <> id").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
+    fellows = shared.groupBy("id").agg(F.sum("size").alias("fellows"))
+    sets = write_table(arrow_tasks(texts.join(fellows, "id", "left_semi").select("id", "t"), _sets,
+                                   "id long, n long, sketch array<long>, s array<long>"),
+                       "minhash-sets")
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
+    hubs = (shared.join(fellows, "id").groupBy("key")
+            .agg((-F.max(F.struct("fellows", (-F.col("id")).alias("minus")))["minus"]).alias("a")))
+    stars = (shared.join(hubs, "key").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
              .join(left, "a").join(right, "b").filter(_near("ka", "kb", "na", "nb")).select("a", "b"))
     stars = write_table(stars, "minhash-stars")
-    links = write_table(_similar(stars, texts), "minhash-links")
+    links = write_table(_similar(stars, sets), "minhash-links")
 
     # 3. What is left: members of one bucket in different components.
     comp = components(links).withColumnRenamed("id", "b").withColumnRenamed("component_id", "at")
@@ -211,7 +235,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     cross = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["cls"] == theirs["cls"])
                       & (F.col("a") < F.col("b")) & (F.col("ata") != F.col("at"))
                       & _near("ka", "kb", "na", "nb")).select("a", "b").distinct()
-    more = _similar(write_table(cross.join(stars, ["a", "b"], "left_anti"), "minhash-cross"), texts)
+    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _similar(write_table(cross.join(tried, ["a", "b"], "left_anti"), "minhash-cross"), sets)
 
     label = components(links.unionByName(more).unionByName(same))
     out = (sig.select("id", F.col("n").alias("n_shingles"))
