@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, minhash, mixing, pii, quality, tokenfiles, toxicity
+from foldwise.llm import bpe, minhash, mixing, multiindex, pii, quality, tokenfiles, toxicity
 from foldwise.llm.common import table
 
 try:  # the tokenizer files; another folder can be given by any object with PATTERN and path()
@@ -40,6 +40,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
                           vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN)
@@ -51,7 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash, op3_pii, op5_toxicity, op6_tokenfiles,
-                                    op7_quality, op9_bpe, op10_mixing)}
+                                    op7_quality, op8_multiindex, op9_bpe, op10_mixing)}
 
 
 # The word class and white space of the contract, as DuckDB regular expressions.
