@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, minhash, mixing, multiindex, pii, quality, tokenfiles, toxicity
+from foldwise.llm import bpe, minhash, mixing, multiindex, pii, quality, tokenfiles, toxicity, warc
 from foldwise.llm.common import table
 
 try:  # the tokenizer files; another folder can be given by any object with PATTERN and path()
@@ -26,6 +26,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.fetch(pages, warc.build_index(warc.write(pages)))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -54,7 +59,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash, op3_pii, op5_toxicity, op6_tokenfiles,
+    return {f.__name__: f for f in (op1_minhash, op3_pii, op4_warc, op5_toxicity, op6_tokenfiles,
                                     op7_quality, op8_multiindex, op9_bpe, op10_mixing)}
 
 
