@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, minhash, mixing, multiindex, pii, quality, tokenfiles, toxicity, warc
+from foldwise.llm import bpe, minhash, mixing, multiindex, pii, pitman_yor, quality, tokenfiles, toxicity, warc
 from foldwise.llm.common import table
 
 try:  # the tokenizer files; another folder can be given by any object with PATTERN and path()
@@ -22,6 +22,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(pitman_yor.fit(table(spark, sf_dir, "documents")))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash, op3_pii, op4_warc, op5_toxicity, op6_tokenfiles,
+    return {f.__name__: f for f in (op1_minhash, op2_pitman_yor, op3_pii, op4_warc, op5_toxicity, op6_tokenfiles,
                                     op7_quality, op8_multiindex, op9_bpe, op10_mixing)}
 
 
