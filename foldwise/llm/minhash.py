@@ -227,14 +227,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
              .filter("lo <> hi").select("key"))
     # Sizes of similar sets differ by a factor of 4/3 at most: compare neighbouring classes.
     cls = F.floor(F.log(F.col("nb")) / F.log(F.lit(DEN / NUM))).cast("int")
-    rows = write_table(placed.join(mixed, "key").join(right, "b").withColumn("cls", cls),
-                       "minhash-mixed")
+    keys = reps.select(F.col("id").alias("b"), F.col("keys").alias("all"))
+    rows = write_table(placed.join(mixed, "key").join(right, "b").join(keys, "b")
+                       .withColumn("cls", cls), "minhash-mixed")
     mine = rows.select("key", F.col("b").alias("a"), F.col("at").alias("ata"),
-                       F.col("nb").alias("na"), F.col("kb").alias("ka"), "cls")
+                       F.col("nb").alias("na"), F.col("kb").alias("ka"), "cls",
+                       F.col("all").alias("mine"))
     theirs = rows.withColumn("cls", F.explode(F.array(F.col("cls") - 1, "cls", F.col("cls") + 1)))
     cross = mine.join(theirs, (mine["key"] == theirs["key"]) & (mine["cls"] == theirs["cls"])
                       & (F.col("a") < F.col("b")) & (F.col("ata") != F.col("at"))
-                      & _near("ka", "kb", "na", "nb")).select("a", "b").distinct()
+                      & _near("ka", "kb", "na", "nb")
+                      # a pair that shares several buckets is listed in the first
+                      & (F.array_intersect("mine", "all")[0] == mine["key"])
+                      ).select("a", "b").distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _similar(write_table(cross.join(tried, ["a", "b"], "left_anti"), "minhash-cross"), sets)
 
