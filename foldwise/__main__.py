@@ -17,7 +17,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import functions as F
+from foldwise.operators.encode import DEFAULT_MAX_LEVELS
 
 
 def _spec_from_header(spark, path: str, n_nominal: int, label_last: bool = False):
@@ -51,6 +51,8 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("features")
         p.add_argument("labels")
         p.add_argument("--nominal", type=int, default=5)
+        p.add_argument("--max-levels", type=int, default=DEFAULT_MAX_LEVELS,
+                       help="levels of all nominal columns that the driver may hold")
         p.add_argument("--folds", type=int, default=10)
         p.add_argument("--seed", type=int, default=None, help="fold seed (default: folds from the hash of the id alone)")
         if name != "show-fold":
@@ -77,15 +79,19 @@ def main(argv: list[str] | None = None) -> int:
     ls.add_argument("--folds", type=int, default=10)
     ls.add_argument("--seed", type=int, default=1)
     args = ap.parse_args(argv)
+    if getattr(args, "test", None) and not args.output:
+        ap.error("--test needs --output, where every prediction is written")
 
     from pyspark.sql import SparkSession
 
     from .plans import programs as PR
     from .plans.training import prepare_training
+    from .session import drop_scratch, scratch_mark
     from .sources import csv as CSV
 
     spark = SparkSession.builder.appName(f"foldwise-{args.job}").getOrCreate()
 
+    mark = scratch_mark()
     if args.job == "least-squares":
         spec = _spec_from_header(spark, args.combined, args.nominal, label_last=True)
         df = CSV.read_combined(spark, args.combined, spec, keep_id=True)
@@ -94,16 +100,19 @@ def main(argv: list[str] | None = None) -> int:
         _print_report(f"{args.folds}-Fold CV", run)
         for name, c in run.model.coefficient_rows(tt.feature_names):
             print(f"{name} = {c}")
+        drop_scratch(spark, mark)
         return 0
 
     spec = _spec_from_header(spark, args.features, args.nominal)
     feats = CSV.read_features(spark, args.features, spec)
     labels = CSV.read_labels(spark, args.labels, spec)
-    tt = prepare_training(feats, labels, spec, n_folds=args.folds, seed=args.seed)
+    tt = prepare_training(feats, labels, spec, n_folds=args.folds, seed=args.seed,
+                          max_levels=args.max_levels)
 
     if args.job == "show-fold":
         from .operators.inspect import show_fold
         show_fold(tt.df, args.folds, args.fold, args.rows).orderBy("side", "rn").show(2 * args.rows, False)
+        drop_scratch(spark, mark)
         return 0
 
     if args.job == "linear":
@@ -133,12 +142,9 @@ def main(argv: list[str] | None = None) -> int:
 
         test = CSV.read_features(spark, args.test, spec)
         scored = score_table(test, tt.encoder, run.model, scaler=tt.scaler if args.scale else None)
-        if args.output:
-            SK.write_predictions(scored, args.output)
-            print(f"Wrote predictions to {args.output}")
-        else:
-            scored.select(F.concat_ws(",", "id", F.col("prediction").cast("string")).alias("line")) \
-                .show(20, False)
+        SK.write_predictions(scored, args.output)
+        print(f"Wrote predictions to {args.output}")
+    drop_scratch(spark, mark)
     return 0
 
 

@@ -21,6 +21,26 @@ def round_half_up(x: Column | str) -> Column:
     return F.floor(x + F.lit(0.5)).cast("double")
 
 
+def sum_tree(terms: list[Column]) -> Column:
+    """The sum of the terms as a balanced tree, so its depth is the logarithm of their number.
+
+    A chain of ``+`` is as deep as it is long and overflows the stack of the
+    analyser at some hundred terms.
+    """
+    if not terms:
+        return F.lit(0.0)
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + (
+            [terms[-1]] if len(terms) % 2 else [])
+    return terms[0]
+
+
+def required(col: Column | str, name: str) -> Column:
+    """The column, or an error that names it where it is null."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c.isNull(), F.raise_error(F.lit(f"column {name} holds a null"))).otherwise(c)
+
+
 def fold_of(id_col: Column | str, k: int, seed: int | None = None) -> Column:
     """Deterministic fold in ``[0, k)`` from the md5 of the id.
 

@@ -1,7 +1,6 @@
-"""Bounded inspection of frames: first rows, and the first rows of folds.
+"""Inspection of frames: first rows (or all, in order), and the first rows of folds.
 
-Nothing here collects an unbounded result; ``size=-1`` ("all rows" in the
-reference) is refused in favour of an explicit bound.
+Nothing here collects: the results are lazy frames.
 """
 
 from __future__ import annotations
@@ -15,12 +14,13 @@ DEFAULT_ROWS = 10
 
 
 def first_rows(df: DataFrame, n: int = DEFAULT_ROWS, order_by: str | list[str] | None = "id") -> DataFrame:
-    """The first ``n`` rows (by ``order_by`` for a stable answer)."""
-    if n is None or n < 0:
-        raise ValueError("inspection needs a row bound; write the frame out to see all rows")
+    """The first ``n`` rows (by ``order_by`` for a stable answer); all rows for a negative ``n``.
+
+    The frame is lazy either way; nothing is collected here.
+    """
     if order_by:
         df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
-    return df.limit(n)
+    return df if n is None or n < 0 else df.limit(n)
 
 
 def row_count(df: DataFrame) -> DataFrame:

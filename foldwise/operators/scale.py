@@ -55,12 +55,3 @@ def column_stats(df: DataFrame, width: int, features: str = "f",
     if label is not None:
         aggs.append(F.avg(F.col(label)).alias("label_mean"))
     return df.agg(*aggs)
-
-
-def fit_scaler(df: DataFrame, width: int, features: str = "f",
-               label: str | None = None) -> Scaler:
-    row = column_stats(df, width, features, label).collect()[0]
-    means = np.array([row[f"mean_{i}"] or 0.0 for i in range(width)], dtype=float)
-    stds = np.array([row[f"std_{i}"] or 0.0 for i in range(width)], dtype=float)
-    lm = float(row["label_mean"] or 0.0) if label is not None else 0.0
-    return Scaler(means, stds, int(row["n"]), lm)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..operators.linear import fit_ols, fit_sgd
 from ..operators.metrics import macro_average, regression_metrics
 from ..operators.moments import total
-from ..operators.trees import DEFAULT_SEED, forest_estimator, tree_estimator
+from ..operators.trees import (DEFAULT_SEED, FOREST_MEMORY_MB, TREE_MEMORY_MB, forest_estimator,
+                               tree_estimator)
 from . import grid as G
 from . import select as S
 from .score import predictions, training_error
@@ -107,14 +108,15 @@ def least_squares_program(tt: TrainingTable, rounded: bool = False, average: str
 
 def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, second: list,
                        names: tuple[str, str], model_selection: bool, parallelism: int | None,
-                       scaled: bool) -> RunResult:
+                       scaled: bool, grid_metrics=None) -> RunResult:
     spark = tt.df.sparkSession
     report = None
     params = default
     if model_selection:
         points = {g: (a, b) for g, a, b in G.param_grid(first, second)}
         pf = S.as_params_frame(spark, points, names, ("int", "int"))
-        per_fold = S.estimator_grid_metrics(tt, make, points, parallelism, scale=scaled)
+        per_fold = (grid_metrics() if grid_metrics else
+                    S.estimator_grid_metrics(tt, make, points, parallelism, scale=scaled))
         report = S.point_report(per_fold, pf)
         best = S.best_point(report)
         params = (int(best[names[0]]), int(best[names[1]]))
@@ -122,9 +124,8 @@ def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, sec
         cv = _chosen_cv(spark, best)
     else:
         cv = _cv_row(S.estimator_grid_metrics(tt, make, {0: params}, parallelism, scale=scaled))
-    from pyspark.ml.functions import array_to_vector
-    src = tt.scaler.transform(tt.df) if scaled else tt.df
-    model = make(*params).fit(src.select("label", array_to_vector("f").alias("features")))
+    with S.estimator_rows(tt, scaled) as rows:
+        model = make(*params).fit(rows)
     scaler = tt.scaler if scaled else None
     return RunResult(dict(zip(names, params)) | {"scaled": scaled}, cv,
                      training_error(tt, model, True, scaler), model, report)
@@ -133,29 +134,33 @@ def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, sec
 def tree_program(tt: TrainingTable, model_selection: bool = False,
                  max_depth: int = G.TREE_DEFAULT[0], max_bins: int = G.TREE_DEFAULT[1],
                  depths: list[int] | None = None, bins: list[int] | None = None,
-                 seed: int = DEFAULT_SEED, parallelism: int | None = None, scaled: bool = False) -> RunResult:
-    fits = S.fit_parallelism(tt, parallelism)
+                 seed: int = DEFAULT_SEED, parallelism: int | None = None, scaled: bool = False,
+                 memory_mb: int = TREE_MEMORY_MB) -> RunResult:
+    """Regression tree; a grid search fits once per (bins, fold) and reads every depth."""
+    def make(depth, nbins, leaf_col=""):
+        return tree_estimator(depth, nbins, seed, memory_mb=memory_mb, leaf_col=leaf_col)
 
-    def make(depth, nbins):
-        return tree_estimator(depth, nbins, seed, spark=tt.df.sparkSession, fits_in_flight=fits)
-    return _estimator_program(tt, make, (max_depth, max_bins), depths or G.TREE_DEPTHS,
-                              bins or G.TREE_BINS, ("max_depth", "max_bins"), model_selection,
-                              fits, scaled)
+    depths, bins = depths or G.TREE_DEPTHS, bins or G.TREE_BINS
+    return _estimator_program(
+        tt, make, (max_depth, max_bins), depths, bins, ("max_depth", "max_bins"), model_selection,
+        parallelism, scaled,
+        lambda: S.tree_depth_metrics(tt, lambda d, b: make(d, b, "leaf"), depths, bins, parallelism,
+                                     scale=scaled))
 
 
 def forest_program(tt: TrainingTable, model_selection: bool = False,
                    num_trees: int = G.FOREST_DEFAULT[0], max_depth: int = G.FOREST_DEFAULT[1],
                    max_bins: int = G.FOREST_BINS, trees: list[int] | None = None,
                    depths: list[int] | None = None, seed: int = DEFAULT_SEED,
-                   parallelism: int | None = None, scaled: bool = False) -> RunResult:
-    fits = S.fit_parallelism(tt, parallelism)
-
+                   parallelism: int | None = None, scaled: bool = False,
+                   memory_mb: int = FOREST_MEMORY_MB, subset: str = "auto",
+                   bootstrap: bool = True) -> RunResult:
     def make(ntrees, depth):
-        return forest_estimator(ntrees, depth, max_bins, seed, spark=tt.df.sparkSession,
-                                fits_in_flight=fits)
+        return forest_estimator(ntrees, depth, max_bins, seed, subset, memory_mb=memory_mb,
+                                bootstrap=bootstrap)
     return _estimator_program(tt, make, (num_trees, max_depth), trees or G.FOREST_TREES,
                               depths or G.FOREST_DEPTHS, ("num_trees", "max_depth"),
-                              model_selection, fits, scaled)
+                              model_selection, parallelism, scaled)
 
 
 def training_predictions(tt: TrainingTable, model, rounded: bool = True, scaler=None) -> DataFrame:

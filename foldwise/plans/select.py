@@ -7,26 +7,30 @@ to the models of its own fold (a broadcast equi-join on ``fold`` against a
 table of points x folds rows whose byte size is checked) and aggregates
 metrics per (point, fold) with map-side partial aggregation.
 
-Estimators without such a shortcut (trees, forests) are fitted per
-(point, fold) with ``pyspark.ml`` on the fold-clustered table; each task scores
-its own validation rows into one metric row and releases its model, and the
-number of fits in flight follows the table size and the configured memory.
+Trees and forests are fitted with ``pyspark.ml`` on rows laid out from the data
+alone; each task scores its own validation rows and releases its model. A tree
+grid takes one fit per (bins, fold), read at every depth; a forest has no such
+shortcut and takes one per (point, fold).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_up
-from ..operators.linear import (FLAT_MODEL_MAX_WIDTH, LinearModel, fit_ols, fit_sgd_grid,
-                                prediction_from_columns)
+from ..operators.linear import LinearModel, fit_ols, fit_sgd_grid, prediction_from_columns
 from ..operators.metrics import macro_average, regression_metrics
 from ..operators.moments import Moments, total
+from ..operators.trees import depth_predictions, tree_rows
+from ..session import temporary_path
 from .training import TrainingTable
 
 # Upper bound for the model table that is broadcast to the scoring pass.
@@ -52,11 +56,8 @@ class FoldModels:
     width: int
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """``grid_pos, fold, b`` and the coefficients (``w0..`` columns, or one array when wide)."""
+        """``grid_pos, fold, b`` and the coefficients ``w0..``."""
         ordered = sorted(self.models.items())
-        if self.width > FLAT_MODEL_MAX_WIDTH:
-            rows = [(g, k, float(m.intercept), [float(x) for x in m.coef]) for (g, k), m in ordered]
-            return spark.createDataFrame(rows, "grid_pos int, fold int, b double, w array<double>")
         rows = [(g, k, float(m.intercept), *[float(x) for x in m.coef]) for (g, k), m in ordered]
         schema = ", ".join(["grid_pos int", "fold int", "b double"] +
                            [f"w{i} double" for i in range(self.width)])
@@ -194,57 +195,31 @@ def best_point(report: DataFrame) -> dict:
 
 # Concurrent fits each cache their own binned copy of ~(k-1)/k of the table.
 CONCURRENT_FIT_BYTES = 2 << 30
+CONCURRENT_FITS = 4
 
+_METRIC_ROWS = ("grid_pos int, fold int, n bigint, corr double, mae double, mse double, rmse double")
 
-def fit_parallelism(tt: TrainingTable, requested: int | None = None) -> int:
-    """Fits in flight: several for small tables on roomy executors, else one.
 
-    The table size comes from the row count the moments pass already produced
-    (rows x (width + 3) doubles), so it costs no extra job; a task's heap share
-    comes from the session's memory settings.
-    """
+def fit_parallelism(tt: TrainingTable, requested: int | None = None) -> int:
+    """Fits submitted at a time: several for small tables, else one. No result depends on it."""
     if requested is not None:
         return max(1, requested)
-    from ..operators.trees import task_memory_mb
-
-    approx = tt.scaler.n * (tt.width + 3) * 8
-    heap, tasks = task_memory_mb(tt.df.sparkSession)
-    roomy = heap / max(1, tasks) >= 512
-    return 4 if approx <= CONCURRENT_FIT_BYTES and roomy else 1
-
+    return CONCURRENT_FITS if tt.n_rows * (tt.width + 3) * 8 <= CONCURRENT_FIT_BYTES else 1
 
-def estimator_cv_predictions(tt: TrainingTable, make_estimator, points: dict[int, tuple],
-                             parallelism: int | None = None, rounded: bool = True,
-                             scale: bool = False) -> DataFrame:
-    """Fit ``make_estimator(*params)`` per (point, fold); union the validation predictions.
 
-    ``make_estimator`` returns an unfitted ``pyspark.ml`` regressor reading
-    ``features`` / ``label``. Each fit reads the fold-clustered table with
-    ``fold != k`` and runs as ordinary distributed jobs;
-    ``parallelism`` fits are submitted at a time.
-    """
+@contextmanager
+def estimator_rows(tt: TrainingTable, scale: bool = False) -> Iterator[DataFrame]:
+    """``label, fold, features`` in the layout of :func:`tree_rows`, kept while fits read it."""
     from pyspark.ml.functions import array_to_vector
 
-    src = tt.scaler.transform(tt.df) if scale else tt.df
-    data = src.select("id", "label", "fold", array_to_vector("f").alias("features"))
-    tasks = [(g, k) for g in sorted(points) for k in range(tt.n_folds)]
-
-    def fit_one(task):
-        g, k = task
-        est = make_estimator(*points[g])
-        model = est.fit(data.filter(F.col("fold") != k))
-        pred = (model.transform(data.filter(F.col("fold") == k))
-                .select(F.lit(g).cast("int").alias("grid_pos"), "fold", "id", "label",
-                        F.col("prediction").alias("raw_prediction")))
-        return pred
-
-    with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
-        preds = list(pool.map(fit_one, tasks))
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    pred = round_half_up("raw_prediction") if rounded else F.col("raw_prediction")
-    return out.withColumn("prediction", pred)
+    rows = tree_rows(tt.df, tt.n_rows)
+    src = tt.scaler.transform(rows) if scale else rows
+    data = src.select("label", "fold", array_to_vector("f").alias("features")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
 
 
 def estimator_grid_metrics(tt: TrainingTable, make_estimator, points: dict[int, tuple],
@@ -258,25 +233,53 @@ def estimator_grid_metrics(tt: TrainingTable, make_estimator, points: dict[int,
     hundreds of points never becomes one plan over thousands of fits. Folds
     without validation rows yield no row (as in the grouped linear path).
     """
-    from pyspark.ml.functions import array_to_vector
-
-    spark = tt.df.sparkSession
-    src = tt.scaler.transform(tt.df) if scale else tt.df
-    data = src.select("label", "fold", array_to_vector("f").alias("features"))
     tasks = [(g, k) for g in sorted(points) for k in range(tt.n_folds)]
-
-    def one(task):
-        g, k = task
-        model = make_estimator(*points[g]).fit(data.filter(F.col("fold") != k))
-        raw = model.transform(data.filter(F.col("fold") == k)).withColumnRenamed("prediction", "raw")
-        pred = raw.withColumn("prediction", round_half_up("raw") if rounded else F.col("raw"))
-        m = regression_metrics(pred).collect()[0]
-        return None if m["n"] == 0 else (g, k, m["n"], m["corr"], m["mae"], m["mse"], m["rmse"])
-
-    with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
-        rows = [r for r in pool.map(one, tasks) if r is not None]
-    return spark.createDataFrame(
-        rows, "grid_pos int, fold int, n bigint, corr double, mae double, mse double, rmse double")
+    with estimator_rows(tt, scale) as data:
+        def one(task):
+            g, k = task
+            model = make_estimator(*points[g]).fit(data.filter(F.col("fold") != k))
+            raw = model.transform(data.filter(F.col("fold") == k)).withColumnRenamed("prediction", "raw")
+            pred = raw.withColumn("prediction", round_half_up("raw") if rounded else F.col("raw"))
+            m = regression_metrics(pred).collect()[0]
+            return None if m["n"] == 0 else (g, k, m["n"], m["corr"], m["mae"], m["mse"], m["rmse"])
+
+        with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
+            rows = [r for r in pool.map(one, tasks) if r is not None]
+    return tt.df.sparkSession.createDataFrame(rows, _METRIC_ROWS)
+
+
+def tree_depth_metrics(tt: TrainingTable, make_tree, depths: list[int], bins: list[int],
+                       parallelism: int | None = None, rounded: bool = True,
+                       scale: bool = False) -> DataFrame:
+    """Per (point, fold) metrics of a tree grid (depths outer, bins inner), one fit per
+    (bins, fold): the deepest tree, read at every depth.
+
+    ``make_tree(depth, bins)`` returns an estimator whose model gives a row's
+    leaf in the column ``leaf``. The leaves' predictions by depth form a table
+    (one row per leaf, read from the saved model) that is joined to the
+    validation rows; one aggregate gives the metrics of all depths.
+    """
+    spark = tt.df.sparkSession
+    tasks = [(b, k) for b in range(len(bins)) for k in range(tt.n_folds)]
+    with estimator_rows(tt, scale) as data:
+        def one(task):
+            b, k = task
+            model = make_tree(max(depths), bins[b]).fit(data.filter(F.col("fold") != k))
+            path = temporary_path(spark, "tree")
+            model.write().save(path)
+            nodes = spark.read.parquet(f"{path}/data").select(
+                "id", "prediction", "leftChild", "rightChild").toPandas()
+            leaves = spark.createDataFrame(depth_predictions(nodes, depths),
+                                           "leaf double, preds array<double>")
+            raw = (model.transform(data.filter(F.col("fold") == k)).select("label", "leaf")
+                   .join(leaves, "leaf").select("label", F.posexplode("preds").alias("at", "raw")))
+            pred = raw.withColumn("prediction", round_half_up("raw") if rounded else F.col("raw"))
+            return [(m["at"] * len(bins) + b, k, m["n"], m["corr"], m["mae"], m["mse"], m["rmse"])
+                    for m in regression_metrics(pred, ["at"]).collect()]
+
+        with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
+            rows = [r for part in pool.map(one, tasks) for r in part]
+    return spark.createDataFrame(rows, _METRIC_ROWS)
 
 
 def as_params_frame(spark: SparkSession, params: dict[int, tuple], names: tuple[str, str],

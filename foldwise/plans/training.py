@@ -20,7 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.encode import Encoder, fit_encoder
+from ..functions.columns import required
+from ..operators.encode import DEFAULT_MAX_LEVELS, Encoder, fit_encoder
 from ..operators.folds import assign_folds
 from ..operators.moments import Moments, fold_moments_one_pass
 from ..operators.scale import Scaler
@@ -43,11 +44,14 @@ def join_labels(features: DataFrame, labels: DataFrame, spec: FeatureSpec,
     """Inner join of features and labels on the id (duplicates multiply).
 
     ``skew="auto"`` leaves a hot id to adaptive execution, which splits its
-    partition (``SortMergeJoin(skew=true)``); when the session has that turned
+    partition (``SortMergeJoin(skew=true)``). A null id on either side and a
+    null label raise an error that names the column. When the session has that turned
     off, or with ``skew="salt"``, hot ids are salted explicitly (see
     :func:`salted_join`). ``skew="none"`` is the plain join.
     """
-    lab = labels.select(F.col(spec.id), F.col(spec.label).cast("double").alias(spec.label))
+    lab = labels.select(required(spec.id, spec.id).alias(spec.id),
+                        required(F.col(spec.label).cast("double"), spec.label).alias(spec.label))
+    features = features.withColumn(spec.id, required(spec.id, spec.id))
     if skew == "salt" or (skew == "auto" and not _adaptive_skew_join(features.sparkSession)):
         return salted_join(features, lab, spec.id)
     return features.join(lab, spec.id, "inner")
@@ -59,9 +63,9 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, support: float = HO
 
     Candidate hot keys come from Spark's one-pass frequent-items sketch
     (at most 1/support keys, a superset of the keys above ``support``). Each
-    left row of a hot key gets one salt from its row position (so identical
-    copies are split too); the right rows of hot keys are repeated once per
-    salt. Every left row still meets every right row of its key exactly once;
+    left row of a hot key gets one salt from a hash of all its columns, which a
+    recomputed task gives it again; rows that agree in every column share a
+    salt. The right rows of hot keys are repeated once per salt. Every left row still meets every right row of its key exactly once;
     all other keys take the plain join.
     """
     hot = left.select(key).stat.freqItems([key], support).collect()[0][0]
@@ -70,7 +74,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, support: float = HO
         return left.join(right, key, "inner")
     is_hot = F.col(key).isin(hot)
     salted_left = left.filter(is_hot).withColumn(
-        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int"))
+        "_salt", F.pmod(F.xxhash64(*left.columns), F.lit(buckets)).cast("int"))
     # right rows of at most 1/support keys, each repeated `buckets` times
     salted_right = right.filter(is_hot).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
@@ -80,16 +84,18 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, support: float = HO
 
 
 def training_frame(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
-                   encoder: Encoder | None = None, coding: str = "dummy",
-                   skew: str = "auto") -> tuple[DataFrame, Encoder]:
+                   encoder: Encoder | None = None, coding: str = "dummy", skew: str = "auto",
+                   max_levels: int = DEFAULT_MAX_LEVELS) -> tuple[DataFrame, Encoder]:
     """``id, label, f`` (lazy) and the encoder fitted on the feature table.
 
     ``labels=None`` is the single-table form: the label is already a column of
     ``features`` (no join).
     """
-    enc = encoder or fit_encoder(features, spec, coding=coding)
+    enc = encoder or fit_encoder(features, spec, coding=coding, max_levels=max_levels)
     if labels is None:
-        joined = features.withColumn(spec.label, F.col(spec.label).cast("double"))
+        joined = features.withColumns({
+            spec.id: required(spec.id, spec.id),
+            spec.label: required(F.col(spec.label).cast("double"), spec.label)})
     else:
         joined = join_labels(features, labels, spec, skew=skew)
     return enc.transform(joined, keep=[spec.id, spec.label]), enc
@@ -118,11 +124,19 @@ class TrainingTable:
     spec: FeatureSpec
     _scaler: Scaler | None = None
     _moments: dict[int, Moments] | None = None
+    _n_rows: int | None = None
 
     @property
     def width(self) -> int:
         return self.encoder.width
 
+    @property
+    def n_rows(self) -> int:
+        """Rows of the table (a count of the written files' footers)."""
+        if self._n_rows is None:
+            self._n_rows = self.df.count()
+        return self._n_rows
+
     @property
     def feature_names(self) -> list[str]:
         return self.encoder.feature_names
@@ -147,12 +161,14 @@ class TrainingTable:
 def prepare_training(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
                      n_folds: int = 10, seed: int | None = None, coding: str = "dummy",
                      encoder: Encoder | None = None, materialize: bool = True,
-                     skew: str = "auto") -> TrainingTable:
+                     skew: str = "auto", max_levels: int = DEFAULT_MAX_LEVELS) -> TrainingTable:
     """Encode, join, add folds and materialise once (scaler and moments follow lazily).
 
-    ``skew`` is passed to :func:`join_labels` (``auto``, ``salt`` or ``none``).
+    ``skew`` is passed to :func:`join_labels` (``auto``, ``salt`` or ``none``),
+    ``max_levels`` to :func:`fit_encoder`.
     """
-    df, enc = training_frame(features, labels, spec, encoder=encoder, coding=coding, skew=skew)
+    df, enc = training_frame(features, labels, spec, encoder=encoder, coding=coding, skew=skew,
+                             max_levels=max_levels)
     df = assign_folds(df, n_folds, spec.id, seed).select(
         F.col(spec.id).alias("id"), F.col(spec.label).alias("label"), "f", "fold")
     if materialize:

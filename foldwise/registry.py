@@ -26,7 +26,7 @@ from .functions.columns import fold_of, join_fields, round_half_up, split_line
 from .operators import encode as E
 from .operators import folds as K
 from .operators import metrics as A
-from .operators import trees as TR
+from .operators import splits as SP
 from .operators.inspect import first_rows, row_count
 from .operators.linear import fit_ols, fit_regularised, fit_sgd
 from .operators.moments import moments_frame, total
@@ -49,6 +49,8 @@ N12_SPEC = FeatureSpec(id="id", nominal=(), numeric=("n1", "n2"), label="label")
 GRID_A = [0.95, 1.0, 1.05]
 GRID_B = [100.0, 1000.0, 3000.0]
 
+CSV_ROWS = 5_000
+
 _cache: dict = {}
 
 
@@ -111,16 +113,14 @@ def _train_ols_n2(spark, sf):
     return _memo(spark, ("train_ols_n2", sf), build)
 
 
-def _csv_copy(spark, df: DataFrame, name: str, parts: int = 4) -> str:
+def _csv_copy(spark, df: DataFrame, name: str) -> str:
     """Write ``df`` as CSV part files (each with a header) in the shared folder.
 
-    A small frame is spread over ``parts`` files so that several headers are
-    read back; a large one is written as it is partitioned (never narrowed).
+    Files are cut by their number of rows, so several headers are read back
+    without a shuffle for it.
     """
     path = scratch_path(spark, name)
-    if df.rdd.getNumPartitions() < parts:
-        df = df.repartition(parts)
-    CSV.write_csv(df, path)
+    CSV.write_csv(df, path, rows_per_file=CSV_ROWS)
     return path
 
 
@@ -140,7 +140,7 @@ def s2_label_csv_scan(spark, sf):
 
 
 def s3_header_per_file(spark, sf):
-    path = _csv_copy(spark, _of(spark, sf), "features-csv", parts=3)
+    path = _csv_copy(spark, _of(spark, sf), "features-csv")
     spec = FeatureSpec.positional(["id", "c1", "c2", "c3", "c4", "c5", "n1", "n2", "n3", "n4"])
     df = CSV.read_features(spark, path, spec)
     return df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
@@ -250,7 +250,7 @@ def p4_drop_id(spark, sf):
 
 def p5_label_last(spark, sf):
     """Single-file form: features and label in one CSV, label last, id dropped on read."""
-    path = _csv_copy(spark, _joined(spark, sf), "combined-csv", parts=3)
+    path = _csv_copy(spark, _joined(spark, sf), "combined-csv")
     spec = FeatureSpec.positional(["id", "c1", "c2", "c3", "c4", "c5", "n1", "n2", "n3", "n4"])
     df = CSV.read_combined(spark, path, spec)
     return df.withColumn("n2", r("n2", 4)).withColumn("label", r("label", 6))
@@ -667,8 +667,8 @@ def m5_random_forest_cv(spark, sf):
 
 def m6_best_split(spark, sf):
     j = _joined(spark, sf)
-    long = TR.long_columns(j, ["n1", "n2", "n3", "n4"])
-    b = TR.best_splits(long)
+    long = SP.long_columns(j, ["n1", "n2", "n3", "n4"])
+    b = SP.best_splits(long)
     return b.select("feature", r("threshold", 4).alias("threshold"), "n_left", "n_right",
                     r("gain_ratio", 8).alias("gain_ratio"))
 

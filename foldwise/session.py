@@ -15,8 +15,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Parquet row groups of written intermediates: small enough that a filter on a
-# clustering column (fold) skips most of each file.
-ROW_GROUP_BYTES = 16 << 20
+# clustering column (fold) skips most of each file, and a small table still makes several tasks.
+ROW_GROUP_BYTES = 4 << 20
+
+_written: list[str] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -69,6 +71,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}foldwise/{name}-{uuid.uuid4().hex}"
 
 
+def temporary_path(spark: SparkSession, name: str) -> str:
+    """A scratch path that :func:`drop_scratch` deletes."""
+    _written.append(scratch_path(spark, name))
+    return _written[-1]
+
+
+def scratch_mark() -> int:
+    """The place in the list of temporary paths from which a job's own ones follow."""
+    return len(_written)
+
+
 def write_table(df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Materialise ``df`` as Parquet in the shared folder and read it back.
 
@@ -79,18 +92,20 @@ def write_table(df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> D
     statistics still let a filter such as ``fold = k`` skip most row groups.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = temporary_path(spark, name)
     if cluster_by:
         df = df.sortWithinPartitions(*cluster_by)
     (df.write.mode("errorifexists")
      .option("parquet.block.size", ROW_GROUP_BYTES)
      .parquet(path))
-    out = spark.read.parquet(path)
-    # A small table can come out as a single file (e.g. when every join was
-    # broadcast); spread it so later passes use all cores. Large tables never
-    # take this branch: their partition count follows the data.
-    cores = spark.sparkContext.defaultParallelism
-    if out.rdd.getNumPartitions() < cores:
-        out = out.repartition(cores)
-    return out
+    return spark.read.parquet(path)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the temporary tables written since a :func:`scratch_mark`; for the end of a job,
+    when no frame that reads them is used any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_written) > since:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 

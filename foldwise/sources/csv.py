@@ -50,6 +50,8 @@ def read_combined(spark: SparkSession, path: str | list[str], spec: FeatureSpec,
     return df
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write a frame as CSV part files, each with its own header line."""
-    df.write.mode("errorifexists").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """Write a frame as CSV part files (of ``rows_per_file`` rows at most, if given), each with
+    its own header line."""
+    (df.write.mode("errorifexists").option("header", True)
+     .option("maxRecordsPerFile", rows_per_file).csv(path))

@@ -3,8 +3,8 @@
 The reference has no streaming; its scoring step (fitted encoder + model ->
 ``id,prediction`` lines) is stateless per row, so the same column expressions
 run unchanged on a Structured Streaming source. No state, no watermark: each
-micro-batch is a map over new files, and the file sink with a checkpoint in
-the shared folder gives exactly-once output across restarts and lost
+micro-batch is a map over new files, and the file sink with a checkpoint that
+belongs to its output path gives exactly-once output across restarts and lost
 executors.
 """
 
@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.encode import Encoder
 from ..plans.score import score_table
-from ..session import scratch_path
 from ..sources.sinks import prediction_lines
 
 
@@ -38,9 +37,13 @@ def score_stream(stream: DataFrame, encoder: Encoder, model, rounded: bool = Tru
 
 def write_prediction_stream(scored: DataFrame, path: str, checkpoint: str | None = None,
                             available_now: bool = True) -> StreamingQuery:
-    """Write ``id,prediction`` text lines; the checkpoint lives in the shared folder."""
-    spark = scored.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
+    """Write ``id,prediction`` text lines.
+
+    The checkpoint belongs to the output: by default it is ``_checkpoint`` below
+    it (readers skip such names), so that a restart with the same path goes on
+    where the last run stopped.
+    """
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoint"
     writer = (prediction_lines(scored).writeStream.format("text")
               .option("path", path).option("checkpointLocation", checkpoint)
               .outputMode("append"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from foldwise.operators import splits as SP
 from foldwise.operators import trees as TR
 from foldwise.operators.linear import fit_ols, fit_sgd, fit_sgd_grid, sgd_path
 from foldwise.operators.moments import collect_moments, moments_frame, total
@@ -134,8 +135,8 @@ def test_depth_one_tree_matches_best_split(spark, tt):
     from pyspark.ml.functions import array_to_vector
 
     j = tt.df.select(F.col("f")[tt.feature_names.index("n1")].alias("n1"), "label")
-    long = TR.long_columns(j, ["n1"])
-    best = TR.best_splits(long).collect()[0]
+    long = SP.long_columns(j, ["n1"])
+    best = SP.best_splits(long).collect()[0]
     est = TR.tree_estimator(1, 512)
     model = est.fit(j.select(array_to_vector(F.array("n1")).alias("features"), "label"))
     node = model._call_java("rootNode")
@@ -146,9 +147,9 @@ def test_depth_one_tree_matches_best_split(spark, tt):
 def test_best_splits_blocked_equals_single_block(spark, tt):
     j = tt.df.select(F.col("f")[tt.feature_names.index("n2")].alias("n2"),
                      F.col("f")[tt.feature_names.index("n4")].alias("n4"), "label")
-    long = TR.long_columns(j, ["n2", "n4"])
-    one = {r.feature: r for r in TR.best_splits(long).collect()}
-    many = {r.feature: r for r in TR.best_splits(long, rows_per_block=97).collect()}
+    long = SP.long_columns(j, ["n2", "n4"])
+    one = {r.feature: r for r in SP.best_splits(long).collect()}
+    many = {r.feature: r for r in SP.best_splits(long, rows_per_block=97).collect()}
     for f in one:
         assert one[f].threshold == pytest.approx(many[f].threshold)
         assert one[f].n_left == many[f].n_left
@@ -294,14 +295,66 @@ def test_scoring_pass_plan_shape(spark, tt):
     assert sorted(c.split("#")[0] for c in read.split(",")) == ["f", "fold", "label"]
 
 
-def test_wide_model_scoring_path_equals_flat_path(spark, tt, monkeypatch):
-    """Above the flat-width limit coefficients travel as one array; results must not change."""
-    from foldwise.operators import linear as L
+@pytest.mark.parametrize("width", [100, 300, 512, 513, 2000])
+def test_linear_scoring_at_every_width(spark, width):
+    """Predict, fold models, refit and training error with the one form, on default JVM settings."""
+    from foldwise.operators.encode import Encoder
+    from foldwise.operators.linear import LinearModel
+    from foldwise.plans.score import linear_predictions, training_error
+    from foldwise.plans.training import TrainingTable
 
-    fm = S.ols_fold_models(tt)
-    flat = S.point_report(S.fold_metrics(S.score_fold_models(tt, fm))).collect()[0]
-    monkeypatch.setattr(L, "FLAT_MODEL_MAX_WIDTH", 2)
-    monkeypatch.setattr(S, "FLAT_MODEL_MAX_WIDTH", 2)
-    assert "w" in fm.frame(spark).columns
-    wide = S.point_report(S.fold_metrics(S.score_fold_models(tt, fm))).collect()[0]
-    assert (wide.corr, wide.mae, wide.rmse) == pytest.approx((flat.corr, flat.mae, flat.rmse), rel=1e-12)
+    rng = np.random.default_rng(width)
+    X = rng.normal(size=(12, width))
+    coef = rng.normal(size=width)
+    y = X @ coef + 3.0
+    df = spark.createDataFrame([(str(i), float(y[i]), X[i].tolist(), i % 2) for i in range(12)],
+                               "id string, label double, f array<double>, fold int")
+    spec = FeatureSpec(id="id", nominal=(), numeric=tuple(f"x{i}" for i in range(width)), label="label")
+    t = TrainingTable(df, Encoder(spec, {}), 2, spec)
+    model = LinearModel(coef, 3.0)
+    got = {r.id: r.raw_prediction for r in linear_predictions(df, model).collect()}
+    assert np.allclose([got[str(i)] for i in range(12)], y)
+    assert training_error(t, model, rounded=False).collect()[0].mae < 1e-9
+    fm = S.FoldModels({(0, 0): model, (0, 1): LinearModel(2 * coef, 6.0)}, {0: ()}, width)
+    raw = {r.id: r.raw_prediction for r in S.score_fold_models(t, fm, rounded=False).collect()}
+    assert np.allclose([raw[str(i)] for i in range(12)], [y[i] * (1 + i % 2) for i in range(12)])
+    both = S.score_with_refit(t, fm, model, rounded=False).filter(F.col("fold") == S.REFIT).collect()
+    assert len(both) == 12 and np.allclose([r.raw_prediction for r in both], [r.label for r in both])
+
+
+@pytest.mark.parametrize("width", [3, 12])
+@pytest.mark.parametrize("single", [True, False])
+@pytest.mark.parametrize("column", ["id", "label"])
+def test_null_id_or_label_raises_alike(spark, width, single, column):
+    spec = FeatureSpec(id="id", nominal=(), numeric=tuple(f"x{i}" for i in range(width)), label="label")
+    rows = [(None if column == "id" and i % 4 == 0 else f"r{i}", *[float(i * k % 7) for k in range(width)],
+             None if column == "label" and i % 4 == 0 else float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, " + ", ".join(f"x{i} double" for i in range(width))
+                               + ", label double")
+    with pytest.raises(Exception, match=f"column {column} holds a null"):
+        t = (prepare_training(df, None, spec) if single else
+             prepare_training(df.drop("label"), df.select("id", "label"), spec))
+        S.fold_moments(t)
+
+
+def test_tree_grid_by_depth_equals_separate_fits(spark, tt):
+    depths, bins = [2, 4, 5, 9], [16, 24]
+    make = lambda d, b, leaf="": TR.tree_estimator(d, b, leaf_col=leaf)
+    one = S.tree_depth_metrics(tt, lambda d, b: make(d, b, "leaf"), depths, bins)
+    points = {i * len(bins) + j: (d, b) for i, d in enumerate(depths) for j, b in enumerate(bins)}
+    many = S.estimator_grid_metrics(tt, make, points)
+    a, b = ({(r.grid_pos, r.fold): (r.n, r.corr, r.mae, r.rmse) for r in x.collect()} for x in (one, many))
+    assert set(a) == set(b) and len(a) == len(points) * tt.n_folds
+    for k in a:
+        assert a[k] == pytest.approx(b[k], rel=1e-9)
+
+
+def test_trees_do_not_depend_on_layout_or_memory(spark, tt):
+    import dataclasses
+
+    other = dataclasses.replace(tt, df=tt.df.repartition(7).orderBy(F.desc("label")))
+    for run in (lambda t, m: PR.tree_program(t, max_depth=5, max_bins=16, memory_mb=m),
+                lambda t, m: PR.forest_program(t, num_trees=4, max_depth=4, memory_mb=32)):
+        x, y = (run(t, m).report().collect() for t, m in ((tt, 64), (other, 8)))
+        for r, s in zip(x, y):
+            assert (r.corr, r.mae, r.rmse) == pytest.approx((s.corr, s.mae, s.rmse), rel=1e-9)

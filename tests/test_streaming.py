@@ -31,3 +31,18 @@ def test_stream_scoring_matches_batch(spark):
 
     batch = sorted(r.value for r in prediction_lines(score_table(later, tt.encoder, model)).collect())
     assert streamed == batch and len(batch) > 0
+
+
+def test_restarted_stream_goes_on(spark):
+    tt = prepare_training(order_features(spark, SF_SMALL, before=SCORING_CUTOFF),
+                          order_labels(spark, SF_SMALL), ORDER_SPEC)
+    model = fit_ols(total(fold_moments(tt), tt.width), tt.scaler)
+    later = order_features(spark, SF_SMALL, since=SCORING_CUTOFF)
+    later = later.withColumn("id", later.id.cast("string"))
+    src, out = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-out")
+    for run in range(2):
+        write_csv(later.filter(f"pmod(hash(id), 2) = {run}"), f"{src}/{run}")
+        stream = read_feature_stream(spark, f"{src}/*", tt.encoder)
+        write_prediction_stream(score_stream(stream, tt.encoder, model), out).awaitTermination(120)
+    batch = sorted(r.value for r in prediction_lines(score_table(later, tt.encoder, model)).collect())
+    assert sorted(r.value for r in spark.read.text(out).collect()) == batch
