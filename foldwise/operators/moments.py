@@ -1,41 +1,34 @@
-"""Additive moments of the design, one row per fold.
-
-For u = (x_1 - c_1, .., x_d - c_d, 1) and v = y - c_y a fold's moments are
-``G = sum u u^T`` and ``h = sum u v`` plus ``sum v^2``. They are additive, so
-the training side of fold k is ``total - fold k`` and every linear fit of a
-cross-validation (any fold, any parameter point, gradient descent or least
-squares) comes from one aggregate over the data.
-
-``fold_moments_one_pass`` takes the shift c from a bounded head sample, so
-the sums stay well conditioned, then derives the scaler (means, sample
-standard deviations) and the standardised moments (over z = (x - mean)/std)
-algebraically: scaler and moments cost one pass together.
-
-Two physical forms of the same aggregate:
-
-* ``sql``: one ``groupBy(fold).agg(sum(z_i*z_j) ...)`` with d(d+1)/2 + 2d + 3
-  sums, all JVM-side;
-* ``partial``: ``mapInPandas`` forms per-partition, per-fold Gram matrices with
-  numpy (one BLAS call per batch) and the partial arrays are summed by
-  ``(fold, slot)``; better above ~60 columns, where the SQL form's generated
-  code gets too large.
-
-Either way the shuffle carries at most (#partitions x k) small rows, so a
-fold that holds a third of the rows costs nothing extra.
+"""Additive moments of the design, one summary per fold.
+
+For z = (x - mean) / std and v = y - mean label a fold's moments are
+``G = sum u u^T`` over u = (z, 1), ``h = sum u v`` and ``sum v^2``. They are
+additive, so the training side of fold k is ``total - fold k`` and every linear
+fit of a cross-validation (any fold, any parameter point, gradient descent or
+least squares) comes from one pass over the data.
+
+The pass computes, per partition and fold, the row count, the mean and the
+centred cross products of (x, y) with numpy on the flat Arrow buffer of the
+features, one row each. Summaries are merged pairwise (Chan, Golub and LeVeque),
+which is stable at any offset of the data and needs no shift beforehand. Two
+levels of merging keep the fan-in at about the square root of the number of
+partitions; a fold that holds a third of the rows costs nothing extra. The
+folds come to the driver one at a time, (d + 1)(d + 2) / 2 numbers each. Scaler
+and standardised moments follow algebraically. There is one form for every width.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scale import Scaler
 
-# above this width the numpy partials beat one SQL aggregate of d(d+1)/2 sums (measured)
-SQL_MAX_WIDTH = 8
+MERGE_GROUPS = 32   # first-level groups per fold
 
 
 @dataclass
@@ -60,170 +53,136 @@ class Moments:
         return Moments(np.zeros((d + 1, d + 1)), np.zeros(d + 1), 0.0)
 
 
-def _z_columns(scaler: Scaler, features: str) -> list:
-    return scaler.columns(features)
-
-
-def moments_frame_sql(df: DataFrame, scaler: Scaler, label: str = "label",
-                      features: str = "f", fold: str | None = "fold") -> DataFrame:
-    """``fold, n, sz[d], szz[d(d+1)/2], szv[d], sv, svv`` by fold, all JVM-side."""
-    d = scaler.width
-    z = _z_columns(scaler, features)
-    prepared = df.select(
-        *([F.col(fold).alias("fold")] if fold else [F.lit(0).alias("fold")]),
-        *[c.alias(f"z{i}") for i, c in enumerate(z)],
-        (F.col(label) - F.lit(float(scaler.label_mean))).alias("v"),
-    )
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(f"z{i}").alias(f"sz{i}") for i in range(d)]
-    aggs += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"szz{i}_{j}")
-             for i in range(d) for j in range(i, d)]
-    aggs += [F.sum(F.col(f"z{i}") * F.col("v")).alias(f"szv{i}") for i in range(d)]
-    aggs += [F.sum("v").alias("sv"), F.sum(F.col("v") * F.col("v")).alias("svv")]
-    g = prepared.groupBy("fold").agg(*aggs)
-    return g.select(
-        "fold", "n",
-        F.array(*[F.col(f"sz{i}") for i in range(d)]).alias("sz"),
-        F.array(*[F.col(f"szz{i}_{j}") for i in range(d) for j in range(i, d)]).alias("szz"),
-        F.array(*[F.col(f"szv{i}") for i in range(d)]).alias("szv"),
-        "sv", "svv",
-    )
-
-
-def moments_frame_partial(df: DataFrame, scaler: Scaler, label: str = "label",
-                          features: str = "f", fold: str | None = "fold") -> DataFrame:
-    """Same result as :func:`moments_frame_sql`, partials formed with numpy."""
-    d = scaler.width
-    z = _z_columns(scaler, features)
-    prepared = df.select(
-        *([F.col(fold).alias("fold")] if fold else [F.lit(0).alias("fold")]),
-        F.array(*z).alias("z"),
-        (F.col(label) - F.lit(float(scaler.label_mean))).alias("v"),
-    )
-    iu = np.triu_indices(d)
-
-    def partial(batches):
-        import pandas as pd
-        acc: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            if pdf.empty:
+@dataclass
+class Summary:
+    """Row count, mean and centred cross products of (x, y)."""
+    n: float
+    mean: np.ndarray
+    cross: np.ndarray
+
+    @staticmethod
+    def of(rows: np.ndarray) -> "Summary":
+        mean = rows.mean(axis=0)
+        centred = rows - mean
+        return Summary(float(len(rows)), mean, centred.T @ centred)
+
+    def merge(self, other: "Summary") -> "Summary":
+        n = self.n + other.n
+        delta = other.mean - self.mean
+        return Summary(n, self.mean + delta * (other.n / n),
+                       self.cross + other.cross + np.outer(delta, delta) * (self.n * other.n / n))
+
+    def moments(self, scaler: Scaler) -> Moments:
+        """Over z = (x - mean) / std (0 for a constant slot) and v = y - mean label."""
+        d = scaler.width
+        inv = np.where(scaler.stds > 0, 1.0 / np.where(scaler.stds > 0, scaler.stds, 1.0), 0.0)
+        at = (self.mean[:d] - scaler.means) * inv
+        v = self.mean[d] - scaler.label_mean
+        G, h = np.empty((d + 1, d + 1)), np.empty(d + 1)
+        G[:d, :d] = self.cross[:d, :d] * np.outer(inv, inv) + self.n * np.outer(at, at)
+        G[:d, d] = G[d, :d] = self.n * at
+        G[d, d] = self.n
+        h[:d] = self.cross[:d, d] * inv + self.n * at * v
+        h[d] = self.n * v
+        return Moments(G, h, float(self.cross[d, d] + self.n * v * v))
+
+
+_ROW = "fold int, part int, n double, mean array<double>, cross array<double>"
+
+
+def _rows(summaries: dict[int, Summary], part: int) -> Iterator[pa.RecordBatch]:
+    for fold, s in summaries.items():
+        upper = s.cross[np.triu_indices(len(s.mean))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([fold], pa.int32()), pa.array([part], pa.int32()), pa.array([s.n], pa.float64()),
+             pa.array([s.mean], pa.list_(pa.float64())), pa.array([upper], pa.list_(pa.float64()))],
+            names=["fold", "part", "n", "mean", "cross"])
+
+
+def _summary(n: float, mean: np.ndarray, upper: np.ndarray) -> Summary:
+    cross = np.zeros((len(mean), len(mean)))
+    cross[np.triu_indices(len(mean))] = upper
+    return Summary(n, mean, cross + np.triu(cross, 1).T)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's summaries, merged by fold."""
+    held: dict[int, Summary] = {}
+    for b in batches:
+        for i in range(b.num_rows):
+            fold = b.column(0)[i].as_py()
+            s = _summary(b.column(2)[i].as_py(), b.column(3)[i].values.to_numpy(),
+                         b.column(4)[i].values.to_numpy())
+            held[fold] = held[fold].merge(s) if fold in held else s
+    yield from _rows(held, 0)
+
+
+def fold_summaries(df: DataFrame, width: int, features: str = "f", label: str = "label",
+                   fold: str = "fold") -> DataFrame:
+    """One row per fold: ``fold, n, mean, cross`` of (features, label), ``cross`` as its upper
+    triangle. Rows are merged wherever they meet; the number of first-level groups spreads a
+    fold's partial rows over several tasks."""
+    data = df.select(F.col(fold).cast("int").alias("fold"), F.col(features).alias("f"),
+                     F.col(label).cast("double").alias("y"))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        held: dict[int, Summary] = {}
+        for b in batches:
+            if not b.num_rows:
                 continue
-            Z = np.stack(pdf["z"].to_numpy()) if d else np.zeros((len(pdf), 0))
-            v = pdf["v"].to_numpy(dtype=float)
-            for f, idx in pdf.groupby("fold").indices.items():
-                Zf, vf = Z[idx], v[idx]
-                gram = Zf.T @ Zf
-                vec = np.concatenate([[len(idx)], Zf.sum(axis=0), gram[iu], Zf.T @ vf,
-                                      [vf.sum(), vf @ vf]])
-                acc[int(f)] = acc.get(int(f), 0) + vec
-        if acc:
-            yield pd.DataFrame({"fold": list(acc.keys()),
-                                "m": [a.tolist() for a in acc.values()]})
-
-    parts = prepared.mapInPandas(partial, "fold int, m array<double>")
-    summed = (parts.select("fold", F.posexplode("m").alias("pos", "x"))
-              .groupBy("fold", "pos").agg(F.sum("x").alias("x")))
-    packed = summed.groupBy("fold").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("m"))
-    m = F.col("m.x")
-    o1, o2, o3 = 1 + d, 1 + d + len(iu[0]), 1 + d + len(iu[0]) + d
-    return packed.select(
-        "fold",
-        m[0].cast("bigint").alias("n"),
-        F.slice(m, 2, d).alias("sz"),
-        F.slice(m, o1 + 1, len(iu[0])).alias("szz"),
-        F.slice(m, o2 + 1, d).alias("szv"),
-        m[o3].alias("sv"), m[o3 + 1].alias("svv"),
-    )
-
-
-def moments_frame(df: DataFrame, scaler: Scaler, label: str = "label", features: str = "f",
-                  fold: str | None = "fold", method: str = "auto") -> DataFrame:
-    if method == "auto" or scaler.width == 0:
-        method = "sql" if scaler.width <= SQL_MAX_WIDTH else "partial"
-    if method == "sql":
-        return moments_frame_sql(df, scaler, label, features, fold)
-    if method == "partial":
-        return moments_frame_partial(df, scaler, label, features, fold)
-    raise ValueError(f"unknown moments method {method!r}")
-
-
-def collect_moments(frame: DataFrame, d: int) -> dict[int, Moments]:
-    """Fold -> :class:`Moments`; the frame has one small row per fold."""
-    iu = np.triu_indices(d)
-    out: dict[int, Moments] = {}
-    for r in frame.collect():
-        G = np.zeros((d + 1, d + 1))
-        if d:
-            U = np.zeros((d, d))
-            U[iu] = np.asarray(r["szz"], dtype=float)
-            U = U + np.triu(U, 1).T
-            G[:d, :d] = U
-            sz = np.asarray(r["sz"], dtype=float)
-            G[:d, d] = sz
-            G[d, :d] = sz
-        G[d, d] = float(r["n"])
-        h = np.zeros(d + 1)
-        if d:
-            h[:d] = np.asarray(r["szv"], dtype=float)
-        h[d] = float(r["sv"])
-        out[int(r["fold"])] = Moments(G, h, float(r["svv"]))
-    return out
+            if b.column(0).null_count or b.column(2).null_count:
+                raise ValueError("a training row has no fold or label")
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, width)
+            xy = np.column_stack([x, b.column(2).to_numpy()])
+            folds = b.column(0).to_numpy()
+            for k in np.unique(folds).tolist():
+                s = Summary.of(xy[folds == k])
+                held[k] = held[k].merge(s) if k in held else s
+        yield from _rows(held, TaskContext.get().partitionId() % MERGE_GROUPS)
+
+    parts = data.mapInArrow(partial, _ROW)
+    some = parts.repartition("fold", "part").mapInArrow(_merged, _ROW)
+    return some.repartition("fold").mapInArrow(_merged, _ROW).drop("part")
+
+
+def collect_summaries(frame: DataFrame) -> dict[int, Summary]:
+    """Fold -> :class:`Summary`, fetched one partition at a time."""
+    return {r["fold"]: _summary(r["n"], np.asarray(r["mean"], float), np.asarray(r["cross"], float))
+            for r in frame.toLocalIterator()}
 
 
 def total(moments: dict[int, Moments], d: int) -> Moments:
     t = Moments.zero(d)
-    for m in moments.values():
-        t = t + m
+    for k in sorted(moments):
+        t = t + moments[k]
     return t
 
 
-# --- one pass for scaler and moments ---------------------------------------------
-
-def head_shift(df: DataFrame, width: int, features: str = "f", label: str = "label",
-               rows: int = 1000) -> Scaler:
-    """A per-column shift near the data: medians of a bounded head sample.
-
-    Moments of ``x - c`` are plain sums, so they stay additive, and with ``c``
-    near the column's values they avoid the cancellation of raw moments.
-    """
-    head = df.select(features, label).limit(rows).collect()
-    if not head:
-        return Scaler(np.zeros(width), np.ones(width), 0, 0.0)
-    X = np.array([list(r[0]) for r in head], dtype=float).reshape(len(head), width)
-    y = np.array([r[1] for r in head], dtype=float)
-    c = np.nan_to_num(np.median(X, axis=0)) if width else np.zeros(0)
-    cy = float(np.nan_to_num(np.median(y)))
-    return Scaler(c, np.ones(width), 0, cy)
-
-
-def scaler_from_moments(t: Moments, shift: Scaler) -> Scaler:
-    """Column means and sample standard deviations from shifted total moments."""
-    d = shift.width
-    n = t.n
-    if n <= 0:
-        return Scaler(shift.means.copy(), np.zeros(d), 0, shift.label_mean)
-    delta = t.G[:d, d] / n
-    C = t.G[:d, :d] - n * np.outer(delta, delta)
-    var = np.clip(np.diag(C), 0.0, None) / max(n - 1.0, 1.0)
-    return Scaler(shift.means + delta, np.sqrt(var), int(n), shift.label_mean)
-
-
-def standardise(m: Moments, shift: Scaler, scaler: Scaler) -> Moments:
-    """Moments over (x - c, 1) -> moments over (z, 1), z = (x - mean) / std (0 if std = 0)."""
-    d = shift.width
-    inv = np.where(scaler.stds > 0, 1.0 / np.where(scaler.stds > 0, scaler.stds, 1.0), 0.0)
-    B = np.zeros((d + 1, d + 1))
-    B[:d, :d] = np.diag(inv)
-    B[:d, d] = -(scaler.means - shift.means) * inv
-    B[d, d] = 1.0
-    return Moments(B @ m.G @ B.T, B @ m.h, m.vv)
+def scaler_of(summaries: dict[int, Summary], width: int) -> Scaler:
+    """Column means and sample standard deviations of all rows."""
+    whole = None
+    for k in sorted(summaries):
+        whole = summaries[k] if whole is None else whole.merge(summaries[k])
+    if whole is None:
+        return Scaler(np.zeros(width), np.zeros(width), 0, 0.0)
+    var = np.clip(np.diag(whole.cross)[:width], 0.0, None) / max(whole.n - 1.0, 1.0)
+    return Scaler(whole.mean[:width].copy(), np.sqrt(var), int(whole.n), float(whole.mean[width]))
 
 
 def fold_moments_one_pass(df: DataFrame, width: int, features: str = "f", label: str = "label",
-                          fold: str = "fold", method: str = "auto") -> tuple[Scaler, dict[int, Moments]]:
-    """Scaler and standardised per-fold moments from a single aggregate over ``df``."""
-    shift = head_shift(df, width, features, label)
-    raw = collect_moments(moments_frame(df, shift, label, features, fold, method), width)
-    scaler = scaler_from_moments(total(raw, width), shift)
-    return scaler, {k: standardise(m, shift, scaler) for k, m in raw.items()}
+                          fold: str = "fold") -> tuple[Scaler, dict[int, Moments]]:
+    """Scaler and standardised per-fold moments from a single pass over ``df``."""
+    summaries = collect_summaries(fold_summaries(df, width, features, label, fold))
+    scaler = scaler_of(summaries, width)
+    return scaler, {k: s.moments(scaler) for k, s in summaries.items()}
+
+
+def fold_scaled_training(summaries: dict[int, Summary], width: int) -> dict[int, tuple[Scaler, Moments]]:
+    """Per fold k, the scaler of the rows outside k and their moments in its units."""
+    out = {}
+    for k in summaries:
+        rest = {j: s for j, s in summaries.items() if j != k}
+        scaler = scaler_of(rest, width)
+        out[k] = (scaler, total({j: s.moments(scaler) for j, s in rest.items()}, width))
+    return out

@@ -53,14 +53,15 @@ def _chosen_cv(spark, best: dict) -> DataFrame:
 def linear_sgd_program(tt: TrainingTable, scaled: bool = True, model_selection: bool = False,
                        iterations: int = G.LINEAR_DEFAULT[0], step: float = G.LINEAR_DEFAULT[1],
                        grid_iterations: list[int] | None = None,
-                       grid_steps: list[float] | None = None) -> RunResult:
+                       grid_steps: list[float] | None = None,
+                       scale_scope: str = "table") -> RunResult:
     spark = tt.df.sparkSession
     per_fold = S.fold_moments(tt)
     report = None
     if model_selection:
         its = grid_iterations or G.LINEAR_ITERATIONS
         sts = grid_steps or G.LINEAR_STEPS
-        fm = S.sgd_fold_models(tt, its, sts, scaled, per_fold)
+        fm = S.sgd_fold_models(tt, its, sts, scaled, per_fold, scale_scope)
         params = S.as_params_frame(spark, fm.params, ("iterations", "step"), ("int", "double"))
         report = S.point_report(S.grid_fold_metrics(tt, fm), params)
         best = S.best_point(report)
@@ -70,7 +71,7 @@ def linear_sgd_program(tt: TrainingTable, scaled: bool = True, model_selection:
         model = fit_sgd(total(per_fold, tt.width), tt.scaler, iterations, step, scaled)
         training = training_error(tt, model)
     else:
-        fm = S.sgd_fold_models(tt, [iterations], [step], scaled, per_fold)
+        fm = S.sgd_fold_models(tt, [iterations], [step], scaled, per_fold, scale_scope)
         model = fit_sgd(total(per_fold, tt.width), tt.scaler, iterations, step, scaled)
         cv, training = _cv_and_training(tt, fm, model, rounded=True, average="macro")
     return RunResult({"iterations": iterations, "step": step, "scaled": scaled}, cv,

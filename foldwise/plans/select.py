@@ -37,9 +37,9 @@ from .training import TrainingTable
 MAX_MODEL_BROADCAST_BYTES = 64 << 20
 
 
-def fold_moments(tt: TrainingTable, method: str = "auto") -> dict[int, Moments]:
+def fold_moments(tt: TrainingTable) -> dict[int, Moments]:
     """Standardised moments by fold (computed once per training table)."""
-    return tt.fold_moments(method)
+    return tt.fold_moments()
 
 
 def train_moments(per_fold: dict[int, Moments], d: int) -> dict[int, Moments]:
@@ -74,15 +74,24 @@ def ols_fold_models(tt: TrainingTable, per_fold: dict[int, Moments] | None = Non
 
 
 def sgd_fold_models(tt: TrainingTable, iterations: list[int], steps: list[float], scaled: bool,
-                    per_fold: dict[int, Moments] | None = None) -> FoldModels:
-    """Every (iterations, step) x fold model; grid order is iterations outer, step inner."""
+                    per_fold: dict[int, Moments] | None = None,
+                    scale_scope: str = "table") -> FoldModels:
+    """Every (iterations, step) x fold model; grid order is iterations outer, step inner.
+
+    ``scale_scope="table"`` scales by all rows (as the programs do), ``"fold"``
+    by each fold's training rows only.
+    """
+    if scale_scope not in ("table", "fold"):
+        raise ValueError(f"unknown scale_scope {scale_scope!r}")
     per_fold = per_fold or fold_moments(tt)
     params = {g: (it, st) for g, (it, st) in
               enumerate((it, st) for it in iterations for st in steps)}
     pos = {v: g for g, v in params.items()}
     models = {}
-    for k, m in train_moments(per_fold, tt.width).items():
-        for key, model in fit_sgd_grid(m, tt.scaler, iterations, steps, scaled).items():
+    train = ({k: (tt.scaler, m) for k, m in train_moments(per_fold, tt.width).items()}
+             if scale_scope == "table" else tt.fold_scaled_training())
+    for k, (scaler, m) in train.items():
+        for key, model in fit_sgd_grid(m, scaler, iterations, steps, scaled).items():
             models[(pos[key], k)] = model
     return FoldModels(models, params, tt.width)
 

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import required
 from ..operators.encode import DEFAULT_MAX_LEVELS, Encoder, fit_encoder
 from ..operators.folds import assign_folds
-from ..operators.moments import Moments, fold_moments_one_pass
+from ..operators.moments import (Moments, Summary, collect_summaries, fold_scaled_training,
+                                 fold_summaries, scaler_of)
 from ..operators.scale import Scaler
 from ..session import write_table
 from ..spec import FeatureSpec
@@ -124,6 +125,7 @@ class TrainingTable:
     spec: FeatureSpec
     _scaler: Scaler | None = None
     _moments: dict[int, Moments] | None = None
+    _summaries: dict[int, Summary] | None = None
     _n_rows: int | None = None
 
     @property
@@ -141,15 +143,21 @@ class TrainingTable:
     def feature_names(self) -> list[str]:
         return self.encoder.feature_names
 
-    def fold_moments(self, method: str = "auto") -> dict[int, Moments]:
+    def fold_moments(self) -> dict[int, Moments]:
         """Standardised moments by fold; the same pass yields the scaler."""
         if self._moments is None:
-            self._scaler, self._moments = fold_moments_one_pass(
-                self.df, self.width, "f", "label", "fold", method)
+            self._summaries = collect_summaries(fold_summaries(self.df, self.width))
+            self._scaler = scaler_of(self._summaries, self.width)
+            self._moments = {k: s.moments(self._scaler) for k, s in self._summaries.items()}
             for k in range(self.n_folds):
                 self._moments.setdefault(k, Moments.zero(self.width))
         return self._moments
 
+    def fold_scaled_training(self) -> dict[int, tuple[Scaler, Moments]]:
+        """Training-side scaler and moments of each fold (``scale_scope="fold"``), same pass."""
+        self.fold_moments()
+        return fold_scaled_training(self._summaries, self.width)
+
     @property
     def scaler(self) -> Scaler:
         """Column means and sample standard deviations (table-wide, fitted once)."""

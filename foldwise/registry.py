@@ -29,7 +29,7 @@ from .operators import metrics as A
 from .operators import splits as SP
 from .operators.inspect import first_rows, row_count
 from .operators.linear import fit_ols, fit_regularised, fit_sgd
-from .operators.moments import moments_frame, total
+from .operators.moments import total
 from .operators.scale import column_stats
 from .plans import grid as G
 from .plans import programs as PR
@@ -463,18 +463,13 @@ def a8_metrics_one_pass(spark, sf):
 
 
 def a9_fold_moments(spark, sf):
+    """Every fold's moments over (z, 1), upper triangle."""
     tt = _tt(spark, sf)
     d = tt.width
-    frame = moments_frame(tt.df, tt.scaler, "label", "f", "fold")
-    iu = [(i, j) for i in range(d) for j in range(i, d)]
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col("szz")[p].alias("value"))
-                      for p, (i, j) in enumerate(iu)]
-                    + [F.struct(F.lit(i).alias("i"), F.lit(d).alias("j"), F.col("sz")[i].alias("value"))
-                       for i in range(d)]
-                    + [F.struct(F.lit(d).alias("i"), F.lit(d).alias("j"), F.col("n").cast("double").alias("value"))])
-    return frame.select("fold", F.explode(pairs).alias("m")).select(
-        "fold", F.col("m.i").cast("int").alias("i"), F.col("m.j").cast("int").alias("j"),
-        r("m.value", 6).alias("value"))
+    rows = [(k, i, j, float(m.G[i, j])) for k, m in S.fold_moments(tt).items()
+            for i in range(d + 1) for j in range(i, d + 1)]
+    return (spark.createDataFrame(rows, "fold int, i int, j int, value double")
+            .withColumn("value", r("value", 6)))
 
 
 # ---- folds ----------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from foldwise.operators import splits as SP
 from foldwise.operators import trees as TR
 from foldwise.operators.linear import fit_ols, fit_sgd, fit_sgd_grid, sgd_path
-from foldwise.operators.moments import collect_moments, moments_frame, total
+from foldwise.operators.moments import collect_summaries, fold_summaries, total
 from foldwise.plans import programs as PR
 from foldwise.plans import select as S
 from foldwise.plans.training import prepare_training
@@ -58,10 +58,21 @@ def test_least_squares_cv_matches_numpy(spark, tt):
     assert rep.rmse == pytest.approx(rmse, rel=1e-9)
 
 
-def test_moments_methods_and_partitioning_agree(spark, tt):
-    base = collect_moments(moments_frame(tt.df, tt.scaler, method="sql"), tt.width)
-    for df, method in ((tt.df, "partial"), (tt.df.repartition(1), "sql"), (tt.df.repartition(17), "partial")):
-        other = collect_moments(moments_frame(df, tt.scaler, method=method), tt.width)
+def _moments(df, scaler):
+    return {k: s.moments(scaler) for k, s in collect_summaries(fold_summaries(df, scaler.width)).items()}
+
+
+def test_moments_and_partitioning_agree(spark, tt):
+    base = _moments(tt.df, tt.scaler)
+    X, y, fo = _numpy(tt)
+    for k, m in base.items():
+        Z = (X[fo == k] - tt.scaler.means) / np.where(tt.scaler.stds > 0, tt.scaler.stds, np.inf)
+        U = np.c_[Z, np.ones(len(Z))]
+        assert np.allclose(m.G, U.T @ U, rtol=1e-9, atol=1e-7)
+    plan = fold_summaries(tt.df, tt.width)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+    for df in (tt.df.repartition(1), tt.df.repartition(17)):
+        other = _moments(df, tt.scaler)
         for k in base:
             assert np.allclose(base[k].G, other[k].G, rtol=1e-9, atol=1e-7)
             assert np.allclose(base[k].h, other[k].h, rtol=1e-9, atol=1e-4)
@@ -123,7 +134,7 @@ def test_sgd_matches_mllib(spark):
     df = spark.createDataFrame(rows, "id string, label double, f array<double>").withColumn("fold", F.lit(0))
     from foldwise.operators.scale import Scaler
     sc = Scaler(np.zeros(2), np.ones(2), len(y), 0.0)   # identity: descend on the raw columns
-    m = collect_moments(moments_frame(df, sc), 2)[0]
+    m = _moments(df, sc)[0]
     ours = fit_sgd(m, sc, 60, 0.5, scaled=False)
     rdd = spark.sparkContext.parallelize([LabeledPoint(r[1], r[2]) for r in rows], 4)
     ref = LinearRegressionWithSGD.train(rdd, iterations=60, step=0.5, intercept=True)
@@ -358,3 +369,17 @@ def test_trees_do_not_depend_on_layout_or_memory(spark, tt):
         x, y = (run(t, m).report().collect() for t, m in ((tt, 64), (other, 8)))
         for r, s in zip(x, y):
             assert (r.corr, r.mae, r.rmse) == pytest.approx((s.corr, s.mae, s.rmse), rel=1e-9)
+
+
+def test_fold_scope_scaling_uses_training_rows_only(spark, tt):
+    X, y, fo = _numpy(tt)
+    for k, (scaler, m) in tt.fold_scaled_training().items():
+        tr = X[fo != k]
+        assert np.allclose(scaler.means, tr.mean(axis=0)) and scaler.n == len(tr)
+        assert np.allclose(scaler.stds, tr.std(axis=0, ddof=1), atol=1e-9)
+        assert m.n == pytest.approx(len(tr))
+    table = PR.linear_sgd_program(tt).report().collect()[0]
+    fold = PR.linear_sgd_program(tt, scale_scope="fold").report().collect()[0]
+    assert table.mae != fold.mae and table.mae == pytest.approx(fold.mae, rel=0.05)
+    with pytest.raises(ValueError):
+        PR.linear_sgd_program(tt, scale_scope="row")

@@ -63,7 +63,7 @@ def test_folds_in_range_and_stable(spark, ids, k):
 @SETTINGS
 @given(st.integers(20, 200), st.integers(1, 4), st.integers(2, 6))
 def test_fold_moments_add_up(spark, n, d, k):
-    from foldwise.operators.moments import collect_moments, moments_frame, total
+    from foldwise.operators.moments import collect_summaries, fold_summaries, total
     from foldwise.operators.scale import Scaler
 
     rng = np.random.default_rng(n * 31 + d * 7 + k)
@@ -72,7 +72,7 @@ def test_fold_moments_add_up(spark, n, d, k):
     rows = [(str(i), float(y[i]), [float(v) for v in X[i]], int(i % k)) for i in range(n)]
     df = spark.createDataFrame(rows, "id string, label double, f array<double>, fold int")
     sc = Scaler(X.mean(axis=0), X.std(axis=0, ddof=1), n, float(y.mean()))
-    m = collect_moments(moments_frame(df, sc), d)
+    m = {f: s.moments(sc) for f, s in collect_summaries(fold_summaries(df, d)).items()}
     t = total(m, d)
     Z = (X - sc.means) / sc.stds
     U = np.c_[Z, np.ones(n)]
