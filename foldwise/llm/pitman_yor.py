@@ -57,7 +57,7 @@ SAMPLES = 4               # sweeps whose probabilities are averaged
 SEED = 20
 PACK_BYTES = 8 << 20      # text packed at once in a task
 PACK_ROWS = 60_000        # documents of a pack are numbered by 16 bits
-BUCKET_BYTES = 24 << 20   # text per bucket
+BUCKET_BYTES = 12 << 20   # text per bucket
 HOT_PER_BUCKET = 4        # a hot word has more than 1 / (4 * buckets) of the tokens
 HOT_SAMPLE = 16           # hot words are sought in one of so many documents
 
@@ -158,6 +158,18 @@ def _pack(n_buckets: int, hot: np.ndarray):
     return run
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch one by one: a batch may hold several buckets, and one at a time is
+    unpacked; binary values stay views of the batch."""
+    names = batch.schema.names
+    for i in range(batch.num_rows):
+        row = {}
+        for name, column in zip(names, batch.columns):
+            x = column[i]
+            row[name] = x.as_buffer() if pa.types.is_binary(x.type) and x.is_valid else x.as_py()
+        yield row
+
+
 @dataclass
 class Cells:
     """A bucket's (word, context) pairs, sorted: the word's place, the context, training count."""
@@ -175,11 +187,17 @@ def _cells(blobs: list[dict]) -> tuple[Cells, np.ndarray]:
     phi = np.concatenate([np.frombuffer(b["phi"], np.uint16) for b in blobs])
     count = np.concatenate([_train_counts(b) for b in blobs])
     words, at = np.unique(words, return_inverse=True)
-    key = np.repeat(at.astype(np.uint64), sizes) << np.uint64(16) | phi.astype(np.uint64)
-    key, cell = np.unique(key, return_inverse=True)
+    key = np.repeat(at.astype(np.uint64) << np.uint64(16), sizes)
+    key |= phi
+    order = np.argsort(key)
+    key = key[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    cell = np.empty(len(key), np.int32)
+    cell[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    del order
+    key = key[new]
     c = np.bincount(cell, weights=count, minlength=len(key)).astype(np.int64)
-    return Cells(words, (key >> np.uint64(16)).astype(np.int64),
-                 (key & np.uint64(0xFFFF)).astype(np.int64), c), cell
+    return Cells(words, (key >> np.uint64(16)).astype(np.int32), (key & np.uint64(0xFFFF)).astype(np.int32), c), cell
 
 
 def _train_counts(b: dict) -> np.ndarray:
@@ -205,12 +223,13 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      x.phi[seen].astype(np.uint16).tobytes(), x.c[seen].astype(np.uint32).tobytes()]
         return pa.RecordBatch.from_arrays(
             [pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in cells],
-             pa.array([blobs], pa.list_(_BLOB))],
+             pa.array([[{k: v if k == "chunk" else memoryview(v) for k, v in x.items()}
+                        for x in blobs]], pa.list_(_BLOB))],
             names=["bucket", "words", "at", "phi", "c", "blobs"])
 
     current, held = None, []
     for b in batches:
-        for r in b.to_pylist():
+        for r in _each(b):
             bucket = r.pop("bucket")
             if held and bucket != current:
                 yield out(current, held)
@@ -245,8 +264,8 @@ def draw_tables(c: np.ndarray, parent: np.ndarray, rest: np.ndarray, strength: f
     out = np.empty(len(c))
     begin = 0
     ends = np.cumsum(n)
-    while begin < len(c):  # some million weights at a time
-        stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + 2_000_000)))
+    while begin < len(c):  # some weights at a time, which bounds the memory
+        stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + 300_000)))
         s = slice(begin, stop)
         m = n[s]
         first = np.cumsum(m) - m
@@ -340,8 +359,8 @@ def _rng(round_: int, bucket: int) -> np.random.Generator:
 
 
 def _bucket_arrays(r: dict) -> tuple[np.ndarray, ...]:
-    return (np.frombuffer(r["words"], np.uint64), np.frombuffer(r["at"], np.uint32).astype(np.int64),
-            np.frombuffer(r["phi"], np.uint16).astype(np.int64),
+    return (np.frombuffer(r["words"], np.uint64), np.frombuffer(r["at"], np.uint32).astype(np.int32),
+            np.frombuffer(r["phi"], np.uint16).astype(np.int32),
             np.frombuffer(r["c"], np.uint32).astype(np.int64))
 
 
@@ -354,7 +373,7 @@ def _sums(work: Callable[[dict, dict[str, np.ndarray]], None], sizes: dict[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = {k: np.zeros(n) for k, n in sizes.items()}
         for b in batches:
-            for r in b.to_pylist():
+            for r in _each(b):
                 work(r, out)
         for k, x in out.items():
             at = np.flatnonzero(x)
@@ -504,7 +523,7 @@ def score(model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in _each(b):
                 cells, cell = _cells(r["blobs"])
                 seen = np.flatnonzero(cells.c > 0)
                 x = Sampler(s, cells.words, cells.at[seen], cells.phi[seen], cells.c[seen],
@@ -549,7 +568,7 @@ def score(model: Model) -> DataFrame:
                 names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
         for b in batches:
-            for r in b.to_pylist():
+            for r in _each(b):
                 if r["ids"] is not None:
                     if ids is not None:
                         yield out()
