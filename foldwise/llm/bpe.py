@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.common import arrow_tasks
-from foldwise.llm.units import SPACE, as_ids, encode_all, text_batches
+from foldwise.llm.units import SPACE, as_ids, encoded
 
 _NONE = np.int32(2**31 - 1)
 
@@ -215,10 +215,10 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, as_ids(raw).tolist()))
 
 
-_LOADED: dict[tuple[str, str], tuple[Bpe, dict[str, bytes]]] = {}
+_LOADED: dict[tuple[str, str], tuple[Bpe, dict[bytes, bytes]]] = {}
 
 
-def loaded(path: str, pattern: str) -> tuple[Bpe, dict[str, bytes]]:
+def loaded(path: str, pattern: str) -> tuple[Bpe, dict[bytes, bytes]]:
     """This worker's encoder and its table of units."""
     if (path, pattern) not in _LOADED:
         _LOADED[path, pattern] = (Bpe.load(path, pattern), {})
@@ -232,10 +232,9 @@ def encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, kept = loaded(ranks, pattern)
         for b in batches:
-            for at, texts in text_batches(b.column(1)):
-                ids = list(encode_all(texts, bpe.encode, kept))
+            for at, ids in encoded(b.column(1), bpe.encode, kept):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, len(texts)),
+                    [b.column(0).slice(at, len(ids)),
                      pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "n_tokens", "ids"])
 
@@ -264,15 +263,11 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, kept = loaded(ranks, pattern)
         for b in batches:
-            for at, texts in text_batches(b.column(1)):
-                n, sha, back, ids = [], [], [], []
-                for raw in encode_all(texts, bpe.encode, kept):
-                    n.append(len(raw) // 4)
-                    sha.append(hashlib.sha256(raw).hexdigest())
-                    back.append(hashlib.sha256(bpe.decode(raw)).hexdigest())
-                    if with_ids:
-                        ids.append(raw)
-                cols = [b.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(sha),
+            for at, ids in encoded(b.column(1), bpe.encode, kept):
+                n = [len(raw) // 4 for raw in ids]
+                sha = [hashlib.sha256(raw).hexdigest() for raw in ids]
+                back = [hashlib.sha256(bpe.decode(raw)).hexdigest() for raw in ids]
+                cols = [b.column(0).slice(at, len(ids)), pa.array(n, pa.int64()), pa.array(sha),
                         pa.array(back)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from foldwise.llm.common import arrow_tasks
 from foldwise.llm.files import attempt_name, mapped, writer
-from foldwise.llm.units import as_ids, encode_all, text_batches
+from foldwise.llm.units import as_ids, encoded
 from foldwise.session import scratch_path, write_table
 
 MANIFEST = "part int, file string, width int, n_docs long, n_tokens long"
@@ -61,19 +61,22 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, doc_id: st
         end = np.array([end_id], f"<u{width}").tobytes()
 
         def encode(units: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes()
-                    for e in tok.encode_batch(units, add_special_tokens=False)]
+            # one call for all units: a unit is a "word" of the pre-tokenised input
+            e = tok.encode(units, is_pretokenized=True, add_special_tokens=False)
+            raw, word = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
+            cut = (4 * np.searchsorted(word, np.arange(1, len(units) + 1))).tolist()
+            return [raw[i:j] for i, j in zip([0, *cut[:-1]], cut)]
 
         part, name = attempt_name()
         ids_out, ids, offsets, valid = None, [], [0], []
         for b in batches:
-            for at, texts in text_batches(b.column(1)):
+            for at, rows in encoded(b.column(1), encode, kept):
                 if ids_out is None:
                     ids_out = writer(f"{folder}/{name}.ids")
-                key = b.column(0).slice(at, len(texts))
+                key = b.column(0).slice(at, len(rows))
                 ids.append(key.fill_null(0).to_numpy(zero_copy_only=False))
                 valid.append(key.is_valid().to_numpy(zero_copy_only=False))
-                for raw in encode_all(texts, encode, kept):
+                for raw in rows:
                     ids_out.write(as_ids(raw).astype(f"<u{width}").tobytes() + end)
                     offsets.append(offsets[-1] + len(raw) // 4 + 1)
         if ids_out is None:

@@ -4,8 +4,12 @@ The public vocabularies' pattern never lets a match cross the border between
 white space and other characters, except for one space in front of a word. So a
 text falls into *units* (an optional space and a run of other characters, or a
 run of white space) whose encodings can be joined. Units repeat much more often
-than they are new: each task keeps the ids of those it has met in a bounded
-table and encodes only the new ones of a batch, all at once.
+than they are new. A batch's units are cut and hashed as arrays over the bytes
+of the text; every distinct one is looked up once in the task's bounded table,
+new ones are encoded all at once, and the ids of the texts are gathered.
+
+Units are told apart by two independent 64-bit hashes. Texts with white space
+outside ASCII are cut by the regular expression instead; the units are the same.
 """
 
 from __future__ import annotations
@@ -16,9 +20,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from foldwise.llm.common import _GOLD, _SPACE, _powers, byte_chunks, mix64
+
 #: Unicode's White_Space characters, fixed by the pattern's ``\s``.
 SPACE = "\t-\r \x85\xa0  -     　"
 UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: The same characters' UTF-8 forms, but for ASCII.
+_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|"
+                         rb"\xe2\x81\x9f|\xe3\x80\x80")
 
 #: Text bytes encoded at once in a task; units whose ids are kept from batch to batch.
 BATCH_BYTES = 4 << 20
@@ -27,39 +36,140 @@ KEPT_UNITS = 600_000
 #: Gets new units, returns the ids of each as little-endian unsigned 32-bit bytes.
 Encode = Callable[[list[str]], list[bytes]]
 
+_BASES = (np.uint64(0xD1342543DE82EF95), np.uint64(0x9FB21C651E98DF25))  # odd, else arbitrary
+_INVERSES = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES)
+_CODE = mix64((np.arange(256, dtype=np.uint64) + np.uint64(77)) * _GOLD)
 
-def text_batches(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Runs of rows of about ``BATCH_BYTES`` as Python strings; null is empty."""
-    start, run, size = 0, [], 0
-    for i, t in enumerate(texts):
-        s = t.as_py() or ""
-        if run and size + len(s) > BATCH_BYTES:
-            yield start, run
-            start, run, size = i, [], 0
-        run.append(s)
-        size += len(s)
-    if run:
-        yield start, run
 
+def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the units of a chunk's texts start; they cover the bytes without gaps.
 
-def encode_all(texts: list[str], encode: Encode, kept: dict[str, bytes]) -> Iterator[bytes]:
-    """The ids of each text; ``kept`` is the task's table of units and is updated.
-
-    When the table is full it shrinks to the units of this batch.
+    Only ASCII white space counts as such here.
     """
-    split = [UNIT.findall(t) for t in texts]
-    met = set().union(*split)
-    new = sorted(met.difference(kept))
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+    white = _SPACE[data]
+    edge = np.zeros(n + 1, bool)   # a text starts here
+    edge[offsets] = True
+    begins = np.concatenate([[True], white[1:] != white[:-1]]) | edge[:n]
+    at = np.flatnonzero(begins)
+    mark = np.zeros(n, bool)
+    mark[at] = True
+    # a word takes the space in front of it; other last white space stands alone
+    word = at[~white[at] & ~edge[at]]
+    mark[word - 1] = True
+    mark[word[data[word - 1] == 32]] = False
+    return np.flatnonzero(mark)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each unit."""
+    ends = np.append(starts[1:], len(data))
+    out = []
+    code = _CODE[data]
+    with np.errstate(over="ignore"):
+        for k, (base, inverse) in enumerate(zip(_BASES, _INVERSES)):
+            run = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(code * _powers(f"unit{k}", base, len(data)), out=run[1:])
+            h = (run[ends] - run[starts]) * _powers(f"unit-{k}", inverse, len(data))[starts]
+            out.append(mix64(h + (ends - starts).astype(np.uint64) * _GOLD))
+    return out
+
+
+def _looked_up(units: list[bytes], encode: Encode, kept: dict[bytes, bytes]) -> list[bytes]:
+    """The ids of distinct units; the table gets the new ones, and shrinks to these units when
+    it is full."""
+    new = [u for u in units if u not in kept]
     if len(kept) + len(new) > KEPT_UNITS:
-        recent = {u: kept[u] for u in met if u in kept}
+        recent = {u: kept[u] for u in units if u in kept}
         kept.clear()
         kept.update(recent)
     if new:
-        kept.update(zip(new, encode(new)))
-    get = kept.__getitem__
-    for units in split:
-        yield b"".join(map(get, units))
+        kept.update(zip(new, encode([u.decode() for u in new])))
+    return [kept[u] for u in units]
+
+
+def _plain(text: bytes, encode: Encode, kept: dict[bytes, bytes]) -> bytes:
+    units = [u.encode() for u in UNIT.findall(text.decode())]
+    distinct = list(dict.fromkeys(units))
+    ids = dict(zip(distinct, _looked_up(distinct, encode, kept)))
+    return b"".join(map(ids.__getitem__, units))
+
+
+def _gathered(pieces: list[tuple[np.ndarray, np.ndarray]], encode: Encode,
+              kept: dict[bytes, bytes]) -> Iterator[bytes]:
+    """The ids of each text of some chunks (bytes and offsets)."""
+    cut = [unit_starts(data, off) for data, off in pieces]
+    hashes = [_hashes(data, s) for (data, _), s in zip(pieces, cut)]
+    first, second = (np.concatenate([h[k] for h in hashes]) for k in range(2))
+    _, where, at = np.unique(first, return_index=True, return_inverse=True)
+    if (second != second[where][at]).any():
+        raise RuntimeError("two units share a hash")
+    begin = np.cumsum([0, *map(len, cut)])
+    units: list[bytes] = []
+    order = np.argsort(where)  # in order of first appearance, chunk by chunk
+    for k, (data, _) in enumerate(pieces):
+        own = where[order][(where[order] >= begin[k]) & (where[order] < begin[k + 1])] - begin[k]
+        raw, s = data.tobytes(), cut[k]
+        ends = np.append(s[1:], len(data))
+        units += [raw[i:j] for i, j in zip(s[own].tolist(), ends[own].tolist())]
+    ids = _looked_up(units, encode, kept)
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    from_ = np.cumsum(sizes) - sizes
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    token = place[at]
+    for k, (data, off) in enumerate(pieces):
+        t = token[begin[k]:begin[k + 1]]
+        n = sizes[t]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        out = flat[np.arange(ends[-1]) + np.repeat(from_[t] - ends[:-1], n)]
+        rows = ends[np.searchsorted(cut[k], off)].tolist()
+        raw = out.tobytes()
+        for i, j in zip(rows, rows[1:]):
+            yield raw[4 * i:4 * j]
+
+
+def encoded(texts: pa.Array, encode: Encode, kept: dict[bytes, bytes]
+            ) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of rows: the first row and the ids of each text; null is empty. ``kept`` is the
+    task's table of units and is updated."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    start = size = 0
+
+    def out() -> tuple[int, list[bytes]]:
+        plain: dict[int, bytes] = {}
+        row, pieces = 0, []
+        for data, off in held:
+            raw = data.tobytes()
+            if _WIDE_SPACE.search(raw):
+                keep = np.ones(len(data), bool)
+                sizes = np.diff(off)
+                for i in range(len(sizes)):
+                    if _WIDE_SPACE.search(raw, off[i], off[i + 1]):
+                        plain[row + i] = _plain(raw[off[i]:off[i + 1]], encode, kept)
+                        keep[off[i]:off[i + 1]] = False
+                        sizes[i] = 0
+                data, off = data[keep], np.concatenate([[0], np.cumsum(sizes)])
+            pieces.append((data, off))
+            row += len(off) - 1
+        ids = list(_gathered(pieces, encode, kept))
+        for i, x in plain.items():
+            ids[i] = x
+        return start, ids
+
+    for at, data, off in byte_chunks(texts):
+        if held and size + len(data) > BATCH_BYTES:
+            yield out()
+            held, start, size = [], at, 0
+        held.append((data, off))
+        size += len(data)
+    if held:
+        yield out()
 
 
 def as_ids(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4")
+

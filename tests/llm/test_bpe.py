@@ -4,12 +4,14 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
 from foldwise.llm import bpe
-from foldwise.llm.units import UNIT
+from foldwise.llm.units import UNIT, encoded, unit_starts
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 
@@ -26,8 +28,7 @@ def theirs():
 
 
 def ids(own, text):
-    kept = {}
-    raw = next(bpe.encode_all([text], own.encode, kept))
+    (_, (raw,)), = encoded(pa.array([text]), own.encode, {})
     return bpe.as_ids(raw).tolist(), own.decode(raw)
 
 
@@ -52,6 +53,14 @@ def test_random_characters(own, theirs):
 def test_units_join_to_text():
     text = "  a b\n\n c\t \td \n"
     assert "".join(UNIT.findall(text)) == text
+    rnd = random.Random(9)
+    for _ in range(500):
+        rows = ["".join(rnd.choices("ab \n\t.é", k=rnd.randrange(12))) for _ in range(4)]
+        raw = [r.encode() for r in rows]
+        off = np.cumsum([0, *map(len, raw)])
+        data = b"".join(raw)
+        s = [*unit_starts(np.frombuffer(data, np.uint8), off).tolist(), len(data)]
+        assert [data[i:j].decode() for i, j in zip(s, s[1:])] == [u for r in rows for u in UNIT.findall(r)]
 
 
 def test_queue_orders_and_skips():
