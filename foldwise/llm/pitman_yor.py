@@ -37,6 +37,7 @@ table; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
@@ -47,7 +48,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.common import arrow_tasks, byte_chunks, mix64, splits, word_hashes
-from foldwise.session import write_table
+from foldwise.llm.files import attempt_name, mapped, writer
+from foldwise.session import temporary_path, write_table
 
 CONTEXTS = 4096
 DISCOUNT = 0.5            # the closed form below needs this value
@@ -64,8 +66,8 @@ HOT_SAMPLE = 16           # hot words are sought in one of so many documents
 _G = np.uint64(0x9E3779B97F4A7C15)
 END = mix64(np.array([0xE0D], np.uint64))[0]
 
-_PACK = "bucket int, chunk long, words binary, sizes binary, phi binary, doc binary, n binary, train binary"
-_ENTRY = ("chunk", "words", "sizes", "phi", "doc", "n", "train")
+_PACK = ("bucket int, chunk long, words binary, sizes binary, phi binary, doc binary, "
+         "more_at binary, more binary, train binary")
 
 
 def trains(doc_id: Column, folds: int = 7, held: int = 2) -> Column:
@@ -110,11 +112,12 @@ def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Arr
 
 
 def _entries(words: np.ndarray, phi: np.ndarray, doc: np.ndarray, n: np.ndarray) -> list[bytes]:
-    """Entries sorted by word as bytes: distinct words, entries of each, and the rest in order."""
+    """Entries sorted by word as bytes: distinct words, entries of each, the rest in order, and
+    the places and values of counts above one."""
     new = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
     return [words[new].tobytes(), np.diff(np.append(new, len(words))).astype(np.uint32).tobytes(),
             phi.astype(np.uint16).tobytes(), doc.astype(np.uint16).tobytes(),
-            n.astype(np.uint32).tobytes()]
+            np.flatnonzero(n > 1).astype(np.uint32).tobytes(), n[n > 1].astype(np.uint32).tobytes()]
 
 
 def _pack(n_buckets: int, hot: np.ndarray):
@@ -149,18 +152,17 @@ def _pack(n_buckets: int, hot: np.ndarray):
             rows.append([-1 - seq % n_buckets, chunk,
                          ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes(),
                          np.bincount(row, minlength=len(ids)).astype(np.uint32).tobytes(),
-                         np.packbits(valid).tobytes(), b"", b"", flags])
+                         np.packbits(valid).tobytes(), b"", b"", b"", flags])
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()),
                  *[pa.array(c, pa.binary()) for c in cols[2:]]],
-                names=["bucket", *_ENTRY])
+                names=[x.split()[0] for x in _PACK.split(", ")])
     return run
 
 
 def _each(batch: pa.RecordBatch) -> Iterator[dict]:
-    """The rows of a batch one by one: a batch may hold several buckets, and one at a time is
-    unpacked; binary values stay views of the batch."""
+    """The rows of a batch one by one; binary values stay views of the batch."""
     names = batch.schema.names
     for i in range(batch.num_rows):
         row = {}
@@ -170,6 +172,47 @@ def _each(batch: pa.RecordBatch) -> Iterator[dict]:
         yield row
 
 
+# A bucket's arrays and their types, as they lie in its file.
+_CELL_ARRAYS = (("words", "<u8"), ("at", "<u4"), ("phi", "<u2"), ("c", "<u4"))
+_BLOB_ARRAYS = (("words", "<u8"), ("sizes", "<u4"), ("phi", "<u2"), ("doc", "<u2"),
+                ("more_at", "<u4"), ("more", "<u4"), ("train", "u1"))
+
+
+def _write_bucket(file: str, cells: dict, blobs: list[dict]) -> str:
+    """Write a bucket's arrays one after the other; returns their places as JSON."""
+    at = 0
+    with writer(file) as f:
+        def put(arrays: dict, kinds: tuple) -> list[list[int]]:
+            nonlocal at
+            places = []
+            for name, kind in kinds:
+                raw = np.ascontiguousarray(arrays[name], kind).tobytes()
+                f.write(raw)
+                places.append([at, len(arrays[name])])
+                at += len(raw)
+            return places
+
+        head = put(cells, _CELL_ARRAYS)
+        return json.dumps({"cells": head, "blobs": [[b["chunk"], put(b, _BLOB_ARRAYS)] for b in blobs]})
+
+
+class _Bucket:
+    """A bucket's file, memory-mapped where it is local."""
+
+    def __init__(self, row: dict):
+        self.data, self.places = mapped(row["file"], np.uint8), json.loads(row["places"])
+
+    def _views(self, kinds: tuple, places: list[list[int]]) -> dict[str, np.ndarray]:
+        return {name: np.frombuffer(self.data, kind, n, at) if n else np.zeros(0, kind)
+                for (name, kind), (at, n) in zip(kinds, places)}
+
+    def cells(self) -> dict[str, np.ndarray]:
+        return self._views(_CELL_ARRAYS, self.places["cells"])
+
+    def blobs(self) -> list[dict]:
+        return [self._views(_BLOB_ARRAYS, p) | {"chunk": chunk} for chunk, p in self.places["blobs"]]
+
+
 @dataclass
 class Cells:
     """A bucket's (word, context) pairs, sorted: the word's place, the context, training count."""
@@ -182,13 +225,11 @@ class Cells:
 
 def _cells(blobs: list[dict]) -> tuple[Cells, np.ndarray]:
     """The cells of a bucket's blobs and, for every entry in the blobs' order, its cell."""
-    words = np.concatenate([np.frombuffer(b["words"], np.uint64) for b in blobs])
-    sizes = np.concatenate([np.frombuffer(b["sizes"], np.uint32) for b in blobs])
-    phi = np.concatenate([np.frombuffer(b["phi"], np.uint16) for b in blobs])
-    count = np.concatenate([_train_counts(b) for b in blobs])
+    words = np.concatenate([b["words"] for b in blobs])
+    sizes = np.concatenate([b["sizes"] for b in blobs])
     words, at = np.unique(words, return_inverse=True)
     key = np.repeat(at.astype(np.uint64) << np.uint64(16), sizes)
-    key |= phi
+    key |= np.concatenate([b["phi"] for b in blobs])
     order = np.argsort(key)
     key = key[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -196,48 +237,63 @@ def _cells(blobs: list[dict]) -> tuple[Cells, np.ndarray]:
     cell[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
     del order
     key = key[new]
-    c = np.bincount(cell, weights=count, minlength=len(key)).astype(np.int64)
+    c, begin = np.zeros(len(key), np.int64), 0
+    for b in blobs:
+        own = cell[begin:begin + len(b["doc"])]
+        begin += len(own)
+        c += np.bincount(own, weights=_counts(b) * np.unpackbits(b["train"])[b["doc"]],
+                         minlength=len(key)).astype(np.int64)
     return Cells(words, (key >> np.uint64(16)).astype(np.int32), (key & np.uint64(0xFFFF)).astype(np.int32), c), cell
 
 
-def _train_counts(b: dict) -> np.ndarray:
-    """An entry's count, 0 if its document does not train."""
-    train = np.unpackbits(np.frombuffer(b["train"], np.uint8))
-    return np.frombuffer(b["n"], np.uint32) * train[np.frombuffer(b["doc"], np.uint16)]
+def _counts(b: dict) -> np.ndarray:
+    """How often each entry's word follows its context in its document."""
+    n = np.ones(len(b["doc"]), np.uint32)
+    n[b["more_at"]] = b["more"]
+    return n
+
 
+_BUCKET = "bucket int, file string, places string, chunk long, ids binary, n binary, valid binary"
 
-_BUCKET = ("bucket int, words binary, at binary, phi binary, c binary, blobs array<struct<chunk:long,"
-           "words:binary,sizes:binary,phi:binary,doc:binary,n:binary,train:binary>>")
-_BLOB = pa.struct([("chunk", pa.int64()), *[(x, pa.binary()) for x in _ENTRY[1:]]])
 
+def _merge(folder: str):
+    """Blobs sorted by bucket -> each bucket's file, and one row per bucket; the documents' rows
+    pass through."""
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blobs sorted by bucket -> one row per bucket, training cells beside its blobs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, name = attempt_name()
 
-    def out(bucket: int, blobs: list[dict]) -> pa.RecordBatch:
-        cells = [b""] * 4
-        if bucket >= 0:
+        def out(bucket: int, blobs: list[dict]) -> pa.RecordBatch:
             x, _ = _cells(blobs)
             seen = x.c > 0
-            cells = [x.words.tobytes(), x.at[seen].astype(np.uint32).tobytes(),
-                     x.phi[seen].astype(np.uint16).tobytes(), x.c[seen].astype(np.uint32).tobytes()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in cells],
-             pa.array([[{k: v if k == "chunk" else memoryview(v) for k, v in x.items()}
-                        for x in blobs]], pa.list_(_BLOB))],
-            names=["bucket", "words", "at", "phi", "c", "blobs"])
-
-    current, held = None, []
-    for b in batches:
-        for r in _each(b):
-            bucket = r.pop("bucket")
-            if held and bucket != current:
-                yield out(current, held)
-                held = []
-            current = bucket
-            held.append(r)
-    if held:
-        yield out(current, held)
+            file = f"{folder}/{name}-{bucket}"
+            places = _write_bucket(file, {"words": x.words, "at": x.at[seen], "phi": x.phi[seen],
+                                          "c": x.c[seen]}, blobs)
+            return row([bucket, file, places, None, None, None, None])
+
+        def row(values: list) -> pa.RecordBatch:
+            kinds = [pa.int32(), pa.string(), pa.string(), pa.int64(), *[pa.binary()] * 3]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip(values, kinds)],
+                names=["bucket", "file", "places", "chunk", "ids", "n", "valid"])
+
+        current, held = None, []
+        for b in batches:
+            for r in _each(b):
+                bucket = r["bucket"]
+                if held and bucket != current:
+                    yield out(current, held)
+                    held = []
+                current = bucket
+                if bucket < 0:
+                    yield row([bucket, None, None, r["chunk"],
+                               *(r[c].to_pybytes() for c in ("words", "sizes", "phi"))])
+                    continue
+                held.append({name: np.frombuffer(r[name], kind) if r[name].size else np.zeros(0, kind)
+                             for name, kind in _BLOB_ARRAYS} | {"chunk": r["chunk"]})
+        if held:
+            yield out(current, held)
+    return run
 
 
 # --- the sampler ------------------------------------------------------------------------------
@@ -359,9 +415,8 @@ def _rng(round_: int, bucket: int) -> np.random.Generator:
 
 
 def _bucket_arrays(r: dict) -> tuple[np.ndarray, ...]:
-    return (np.frombuffer(r["words"], np.uint64), np.frombuffer(r["at"], np.uint32).astype(np.int32),
-            np.frombuffer(r["phi"], np.uint16).astype(np.int32),
-            np.frombuffer(r["c"], np.uint32).astype(np.int64))
+    x = _Bucket(r).cells()
+    return x["words"], x["at"].astype(np.int32), x["phi"].astype(np.int32), x["c"].astype(np.int64)
 
 
 _SUMS = "kind string, i long, x double"
@@ -421,6 +476,7 @@ def resample_strength(strength: float, customers: np.ndarray, tables: np.ndarray
 class Model:
     state: State
     buckets: DataFrame
+    n_buckets: int
 
 
 def _hot_words(rows: DataFrame) -> tuple[np.ndarray, int]:
@@ -460,10 +516,12 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
     rows = rows.withColumn("train", trains(F.col("doc_id")))
     hot, n_buckets = _hot_words(rows)
     packed = arrow_tasks(rows, _pack(n_buckets, hot), _PACK)
+    folder = temporary_path(docs.sparkSession, "lm-files")
     buckets = write_table(arrow_tasks(packed.repartition(n_buckets, "bucket")
-                                      .sortWithinPartitions("bucket", "chunk"), _merge, _BUCKET),
+                                      .sortWithinPartitions("bucket", "chunk"), _merge(folder), _BUCKET),
                           "lm-buckets")
-    cells = buckets.filter("bucket >= 0").select("bucket", "words", "at", "phi", "c")
+    # one small row per bucket; a task takes about one
+    cells = buckets.filter("bucket >= 0").select("bucket", "file", "places").repartition(n_buckets)
     zero = np.zeros(CONTEXTS)
     state = State(hot, zero, zero)
 
@@ -512,7 +570,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
             strength=resample_strength(state.strength, state.customers, got["tables"], rng),
             parent_strength=resample_strength(state.parent_strength, np.array([got["tables"].sum()]),
                                               np.array([up]), rng))
-    return Model(state, buckets)
+    return Model(state, buckets, n_buckets)
 
 
 def score(model: Model) -> DataFrame:
@@ -524,7 +582,8 @@ def score(model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in _each(b):
-                cells, cell = _cells(r["blobs"])
+                blobs = _Bucket(r).blobs()
+                cells, cell = _cells(blobs)
                 seen = np.flatnonzero(cells.c > 0)
                 x = Sampler(s, cells.words, cells.at[seen], cells.phi[seen], cells.c[seen],
                             _rng(1 << 20, r["bucket"]))
@@ -543,8 +602,8 @@ def score(model: Model) -> DataFrame:
                     count[x.is_hot] = s.hot_counts[x.hot_place[x.is_hot]]
                 base, known = np.log10(count + 1), (count > 0).astype(np.float64)
                 begin = 0
-                for blob in r["blobs"]:
-                    doc, n = np.frombuffer(blob["doc"], np.uint16), np.frombuffer(blob["n"], np.uint32)
+                for blob in blobs:
+                    doc, n = blob["doc"], _counts(blob)
                     c = cell[begin:begin + len(doc)]
                     begin += len(doc)
                     docs, at = np.unique(doc, return_inverse=True)
@@ -583,10 +642,9 @@ def score(model: Model) -> DataFrame:
         if ids is not None:
             yield out()
 
-    parts = arrow_tasks(model.buckets.filter("bucket >= 0").select("bucket", "blobs"), run, fine)
-    heads = (model.buckets.filter("bucket < 0").select(F.explode("blobs").alias("b"))
-             .select(F.col("b.chunk").alias("chunk"), F.col("b.words").alias("ids"),
-                     F.col("b.sizes").alias("n"), F.col("b.phi").alias("valid")))
+    parts = arrow_tasks(model.buckets.filter("bucket >= 0").select("bucket", "file", "places")
+                        .repartition(model.n_buckets), run, fine)
+    heads = model.buckets.filter("bucket < 0").select("chunk", "ids", "n", "valid")
     both = parts.unionByName(heads, allowMissingColumns=True)
     return arrow_tasks(both.repartition("chunk")
                        .sortWithinPartitions("chunk", F.col("ids").isNull()), close,
