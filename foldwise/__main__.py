@@ -4,6 +4,7 @@
                               [--test FEATURES --output PATH]
     python -m foldwise tree FEATURES LABELS [--scale] [--select] [--depth 12 --bins 16]
     python -m foldwise forest FEATURES LABELS [--scale] [--select] [--trees 20 --depth 18]
+    python -m foldwise score MODEL FEATURES --output PATH
     python -m foldwise least-squares COMBINED
     python -m foldwise show-fold FEATURES LABELS [--fold 0]
 
@@ -73,6 +74,10 @@ def main(argv: list[str] | None = None) -> int:
     sub.choices["forest"].add_argument("--trees", type=int, default=20)
     sub.choices["forest"].add_argument("--depth", type=int, default=18)
     sub.choices["forest"].add_argument("--bins", type=int, default=32)
+    sc = sub.add_parser("score")
+    sc.add_argument("model")
+    sc.add_argument("features")
+    sc.add_argument("--output", required=True, help="where to write id,prediction lines")
     ls = sub.add_parser("least-squares")
     ls.add_argument("combined")
     ls.add_argument("--nominal", type=int, default=5)
@@ -92,6 +97,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"foldwise-{args.job}").getOrCreate()
 
     mark = scratch_mark()
+    if args.job == "score":
+        from .plans.score import score_table
+        from .sources import sinks as SK
+
+        model, enc, scaler = SK.load_model(spark, args.model)
+        rows = CSV.read_features(spark, args.features, enc.spec)
+        SK.write_predictions(score_table(rows, enc, model, scaler=scaler), args.output)
+        print(f"Wrote predictions to {args.output}")
+        return 0
+
     if args.job == "least-squares":
         spec = _spec_from_header(spark, args.combined, args.nominal, label_last=True)
         df = CSV.read_combined(spark, args.combined, spec, keep_id=True)
@@ -131,7 +146,8 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.model:
         saved = (SK.save_linear_model(spark, run.model, tt.feature_names, args.model, tt.encoder.to_json())
-                 if isinstance(run.model, LinearModel) else SK.save_ml_model(run.model, args.model))
+                 if isinstance(run.model, LinearModel) else
+                 SK.save_ml_model(run.model, args.model, tt.encoder, tt.scaler if args.scale else None))
         print("Saved model" if saved else "Model not saved: path already exists")
     if args.train_predictions:
         scaler = tt.scaler if args.scale else None

@@ -77,10 +77,10 @@ class Encoder:
     def __post_init__(self):
         if self.coding not in ("dummy", "binary"):
             raise ValueError(f"unknown coding {self.coding!r}")
-        self._names = [name for name, _ in self._slots()]
+        self._names = [name for name, _ in self.layout()]
 
     # --- layout -----------------------------------------------------------
-    def _slots(self) -> list[tuple[str, tuple[str, str | None] | None]]:
+    def layout(self) -> list[tuple[str, tuple[str, str | None] | None]]:
         """(feature name, (nominal column, level) or None for numeric)."""
         out: list[tuple[str, tuple[str, str | None] | None]] = []
         for c in self.spec.nominal:
@@ -114,7 +114,7 @@ class Encoder:
     # --- expressions ------------------------------------------------------
     def feature_columns(self) -> list[Column]:
         cols = []
-        for name, slot in self._slots():
+        for name, slot in self.layout():
             if slot is None:
                 x = F.col(name).cast("double")
                 if self.numeric_nulls == "error":

@@ -167,6 +167,75 @@ sol AS (SELECT cg.k, cg.x FROM cg JOIN (SELECT k, max(it) AS it FROM cg GROUP BY
         ON l.k = cg.k AND l.it = cg.it)"""
 
 
+# least squares on all encoded features: per fold k (and -1, all rows) the coefficients ``coef``
+# over z, the intercept ``icpt``, and the unfinished predictions ``cvp`` and ``trp``
+_LS_ALL = f"""WITH RECURSIVE {_encoding_ctes()},
+st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
+zf AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z,
+              {fold_expr('e.id')} AS fold FROM enc e JOIN st ON st.pos = e.pos),
+lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
+pg AS (SELECT a.fold, a.pos AS i, b.pos AS j, sum(a.z * b.z) AS g FROM zf a JOIN zf b ON a.id = b.id GROUP BY 1, 2, 3),
+ps AS (SELECT fold, pos AS i, sum(z) AS sz FROM zf GROUP BY 1, 2),
+py AS (SELECT zf.fold, zf.pos AS i, sum(zf.z * lab.y) AS szy FROM zf JOIN lab ON lab.id = zf.id GROUP BY 1, 2),
+pn AS (SELECT fold, count(*)::DOUBLE AS n, sum(y) AS sy FROM lab GROUP BY fold),
+keys AS (SELECT k FROM {FOLDS} UNION ALL SELECT -1),
+tg AS (SELECT keys.k, pg.i, pg.j, sum(pg.g) AS g FROM keys JOIN pg ON pg.fold <> keys.k GROUP BY 1, 2, 3),
+ts AS (SELECT keys.k, ps.i, sum(ps.sz) AS sz FROM keys JOIN ps ON ps.fold <> keys.k GROUP BY 1, 2),
+ty AS (SELECT keys.k, py.i, sum(py.szy) AS szy FROM keys JOIN py ON py.fold <> keys.k GROUP BY 1, 2),
+tn AS (SELECT keys.k, sum(pn.n) AS n, sum(pn.sy) AS sy FROM keys JOIN pn ON pn.fold <> keys.k GROUP BY 1),
+cm AS (SELECT tg.k, tg.i, tg.j, tg.g - a.sz * b.sz / tn.n
+              + CASE WHEN tg.i = tg.j THEN 1e-8 * (tg.g - a.sz * a.sz / tn.n) / (tn.n - 1) ELSE 0.0 END AS c
+       FROM tg JOIN ts a ON a.k = tg.k AND a.i = tg.i JOIN ts b ON b.k = tg.k AND b.i = tg.j
+       JOIN tn ON tn.k = tg.k),
+cvec AS (SELECT ty.k, ty.i, ty.szy - ts.sz * tn.sy / tn.n AS c
+         FROM ty JOIN ts ON ts.k = ty.k AND ts.i = ty.i JOIN tn ON tn.k = ty.k),
+sys AS (SELECT m.k, m.A, v.b
+        FROM (SELECT k, list(r ORDER BY i) AS A FROM (SELECT k, i, list(c ORDER BY j) AS r FROM cm GROUP BY k, i) x
+              GROUP BY k) m
+        JOIN (SELECT k, list(c ORDER BY i) AS b FROM cvec GROUP BY k) v ON v.k = m.k),
+{_cg_chain()},
+coef AS (SELECT sol.k, CAST(generate_subscripts(sol.x, 1) - 1 AS INTEGER) AS i, unnest(sol.x) AS a FROM sol),
+icpt AS (SELECT coef.k, tn.sy / tn.n - sum(coef.a * ts.sz / tn.n) AS b0
+         FROM coef JOIN ts ON ts.k = coef.k AND ts.i = coef.i JOIN tn ON tn.k = coef.k GROUP BY coef.k, tn.sy, tn.n),
+cvp AS (SELECT zf.id, zf.fold AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON coef.k = zf.fold AND coef.i = zf.pos
+        GROUP BY zf.id, zf.fold),
+trp AS (SELECT zf.id, -1 AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON coef.k = -1 AND coef.i = zf.pos
+        GROUP BY zf.id),
+"""
+_LS_PRED = f"""{_LS_ALL}pr AS (SELECT p.k, p.id, lab.fold, lab.y, icpt.b0 + p.s AS raw, {half_up('icpt.b0 + p.s')} AS p
+       FROM (SELECT * FROM cvp UNION ALL SELECT * FROM trp) p JOIN icpt ON icpt.k = p.k JOIN lab ON lab.id = p.id)"""
+# coefficients of the fit on all rows in raw units
+_LS_COEF = f"""{_LS_ALL}raw AS (SELECT coef.i AS pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0 ELSE coef.a / st.s END AS c, st.m
+        FROM coef JOIN st ON st.pos = coef.i WHERE coef.k = -1),
+names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' || lv.level AS feature
+          FROM lv JOIN off ON off.col = lv.col WHERE lv.idx >= 1
+          UNION ALL SELECT CAST(nd.total + k.k AS INTEGER), 'n' || CAST(k.k + 1 AS VARCHAR)
+          FROM nd, (VALUES (0), (1), (2), (3)) k(k))
+SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
+UNION ALL SELECT '(intercept)', round((SELECT b0 FROM icpt WHERE k = -1) - sum(c * m), 2) FROM raw"""
+# gradient descent on all encoded features: the systems ``sys`` (k, G, h, n), rows ``zf`` and ``lab``
+_SGD_ALL = f"""WITH RECURSIVE {_encoding_ctes()},
+st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
+dim AS (SELECT total + 4 AS d FROM nd),
+zf AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z,
+              {fold_expr('e.id')} AS fold FROM enc e JOIN st ON st.pos = e.pos
+       UNION ALL SELECT id, (SELECT d FROM dim), 1.0::DOUBLE, {fold_expr()} FROM rows),
+lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
+pg AS (SELECT a.fold, a.pos AS i, b.pos AS j, sum(a.z * b.z) AS g FROM zf a JOIN zf b ON a.id = b.id GROUP BY 1, 2, 3),
+py AS (SELECT zf.fold, zf.pos AS i, sum(zf.z * lab.y) AS h FROM zf JOIN lab ON lab.id = zf.id GROUP BY 1, 2),
+pn AS (SELECT fold, count(*)::DOUBLE AS n FROM lab GROUP BY fold),
+keys AS (SELECT k FROM {FOLDS} UNION ALL SELECT -1),
+tg AS (SELECT keys.k, pg.i, pg.j, sum(pg.g) AS g FROM keys JOIN pg ON pg.fold <> keys.k GROUP BY 1, 2, 3),
+ty AS (SELECT keys.k, py.i, sum(py.h) AS h FROM keys JOIN py ON py.fold <> keys.k GROUP BY 1, 2),
+tn AS (SELECT keys.k, sum(pn.n) AS n FROM keys JOIN pn ON pn.fold <> keys.k GROUP BY 1),
+sys AS (SELECT m.k, m.G, v.h, tn.n
+        FROM (SELECT k, list(r ORDER BY i) AS G FROM (SELECT k, i, list(g ORDER BY j) AS r FROM tg GROUP BY k, i) x
+              GROUP BY k) m
+        JOIN (SELECT k, list(h ORDER BY i) AS h FROM ty GROUP BY k) v ON v.k = m.k
+        JOIN tn ON tn.k = m.k),
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -189,9 +258,7 @@ FROM ({TJ}) t"""
     q["s7_prediction_sink"] = f"""WITH {_TRAIN_OLS},
 s AS (SELECT id, n2 AS x FROM ({OF_SCORE}) f)
 SELECT CAST(s.id AS VARCHAR) || ',' || CAST({half_up('m.b + m.w * s.x')} AS VARCHAR) AS value FROM s, m"""
-    q["s8_model_sink"] = f"""WITH {_FULL_OLS}
-SELECT '(intercept)' AS feature, round(b, 4) AS coefficient FROM m
-UNION ALL SELECT 'n2' AS feature, round(w, 8) AS coefficient FROM m"""
+    q["s8_model_sink"] = f"""{_LS_COEF}"""
     q["s9_first_rows"] = f"""SELECT id, c1, c2, c3, c4, c5, n1, round(n2, 4) AS n2, n3, n4, round(label, 6) AS label
 FROM ({TJ}) t ORDER BY id LIMIT 10"""
     q["s10_fold_rows"] = f"""WITH t AS ({TF}),
@@ -199,19 +266,14 @@ s AS (SELECT k.k AS cv_fold, CASE WHEN t.fold = k.k THEN 'validation' ELSE 'trai
       FROM t, {FOLDS} k),
 r AS (SELECT cv_fold, side, id, CAST(row_number() OVER (PARTITION BY cv_fold, side ORDER BY id) AS INTEGER) AS rn FROM s)
 SELECT cv_fold, side, rn, id FROM r WHERE rn <= 10"""
-    q["s11_training_predictions"] = f"""WITH {_FULL_OLS}
-SELECT t.id, {half_up('m.b + m.w * t.x')} AS prediction FROM t, m"""
-    q["s12_model_coefficients"] = f"""WITH {_FULL_OLS}
-SELECT '(intercept)' AS feature, round(b, 4) AS coefficient FROM m
-UNION ALL SELECT 'n2' AS feature, round(w, 8) AS coefficient FROM m"""
-    q["s13_result_report"] = f"""WITH {_FOLD_OLS},
-pf AS (SELECT fold, {metrics_sql('y', half_up('raw'))} FROM pr GROUP BY fold),
-cv AS (SELECT 'cv' AS stage, avg(corr) AS corr, avg(mae) AS mae, avg(rmse) AS rmse FROM pf),
-fm AS (SELECT regr_slope(y, x) AS w, regr_intercept(y, x) AS b FROM t),
-tr AS (SELECT 'training' AS stage, corr, mae, rmse FROM (
-        SELECT {metrics_sql('t.y', half_up('fm.b + fm.w * t.x'))} FROM t, fm))
-SELECT stage, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse FROM cv
-UNION ALL SELECT stage, round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
+    q["s11_training_predictions"] = f"""{_LS_PRED}
+SELECT id, p AS prediction FROM pr WHERE k = -1"""
+    q["s12_model_coefficients"] = f"""{_LS_COEF}"""
+    q["s13_result_report"] = f"""{_LS_PRED},
+pf AS (SELECT fold, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY fold),
+tr AS (SELECT {metrics_sql()} FROM pr WHERE k = -1)
+SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf
+UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
 
     # ---- projections ----
     line = "CAST(id AS VARCHAR) || ',' || c1 || ',' || c2 || ',' || c3 || ',' || c4 || ',' || c5"
@@ -383,48 +445,42 @@ v AS (SELECT feature, var_pop(label) AS var FROM lo GROUP BY feature),
 b AS (SELECT g.*, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, threshold) AS rn FROM g)
 SELECT b.feature, round(b.threshold, 4) AS threshold, b.n_left, b.n_right, round(b.gain / v.var, 8) AS gain_ratio
 FROM b JOIN v ON v.feature = b.feature WHERE rn = 1"""
-    q["m7_linear_predict"] = f"""WITH {_FULL_OLS}
-SELECT t.id, round(m.b + m.w * t.x, 3) AS raw_prediction FROM t, m"""
-    q["m8_rounded_prediction"] = f"""WITH {_FULL_OLS}
-SELECT t.id, round(t.y, 6) AS label, {half_up('m.b + m.w * t.x')} AS prediction FROM t, m"""
-    q["m9_cv_one_point"] = f"""WITH {_FOLD_OLS}
+    q["m7_linear_predict"] = f"""{_LS_PRED}
+SELECT id, round(raw, 1) AS raw_prediction FROM pr WHERE k = -1"""
+    q["m8_rounded_prediction"] = f"""{_LS_PRED}
+SELECT id, round(y, 6) AS label, p AS prediction FROM pr WHERE k = -1"""
+    q["m9_cv_one_point"] = f"""{_LS_PRED}
 SELECT fold, n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
-FROM (SELECT fold, {metrics_sql('y', half_up('raw'))} FROM pr GROUP BY fold) s"""
+FROM (SELECT fold, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY fold) s"""
     its = ", ".join(f"({i})" for i in range(100, 1000, 100))
     steps = ", ".join(f"({s!r}::DOUBLE)" for s in [1e-4, 1e-3, 1e-2, 1e-1, 1.0])
-    q["m10_linear_grid"] = f"""WITH RECURSIVE
-t AS (SELECT id, label AS y, (n2 - avg(n2) OVER ()) / stddev_samp(n2) OVER () AS z, {fold_expr()} AS fold
-      FROM ({TJ}) s),
-pf AS (SELECT fold, count(*)::DOUBLE AS n, sum(z) AS sz, sum(z * z) AS szz, sum(y) AS sy, sum(z * y) AS szy
-       FROM t GROUP BY fold),
-tot AS (SELECT sum(n) AS n, sum(sz) AS sz, sum(szz) AS szz, sum(sy) AS sy, sum(szy) AS szy FROM pf),
-st AS (SELECT step FROM (VALUES {steps}) v(step)),
-mom AS (SELECT st.step, pf.fold, tot.n - pf.n AS n, tot.sz - pf.sz AS sz, tot.szz - pf.szz AS szz,
-               tot.sy - pf.sy AS sy, tot.szy - pf.szy AS szy FROM pf, tot, st),
-it(step, fold, i, w, b, done) AS (
-    SELECT step, fold, 0, 0.0::DOUBLE, 1.0::DOUBLE, false FROM mom
+    q["m10_linear_grid"] = f"""{_SGD_ALL}st5 AS (SELECT step FROM (VALUES {steps}) v(step)),
+it(k, step, i, w, done) AS (
+    SELECT sys.k, st5.step, 0, list_transform(range(dim.d + 1),
+                                    lambda q: CASE WHEN q = dim.d THEN 1.0 ELSE 0.0 END::DOUBLE), false
+    FROM sys, dim, st5 WHERE sys.k >= 0
     UNION ALL
-    SELECT step, fold, i, nw, nb,
-           i >= 2 AND sqrt((nw - w) * (nw - w) + (nb - b) * (nb - b))
-                      < 0.001 * greatest(sqrt(nw * nw + nb * nb), 1.0)
-    FROM (SELECT it.step, it.fold, it.i + 1 AS i, it.w, it.b,
-                 it.w - (it.step / sqrt(it.i + 1)) * ((mm.szz * it.w + mm.sz * it.b) - mm.szy) / mm.n AS nw,
-                 it.b - (it.step / sqrt(it.i + 1)) * ((mm.sz * it.w + mm.n * it.b) - mm.sy) / mm.n AS nb
-          FROM it JOIN mom mm ON mm.step = it.step AND mm.fold = it.fold
-          WHERE it.i < 900 AND NOT it.done) s
+    SELECT k, step, i, nw,
+           i >= 2 AND sqrt(list_sum(list_transform(list_zip(nw, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))
+                      < 0.001 * greatest(sqrt(list_dot_product(nw, nw)), 1.0)
+    FROM (SELECT it.k, it.step, it.i + 1 AS i, it.w,
+                 list_transform(list_zip(it.w, sys.G, sys.h),
+                                lambda p: p[1] - (it.step / sqrt(it.i + 1)) * (list_dot_product(p[2], it.w) - p[3]) / sys.n) AS nw
+          FROM it JOIN sys ON sys.k = it.k WHERE it.i < 900 AND NOT it.done) s
 ),
-last AS (SELECT step, fold, max(i) AS imax FROM it GROUP BY step, fold),
-pts AS (SELECT CAST(row_number() OVER (ORDER BY ic.iterations, st.step) - 1 AS INTEGER) AS grid_pos,
-               CAST(ic.iterations AS INTEGER) AS iterations, st.step
-        FROM (VALUES {its}) ic(iterations), st),
-mdl AS (SELECT pts.grid_pos, pts.iterations, pts.step, it.fold, it.w, it.b
-        FROM pts JOIN last ON last.step = pts.step
-        JOIN it ON it.step = pts.step AND it.fold = last.fold AND it.i = least(pts.iterations, last.imax)),
-pr AS (SELECT mdl.grid_pos, mdl.iterations, mdl.step, t.fold, t.y, {half_up('mdl.b + mdl.w * t.z')} AS p
-       FROM t JOIN mdl ON mdl.fold = t.fold),
-fm AS (SELECT grid_pos, iterations, step, fold, {metrics_sql()} FROM pr GROUP BY grid_pos, iterations, step, fold)
-SELECT grid_pos, iterations, step, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae,
-       round(avg(rmse), 4) AS rmse FROM fm GROUP BY grid_pos, iterations, step"""
+last AS (SELECT step, k, max(i) AS imax FROM it GROUP BY step, k),
+pts AS (SELECT CAST(row_number() OVER (ORDER BY ic.iterations, st5.step) - 1 AS INTEGER) AS grid_pos,
+               CAST(ic.iterations AS INTEGER) AS iterations, st5.step
+        FROM (VALUES {its}) ic(iterations), st5),
+wl AS (SELECT pts.grid_pos, it.k, CAST(generate_subscripts(it.w, 1) - 1 AS INTEGER) AS pos, unnest(it.w) AS wv
+       FROM pts JOIN last ON last.step = pts.step
+       JOIN it ON it.step = pts.step AND it.k = last.k AND it.i = least(pts.iterations, last.imax)),
+cvp AS (SELECT wl.grid_pos, zf.id, zf.fold, sum(wl.wv * zf.z) AS raw FROM zf JOIN wl ON wl.k = zf.fold AND wl.pos = zf.pos
+        GROUP BY 1, 2, 3),
+pr AS (SELECT p.grid_pos, p.fold, lab.y, {half_up('p.raw')} AS p FROM cvp p JOIN lab ON lab.id = p.id),
+fm AS (SELECT grid_pos, fold, {metrics_sql()} FROM pr GROUP BY grid_pos, fold)
+SELECT grid_pos, pts.iterations, pts.step, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae,
+       round(avg(rmse), 4) AS rmse FROM fm JOIN pts USING (grid_pos) GROUP BY grid_pos, pts.iterations, pts.step"""
     q["m13_refit_sgd"] = f"""WITH RECURSIVE {_encoding_ctes()},
 st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
 z AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z
@@ -458,39 +514,7 @@ names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' |
 SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
 UNION ALL
 SELECT '(intercept)', round((SELECT wv FROM wz WHERE pos = (SELECT d - 1 FROM dim)) - sum(c * m), 4) FROM raw"""
-    q["flagship_least_squares_cv"] = f"""WITH RECURSIVE {_encoding_ctes()},
-st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
-zf AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z,
-              {fold_expr('e.id')} AS fold FROM enc e JOIN st ON st.pos = e.pos),
-lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
-pg AS (SELECT a.fold, a.pos AS i, b.pos AS j, sum(a.z * b.z) AS g FROM zf a JOIN zf b ON a.id = b.id GROUP BY 1, 2, 3),
-ps AS (SELECT fold, pos AS i, sum(z) AS sz FROM zf GROUP BY 1, 2),
-py AS (SELECT zf.fold, zf.pos AS i, sum(zf.z * lab.y) AS szy FROM zf JOIN lab ON lab.id = zf.id GROUP BY 1, 2),
-pn AS (SELECT fold, count(*)::DOUBLE AS n, sum(y) AS sy FROM lab GROUP BY fold),
-keys AS (SELECT k FROM {FOLDS} UNION ALL SELECT -1),
-tg AS (SELECT keys.k, pg.i, pg.j, sum(pg.g) AS g FROM keys JOIN pg ON pg.fold <> keys.k GROUP BY 1, 2, 3),
-ts AS (SELECT keys.k, ps.i, sum(ps.sz) AS sz FROM keys JOIN ps ON ps.fold <> keys.k GROUP BY 1, 2),
-ty AS (SELECT keys.k, py.i, sum(py.szy) AS szy FROM keys JOIN py ON py.fold <> keys.k GROUP BY 1, 2),
-tn AS (SELECT keys.k, sum(pn.n) AS n, sum(pn.sy) AS sy FROM keys JOIN pn ON pn.fold <> keys.k GROUP BY 1),
-cm AS (SELECT tg.k, tg.i, tg.j, tg.g - a.sz * b.sz / tn.n
-              + CASE WHEN tg.i = tg.j THEN 1e-8 * (tg.g - a.sz * a.sz / tn.n) / (tn.n - 1) ELSE 0.0 END AS c
-       FROM tg JOIN ts a ON a.k = tg.k AND a.i = tg.i JOIN ts b ON b.k = tg.k AND b.i = tg.j
-       JOIN tn ON tn.k = tg.k),
-cvec AS (SELECT ty.k, ty.i, ty.szy - ts.sz * tn.sy / tn.n AS c
-         FROM ty JOIN ts ON ts.k = ty.k AND ts.i = ty.i JOIN tn ON tn.k = ty.k),
-sys AS (SELECT m.k, m.A, v.b
-        FROM (SELECT k, list(r ORDER BY i) AS A FROM (SELECT k, i, list(c ORDER BY j) AS r FROM cm GROUP BY k, i) x
-              GROUP BY k) m
-        JOIN (SELECT k, list(c ORDER BY i) AS b FROM cvec GROUP BY k) v ON v.k = m.k),
-{_cg_chain()},
-coef AS (SELECT sol.k, CAST(generate_subscripts(sol.x, 1) - 1 AS INTEGER) AS i, unnest(sol.x) AS a FROM sol),
-icpt AS (SELECT coef.k, tn.sy / tn.n - sum(coef.a * ts.sz / tn.n) AS b0
-         FROM coef JOIN ts ON ts.k = coef.k AND ts.i = coef.i JOIN tn ON tn.k = coef.k GROUP BY coef.k, tn.sy, tn.n),
-cvp AS (SELECT zf.id, zf.fold AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON coef.k = zf.fold AND coef.i = zf.pos
-        GROUP BY zf.id, zf.fold),
-trp AS (SELECT zf.id, -1 AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON coef.k = -1 AND coef.i = zf.pos
-        GROUP BY zf.id),
-pr AS (SELECT p.k, lab.fold, lab.y, {half_up('icpt.b0 + p.s')} AS p
+    q["flagship_least_squares_cv"] = f"""{_LS_ALL}pr AS (SELECT p.k, lab.fold, lab.y, {half_up('icpt.b0 + p.s')} AS p
        FROM (SELECT * FROM cvp UNION ALL SELECT * FROM trp) p JOIN icpt ON icpt.k = p.k JOIN lab ON lab.id = p.id),
 pf AS (SELECT fold, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY fold),
 tr AS (SELECT {metrics_sql()} FROM pr WHERE k = -1)
@@ -518,26 +542,7 @@ names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' |
           FROM nd, (VALUES (0), (1), (2), (3)) k(k))
 SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
 UNION ALL SELECT '(intercept)', round((SELECT ym FROM ys) - sum(c * m), 4) FROM raw"""
-    q["m9_sgd_cv_all_features"] = f"""WITH RECURSIVE {_encoding_ctes()},
-st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
-dim AS (SELECT total + 4 AS d FROM nd),
-zf AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z,
-              {fold_expr('e.id')} AS fold FROM enc e JOIN st ON st.pos = e.pos
-       UNION ALL SELECT id, (SELECT d FROM dim), 1.0::DOUBLE, {fold_expr()} FROM rows),
-lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
-pg AS (SELECT a.fold, a.pos AS i, b.pos AS j, sum(a.z * b.z) AS g FROM zf a JOIN zf b ON a.id = b.id GROUP BY 1, 2, 3),
-py AS (SELECT zf.fold, zf.pos AS i, sum(zf.z * lab.y) AS h FROM zf JOIN lab ON lab.id = zf.id GROUP BY 1, 2),
-pn AS (SELECT fold, count(*)::DOUBLE AS n FROM lab GROUP BY fold),
-keys AS (SELECT k FROM {FOLDS} UNION ALL SELECT -1),
-tg AS (SELECT keys.k, pg.i, pg.j, sum(pg.g) AS g FROM keys JOIN pg ON pg.fold <> keys.k GROUP BY 1, 2, 3),
-ty AS (SELECT keys.k, py.i, sum(py.h) AS h FROM keys JOIN py ON py.fold <> keys.k GROUP BY 1, 2),
-tn AS (SELECT keys.k, sum(pn.n) AS n FROM keys JOIN pn ON pn.fold <> keys.k GROUP BY 1),
-sys AS (SELECT m.k, m.G, v.h, tn.n
-        FROM (SELECT k, list(r ORDER BY i) AS G FROM (SELECT k, i, list(g ORDER BY j) AS r FROM tg GROUP BY k, i) x
-              GROUP BY k) m
-        JOIN (SELECT k, list(h ORDER BY i) AS h FROM ty GROUP BY k) v ON v.k = m.k
-        JOIN tn ON tn.k = m.k),
-it(k, i, w, done) AS (
+    q["m9_sgd_cv_all_features"] = f"""{_SGD_ALL}it(k, i, w, done) AS (
     SELECT sys.k, 0, list_transform(range(dim.d + 1),
                                     lambda q: CASE WHEN q = dim.d THEN 1.0 ELSE 0.0 END::DOUBLE), false
     FROM sys, dim
@@ -561,9 +566,9 @@ pf AS (SELECT fold, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY fold),
 tr AS (SELECT {metrics_sql()} FROM pr WHERE k = -1)
 SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf
 UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
-    q["m14_training_error"] = f"""WITH {_FULL_OLS}
+    q["m14_training_error"] = f"""{_LS_PRED}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
-FROM (SELECT {metrics_sql('t.y', half_up('m.b + m.w * t.x'))} FROM t, m) s"""
+FROM (SELECT {metrics_sql()} FROM pr WHERE k = -1) s"""
     q["m15_score_table"] = f"""WITH {_TRAIN_OLS},
 lv AS ({_levels(OF_TRAIN)}),
 s AS ({OF_SCORE}),
@@ -571,8 +576,8 @@ jl AS (UNPIVOT (SELECT id, c1, c2, c3, c4, c5 FROM s) ON c1, c2, c3, c4, c5 INTO
 u AS (SELECT jl.id, CAST(sum(CASE WHEN lv.level IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS unseen_levels
       FROM jl LEFT JOIN lv ON lv.col = jl.col AND lv.level = jl.level GROUP BY jl.id)
 SELECT s.id, {half_up('m.b + m.w * s.n2')} AS prediction, u.unseen_levels FROM s JOIN u ON u.id = s.id, m"""
-    q["m16_pooled_cv_least_squares"] = f"""WITH {_FOLD_OLS}
+    q["m16_pooled_cv_least_squares"] = f"""{_LS_PRED}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
-FROM (SELECT {metrics_sql('y', 'raw')} FROM pr) s"""
+FROM (SELECT {metrics_sql('y', 'raw')} FROM pr WHERE k >= 0) s"""
     # DuckDB rounds a tiny negative to -0.0 where Spark's decimal rounding gives 0.0
     return {k: v.replace("round(", "0.0 + round(") for k, v in q.items()}

@@ -9,8 +9,8 @@ Shared inputs:
 * ``order_features`` / ``order_labels`` (see :mod:`foldwise.sources.tables`);
 * the fixed prediction ``floor(0.99 * n2 + 0.5)`` for metric operators, so
   their check needs no model fit;
-* a one-feature least-squares model (label on n2) where a fitted model is the
-  point, since its fit has a closed form in SQL;
+* least squares on all 21 encoded features where a fitted model is the point (its
+  oracle solves the same systems by conjugate gradients);
 * line items for row-level scalar functions (values without sums, so both
   engines compute them bit for bit).
 """
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from .operators import folds as K
 from .operators import metrics as A
 from .operators import splits as SP
 from .operators.inspect import first_rows, row_count
-from .operators.linear import fit_ols, fit_regularised, fit_sgd
+from .operators.linear import LinearModel, fit_ols, fit_regularised, fit_sgd
 from .operators.moments import total
 from .operators.scale import column_stats
 from .plans import grid as G
@@ -98,8 +99,9 @@ def _fixed_prediction(spark, sf) -> DataFrame:
                     fold_of("id", G.N_FOLDS).alias("fold"))
 
 
-def _ols_n2(spark, sf):
-    tt = _tt(spark, sf, N2_SPEC)
+def _ols_all(spark, sf):
+    """Training table, moments and least squares on all encoded features."""
+    tt = _tt(spark, sf)
     per_fold = S.fold_moments(tt)
     return tt, per_fold, fit_ols(total(per_fold, tt.width), tt.scaler)
 
@@ -177,13 +179,18 @@ def s7_prediction_sink(spark, sf):
     return spark.read.text(path)
 
 
+def _coefficient() -> Column:
+    """Rounded for comparison; the intercept is the largest number by far."""
+    return F.when(F.col("feature") == "(intercept)", r("coefficient", 2)).otherwise(
+        r("coefficient", 4)).alias("coefficient")
+
+
 def s8_model_sink(spark, sf):
-    tt, _, model = _ols_n2(spark, sf)
+    tt, _, model = _ols_all(spark, sf)
     path = scratch_path(spark, "model")
     SK.save_linear_model(spark, model, tt.feature_names, path, tt.encoder.to_json())
     back = spark.read.parquet(f"{path}/coefficients")
-    return back.select("feature", F.when(F.col("feature") == "(intercept)", r("coefficient", 4))
-                       .otherwise(r("coefficient", 8)).alias("coefficient"))
+    return back.select("feature", _coefficient())
 
 
 def s9_first_rows(spark, sf):
@@ -200,20 +207,19 @@ def s10_fold_rows(spark, sf):
 
 
 def s11_training_predictions(spark, sf):
-    tt, _, model = _ols_n2(spark, sf)
+    tt, _, model = _ols_all(spark, sf)
     return PR.training_predictions(tt, model)
 
 
 def s12_model_coefficients(spark, sf):
-    tt, _, model = _ols_n2(spark, sf)
+    tt, _, model = _ols_all(spark, sf)
     rows = model.coefficient_rows(tt.feature_names)
-    df = spark.createDataFrame(rows, "feature string, coefficient double")
-    return df.select("feature", F.when(F.col("feature") == "(intercept)", r("coefficient", 4))
-                     .otherwise(r("coefficient", 8)).alias("coefficient"))
+    return spark.createDataFrame(rows, "feature string, coefficient double").select(
+        "feature", _coefficient())
 
 
 def s13_result_report(spark, sf):
-    tt, per_fold, model = _ols_n2(spark, sf)
+    tt, per_fold, model = _ols_all(spark, sf)
     fm = S.ols_fold_models(tt, per_fold)
     cv = A.macro_average(S.fold_metrics(S.score_fold_models(tt, fm)).drop("grid_pos"))
     res = PR.RunResult({}, cv, training_error(tt, model), model)
@@ -269,36 +275,27 @@ def p7_labeled_point(spark, sf):
 
 
 def p8_fold_filter(spark, sf):
-    """Rows and quantity on each side of every fold, from one grouped pass.
-
-    Validation side of fold k = rows with ``fold = k``; training side = all
-    other rows, i.e. the table total minus the fold (a window over k rows).
-    """
+    """Rows and quantity on each side of every fold, by the library's fold filters."""
     tt = _tt(spark, sf)
     n1 = tt.feature_names.index("n1")
-    per = tt.df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("f")[n1]).alias("qty"))
-    w = Window.partitionBy()
-    sides = per.select(
-        F.col("fold").alias("cv_fold"),
-        F.array(F.struct(F.lit("validation").alias("side"), F.col("n").alias("n"), F.col("qty").alias("qty")),
-                F.struct(F.lit("train").alias("side"), (F.sum("n").over(w) - F.col("n")).alias("n"),
-                         (F.sum("qty").over(w) - F.col("qty")).alias("qty"))).alias("s"))
-    return sides.select("cv_fold", F.explode("s").alias("x")).select(
-        "cv_fold", "x.side", "x.n", r("x.qty", 4).alias("qty"))
+    out = None
+    for k in range(G.N_FOLDS):
+        for side, rows in zip(("train", "validation"), K.fold_split(tt.df, k)):
+            one = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("f")[n1]).alias("qty")).select(
+                F.lit(k).alias("cv_fold"), F.lit(side).alias("side"), "n", r("qty", 4).alias("qty"))
+            out = one if out is None else out.unionByName(one)
+    return out
 
 
 def p9_column_roles(spark, sf):
+    """The encoder's own layout, per source column."""
     enc = _encoder(spark, sf)
-    rows, start = [], 0
-    for c in enc.spec.nominal:
-        n = max(len(enc.levels[c]) - 1, 0)
-        rows.append((c, "nominal", start, n))
-        start += n
-    for c in enc.spec.numeric:
-        rows.append((c, "numeric", start, 1))
-        start += 1
-    # the layout is derived from the fitted level dictionary (read from the tables)
-    return spark.createDataFrame(rows, "column_name string, role string, slot_start int, slots int")
+    rows: dict[str, list] = {}
+    for place, (name, slot) in enumerate(enc.layout()):
+        column, role = (slot[0], "nominal") if slot else (name, "numeric")
+        rows.setdefault(column, [column, role, place, 0])[3] += 1
+    return spark.createDataFrame([tuple(x) for x in rows.values()],
+                                 "column_name string, role string, slot_start int, slots int")
 
 
 # ---- encoding ------------------------------------------------------------------------
@@ -479,16 +476,15 @@ def k1_fold_assignment(spark, sf):
 
 
 def k2_fold_pairs(spark, sf):
-    """Size of both sides of every (train, validation) pair, from one grouped pass."""
+    """Size of both sides of every (train, validation) pair."""
     tt = _tt(spark, sf)
-    per = tt.df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()
-    sides = per.select(
-        F.col("fold").alias("cv_fold"),
-        F.array(F.struct(F.lit("validation").alias("side"), F.col("n").alias("n")),
-                F.struct(F.lit("train").alias("side"), (F.sum("n").over(w) - F.col("n")).alias("n"))
-                ).alias("s"))
-    return sides.select("cv_fold", F.explode("s").alias("x")).select("cv_fold", "x.side", "x.n")
+    out = None
+    for k, pair in enumerate(K.fold_pairs(tt.df, G.N_FOLDS)):
+        for side, rows in zip(("train", "validation"), pair):
+            one = rows.agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(k).alias("cv_fold"), F.lit(side).alias("side"), "n")
+            out = one if out is None else out.unionByName(one)
+    return out
 
 
 def k3_union_all(spark, sf):
@@ -526,9 +522,10 @@ def _grid_report(spark, sf) -> DataFrame:
 
 
 def t2_best_point(spark, sf):
-    rep = _grid_report(spark, sf)
-    return (rep.orderBy(F.col("corr").desc_nulls_last(), "grid_pos").limit(1)
-            .select("grid_pos", "a", "b", r("corr", 8).alias("corr")))
+    best = S.best_point(_grid_report(spark, sf))
+    return spark.createDataFrame([(best["grid_pos"], best["a"], best["b"], best["corr"])],
+                                 "grid_pos int, a double, b double, corr double").withColumn(
+                                     "corr", r("corr", 8))
 
 
 def t3_ranked_points(spark, sf):
@@ -648,6 +645,16 @@ def m3_ridge_regression(spark, sf):
     return df.select("feature", r("coefficient", 4).alias("coefficient"))
 
 
+def m3_lasso(spark, sf):
+    """Lasso on all encoded features (no closed form; compared with its optimality conditions in
+    a test)."""
+    tt = _tt(spark, sf)
+    model = fit_regularised(tt.df, reg_param=500.0, l1_ratio=1.0)
+    rows = model.coefficient_rows(tt.feature_names)
+    return spark.createDataFrame(rows, "feature string, coefficient double").select(
+        "feature", _coefficient())
+
+
 def m4_decision_tree_cv(spark, sf):
     tt = _tt(spark, sf)
     res = PR.tree_program(tt, max_depth=G.TREE_DEFAULT[0], max_bins=G.TREE_DEFAULT[1])
@@ -669,19 +676,17 @@ def m6_best_split(spark, sf):
 
 
 def m7_linear_predict(spark, sf):
-    # plain least squares (no ridge), so the unrounded prediction is comparable to 4 decimals
-    tt, per_fold, _ = _ols_n2(spark, sf)
-    model = fit_ols(total(per_fold, tt.width), tt.scaler, ridge=0.0)
-    return linear_predictions(tt.df, model).select("id", r("raw_prediction", 3).alias("raw_prediction"))
+    tt, _, model = _ols_all(spark, sf)
+    return linear_predictions(tt.df, model).select("id", r("raw_prediction", 1).alias("raw_prediction"))
 
 
 def m8_rounded_prediction(spark, sf):
-    tt, _, model = _ols_n2(spark, sf)
+    tt, _, model = _ols_all(spark, sf)
     return linear_predictions(tt.df, model).select("id", r("label", 6).alias("label"), "prediction")
 
 
 def m9_cv_one_point(spark, sf):
-    tt, per_fold, _ = _ols_n2(spark, sf)
+    tt, per_fold, _ = _ols_all(spark, sf)
     fm = S.ols_fold_models(tt, per_fold)
     m = S.fold_metrics(S.score_fold_models(tt, fm))
     return m.select("fold", "n", r("corr", 8).alias("corr"), r("mae", 4).alias("mae"),
@@ -697,7 +702,8 @@ def m9_sgd_cv_all_features(spark, sf):
 
 
 def m10_linear_grid(spark, sf):
-    tt = _tt(spark, sf, N2_SPEC)
+    """45 points x 10 folds on all 21 encoded features."""
+    tt = _tt(spark, sf)
     res = PR.linear_sgd_program(tt, scaled=True, model_selection=True)
     rep = res.grid_report
     return rep.select("grid_pos", "iterations", "step", r("corr", 8).alias("corr"),
@@ -726,24 +732,23 @@ def m13_refit_sgd(spark, sf):
 
 
 def m14_training_error(spark, sf):
-    tt, _, model = _ols_n2(spark, sf)
+    tt, _, model = _ols_all(spark, sf)
     m = training_error(tt, model)
     return m.select("n", r("corr", 8).alias("corr"), r("mae", 4).alias("mae"), r("rmse", 4).alias("rmse"))
 
 
 def m15_score_table(spark, sf):
-    model = _train_ols_n2(spark, sf)
+    """``score_table`` with an encoder of all nominal columns; the model weighs n2 alone."""
+    one = _train_ols_n2(spark, sf)
     enc = E.fit_encoder(_of(spark, sf, before=SCORING_CUTOFF),
                         FeatureSpec(id="id", nominal=ORDER_SPEC.nominal, numeric=("n2",)))
-    # the one-feature model reads only n2; the nominal columns are encoded to count unseen levels
-    sc = scoring_frame(_of(spark, sf, since=SCORING_CUTOFF), enc)
-    slot = enc.feature_names.index("n2")
-    pred = round_half_up(F.lit(float(model.intercept)) + F.lit(float(model.coef[0])) * F.col("f")[slot])
-    return sc.select("id", pred.alias("prediction"), "unseen_levels")
+    coef = np.zeros(enc.width)
+    coef[enc.feature_names.index("n2")] = one.coef[0]
+    return score_table(_of(spark, sf, since=SCORING_CUTOFF), enc, LinearModel(coef, one.intercept))
 
 
 def m16_pooled_cv_least_squares(spark, sf):
-    tt = _tt(spark, sf, N2_SPEC)
+    tt = _tt(spark, sf)
     res = PR.least_squares_program(tt, rounded=False, average="pooled")
     m = A.regression_metrics(res.extras["predictions"])
     return m.select("n", r("corr", 8).alias("corr"), r("mae", 4).alias("mae"), r("rmse", 4).alias("rmse"))
@@ -773,7 +778,7 @@ QUERIES = (
     t1_take_first, t2_best_point, t3_ranked_points,
     f1_string_split, f2_string_to_double, f3_concat, f4_power, f5_sqrt, f6_abs, f7_round_half_up,
     f8_array_ops, f9_map_lookup, f10_int_ranges,
-    m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m4_decision_tree_cv,
+    m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m3_lasso, m4_decision_tree_cv,
     m5_random_forest_cv, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
     m9_sgd_cv_all_features,
     m10_linear_grid, m11_tree_grid, m12_forest_grid, m13_refit_sgd, m14_training_error,
