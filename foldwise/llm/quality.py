@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import WHITESPACE, fresh, words_of
+from foldwise.llm.common import WHITESPACE, words_of
 from foldwise.session import write_table
 
 SYMBOLS = "#*$%&|<>"
@@ -165,8 +165,12 @@ def keep_documents(docs: DataFrame, text: str = "text", host: str = "source",
     """
     counted = with_counts(docs.select(F.col(host).alias("host"), F.col(text).alias("t")), "t")
     verdict = host_verdicts(host_rates(counted.drop("t")), max_rate)
-    whole, key, at, no = fresh(docs, "q_row", "host", "t", "rejected")
-    rows = docs.select(F.struct("*").alias(whole), F.col(host).alias(key), F.col(text).alias(at))
-    rows = with_counts(rows, at).filter(~base_failed(F.col("c"))).select(whole, key)
-    bad = verdict.filter("rejected").select(F.col("host").alias(key))
-    return rows.join(bad, key, "left_anti").select(f"{whole}.*")
+    rows = docs.select(F.struct("*").alias("q_row"), F.col(host).alias("host"),
+                       F.col(text).alias("t"))
+    # The optimiser would push the filter below the counts and copy their expressions into
+    # every lambda, which makes them quadratic in the text; it does not push a filter past a
+    # row number.
+    rows = (with_counts(rows, "t").withColumn("q_at_row", F.monotonically_increasing_id())
+            .filter(~base_failed(F.col("c")) & (F.col("q_at_row") >= 0)).select("q_row", "host"))
+    bad = verdict.filter("rejected").select("host")
+    return rows.join(bad, "host", "left_anti").select("q_row.*")
