@@ -236,6 +236,46 @@ sys AS (SELECT m.k, m.G, v.h, tn.n
 """
 
 
+# --- regression trees ----------------------------------------------------------------
+
+def _tree_ctes(depth: int) -> str:
+    """CTEs that grow one tree per fold key k (rows outside fold k; -1: all rows) on the dummies
+    and n3: ``n0 .. n{depth}`` hold every row's node at each level (heap numbers)."""
+    parts = [f"""{_encoding_ctes()},
+lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
+te AS (SELECT id, pos, value FROM enc, nd WHERE pos < nd.total OR pos = nd.total + 2),
+n0 AS (SELECT k.k, lab.id, 1 AS node FROM lab, (SELECT k FROM {FOLDS} UNION ALL SELECT -1) k)"""]
+    for d in range(depth):
+        parts.append(f"""v{d} AS (SELECT n.k, n.node, e.pos, e.value, count(*)::DOUBLE AS c, sum(lab.y) AS s
+       FROM n{d} n JOIN lab ON lab.id = n.id JOIN te e ON e.id = n.id WHERE lab.fold <> n.k GROUP BY 1, 2, 3, 4),
+g{d} AS (SELECT k, node, pos, (value + lead(value) OVER w) / 2 AS thr,
+              sum(c) OVER (w ROWS UNBOUNDED PRECEDING) AS nl, sum(s) OVER (w ROWS UNBOUNDED PRECEDING) AS sl,
+              sum(c) OVER (PARTITION BY k, node, pos) AS nn, sum(s) OVER (PARTITION BY k, node, pos) AS ss
+       FROM v{d} WINDOW w AS (PARTITION BY k, node, pos ORDER BY value)),
+h{d} AS (SELECT k, node, pos, thr, nl * (nn - nl) * (sl / nl - (ss - sl) / (nn - nl)) * (sl / nl - (ss - sl) / (nn - nl)) AS gain
+       FROM g{d} WHERE thr IS NOT NULL),
+b{d} AS (SELECT k, node, pos, thr FROM (SELECT *, row_number() OVER (PARTITION BY k, node ORDER BY gain DESC, pos, thr) AS rn
+       FROM h{d} WHERE gain > 0) x WHERE rn = 1),
+n{d + 1} AS (SELECT n.k, n.id, CASE WHEN b.node IS NULL THEN n.node WHEN e.value <= b.thr THEN 2 * n.node
+                              ELSE 2 * n.node + 1 END AS node
+       FROM n{d} n LEFT JOIN b{d} b ON b.k = n.k AND b.node = n.node
+       LEFT JOIN te e ON e.id = n.id AND e.pos = b.pos)""")
+    for d in range(1, depth + 1):
+        parts.append(f"""a{d} AS (SELECT n.k, n.node, avg(lab.y) AS p FROM n{d} n JOIN lab ON lab.id = n.id
+       WHERE lab.fold <> n.k GROUP BY 1, 2),
+p{d} AS (SELECT n.k, lab.fold, lab.y, {half_up(f'a{d}.p')} AS p FROM n{d} n JOIN lab ON lab.id = n.id
+       JOIN a{d} ON a{d}.k = n.k AND a{d}.node = n.node WHERE n.k = -1 OR n.k = lab.fold)""")
+    return ",\n".join(parts)
+
+
+def _tree_report(depth: int) -> str:
+    return f"""WITH {_tree_ctes(depth)},
+pf AS (SELECT fold, {metrics_sql()} FROM p{depth} WHERE k >= 0 GROUP BY fold),
+tr AS (SELECT {metrics_sql()} FROM p{depth} WHERE k = -1)
+SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf
+UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -445,6 +485,14 @@ v AS (SELECT feature, var_pop(label) AS var FROM lo GROUP BY feature),
 b AS (SELECT g.*, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, threshold) AS rn FROM g)
 SELECT b.feature, round(b.threshold, 4) AS threshold, b.n_left, b.n_right, round(b.gain / v.var, 8) AS gain_ratio
 FROM b JOIN v ON v.feature = b.feature WHERE rn = 1"""
+    q["m4_tree_exact"] = q["m5_forest_exact"] = _tree_report(3)
+    levels = "\nUNION ALL ".join(
+        f"SELECT {d - 1} AS grid_pos, {d} AS max_depth, fold, {metrics_sql()} FROM p{d} WHERE k >= 0 GROUP BY fold"
+        for d in (1, 2, 3))
+    q["m11_tree_grid_exact"] = f"""WITH {_tree_ctes(3)},
+pf AS ({levels})
+SELECT CAST(grid_pos AS INTEGER) AS grid_pos, CAST(max_depth AS INTEGER) AS max_depth, round(avg(corr), 8) AS corr,
+       round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf GROUP BY 1, 2"""
     q["m7_linear_predict"] = f"""{_LS_PRED}
 SELECT id, round(raw, 1) AS raw_prediction FROM pr WHERE k = -1"""
     q["m8_rounded_prediction"] = f"""{_LS_PRED}

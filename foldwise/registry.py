@@ -667,6 +667,35 @@ def m5_random_forest_cv(spark, sf):
     return res.report()
 
 
+# Few distinct values and a split sample that covers the table: these trees are exact.
+TREE_SPEC = FeatureSpec(id="id", nominal=ORDER_SPEC.nominal, numeric=("n3",), label="label")
+EXACT_BINS = 512
+
+
+def _rounded_report(res):
+    return res.report().select("stage", r("corr", 8).alias("corr"), r("mae", 4).alias("mae"),
+                               r("rmse", 4).alias("rmse"))
+
+
+def m4_tree_exact(spark, sf):
+    """A tree of depth 3 on the dummies and the line count, cross-validated and refitted."""
+    return _rounded_report(PR.tree_program(_tt(spark, sf, TREE_SPEC), max_depth=3, max_bins=EXACT_BINS))
+
+
+def m5_forest_exact(spark, sf):
+    """A forest of one tree without bootstrap on all features: the same tree."""
+    return _rounded_report(PR.forest_program(_tt(spark, sf, TREE_SPEC), num_trees=1, max_depth=3,
+                                             max_bins=EXACT_BINS, subset="all", bootstrap=False))
+
+
+def m11_tree_grid_exact(spark, sf):
+    """Depths 1 to 3 of the same tree from one fit per fold."""
+    res = PR.tree_program(_tt(spark, sf, TREE_SPEC), model_selection=True, depths=[1, 2, 3],
+                          bins=[EXACT_BINS])
+    return res.grid_report.select("grid_pos", "max_depth", r("corr", 8).alias("corr"),
+                                  r("mae", 4).alias("mae"), r("rmse", 4).alias("rmse"))
+
+
 def m6_best_split(spark, sf):
     j = _joined(spark, sf)
     long = SP.long_columns(j, ["n1", "n2", "n3", "n4"])
@@ -711,8 +740,9 @@ def m10_linear_grid(spark, sf):
 
 
 def m11_tree_grid(spark, sf):
+    """The program's whole grid: 25 depths x 11 bin counts, 110 fits read at every depth."""
     tt = _tt(spark, sf)
-    res = PR.tree_program(tt, model_selection=True, depths=[4, 6, 8], bins=[16, 32])
+    res = PR.tree_program(tt, model_selection=True)
     return res.grid_report.select("rank", "grid_pos", "max_depth", "max_bins", "corr", "mae", "rmse")
 
 
@@ -778,10 +808,10 @@ QUERIES = (
     t1_take_first, t2_best_point, t3_ranked_points,
     f1_string_split, f2_string_to_double, f3_concat, f4_power, f5_sqrt, f6_abs, f7_round_half_up,
     f8_array_ops, f9_map_lookup, f10_int_ranges,
-    m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m3_lasso, m4_decision_tree_cv,
-    m5_random_forest_cv, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
+    m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m3_lasso, m4_decision_tree_cv, m4_tree_exact,
+    m5_random_forest_cv, m5_forest_exact, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
     m9_sgd_cv_all_features,
-    m10_linear_grid, m11_tree_grid, m12_forest_grid, m13_refit_sgd, m14_training_error,
+    m10_linear_grid, m11_tree_grid, m11_tree_grid_exact, m12_forest_grid, m13_refit_sgd, m14_training_error,
     m15_score_table, m16_pooled_cv_least_squares, flagship_least_squares_cv,
 )
 
