@@ -275,3 +275,45 @@ def test_scaled_tree_scores_like_its_training_predictions(spark):
     scored = {r.id: r.prediction for r in score_table(feats, tt.encoder, run.model, scaler=tt.scaler).collect()}
     common = set(trained) & set(scored)
     assert len(common) == len(trained) and all(trained[i] == scored[i] for i in common)
+
+
+@pytest.mark.parametrize("scaled", [False, True])
+@pytest.mark.parametrize("kind", ["tree", "forest"])
+def test_ml_bundle_round_trip(spark, scaled, kind):
+    from foldwise.plans import programs as PR
+    from foldwise.plans.score import score_table
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, SCORING_CUTOFF, order_features, order_labels
+
+    tt = prepare_training(order_features(spark, SF_SMALL, before=SCORING_CUTOFF),
+                          order_labels(spark, SF_SMALL), ORDER_SPEC, n_folds=2)
+    run = (PR.tree_program(tt, max_depth=4, max_bins=16, scaled=scaled) if kind == "tree" else
+           PR.forest_program(tt, num_trees=3, max_depth=3, scaled=scaled))
+    scaler = tt.scaler if scaled else None
+    path = scratch_path(spark, "bundle")
+    assert SK.save_ml_model(run.model, path, tt.encoder, scaler)
+    model, enc, sc = SK.load_model(spark, path)
+    assert (sc is not None) == scaled
+    later = order_features(spark, SF_SMALL, since=SCORING_CUTOFF)
+    a = sorted(map(tuple, score_table(later, tt.encoder, run.model, scaler=scaler).collect()))
+    assert a == sorted(map(tuple, score_table(later, enc, model, scaler=sc).collect())) and a
+
+
+def test_lasso_meets_its_optimality_conditions(spark):
+    import numpy as np
+    from foldwise.operators.linear import fit_regularised
+    from foldwise.plans.training import prepare_training
+    from foldwise.sources.tables import ORDER_SPEC, order_features, order_labels
+
+    tt = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), ORDER_SPEC)
+    lam = 500.0
+    m = fit_regularised(tt.df, lam, 1.0, max_iter=1000)
+    pdf = tt.df.toPandas()
+    X, y = np.stack(pdf.f.values), pdf.label.values
+    sd = X.std(axis=0, ddof=1)
+    # gradient of the squared loss in scaled units: lam * sign where a weight is used, less elsewhere
+    g = ((X - X.mean(axis=0)) / sd).T @ (y - X @ m.coef - m.intercept) / len(y)
+    used = m.coef != 0
+    assert 0 < used.sum() < tt.width
+    assert np.allclose(g[used], lam * np.sign(m.coef[used]), rtol=0.01, atol=2)
+    assert (np.abs(g[~used]) <= lam * 1.01).all()
