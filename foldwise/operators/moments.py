@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import let_workers_import
 from .scale import Scaler
 
 MERGE_GROUPS = 32   # first-level groups per fold
@@ -141,6 +142,7 @@ def fold_summaries(df: DataFrame, width: int, features: str = "f", label: str =
                 held[k] = held[k].merge(s) if k in held else s
         yield from _rows(held, TaskContext.get().partitionId() % MERGE_GROUPS)
 
+    let_workers_import(df.sparkSession)
     parts = data.mapInArrow(partial, _ROW)
     some = parts.repartition("fold", "part").mapInArrow(_merged, _ROW)
     return some.repartition("fold").mapInArrow(_merged, _ROW).drop("part")

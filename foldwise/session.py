@@ -9,8 +9,10 @@ is created only when that setting is absent *and* the master is local.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put this package's folder on the Python workers' path.
+
+    A driver may have found the package by its own ``sys.path`` alone; workers
+    that are started elsewhere could not import it then. A folder that an
+    executor lacks (the package is installed there) does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    have = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediates.
 
