@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwise.session import let_workers_import
+
 # Fixed values of the word definition ``[^\x20\x09-\x0D]+``.
 WHITESPACE = " \t\n\x0b\x0c\r"
 
@@ -146,4 +148,5 @@ def arrow_tasks(df: DataFrame, fn, schema: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(batches)
 
+    let_workers_import(df.sparkSession)
     return df.mapInArrow(run, schema)
