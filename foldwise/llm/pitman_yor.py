@@ -574,8 +574,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
 
 
 def score(model: Model) -> DataFrame:
-    """One row per document of the fitted table: ``doc_id, n_tokens, n_known, train_tokens,
-    base_score, score``."""
+    """One row per document of the fitted table: ``doc_id, held_out, n_tokens, n_known,
+    train_tokens, base_score, score``."""
     s = model.state
     fine = "chunk long, doc binary, base binary, score binary, known binary"
 
@@ -646,7 +646,9 @@ def score(model: Model) -> DataFrame:
                         .repartition(model.n_buckets), run, fine)
     heads = model.buckets.filter("bucket < 0").select("chunk", "ids", "n", "valid")
     both = parts.unionByName(heads, allowMissingColumns=True)
-    return arrow_tasks(both.repartition("chunk")
-                       .sortWithinPartitions("chunk", F.col("ids").isNull()), close,
-                       "doc_id long, n_tokens long, n_known long, train_tokens long, "
-                       "base_score double, score double")
+    scored = arrow_tasks(both.repartition("chunk")
+                         .sortWithinPartitions("chunk", F.col("ids").isNull()), close,
+                         "doc_id long, n_tokens long, n_known long, train_tokens long, "
+                         "base_score double, score double")
+    return scored.select("doc_id", (~trains(F.col("doc_id"))).alias("held_out"), "n_tokens",
+                         "n_known", "train_tokens", "base_score", "score")

@@ -27,6 +27,7 @@ MAX_REPEAT_PCT = 50       # more of the words in repeated 3-word windows: "repet
 MAX_SYMBOL_PCT = 10       # more symbols per 100 words: "symbols"
 MAX_DUP_LINE_PCT = 30     # more of the lines with words repeat an earlier one: "dup_lines"
 MEAN_WORD_CHARS = (2, 20)  # mean word length outside: "word_length"
+SALTS = 64                # parts of a host's documents when verdicts are joined to texts
 MAX_RATE = 0.5            # a host is rejected from this shrunk failure rate on
 
 RULES = ("short", "repetitive", "symbols", "dup_lines", "word_length")
@@ -170,7 +171,13 @@ def keep_documents(docs: DataFrame, text: str = "text", host: str = "source",
     # The optimiser would push the filter below the counts and copy their expressions into
     # every lambda, which makes them quadratic in the text; it does not push a filter past a
     # row number.
-    rows = (with_counts(rows, "t").withColumn("q_at_row", F.monotonically_increasing_id())
-            .filter(~base_failed(F.col("c")) & (F.col("q_at_row") >= 0)).select("q_row", "host"))
-    bad = verdict.filter("rejected").select("host")
-    return rows.join(bad, "host", "left_anti").select("q_row.*")
+    rows = (with_counts(rows.withColumn("salt", F.pmod(F.xxhash64("t"), F.lit(SALTS))), "t")
+            .withColumn("q_at_row", F.monotonically_increasing_id())
+            .filter(~base_failed(F.col("c")) & (F.col("q_at_row") >= 0)).select("q_row", "host", "salt"))
+    bad = write_table(verdict.filter("rejected").select("host"), "quality-rejected")
+    if not bad.take(1):  # nothing to look up: the texts need no shuffle
+        return rows.select("q_row.*")
+    # a hot host's documents meet copies of its verdict in several tasks
+    bad = bad.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+                         ).withColumn("salt", F.col("salt").cast("long"))
+    return rows.join(bad, ["host", "salt"], "left_anti").select("q_row.*")

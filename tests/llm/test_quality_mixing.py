@@ -51,6 +51,8 @@ def test_bad_host_is_rejected_and_small_hosts_are_shrunk(spark):
     assert all(got[i].kept for i in range(400))
     assert not any(got[1000 + i].kept for i in range(200))
     assert got[1000].host_rejected and not got[1000].base_failed
+    kept = quality.keep_documents(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, r in got.items() if r.kept)
     assert got[2001].kept and not got[2000].kept
 
 
