@@ -204,7 +204,7 @@ def best_point(report: DataFrame) -> dict:
 
 # Concurrent fits each cache their own binned copy of ~(k-1)/k of the table.
 CONCURRENT_FIT_BYTES = 2 << 30
-CONCURRENT_FITS = 4
+CONCURRENT_FITS = 8
 
 _METRIC_ROWS = ("grid_pos int, fold int, n bigint, corr double, mae double, mse double, rmse double")
 
