@@ -165,7 +165,7 @@ def keep_documents(docs: DataFrame, text: str = "text", host: str = "source",
     document needs an id.
     """
     counted = with_counts(docs.select(F.col(host).alias("host"), F.col(text).alias("t")), "t")
-    verdict = host_verdicts(host_rates(counted.drop("t")), max_rate)
+    verdict = host_verdicts(write_table(host_rates(counted.drop("t")), "quality-hosts"), max_rate)
     rows = docs.select(F.struct("*").alias("q_row"), F.col(host).alias("host"),
                        F.col(text).alias("t"))
     # The optimiser would push the filter below the counts and copy their expressions into
