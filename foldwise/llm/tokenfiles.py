@@ -29,6 +29,7 @@ from foldwise.llm.files import attempt_name, mapped, writer
 from foldwise.llm.units import as_ids, encoded
 from foldwise.session import scratch_path, write_table
 
+MARKS = ",.;:!?"
 MANIFEST = "part int, file string, width int, n_docs long, n_tokens long"
 _LOADED: dict[str, tuple] = {}
 
@@ -60,13 +61,33 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, doc_id: st
         width = 2 if max(tok.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], f"<u{width}").tobytes()
 
-        def encode(units: list[str]) -> list[bytes]:
+        def library(units: list[str]) -> list[bytes]:
             # one call for all units: a unit is a "word" of the pre-tokenised input
             e = tok.encode(units, is_pretokenized=True, add_special_tokens=False)
             raw, word = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
             cut = (4 * np.searchsorted(word, np.arange(1, len(units) + 1))).tolist()
             return [raw[i:j] for i, j in zip([0, *cut[:-1]], cut)]
 
+        def encode(units: list[str]) -> list[bytes]:
+            # letters and the marks after them are different matches of the pattern: the
+            # letters are often known
+            whole: dict[str, bytes] = {}
+            parts: list[tuple[str, ...]] = []
+            for u in units:
+                core = u.rstrip(MARKS)
+                if 0 < len(core) < len(u) and (core[1:] if core[0] == " " else core).isalpha():
+                    parts.append((core, u[len(core):]))
+                else:
+                    parts.append((u,))
+            for p in parts:
+                for x in p:
+                    if x not in whole:
+                        whole[x] = kept.get(x.encode(), b"")
+            new = [x for x, raw in whole.items() if not raw]
+            if new:
+                whole.update(zip(new, library(new)))
+            return [whole[p[0]] if len(p) == 1 else whole[p[0]] + whole[p[1]] for p in parts]
+
         part, name = attempt_name()
         ids_out, ids, offsets, valid = None, [], [0], []
         for b in batches:

@@ -31,7 +31,7 @@ _WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\x
 
 #: Text bytes encoded at once in a task; units whose ids are kept from batch to batch.
 BATCH_BYTES = 4 << 20
-KEPT_UNITS = 600_000
+KEPT_UNITS = 900_000
 
 #: Gets new units, returns the ids of each as little-endian unsigned 32-bit bytes.
 Encode = Callable[[list[str]], list[bytes]]
@@ -80,14 +80,16 @@ def _hashes(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
 def _looked_up(units: list[bytes], encode: Encode, kept: dict[bytes, bytes]) -> list[bytes]:
     """The ids of distinct units; the table gets the new ones, and shrinks to these units when
     it is full."""
-    new = [u for u in units if u not in kept]
+    got = list(map(kept.get, units))
+    new = [i for i, ids in enumerate(got) if ids is None]
     if len(kept) + len(new) > KEPT_UNITS:
-        recent = {u: kept[u] for u in units if u in kept}
         kept.clear()
-        kept.update(recent)
+        kept.update((u, ids) for u, ids in zip(units, got) if ids is not None)
     if new:
-        kept.update(zip(new, encode([u.decode() for u in new])))
-    return [kept[u] for u in units]
+        fresh = [units[i] for i in new]
+        for i, u, ids in zip(new, fresh, encode([u.decode() for u in fresh])):
+            got[i] = kept[u] = ids
+    return got
 
 
 def _plain(text: bytes, encode: Encode, kept: dict[bytes, bytes]) -> bytes:
@@ -103,14 +105,19 @@ def _gathered(pieces: list[tuple[np.ndarray, np.ndarray]], encode: Encode,
     cut = [unit_starts(data, off) for data, off in pieces]
     hashes = [_hashes(data, s) for (data, _), s in zip(pieces, cut)]
     first, second = (np.concatenate([h[k] for h in hashes]) for k in range(2))
-    _, where, at = np.unique(first, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    new = np.concatenate([[True], first[order[1:]] != first[order[:-1]]]) if len(order) else np.zeros(0, bool)
+    at = np.empty(len(order), np.int64)
+    at[order] = np.cumsum(new) - 1
+    where = order[new]
     if (second != second[where][at]).any():
         raise RuntimeError("two units share a hash")
     begin = np.cumsum([0, *map(len, cut)])
     units: list[bytes] = []
-    order = np.argsort(where)  # in order of first appearance, chunk by chunk
+    order = np.argsort(where)  # in the order of their places, chunk by chunk
+    places = where[order]
     for k, (data, _) in enumerate(pieces):
-        own = where[order][(where[order] >= begin[k]) & (where[order] < begin[k + 1])] - begin[k]
+        own = places[slice(*np.searchsorted(places, begin[k:k + 2]))] - begin[k]
         raw, s = data.tobytes(), cut[k]
         ends = np.append(s[1:], len(data))
         units += [raw[i:j] for i, j in zip(s[own].tolist(), ends[own].tolist())]
