@@ -365,7 +365,7 @@ def test_trees_do_not_depend_on_layout_or_memory(spark, tt):
 
     other = dataclasses.replace(tt, df=tt.df.repartition(7).orderBy(F.desc("label")))
     for run in (lambda t, m: PR.tree_program(t, max_depth=5, max_bins=16, memory_mb=m),
-                lambda t, m: PR.forest_program(t, num_trees=4, max_depth=4, memory_mb=32)):
+                lambda t, m: PR.forest_program(t, num_trees=4, max_depth=4)):
         x, y = (run(t, m).report().collect() for t, m in ((tt, 64), (other, 8)))
         for r, s in zip(x, y):
             assert (r.corr, r.mae, r.rmse) == pytest.approx((s.corr, s.mae, s.rmse), rel=1e-9)
