@@ -106,3 +106,40 @@ def test_predictive_sums_to_one(spark):
     busy = s.customers > 20
     assert busy.sum() > 100
     assert np.abs(total[busy] - 1).mean() < 0.05 and abs(total[busy].mean() - 1) < 0.02
+
+
+def test_every_context_has_its_own_restaurant(spark):
+    from pyspark.sql import Row
+
+    n = 80_000  # twice as many contexts as this are more than have a code
+    pair = lambda i, j: f"a{i} b{j}"
+    rows = [(i, " ".join(pair(j, j) for j in range(k * 20, k * 20 + 20)))
+            for i, k in enumerate([k for k in range(n // 20)] * 2)]
+    train = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2
+                    for w in [None, *tokens(t)[:-1]])
+    sure = [j for j in range(n) if train[f"a{j}"] == 2 and train[f"b{(j * 7919 + 13) % n}"] == 2]
+    held = [i for i in range(10**6, 10**6 + 99) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows += [(held[0], " ".join(pair(j, j) for j in sure[::97])),
+             (held[1], " ".join(pair(j, (j * 7919 + 13) % n) for j in sure[::97]))]
+    m = py.fit(spark.createDataFrame([Row(doc_id=i, text=t) for i, t in rows]))
+    totals, at = {}, {}
+    for r in m.totals.filter("part >= 0 AND bucket IS NOT NULL").orderBy("part").collect():
+        totals.setdefault(r["bucket"], []).append((py._floats(r["c"]), py._floats(r["t"])))
+    for r in m.buckets.filter("bucket >= 0").collect():
+        x = py._Bucket(r.asDict()).cells()
+        if len(x.other):
+            c, t = (np.concatenate(y) for y in zip(*totals[r["bucket"]]))
+            assert len(c) == len(t) == len(x.other) and (t[c > 0] >= 1).all() and (t <= c).all()
+            for h, y in zip(x.other.tolist(), zip(c, t)):
+                assert at.setdefault(h, y) == y  # the same in every bucket
+    import pyarrow as pa
+    names = [w for w in train if w is not None]
+    h, _ = py.tokens(pa.array(names))
+    want = dict(zip(h[h != py.END].tolist(), (train[w] for w in names))) | {int(py.END): train[None]}
+    common = dict(zip(m.common.tolist(), m.state.customers))
+    assert len(at) > 10_000 and not set(at) & set(common)
+    assert {k: c for k, c in common.items() if c} | {k: c for k, (c, _) in at.items() if c} == want
+    assert m.state.other_tables == sum(t for _, t in at.values())
+    got = {r.doc_id: r.score for r in py.score(m).filter(f"doc_id >= {10**6}").collect()}
+    # after a word seen twice, always before the same word, that word is no surprise; another one is
+    assert got[held[0]] - got[held[1]] > 2.5 * len(sure[::97])
