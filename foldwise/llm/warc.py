@@ -222,7 +222,7 @@ class _Shard:
 
     def __init__(self, file: str):
         with reader(file + ".directory") as f:
-            rows = [x.split("\t") for x in f.read().decode().splitlines()]
+            rows = [x.split("\t") for x in f.read().decode().split("\n")[:-1]]
         self.firsts = [_place(k, int(i) if i else None) for k, i, _, _ in rows]
         self.ranges = [(int(a), int(n)) for _, _, a, n in rows]
         self.blocks = reader(file + ".blocks")
@@ -233,7 +233,7 @@ class _Shard:
             at, n = self.ranges[block]
             self.blocks.seek(at)
             text = zlib.decompress(self.blocks.read(n)).decode()
-            self.lines = [x.split("\t") for x in text.splitlines()]
+            self.lines = [x.split("\t") for x in text.split("\n")[:-1]]
             self.places = [_place(k, int(i) if i else None) for k, i, *_ in self.lines]
             self.at = block
 

@@ -44,6 +44,14 @@ def test_edges(spark, monkeypatch):
     assert round_trip(df.filter("page_id = 99")) == []
 
 
+def test_urls_with_unicode_line_ends(spark):
+    rows = [(i, f"http://a.example.com/x{c}y?{c}={i}", f"page {i}")
+            for i, c in enumerate("\x85\u2028\u2029\x1c\x1d\x1e\x0b\x0c")]
+    rows += [(20, "http://a.example.com/\u2028", "é" * 700), (21, "\u2029not a url\x85at all", "é" * 700)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert round_trip(df) == expected(rows)
+
+
 def test_lookup_of_a_few(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     captures = warc.write(d)
