@@ -8,7 +8,8 @@ import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, minhash, mixing, multiindex, pii, pitman_yor, quality, tokenfiles, toxicity, warc
+from foldwise.llm import (bpe, minhash, mixing, multiindex, pii, pitman_yor, quality, substrings, tokenfiles,
+                          toxicity, warc)
 from foldwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,9 +59,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (substrings.deduplicate(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash, op2_pitman_yor, op3_pii, op4_warc, op5_toxicity, op6_tokenfiles,
-                                    op7_quality, op8_multiindex, op9_bpe, op10_mixing)}
+                                    op7_quality, op8_multiindex, op9_bpe, op10_mixing, op11_substrings)}
 
 
 # The word class and white space of the contract, as DuckDB regular expressions.
@@ -163,5 +169,28 @@ FROM q LEFT JOIN fits USING (src, cum)
 """
 
 
+OP11_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+  FROM documents
+), win AS (
+  SELECT r, i, array_to_string(w[i:i + {substrings.WINDOW - 1}], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - {substrings.WINDOW - 2})) AS i FROM d)
+), rep AS (
+  SELECT r, i FROM win WHERE g IN (SELECT g FROM win GROUP BY g HAVING count(*) > 1)
+), gone AS (
+  SELECT DISTINCT r, i + k AS i FROM rep, (SELECT unnest(range({substrings.WINDOW})) AS k)
+), word AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+  FROM word ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality": OP7_SQL, "op10_mixing": OP10_SQL}
+    return {"op7_quality": OP7_SQL, "op10_mixing": OP10_SQL, "op11_substrings": OP11_SQL}

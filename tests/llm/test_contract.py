@@ -20,6 +20,7 @@ CONTRACT = {
     "op8": "query_id bigint, rank int, vec_id bigint, score double",
     "op9": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op11": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
 }
 
 
