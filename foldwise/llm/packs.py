@@ -267,12 +267,22 @@ class Exchange:
     def _is_exact(level: Level) -> bool:
         return bool(getattr(level, "exact", False))
 
-    def finish(self, use, schema: str) -> DataFrame:
-        """``use(arrays, before, survivors)`` yields record batches for each pack."""
+    def each(self):
+        """``batches of state rows -> (arrays, survivors before the last level, its survivors)``."""
         step = self._survivors()
 
-        def run(batches):
+        def packs_of(batches):
             for row, batch in read_packs(batches):
-                yield from use(*step(row, batch))
+                yield step(row, batch)
+
+        return packs_of
+
+    def finish(self, use, schema: str) -> DataFrame:
+        """A pass over all packs: ``use`` gets a task's packs as ``each`` gives them and yields
+        record batches."""
+        each = self.each()
+
+        def run(batches):
+            yield from use(each(batches))
 
         return arrow_tasks(spread(self.state, self.n_packs), run, schema)

@@ -8,8 +8,8 @@ import public_tokenizers as vocabularies
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import (bpe, minhash, mixing, multiindex, pii, pitman_yor, quality, substrings, tokenfiles,
-                          toxicity, warc)
+from foldwise.llm import (bpe, collocations, minhash, mixing, multiindex, pii, pitman_yor, quality, spelling, substrings,
+                          tokenfiles, toxicity, warc)
 from foldwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +64,18 @@ def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash, op2_pitman_yor, op3_pii, op4_warc, op5_toxicity, op6_tokenfiles,
-                                    op7_quality, op8_multiindex, op9_bpe, op10_mixing, op11_substrings)}
+                                    op7_quality, op8_multiindex, op9_bpe, op10_mixing, op11_substrings,
+                                    op12_collocations, op13_spelling)}
 
 
 # The word class and white space of the contract, as DuckDB regular expressions.
@@ -192,5 +201,86 @@ FROM d LEFT JOIN kept USING (r)
 """
 
 
+OP12_SQL = rf"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), total AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang
+), gram AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS m))
+), f AS (
+  SELECT lang, m, g, count(*)::BIGINT AS a, string_split(g, ' ') AS w FROM gram GROUP BY lang, m, g
+), cand AS (
+  SELECT * FROM f WHERE m > 1 AND a >= {collocations.MIN_COUNT}
+), cuts AS (
+  SELECT c.lang, c.m, c.g, c.a, k, x.a AS l, y.a AS r,
+         (({collocations.SCALE}::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.g = array_to_string(c.w[k + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), gone AS (
+  SELECT DISTINCT s.lang, s.g FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g FROM cand WHERE m = 3) t
+  JOIN cand s ON s.lang = t.lang AND s.g = t.g WHERE 100 * t.a >= {collocations.COVERED_PCT} * s.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank,
+       g AS phrase, a, l, r, n, score
+FROM best ANTI JOIN gone USING (lang, g) JOIN total USING (lang)
+QUALIFY rank <= {collocations.TOP}
+"""
+
+
+# CRC-32 byte by byte (reflected, polynomial 0xEDB88320); near words by deletion keys: a word and
+# one of its deletions, or two words with one deletion at the same place.
+OP13_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b)
+              ORDER BY b) AS t FROM range(256) x(b)
+), runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS doc_id,
+               unnest(regexp_extract_all(coalesce(text, ''), '[{spelling.LETTERS}]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.MIN_LENGTH} GROUP BY ALL
+), hashed AS (
+  SELECT run, k, xor(list_reduce(
+    list_transform(range(len(hx) // 2), lambda i: ('0x' || hx[2 * i + 1:2 * i + 2])::BIGINT),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) AS h
+  FROM (SELECT run, k, hex(encode(doc_id || ':' || run)) AS hx FROM runs), crc
+), words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % {spelling.DROP_EVERY} = 0
+                   THEN run[1:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(k) >= {spelling.MIN_COUNT}
+), del AS (
+  SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS cut
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a.word, b.word AS near FROM del a JOIN del b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT d.word, w.word FROM del d JOIN words w ON w.word = d.cut
+  UNION SELECT w.word, d.word FROM del d JOIN words w ON w.word = d.cut
+), best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(near, (-w.n, near)) AS form, max(w.n) AS form_n
+  FROM near JOIN words w ON w.word = near.near GROUP BY near.word
+), judged AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= {spelling.RATIO} * n THEN form END AS form,
+         CASE WHEN form_n >= {spelling.RATIO} * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS at FROM judged
+  UNION ALL
+  SELECT chain.word, judged.form FROM chain JOIN judged ON judged.word = chain.at WHERE judged.form IS NOT NULL
+)
+SELECT j.word, j.form, c.at AS root, j.n, j.n_near, j.form_n
+FROM judged j JOIN chain c ON c.word = j.word JOIN judged e ON e.word = c.at AND e.form IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality": OP7_SQL, "op10_mixing": OP10_SQL, "op11_substrings": OP11_SQL}
+    return {"op7_quality": OP7_SQL, "op10_mixing": OP10_SQL, "op11_substrings": OP11_SQL,
+            "op12_collocations": OP12_SQL, "op13_spelling": OP13_SQL}

@@ -20,6 +20,8 @@ CONTRACT = {
     "op8": "query_id bigint, rank int, vec_id bigint, score double",
     "op9": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op12": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+    "op13": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
     "op11": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
 }
 
