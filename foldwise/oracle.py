@@ -9,6 +9,8 @@ way on both sides.
 
 from __future__ import annotations
 
+import math
+
 # --- stand-in tables -------------------------------------------------------------
 
 def _order_features(where: str = "") -> str:
@@ -276,6 +278,53 @@ SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, ro
 UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr"""
 
 
+# A Poisson draw of mean 1 from 32 bits: the number of values of its distribution function passed.
+_POISSON = " + ".join(f"(h >= {int(2**32 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)))})::INTEGER"
+                      for k in range(12))
+
+
+def _bagged_report(depth: int, trees: int, seed: int) -> str:
+    """CV and training metrics of the mean of ``trees`` weighted trees per fold key k, grown on the dummies
+    and n3; candidate thresholds lie midway between the values of the whole bag."""
+    parts = [f"""{_encoding_ctes()},
+lab AS (SELECT id, label AS y, {fold_expr()} AS fold FROM rows),
+te AS (SELECT id, pos, value FROM enc, nd WHERE pos < nd.total OR pos = nd.total + 2),
+bag AS (SELECT id, t, ({_POISSON})::DOUBLE AS w FROM (
+  SELECT id, t, ('0x' || substr(md5('{seed}:' || t || ':' || id), 1, 8))::BIGINT AS h
+  FROM lab, (SELECT unnest(range({trees})) AS t))),
+n0 AS (SELECT k.k, bag.t, lab.id, CASE WHEN lab.fold <> k.k THEN bag.w ELSE 0 END AS w, lab.y, 1 AS node
+       FROM lab JOIN bag ON bag.id = lab.id, (SELECT k FROM {FOLDS} UNION ALL SELECT -1) k
+       WHERE lab.fold = k.k OR k.k = -1 OR bag.w > 0),
+gv AS (SELECT k, t, pos, value, lead(value) OVER (PARTITION BY k, t, pos ORDER BY value) AS nxt
+       FROM (SELECT DISTINCT n.k, n.t, e.pos, e.value FROM n0 n JOIN te e ON e.id = n.id WHERE n.w > 0) x)"""]
+    for d in range(depth):
+        parts.append(f"""v{d} AS (SELECT n.k, n.t, n.node, e.pos, e.value, sum(n.w) AS c, sum(n.w * n.y) AS s
+       FROM n{d} n JOIN te e ON e.id = n.id WHERE n.w > 0 GROUP BY 1, 2, 3, 4, 5),
+g{d} AS (SELECT k, t, node, pos, value, sum(c) OVER (w ROWS UNBOUNDED PRECEDING) AS nl,
+              sum(s) OVER (w ROWS UNBOUNDED PRECEDING) AS sl,
+              sum(c) OVER (PARTITION BY k, t, node, pos) AS nn, sum(s) OVER (PARTITION BY k, t, node, pos) AS ss
+       FROM v{d} WINDOW w AS (PARTITION BY k, t, node, pos ORDER BY value)),
+h{d} AS (SELECT g.k, g.t, g.node, g.pos, (gv.value + gv.nxt) / 2 AS thr,
+              nl * (nn - nl) * (sl / nl - (ss - sl) / (nn - nl)) * (sl / nl - (ss - sl) / (nn - nl)) AS gain
+       FROM g{d} g JOIN gv ON gv.k = g.k AND gv.t = g.t AND gv.pos = g.pos AND gv.value = g.value
+       WHERE gv.nxt IS NOT NULL AND nn > nl),
+b{d} AS (SELECT k, t, node, pos, thr FROM h{d} WHERE gain > 0
+       QUALIFY row_number() OVER (PARTITION BY k, t, node ORDER BY gain DESC, pos, thr) = 1),
+n{d + 1} AS (SELECT n.k, n.t, n.id, n.w, n.y, CASE WHEN b.node IS NULL THEN n.node WHEN e.value <= b.thr THEN 2 * n.node
+                              ELSE 2 * n.node + 1 END AS node
+       FROM n{d} n LEFT JOIN b{d} b ON b.k = n.k AND b.t = n.t AND b.node = n.node
+       LEFT JOIN te e ON e.id = n.id AND e.pos = b.pos)""")
+    parts.append(f"""leaf AS (SELECT k, t, node, sum(w * y) / sum(w) AS p FROM n{depth} WHERE w > 0 GROUP BY 1, 2, 3),
+pr AS (SELECT n.k, n.id, any_value(n.y) AS y, {half_up('avg(leaf.p)')} AS p
+       FROM n{depth} n JOIN leaf ON leaf.k = n.k AND leaf.t = n.t AND leaf.node = n.node JOIN lab ON lab.id = n.id
+       WHERE n.k = -1 OR n.k = lab.fold GROUP BY n.k, n.id),
+pf AS (SELECT k, {metrics_sql()} FROM pr WHERE k >= 0 GROUP BY k),
+tr AS (SELECT {metrics_sql()} FROM pr WHERE k = -1)
+SELECT 'cv' AS stage, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf
+UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM tr""")
+    return "WITH " + ",\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -493,6 +542,14 @@ FROM b JOIN v ON v.feature = b.feature WHERE rn = 1"""
 pf AS ({levels})
 SELECT CAST(grid_pos AS INTEGER) AS grid_pos, CAST(max_depth AS INTEGER) AS max_depth, round(avg(corr), 8) AS corr,
        round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf GROUP BY 1, 2"""
+    q["m5_bagged_exact"] = _bagged_report(3, 5, 42)
+    levels = "\nUNION ALL ".join(
+        f"SELECT {3 * t + d - 4} AS grid_pos, {t} AS num_trees, {d} AS max_depth, fold, {metrics_sql()} "
+        f"FROM p{d} WHERE k >= 0 GROUP BY fold" for t in (1, 2, 3) for d in (1, 2, 3))
+    q["m12_forest_grid_exact"] = f"""WITH {_tree_ctes(3)},
+pf AS ({levels})
+SELECT grid_pos, num_trees, max_depth, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae,
+       round(avg(rmse), 4) AS rmse FROM pf GROUP BY 1, 2, 3"""
     q["m7_linear_predict"] = f"""{_LS_PRED}
 SELECT id, round(raw, 1) AS raw_prediction FROM pr WHERE k = -1"""
     q["m8_rounded_prediction"] = f"""{_LS_PRED}

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.linear import fit_ols, fit_sgd
 from ..operators.metrics import macro_average, regression_metrics
 from ..operators.moments import total
-from ..operators.trees import (DEFAULT_SEED, FOREST_MEMORY_MB, TREE_MEMORY_MB, forest_estimator,
+from ..operators.trees import (DEFAULT_SEED, FOREST_MEMORY_MB, TREE_MEMORY_MB, BaggedForest, forest_estimator,
                                tree_estimator)
 from . import grid as G
 from . import select as S
@@ -155,13 +155,31 @@ def forest_program(tt: TrainingTable, model_selection: bool = False,
                    depths: list[int] | None = None, seed: int = DEFAULT_SEED,
                    parallelism: int | None = None, scaled: bool = False,
                    memory_mb: int = FOREST_MEMORY_MB, subset: str = "auto",
-                   bootstrap: bool = True) -> RunResult:
-    def make(ntrees, depth):
+                   bootstrap: bool = True, bags: str = "partition") -> RunResult:
+    """Random forest; a grid search fits one forest per fold, whose first trees cut at each depth
+    are the grid's points (see :func:`~foldwise.plans.select.forest_prefix_metrics`).
+
+    ``bags="partition"``: the estimator's own bags, drawn by partition of the fixed layout (none with
+    ``bootstrap=False``); ``bags="row"``: bags from a hash of the id
+    (:class:`~foldwise.operators.trees.BaggedForest`), one fit a tree, no grid search.
+    """
+    if bags not in ("partition", "row"):
+        raise ValueError(f"unknown bags {bags!r}")
+    if bags == "row" and (model_selection or not bootstrap):
+        raise ValueError("row bags are for one bootstrapped forest")
+
+    def make(ntrees, depth, leaf_col=""):
+        if bags == "row":
+            return BaggedForest(ntrees, depth, max_bins, seed, subset, memory_mb)
         return forest_estimator(ntrees, depth, max_bins, seed, subset, memory_mb=memory_mb,
-                                bootstrap=bootstrap)
-    return _estimator_program(tt, make, (num_trees, max_depth), trees or G.FOREST_TREES,
-                              depths or G.FOREST_DEPTHS, ("num_trees", "max_depth"),
-                              model_selection, parallelism, scaled)
+                                bootstrap=bootstrap, leaf_col=leaf_col)
+
+    trees, depths = trees or G.FOREST_TREES, depths or G.FOREST_DEPTHS
+    return _estimator_program(
+        tt, make, (num_trees, max_depth), trees, depths, ("num_trees", "max_depth"), model_selection,
+        parallelism, scaled,
+        lambda: S.forest_prefix_metrics(tt, lambda t, d: make(t, d, "leaf"), trees, depths, parallelism,
+                                        scale=scaled))
 
 
 def training_predictions(tt: TrainingTable, model, rounded: bool = True, scaler=None) -> DataFrame:

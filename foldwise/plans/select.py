@@ -9,8 +9,8 @@ metrics per (point, fold) with map-side partial aggregation.
 
 Trees and forests are fitted with ``pyspark.ml`` on rows laid out from the data
 alone; each task scores its own validation rows and releases its model. A tree
-grid takes one fit per (bins, fold), read at every depth; a forest has no such
-shortcut and takes one per (point, fold).
+grid takes one fit per (bins, fold), read at every depth; a forest grid takes one per
+fold, read at every depth and every number of its first trees.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from ..functions.columns import round_half_up
 from ..operators.linear import LinearModel, fit_ols, fit_sgd_grid, prediction_from_columns
 from ..operators.metrics import macro_average, regression_metrics
 from ..operators.moments import Moments, total
-from ..operators.trees import depth_predictions, tree_rows
-from ..session import temporary_path
+from ..operators.trees import depth_predictions, forest_leaves, tree_rows
+from ..session import delete_path, temporary_path
 from .training import TrainingTable
 
 # Upper bound for the model table that is broadcast to the scoring pass.
@@ -218,12 +218,12 @@ def fit_parallelism(tt: TrainingTable, requested: int | None = None) -> int:
 
 @contextmanager
 def estimator_rows(tt: TrainingTable, scale: bool = False) -> Iterator[DataFrame]:
-    """``label, fold, features`` in the layout of :func:`tree_rows`, kept while fits read it."""
+    """``id, label, fold, features`` in the layout of :func:`tree_rows`, kept while fits read it."""
     from pyspark.ml.functions import array_to_vector
 
     rows = tree_rows(tt.df, tt.n_rows)
     src = tt.scaler.transform(rows) if scale else rows
-    data = src.select("label", "fold", array_to_vector("f").alias("features")).persist(
+    data = src.select("id", "label", "fold", array_to_vector("f").alias("features")).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
         yield data
@@ -291,6 +291,46 @@ def tree_depth_metrics(tt: TrainingTable, make_tree, depths: list[int], bins: li
     return spark.createDataFrame(rows, _METRIC_ROWS)
 
 
+def forest_prefix_metrics(tt: TrainingTable, make_forest, trees: list[int], depths: list[int],
+                          parallelism: int | None = None, rounded: bool = True,
+                          scale: bool = False) -> DataFrame:
+    """Per (point, fold) metrics of a forest grid (tree counts outer, depths inner), one fit per
+    fold: the largest forest, of which every point is a part.
+
+    The point (t trees, depth d) is the first t trees of that forest, each cut at depth d. A tree
+    depends on its own bag only, so the first t trees are a forest of t trees, and a tree cut at d
+    is a tree grown to d. ``make_forest(trees, depth)`` returns an estimator whose model gives a row's
+    leaves in the vector ``leaf``. Validation rows are joined to the table of leaves once per
+    tree; one aggregate makes the running means over the trees and one the metrics of all points.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    spark = tt.df.sparkSession
+
+    with estimator_rows(tt, scale) as data:
+        def one(k):
+            model = make_forest(max(trees), max(depths)).fit(data.filter(F.col("fold") != k))
+            leaves, path = forest_leaves(model, depths)
+            own = data.filter(F.col("fold") == k).withColumn("row", F.monotonically_increasing_id())
+            rows = model.transform(own).select(
+                "row", "label", F.posexplode(vector_to_array("leaf")).alias("tree", "leaf"))
+            sums = rows.join(leaves, ["tree", "leaf"]).groupBy("row", "label").agg(
+                *[F.sum(F.when(F.col("tree") < t, F.col("preds")[j])).alias(f"s{i}_{j}")
+                  for i, t in enumerate(trees) for j in range(len(depths))])
+            raw = sums.select("label", F.posexplode(F.array(
+                *[F.col(f"s{i}_{j}") / F.lit(float(t)) for i, t in enumerate(trees)
+                  for j in range(len(depths))])).alias("at", "raw"))
+            pred = raw.withColumn("prediction", round_half_up("raw") if rounded else F.col("raw"))
+            got = [(m["at"], k, m["n"], m["corr"], m["mae"], m["mse"], m["rmse"])
+                   for m in regression_metrics(pred, ["at"]).collect()]
+            delete_path(spark, path)
+            return got
+
+        with ThreadPoolExecutor(max_workers=fit_parallelism(tt, parallelism)) as pool:
+            rows = [r for part in pool.map(one, range(tt.n_folds)) for r in part]
+    return spark.createDataFrame(rows, _METRIC_ROWS)
+
+
 def as_params_frame(spark: SparkSession, params: dict[int, tuple], names: tuple[str, str],
                     types: tuple[str, str]) -> DataFrame:
     rows = [(g, *map(lambda v, t: int(v) if t == "int" else float(v), p, types))

@@ -688,6 +688,13 @@ def m5_forest_exact(spark, sf):
                                              max_bins=EXACT_BINS, subset="all", bootstrap=False))
 
 
+def m5_bagged_exact(spark, sf):
+    """Five trees of depth 3 on bags drawn by a hash of the id, all features, cross-validated and
+    refitted."""
+    return _rounded_report(PR.forest_program(_tt(spark, sf, TREE_SPEC), num_trees=5, max_depth=3,
+                                             max_bins=EXACT_BINS, subset="all", bags="row"))
+
+
 def m11_tree_grid_exact(spark, sf):
     """Depths 1 to 3 of the same tree from one fit per fold."""
     res = PR.tree_program(_tt(spark, sf, TREE_SPEC), model_selection=True, depths=[1, 2, 3],
@@ -747,11 +754,21 @@ def m11_tree_grid(spark, sf):
 
 
 def m12_forest_grid(spark, sf):
+    """The program's whole grid, 5 tree counts x 5 depths, from one forest per fold."""
     tt = _tt(spark, sf)
-    res = PR.forest_program(tt, model_selection=True, trees=[4, 8], depths=[4, 6])
+    res = PR.forest_program(tt, model_selection=True)
     return res.grid_report.select("rank", "grid_pos", "num_trees", "max_depth", "corr", "mae", "rmse")
 
 
+def m12_forest_grid_exact(spark, sf):
+    """Forests of one to three trees without bootstrap on all features, at depths 1 to 3: every tree is
+    the same, so the points of a depth are the tree of that depth."""
+    res = PR.forest_program(_tt(spark, sf, TREE_SPEC), model_selection=True, trees=[1, 2, 3], depths=[1, 2, 3],
+                            max_bins=EXACT_BINS, subset="all", bootstrap=False)
+    return res.grid_report.select("grid_pos", "num_trees", "max_depth", r("corr", 8).alias("corr"),
+                                  r("mae", 4).alias("mae"), r("rmse", 4).alias("rmse"))
+
+
 def m13_refit_sgd(spark, sf):
     """Gradient descent (200 iterations, step 1.0, scaled) refitted on all encoded rows."""
     tt = _tt(spark, sf)
@@ -809,9 +826,9 @@ QUERIES = (
     f1_string_split, f2_string_to_double, f3_concat, f4_power, f5_sqrt, f6_abs, f7_round_half_up,
     f8_array_ops, f9_map_lookup, f10_int_ranges,
     m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m3_lasso, m4_decision_tree_cv, m4_tree_exact,
-    m5_random_forest_cv, m5_forest_exact, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
+    m5_random_forest_cv, m5_forest_exact, m5_bagged_exact, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
     m9_sgd_cv_all_features,
-    m10_linear_grid, m11_tree_grid, m11_tree_grid_exact, m12_forest_grid, m13_refit_sgd, m14_training_error,
+    m10_linear_grid, m11_tree_grid, m11_tree_grid_exact, m12_forest_grid, m12_forest_grid_exact, m13_refit_sgd, m14_training_error,
     m15_score_table, m16_pooled_cv_least_squares, flagship_least_squares_cv,
 )
 

@@ -117,6 +117,14 @@ def write_table(df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> D
     return spark.read.parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete one written table or model; for the end of a step whose frames are used no more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _written:
+        _written.remove(path)
+
+
 def drop_scratch(spark: SparkSession, since: int = 0) -> None:
     """Delete the temporary tables written since a :func:`scratch_mark`; for the end of a job,
     when no frame that reads them is used any more."""

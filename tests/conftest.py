@@ -8,9 +8,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 # Hand-made CSV fixtures (FIXTURES.md section 2).
 FEATURES_1 = """id,c1,c2,c3,c4,c5,n1,n2
 r1,a,x,p,u,k,1.0,10

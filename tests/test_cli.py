@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from sample_tables import SF_SMALL
 from foldwise.__main__ import main
 from foldwise.session import scratch_path
 from foldwise.sources.csv import write_csv

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sample_tables import SF_SMALL
 from foldwise.functions.columns import fold_of, round_half_up
 from foldwise.operators import folds as K
 from foldwise.operators.inspect import first_rows

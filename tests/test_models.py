@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sample_tables import SF_SMALL
 from foldwise.operators import splits as SP
 from foldwise.operators import trees as TR
 from foldwise.operators.linear import fit_ols, fit_sgd, fit_sgd_grid, sgd_path
@@ -383,3 +383,63 @@ def test_fold_scope_scaling_uses_training_rows_only(spark, tt):
     assert table.mae != fold.mae and table.mae == pytest.approx(fold.mae, rel=0.05)
     with pytest.raises(ValueError):
         PR.linear_sgd_program(tt, scale_scope="row")
+
+
+def _walk(nodes, x, depth):
+    """Prediction of a saved tree (rows by node id) cut at ``depth``."""
+    at = 0
+    for _ in range(depth):
+        n = nodes[at]
+        if n["leftChild"] < 0:
+            break
+        feature, threshold = n["split"]["featureIndex"], n["split"]["leftCategoriesOrThreshold"][0]
+        at = n["leftChild"] if x[feature] <= threshold else n["rightChild"]
+    return nodes[at]["prediction"]
+
+
+def test_forest_grid_points_are_first_trees_cut_at_a_depth(spark, tt, tmp_path):
+    trees, depths = [2, 5], [2, 3, 6]
+    make = lambda t, d, leaf="leaf": TR.forest_estimator(t, d, seed=7, leaf_col=leaf)
+    got = {(r["grid_pos"], r["fold"]): r for r in S.forest_prefix_metrics(tt, make, trees, depths, rounded=False).collect()}
+    assert len(got) == 6 * tt.n_folds
+    with S.estimator_rows(tt) as data:
+        model = make(5, 6).fit(data.filter("fold <> 3"))
+        model.write().save(f"{tmp_path}/forest")
+        val = [(r["label"], r["features"].toArray()) for r in data.filter("fold = 3").collect()]
+    nodes = [{} for _ in range(5)]
+    for r in spark.read.parquet(f"{tmp_path}/forest/data").collect():
+        nodes[r["treeID"]][r["nodeData"]["id"]] = r["nodeData"]
+    y = np.array([v[0] for v in val])
+    for i, t in enumerate(trees):
+        for j, d in enumerate(depths):
+            p = np.array([np.mean([_walk(nodes[k], x, d) for k in range(t)]) for _, x in val])
+            m = got[(i * len(depths) + j, 3)]
+            assert m["n"] == len(y)
+            assert m["mae"] == pytest.approx(np.abs(y - p).mean(), rel=1e-9)
+            assert m["corr"] == pytest.approx(np.corrcoef(y, p)[0, 1], rel=1e-9)
+
+
+def test_bag_weights_are_poisson_and_depend_on_the_id_alone(spark):
+    ids = spark.range(20_000)
+    rows = ids.select("id", *[TR.bag_weight("id", t, 5).alias(f"w{t}") for t in range(3)])
+    a = sorted(tuple(r) for r in rows.collect())
+    assert a == sorted(tuple(r) for r in rows.repartition(13).collect())
+    w = np.array(a)[:, 1:]
+    for k in range(3):
+        assert abs(w[:, k].mean() - 1) < .03 and abs(w[:, k].var() - 1) < .06
+        for n, want in enumerate((.3679, .3679, .1839, .0613)):
+            assert abs((w[:, k] == n).mean() - want) < .015
+    assert abs(np.corrcoef(w[:, 0], w[:, 1])[0, 1]) < .03
+
+
+def test_row_bags_do_not_depend_on_layout(spark, tt):
+    with S.estimator_rows(tt) as data:
+        rows = data.filter("fold < 5")
+        one = TR.BaggedForest(3, 3, 512, subset="all").fit(rows)
+        # the rows of an id in another order and in other partitions
+        other = TR.BaggedForest(3, 3, 512, subset="all").fit(rows.repartition(9, "label"))
+        p, q = ({r["id"]: r["prediction"] for r in m.transform(data).select("id", "prediction").collect()}
+                for m in (one, other))
+    assert p.keys() == q.keys() and all(p[k] == pytest.approx(q[k], rel=1e-9) for k in p)
+    with pytest.raises(ValueError):
+        PR.forest_program(tt, bags="row", model_selection=True)

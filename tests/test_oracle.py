@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF_SMALL
+from sample_tables import SF_SMALL
 
 import __spark_entry__ as entry
 import oracle_compare as oc

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from sample_tables import SF_SMALL
 from foldwise.operators.linear import fit_ols
 from foldwise.operators.moments import total
 from foldwise.plans.score import score_table
