@@ -15,6 +15,12 @@ intercept at 1.0; iteration i moves by ``step / sqrt(i)`` times the mean
 gradient ``(G w - h) / n``; from the second iteration on it stops once
 ``|w_i - w_(i-1)| < 0.001 * max(|w_i|, 1)``. One path serves every iteration
 count of a grid: counts are snapshots of the same path.
+
+Penalties (``penalty="l2"`` ridge, ``"l1"`` lasso) change the step only: with the step length
+``t = step / sqrt(i)``, ridge first shrinks the weights by ``1 - t * reg``, lasso moves each
+weight towards 0 by ``t * reg`` after the gradient step and stops it there (soft threshold). As
+in the cluster programs' optimiser the intercept is a weight like the others, so it is
+penalised too. All penalties of a grid and all folds come from the same moments.
 """
 
 from __future__ import annotations
@@ -133,13 +139,19 @@ def fit_ols(m: Moments, scaler: Scaler, ridge: float = 1e-8) -> LinearModel:
 
 # --- gradient descent ------------------------------------------------------------
 
+PENALTIES = (None, "l1", "l2")
+
+
 def sgd_path(G: np.ndarray, h: np.ndarray, iterations: list[int], step: float,
-             tol: float = CONVERGENCE_TOL) -> dict[int, tuple[np.ndarray, int]]:
-    """Weights over (x, 1) after each requested iteration count.
+             tol: float = CONVERGENCE_TOL, penalty: str | None = None,
+             reg: float = 0.0) -> dict[int, tuple[np.ndarray, int]]:
+    """Weights over (x, 1) after each requested iteration count, with an optional penalty.
 
     Returns ``{count: (weights, iterations actually run)}``; a count past the
     stopping point gets the stopped weights.
     """
+    if penalty not in PENALTIES or reg < 0 or (penalty is None and reg):
+        raise ValueError(f"penalty {penalty!r} with reg {reg}")
     n = G[-1, -1]
     dim = G.shape[0]
     w = np.zeros(dim)
@@ -154,7 +166,10 @@ def sgd_path(G: np.ndarray, h: np.ndarray, iterations: list[int], step: float,
     with np.errstate(over="ignore", invalid="ignore"):
         for i in range(1, last + 1):
             grad = (G @ w - h) / n
-            w = w - (step / np.sqrt(i)) * grad
+            t = step / np.sqrt(i)
+            w = (w * (1.0 - t * reg) if penalty == "l2" else w) - t * grad
+            if penalty == "l1":
+                w = np.sign(w) * np.maximum(np.abs(w) - t * reg, 0.0)
             ran = i
             if i in wanted:
                 out[i] = (w.copy(), ran)
@@ -169,12 +184,13 @@ def sgd_path(G: np.ndarray, h: np.ndarray, iterations: list[int], step: float,
 
 
 def fit_sgd(m: Moments, scaler: Scaler, iterations: int, step: float,
-            scaled: bool) -> LinearModel:
-    return fit_sgd_grid(m, scaler, [iterations], [step], scaled)[(iterations, step)]
+            scaled: bool, penalty: str | None = None, reg: float = 0.0) -> LinearModel:
+    return fit_sgd_grid(m, scaler, [iterations], [step], scaled, penalty, reg)[(iterations, step)]
 
 
 def fit_sgd_grid(m: Moments, scaler: Scaler, iterations: list[int], steps: list[float],
-                 scaled: bool) -> dict[tuple[int, float], LinearModel]:
+                 scaled: bool, penalty: str | None = None,
+                 reg: float = 0.0) -> dict[tuple[int, float], LinearModel]:
     """Every (iterations, step) point of a grid from one path per step."""
     if scaled:
         G, h = scaled_moments(m, scaler)
@@ -183,7 +199,7 @@ def fit_sgd_grid(m: Moments, scaler: Scaler, iterations: list[int], steps: list[
     d = scaler.width
     out = {}
     for step in steps:
-        for count, (w, ran) in sgd_path(G, h, iterations, step).items():
+        for count, (w, ran) in sgd_path(G, h, iterations, step, penalty=penalty, reg=reg).items():
             if scaled:
                 model = _z_to_raw(w, scaler, 0.0)
             else:

@@ -542,6 +542,55 @@ FROM b JOIN v ON v.feature = b.feature WHERE rn = 1"""
 pf AS ({levels})
 SELECT CAST(grid_pos AS INTEGER) AS grid_pos, CAST(max_depth AS INTEGER) AS max_depth, round(avg(corr), 8) AS corr,
        round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse FROM pf GROUP BY 1, 2"""
+    penalty = """list_transform(list_zip(it.w, sys.G, sys.h), lambda p: p[1] * (1 - t * l2)
+                     - t * (list_dot_product(p[2], it.w) - p[3]) / sys.n)"""
+
+    def descent(points: str, keys: str) -> str:
+        """``it(g, k, i, w, done)``: penalised descent, 200 iterations of step 1.0."""
+        return f"""{_SGD_ALL}pts AS (SELECT * FROM (VALUES {points}) v(g, penalty, reg, l1, l2)),
+it(g, k, i, w, done) AS (
+    SELECT pts.g, sys.k, 0, list_transform(range(dim.d + 1),
+                                    lambda q: CASE WHEN q = dim.d THEN 1.0 ELSE 0.0 END::DOUBLE), false
+    FROM sys, dim, pts WHERE {keys}
+    UNION ALL
+    SELECT g, k, i, nw,
+           i >= 2 AND sqrt(list_sum(list_transform(list_zip(nw, w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))
+                      < 0.001 * greatest(sqrt(list_dot_product(nw, nw)), 1.0)
+    FROM (SELECT g, k, i, w, list_transform(u, lambda x: sign(x) * greatest(abs(x) - t * l1, 0.0)) AS nw
+          FROM (SELECT it.g, it.k, it.i, it.w, it.t, pts.l1, {penalty} AS u
+                FROM (SELECT g, k, i + 1 AS i, w, 1.0 / sqrt(i + 1) AS t FROM it WHERE i < 200 AND NOT done) it
+                JOIN sys ON sys.k = it.k JOIN pts ON pts.g = it.g) s) s2
+),
+fin AS (SELECT it.g, it.k, it.w FROM it JOIN (SELECT g, k, max(i) AS i FROM it GROUP BY g, k) l
+        ON l.g = it.g AND l.k = it.k AND l.i = it.i),
+wl AS (SELECT g, k, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS wv FROM fin)"""
+
+    for name, l1, l2 in (("m3_ridge_descent", 0.0, 0.1), ("m3_lasso_descent", 2000.0, 0.0)):
+        q[name] = f"""{descent(f"(0, '', 0.0, {l1}::DOUBLE, {l2}::DOUBLE)", "sys.k = -1")},
+raw AS (SELECT wl.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0 ELSE wl.wv / st.s END AS c, st.m
+        FROM wl JOIN st ON st.pos = wl.pos),
+names AS (SELECT CAST(off.start + lv.idx - 1 AS INTEGER) AS pos, lv.col || '=' || lv.level AS feature
+          FROM lv JOIN off ON off.col = lv.col WHERE lv.idx >= 1
+          UNION ALL SELECT CAST(nd.total + k.k AS INTEGER), 'n' || CAST(k.k + 1 AS VARCHAR)
+          FROM nd, (VALUES (0), (1), (2), (3)) k(k))
+SELECT names.feature, round(raw.c, 4) AS coefficient FROM raw JOIN names ON names.pos = raw.pos
+UNION ALL
+SELECT '(intercept)', round((SELECT wv FROM wl, dim WHERE pos = dim.d) - sum(c * m), 4) FROM raw"""
+    grid = [("none", 0.0), ("l1", 10.0), ("l1", 100.0), ("l1", 1000.0), ("l1", 10000.0),
+            ("l2", 0.001), ("l2", 0.01), ("l2", 0.1), ("l2", 0.5)]
+    points = ", ".join(f"({g}, '{p}', {x}::DOUBLE, {x if p == 'l1' else 0.0}::DOUBLE, {x if p == 'l2' else 0.0}::DOUBLE)"
+                       for g, (p, x) in enumerate(grid))
+    q["m3_penalty_grid"] = f"""{descent(points, "sys.k >= 0")},
+cvp AS (SELECT wl.g, zf.id, zf.fold, sum(wl.wv * zf.z) AS raw FROM zf JOIN wl ON wl.k = zf.fold AND wl.pos = zf.pos
+        GROUP BY 1, 2, 3),
+pr AS (SELECT p.g, p.fold, lab.y, {half_up('p.raw')} AS p FROM cvp p JOIN lab ON lab.id = p.id),
+fm AS (SELECT g, fold, {metrics_sql()} FROM pr GROUP BY g, fold)
+SELECT CAST(g AS INTEGER) AS grid_pos, pts.penalty, pts.reg, round(avg(corr), 8) AS corr, round(avg(mae), 4) AS mae,
+       round(avg(rmse), 4) AS rmse FROM fm JOIN pts USING (g) GROUP BY g, pts.penalty, pts.reg"""
+    q["k4_balanced_folds"] = f"""SELECT id, CAST((row_number() OVER (ORDER BY md5('1:' || id), id::VARCHAR) - 1) % 10 AS INTEGER) AS fold
+FROM ({TJ}) t"""
+    q["k4_balanced_fold_sizes"] = """SELECT CAST(k AS INTEGER) AS fold, (n // 10 + CASE WHEN k < n % 10 THEN 1 ELSE 0 END)::BIGINT AS n
+FROM (SELECT count(*) AS n FROM lineitem), (SELECT unnest(range(10)) AS k)"""
     q["m5_bagged_exact"] = _bagged_report(3, 5, 42)
     levels = "\nUNION ALL ".join(
         f"SELECT {3 * t + d - 4} AS grid_pos, {t} AS num_trees, {d} AS max_depth, fold, {metrics_sql()} "

@@ -78,6 +78,27 @@ def linear_sgd_program(tt: TrainingTable, scaled: bool = True, model_selection:
                      training, model, report)
 
 
+def penalised_program(tt: TrainingTable, penalties: list[tuple[str | None, float]],
+                      iterations: int = G.LINEAR_DEFAULT[0], step: float = G.LINEAR_DEFAULT[1],
+                      scaled: bool = True) -> RunResult:
+    """Ridge (``"l2"``) and lasso (``"l1"``) by descent: cross-validates every (penalty, strength) in
+    one scoring pass and refits the best.
+
+    ``grid_report``: ``rank, grid_pos, penalty, reg, folds, corr, mae, rmse``.
+    """
+    spark = tt.df.sparkSession
+    per_fold = S.fold_moments(tt)
+    fm = S.penalised_fold_models(tt, penalties, iterations, step, scaled, per_fold)
+    names = spark.createDataFrame([(g, p or "none", float(r)) for g, (p, r) in enumerate(penalties)],
+                                  "grid_pos int, penalty string, reg double")
+    report = S.point_report(S.grid_fold_metrics(tt, fm), names)
+    best = S.best_point(report)
+    penalty, reg = penalties[best["grid_pos"]]
+    model = fit_sgd(total(per_fold, tt.width), tt.scaler, iterations, step, scaled, penalty, reg)
+    return RunResult({"penalty": penalty, "reg": reg, "iterations": iterations, "step": step, "scaled": scaled},
+                     _chosen_cv(spark, best), training_error(tt, model), model, report)
+
+
 def _cv_and_training(tt: TrainingTable, fm, model, rounded: bool, average: str):
     """Cross-validated and training metrics from one scoring pass (see ``score_with_refit``).
 

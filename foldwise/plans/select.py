@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_half_up
-from ..operators.linear import LinearModel, fit_ols, fit_sgd_grid, prediction_from_columns
+from ..operators.linear import LinearModel, fit_ols, fit_sgd, fit_sgd_grid, prediction_from_columns
 from ..operators.metrics import macro_average, regression_metrics
 from ..operators.moments import Moments, total
 from ..operators.trees import depth_predictions, forest_leaves, tree_rows
@@ -96,6 +96,17 @@ def sgd_fold_models(tt: TrainingTable, iterations: list[int], steps: list[float]
     return FoldModels(models, params, tt.width)
 
 
+def penalised_fold_models(tt: TrainingTable, penalties: list[tuple[str | None, float]], iterations: int,
+                          step: float, scaled: bool,
+                          per_fold: dict[int, Moments] | None = None) -> FoldModels:
+    """Every (penalty, strength) x fold model of penalised descent, from the same fold moments."""
+    per_fold = per_fold or fold_moments(tt)
+    models = {(g, k): fit_sgd(m, tt.scaler, iterations, step, scaled, penalty, reg)
+              for k, m in train_moments(per_fold, tt.width).items()
+              for g, (penalty, reg) in enumerate(penalties)}
+    return FoldModels(models, dict(enumerate(penalties)), tt.width)
+
+
 def score_fold_models(tt: TrainingTable, fm: FoldModels, rounded: bool = True) -> DataFrame:
     """Validation predictions of every (point, fold) model in one pass (one per chunk).
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import required
 from ..operators.encode import DEFAULT_MAX_LEVELS, Encoder, fit_encoder
-from ..operators.folds import assign_folds
+from ..operators.folds import assign_balanced_folds, assign_folds
 from ..operators.moments import (Moments, Summary, collect_summaries, fold_scaled_training,
                                  fold_summaries, scaler_of)
 from ..operators.scale import Scaler
@@ -169,15 +169,23 @@ class TrainingTable:
 def prepare_training(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec,
                      n_folds: int = 10, seed: int | None = None, coding: str = "dummy",
                      encoder: Encoder | None = None, materialize: bool = True,
-                     skew: str = "auto", max_levels: int = DEFAULT_MAX_LEVELS) -> TrainingTable:
+                     skew: str = "auto", max_levels: int = DEFAULT_MAX_LEVELS,
+                     folds: str = "hash") -> TrainingTable:
     """Encode, join, add folds and materialise once (scaler and moments follow lazily).
 
+    ``folds="hash"`` assigns by the hash of the id alone (no shuffle, sizes vary);
+    ``"balanced"`` by its global rank (sizes differ by one row at most; seed 1 if none is given).
+
     ``skew`` is passed to :func:`join_labels` (``auto``, ``salt`` or ``none``),
     ``max_levels`` to :func:`fit_encoder`.
     """
     df, enc = training_frame(features, labels, spec, encoder=encoder, coding=coding, skew=skew,
                              max_levels=max_levels)
-    df = assign_folds(df, n_folds, spec.id, seed).select(
+    if folds not in ("hash", "balanced"):
+        raise ValueError(f"unknown folds {folds!r}")
+    folded = (assign_folds(df, n_folds, spec.id, seed) if folds == "hash" else
+              assign_balanced_folds(df, n_folds, spec.id, 1 if seed is None else seed))
+    df = folded.select(
         F.col(spec.id).alias("id"), F.col(spec.label).alias("label"), "f", "fold")
     if materialize:
         df = write_table(df, "training", cluster_by=("fold",))

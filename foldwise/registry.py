@@ -52,6 +52,10 @@ GRID_B = [100.0, 1000.0, 3000.0]
 
 CSV_ROWS = 5_000
 
+RIDGE_REG, LASSO_REG = 0.1, 2000.0
+PENALTY_GRID = [(None, 0.0), ("l1", 10.0), ("l1", 100.0), ("l1", 1000.0), ("l1", 10000.0),
+                ("l2", 0.001), ("l2", 0.01), ("l2", 0.1), ("l2", 0.5)]
+
 _cache: dict = {}
 
 
@@ -502,6 +506,18 @@ def k4_seeded_folds(spark, sf):
     return K.assign_folds(_joined(spark, sf), G.N_FOLDS, "id", seed=1).select("id", "fold")
 
 
+def k4_balanced_folds(spark, sf):
+    """Folds of sizes that differ by one row at most."""
+    return K.assign_balanced_folds(_joined(spark, sf).select("id", "label"), G.N_FOLDS).select("id", "fold")
+
+
+def k4_balanced_fold_sizes(spark, sf):
+    """Sizes of balanced folds of the line items by order, whose ids repeat and whose rows may be equal."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
+    folds = K.assign_balanced_folds(li, G.N_FOLDS, "l_orderkey")
+    return folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 def k5_distinct(spark, sf):
     return _of(spark, sf).select("c1", "c2").distinct()
 
@@ -655,6 +671,32 @@ def m3_lasso(spark, sf):
         "feature", _coefficient())
 
 
+def _descent_coefficients(spark, sf, penalty, reg):
+    tt = _tt(spark, sf)
+    model = fit_sgd(total(S.fold_moments(tt), tt.width), tt.scaler, *G.LINEAR_DEFAULT, scaled=True,
+                    penalty=penalty, reg=reg)
+    rows = model.coefficient_rows(tt.feature_names)
+    return spark.createDataFrame(rows, "feature string, coefficient double").select(
+        "feature", r("coefficient", 4).alias("coefficient"))
+
+
+def m3_ridge_descent(spark, sf):
+    """Ridge by descent at the linear program's defaults on all encoded features."""
+    return _descent_coefficients(spark, sf, "l2", RIDGE_REG)
+
+
+def m3_lasso_descent(spark, sf):
+    """Lasso by descent at the linear program's defaults on all encoded features."""
+    return _descent_coefficients(spark, sf, "l1", LASSO_REG)
+
+
+def m3_penalty_grid(spark, sf):
+    """Ten-fold cross-validation of nine penalties in one scoring pass."""
+    res = PR.penalised_program(_tt(spark, sf), PENALTY_GRID)
+    return res.grid_report.select("grid_pos", "penalty", "reg", r("corr", 8).alias("corr"),
+                                  r("mae", 4).alias("mae"), r("rmse", 4).alias("rmse"))
+
+
 def m4_decision_tree_cv(spark, sf):
     tt = _tt(spark, sf)
     res = PR.tree_program(tt, max_depth=G.TREE_DEFAULT[0], max_bins=G.TREE_DEFAULT[1])
@@ -821,11 +863,11 @@ QUERIES = (
     j1_label_join, j2_level_lookup, j4_param_grid, j5_grid_by_fold,
     a1_row_count, a2_mse, a3_rmse, a4_mae, a5_pearson, a6_macro_average, a7_pooled_metrics,
     a8_metrics_one_pass, a9_fold_moments,
-    k1_fold_assignment, k2_fold_pairs, k3_union_all, k4_seeded_folds, k5_distinct,
+    k1_fold_assignment, k2_fold_pairs, k3_union_all, k4_seeded_folds, k4_balanced_folds, k4_balanced_fold_sizes, k5_distinct,
     t1_take_first, t2_best_point, t3_ranked_points,
     f1_string_split, f2_string_to_double, f3_concat, f4_power, f5_sqrt, f6_abs, f7_round_half_up,
     f8_array_ops, f9_map_lookup, f10_int_ranges,
-    m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m3_lasso, m4_decision_tree_cv, m4_tree_exact,
+    m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m3_lasso, m3_ridge_descent, m3_lasso_descent, m3_penalty_grid, m4_decision_tree_cv, m4_tree_exact,
     m5_random_forest_cv, m5_forest_exact, m5_bagged_exact, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
     m9_sgd_cv_all_features,
     m10_linear_grid, m11_tree_grid, m11_tree_grid_exact, m12_forest_grid, m12_forest_grid_exact, m13_refit_sgd, m14_training_error,

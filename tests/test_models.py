@@ -443,3 +443,70 @@ def test_row_bags_do_not_depend_on_layout(spark, tt):
     assert p.keys() == q.keys() and all(p[k] == pytest.approx(q[k], rel=1e-9) for k in p)
     with pytest.raises(ValueError):
         PR.forest_program(tt, bags="row", model_selection=True)
+
+
+@pytest.mark.parametrize("kind", ["ridge", "lasso"])
+def test_penalised_descent_matches_mllib(spark, kind):
+    from pyspark.mllib.regression import LabeledPoint, LassoWithSGD, RidgeRegressionWithSGD
+
+    rnd = np.random.default_rng(3)
+    X = rnd.normal(size=(300, 3))
+    y = 4 * X[:, 0] - 2 * X[:, 1] + .01 * X[:, 2] + 7 + rnd.normal(size=300)
+    rdd = spark.sparkContext.parallelize([LabeledPoint(b, a) for a, b in zip(X.tolist(), y.tolist())], 2)
+    trainer = RidgeRegressionWithSGD if kind == "ridge" else LassoWithSGD
+    want = trainer.train(rdd, iterations=60, step=0.5, regParam=0.2, intercept=True)
+    u = np.column_stack([X, np.ones(300)])
+    w, _ = sgd_path(u.T @ u, u.T @ y, [60], 0.5, penalty="l2" if kind == "ridge" else "l1", reg=0.2)[60]
+    assert w[:3] == pytest.approx(want.weights.toArray(), abs=1e-9)
+    assert w[3] == pytest.approx(want.intercept, abs=1e-9)
+    if kind == "lasso":
+        assert w[2] == 0.0
+
+
+def test_penalty_arguments_are_checked(tt):
+    for bad in ({"penalty": "l3", "reg": 1.0}, {"penalty": "l1", "reg": -1.0}, {"reg": 1.0}):
+        with pytest.raises(ValueError):
+            sgd_path(np.eye(2), np.ones(2), [1], 1.0, **bad)
+
+
+def test_penalised_grid_refits_its_best_point(tt):
+    res = PR.penalised_program(tt, [("l1", 1e7), (None, 0.0), ("l2", 0.3)])
+    rows = {r["grid_pos"]: r for r in res.grid_report.collect()}
+    assert rows[1]["penalty"] == "none" and rows[0]["corr"] is None and rows[0]["rank"] == 3
+    best = min(rows.values(), key=lambda r: r["rank"])
+    assert (res.params["penalty"] or "none") == best["penalty"]
+    plain = PR.linear_sgd_program(tt)
+    cv = plain.cv.collect()[0]
+    assert rows[1]["mae"] == pytest.approx(cv["mae"], rel=1e-9)
+
+
+def test_balanced_folds(spark, monkeypatch):
+    from foldwise.operators import folds as K
+
+    # an id with a third of the rows, groups of equal rows, a null id
+    rows = [(7, f"x{i % 211}", i) for i in range(400)] + [(9, "same", 1)] * 150 + [(i + 100, "u", i) for i in range(700)]
+    rows += [(None, "n", 1), (None, "m", 2), (7, "x1", 1)]
+    df = spark.createDataFrame(rows, "id long, a string, n int")
+    want = None
+    for parts in (1, 4, 17):
+        got = sorted(map(str, K.assign_balanced_folds(df.repartition(parts), 7).collect()))
+        want = want or got
+        assert got == want and len(got) == len(rows)
+    out = K.assign_balanced_folds(df, 7)
+    assert sorted(map(str, out.drop("fold").collect())) == sorted(map(str, df.collect()))
+    sizes = [r["count"] for r in out.groupBy("fold").count().collect()]
+    assert len(sizes) == 7 and max(sizes) - min(sizes) <= 1
+    hot = [r["count"] for r in out.filter("id = 7").groupBy("fold").count().collect()]
+    assert max(hot) - min(hot) <= 1
+    assert sorted(map(str, K.assign_balanced_folds(df, 7, seed=2).collect())) != want
+    monkeypatch.setattr(K, "ROW_BLOCKS", 3)
+    monkeypatch.setattr(K, "BLOCK_DIGITS", 1)
+    assert [r["count"] for r in K.assign_balanced_folds(df, 7).groupBy("fold").count().collect()].count(sizes[0]) > 0
+    assert K.assign_balanced_folds(df.filter("n < 0"), 7).count() == 0
+
+
+def test_training_table_with_balanced_folds(spark):
+    t = prepare_training(order_features(spark, SF_SMALL), order_labels(spark, SF_SMALL), ORDER_SPEC, folds="balanced")
+    sizes = [r["count"] for r in t.df.groupBy("fold").count().collect()]
+    assert len(sizes) == 10 and max(sizes) - min(sizes) <= 1
+    assert PR.least_squares_program(t).cv.collect()[0]["corr"] > .99
