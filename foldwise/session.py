@@ -125,6 +125,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
         _written.remove(path)
 
 
+def drop_table(df: DataFrame) -> None:
+    """Delete a table of :func:`write_table` whose frame is used no more (a no-op for others)."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        own = next((w for w in _written if path.split(":", 1)[-1].lstrip("/") == w.split(":", 1)[-1].lstrip("/")), None)
+        if own:
+            delete_path(df.sparkSession, own)
+
+
 def drop_scratch(spark: SparkSession, since: int = 0) -> None:
     """Delete the temporary tables written since a :func:`scratch_mark`; for the end of a job,
     when no frame that reads them is used any more."""

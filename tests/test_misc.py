@@ -317,3 +317,16 @@ def test_lasso_meets_its_optimality_conditions(spark):
     assert 0 < used.sum() < tt.width
     assert np.allclose(g[used], lam * np.sign(m.coef[used]), rtol=0.01, atol=2)
     assert (np.abs(g[~used]) <= lam * 1.01).all()
+
+
+def test_a_written_table_is_dropped(spark):
+    from pathlib import Path
+
+    from foldwise.session import drop_table, write_table
+
+    df = write_table(spark.range(10), "to-drop")
+    folder = Path(df.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.is_dir()
+    drop_table(df)
+    assert not folder.exists()
+    drop_table(spark.range(3))
