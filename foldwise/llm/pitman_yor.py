@@ -35,8 +35,9 @@ probabilities of ``SAMPLES`` sweeps.
 
 Defined results: null and empty texts have the end token alone; rows with a null
 id are scored, and train; repeated rows count as often as they occur; without
-training tokens every probability is the base's; an empty table gives an empty
-table; extra columns are ignored.
+training tokens every probability is the base's; very long texts are scored whole (a pack holds
+at least one text), their parts summed in 64 bits; ties cannot change a result (no step ranks rows); an
+empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ from pyspark.sql import functions as F
 
 from foldwise.llm.common import arrow_tasks, byte_chunks, mix64, splits, word_hashes
 from foldwise.llm.files import attempt_name, mapped, writer
-from foldwise.session import temporary_path, write_table
+from foldwise.session import drop_table, temporary_path, write_table
 
 CONTEXTS = 65_535         # common contexts, which have a code; the others are known by their hash
 OTHER = CONTEXTS          # the code of all others in a pack
@@ -429,7 +430,8 @@ class Sampler:
     """Gibbs sweeps over the training cells of one bucket."""
 
     def __init__(self, state: State, words: np.ndarray, at: np.ndarray, phi: np.ndarray,
-                 c: np.ndarray, rng: np.random.Generator, other_tables: np.ndarray | None = None):
+                 c: np.ndarray, rng: np.random.Generator, other_tables: np.ndarray | None = None,
+                 seating: np.ndarray | None = None):
         self.s, self.at, self.phi, self.c, self.rng = state, at, phi, c, rng
         self.tables = state.tables if other_tables is None else np.concatenate([state.tables, other_tables])
         self.n_words = len(words)
@@ -439,7 +441,9 @@ class Sampler:
         self.hot_place = place
         self.many = np.flatnonzero(c > 1)
         self.t = np.ones(len(c))
-        self.t[self.many] = np.minimum(c[self.many], 1 + np.sqrt(c[self.many]) / 2)
+        # the tables of the round before; at first a guess
+        self.t[self.many] = (np.minimum(c[self.many], 1 + np.sqrt(c[self.many]) / 2) if seating is None
+                             else seating)
         self.up = np.ones(self.n_words)   # the words' tables in the parent
 
     def customers_above(self) -> np.ndarray:
@@ -480,9 +484,11 @@ def _bucket_arrays(r: dict) -> tuple[np.ndarray, ...]:
 
 # --- exchange of the restaurants' totals ----------------------------------------------------------
 
-# Sums on their way: slices of vectors (negative part), or a bucket's other contexts of one part.
+# Sums on their way: slices of vectors (negative part), a bucket's other contexts of one part, or (kind
+# ``seat``, with a part of its bucket's own below all slices) where a bucket's seating lies.
 _SENT = ("part int, bucket int, kind string, file string, places string, keys binary, c binary, t binary")
 _SENT_TYPES = (pa.int32(), pa.int32(), *[pa.string()] * 3, *[pa.binary()] * 3)
+_SEATS = -(1 << 30)
 
 
 def _sent(**values) -> pa.RecordBatch:
@@ -524,15 +530,25 @@ def _with_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.n
         yield out()
 
 
-def _sums(work: Callable, sizes: dict[str, int], n_parts: int, first: bool):
-    """Buckets -> slices of a task's sums of vectors, and each bucket's sums for its other contexts
-    (by part; with the hashes and the customers the first time)."""
+def _seating(r: dict) -> np.ndarray | None:
+    """The tables of a bucket's cells of more than one customer, as the round before left them."""
+    return None if r["seat"] is None else _loosened(mapped(r["seat"], np.uint8), "<u4").astype(np.float64)
+
+
+def _sums(work: Callable, sizes: dict[str, int], n_parts: int, first: bool, folder: str):
+    """Buckets -> slices of a task's sums of vectors, each bucket's sums for its other contexts
+    (by part; with the hashes and the customers the first time), and the file of its seating."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = {k: np.zeros(n) for k, n in sizes.items()}
+        _, name = attempt_name()
         for r, _, totals in _with_totals(batches):
             other = _Bucket(r).cells().other
-            c, t = work(r, out, totals, len(other))
+            c, t, seats = work(r, out, totals, len(other))
+            file = f"{folder}/{name}-{r['bucket']}-seats"
+            with writer(file) as f:
+                f.write(_squeezed(seats.astype("<u4")))
+            yield _sent(part=_SEATS - r["bucket"], bucket=r["bucket"], kind="seat", file=file)
             for part, i, j in _part_cuts(other, n_parts):
                 keys = {"keys": other[i:j].tobytes(), "c": c[i:j].tobytes()} if first else {}
                 yield _sent(part=part, bucket=r["bucket"], t=t[i:j].tobytes(), **keys)
@@ -590,6 +606,9 @@ def _totals(folder: str, round_: int, strength: float, customers: bool):
         current, held = None, []
         for b in batches:
             for r in _each(b):
+                if r["kind"] == "seat":
+                    yield _sent(**{k: r[k] for k in ("part", "bucket", "kind", "file")})
+                    continue
                 if held and r["part"] != current:
                     yield from (vectors if current < 0 else contexts)(current, held)
                     held = []
@@ -603,7 +622,7 @@ def _totals(folder: str, round_: int, strength: float, customers: bool):
 def _collected(totals: DataFrame, sizes: dict[str, int]) -> dict[str, np.ndarray]:
     """The vectors' sums: as many numbers as common contexts and hot words, at most."""
     out = {k: np.zeros(n) for k, n in sizes.items()}
-    for r in totals.filter("part < 0").select("part", "kind", "t").collect():
+    for r in totals.filter(f"part < 0 AND part > {_SEATS}").select("part", "kind", "t").collect():
         x, i = _floats(r["t"]), (-1 - r["part"]) * SLICE
         out[r["kind"]][i:i + len(x)] = x
     return out
@@ -651,6 +670,7 @@ class Model:
     n_buckets: int
     totals: DataFrame          # C and T of the other contexts, for each bucket
     common: np.ndarray         # hashes of the common contexts, sorted
+    changes: tuple[float, ...] = ()  # by round, how much the number of tables moved, as a share of it
 
 
 def _hot_words(rows: DataFrame) -> tuple[np.ndarray, int, np.ndarray]:
@@ -696,7 +716,9 @@ def _hot_words(rows: DataFrame) -> tuple[np.ndarray, int, np.ndarray]:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> Model:
-    """Pack and shuffle the tokens, then sample until the totals have settled."""
+    """Pack and shuffle the tokens, then sample ``rounds`` rounds; each goes on from the seating that
+    the one before left in the bucket's seats file. ``changes`` of the model tells how the number of
+    tables moved in each."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("train", trains(F.col("doc_id")))
     hot, n_buckets, common = _hot_words(rows)
@@ -712,12 +734,15 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
     def exchanged(work: Callable, sizes: dict[str, int], totals: DataFrame | None, k: int) -> DataFrame:
         """All buckets' sums of a round, added up and sent back."""
         sent = arrow_tasks(_bucket_rows(buckets, totals, n_buckets),
-                           _sums(work, sizes, n_parts, totals is None), _SENT)
+                           _sums(work, sizes, n_parts, totals is None, folder), _SENT)
         if totals is not None:
             sent = sent.unionByName(totals.filter("kind = 'part'"))
-        return write_table(arrow_tasks(sent.repartition(n_parts, "part").sortWithinPartitions("part", "bucket"),
+        out = write_table(arrow_tasks(sent.repartition(n_parts, "part").sortWithinPartitions("part", "bucket"),
                                        _totals(folder, k, state.strength, k == rounds), _SENT),
-                           "lm-totals")
+                          "lm-totals")
+        if totals is not None:  # nothing reads the round before any more
+            drop_table(totals)
+        return out
 
     def terms(totals: DataFrame) -> tuple[tuple[float, float, int], float]:
         """The other contexts' terms of the strength, and their tables: four numbers a part."""
@@ -725,8 +750,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
         log_x, opened, n, tables = x.sum(axis=0).tolist() if len(x) else [0.0] * 4
         return (log_x, opened, int(n)), tables
 
-    def put(out: dict[str, np.ndarray], x: Sampler, n_other: int) -> tuple[np.ndarray, np.ndarray]:
-        """Add a bucket's seating to the sums; returns C and T of its other contexts."""
+    def put(out: dict[str, np.ndarray], x: Sampler, n_other: int, moved: float) -> tuple[np.ndarray, ...]:
+        """Add a bucket's seating to the sums; returns C and T of its other contexts and the seating."""
         c = np.bincount(x.phi, weights=x.c, minlength=CONTEXTS + n_other)
         t = np.bincount(x.phi, weights=x.t, minlength=CONTEXTS + n_other)
         out["tables"] += t[:CONTEXTS]
@@ -734,7 +759,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
                   np.bincount(x.at, weights=x.t, minlength=x.n_words)[x.is_hot])
         if "customers" in out:
             out["customers"] += c[:CONTEXTS]
-        return c[CONTEXTS:], t[CONTEXTS:]
+        out["moved"][0] += moved
+        return c[CONTEXTS:], t[CONTEXTS:], x.t[x.many]
 
     def count(r: dict, out: dict[str, np.ndarray], totals: np.ndarray, n_other: int):
         words, at, phi, c = _bucket_arrays(r)
@@ -743,31 +769,34 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
         out["v"][0] += ((per_word > 0) & ~x.is_hot).sum()
         out["n"][0] += c.sum()
         np.add.at(out["hot_counts"], x.hot_place[x.is_hot], per_word[x.is_hot])
-        return put(out, x, n_other)
+        return put(out, x, n_other, 0.0)
 
     sizes = {"customers": CONTEXTS, "tables": CONTEXTS, "v": 1, "n": 1, "hot_counts": len(hot),
-             "hot_tables": len(hot)}
+             "hot_tables": len(hot), "moved": 1}
     totals = exchanged(count, sizes, None, 0)
     got = _collected(totals, sizes)
     v = int(got["v"][0] + (got["hot_counts"] > 0).sum())
     state = State(hot, got["customers"], got["tables"], int(got["n"][0]), v, terms(totals)[1], float(v),
                   hot_counts=got["hot_counts"], hot_tables=got["hot_tables"])
 
-    sizes = {"tables": CONTEXTS, "up": 1, "hot_tables": len(hot)}
+    sizes = {"tables": CONTEXTS, "up": 1, "hot_tables": len(hot), "moved": 1}
+    changes: list[float] = []
     for k in range(1, rounds + 1):
         now = state
 
         def seat(r: dict, out: dict[str, np.ndarray], totals: np.ndarray, n_other: int):
             words, at, phi, c = _bucket_arrays(r)
-            x = Sampler(now, words, at, phi, c, _rng(k, r["bucket"]), totals)
+            x = Sampler(now, words, at, phi, c, _rng(k, r["bucket"]), totals, _seating(r))
+            start = x.t.sum()
             for _ in range(SWEEPS):
                 x.sweep()
             out["up"][0] += x.up[~x.is_hot].sum()
-            return put(out, x, n_other)
+            return put(out, x, n_other, x.t.sum() - start)
 
         totals = exchanged(seat, sizes, totals, k)
         got, (others, other_tables) = _collected(totals, sizes), terms(totals)
         rng = _rng(k, 1 << 40)
+        changes.append(abs(float(got["moved"][0])) / max(float(got["tables"].sum()) + other_tables, 1.0))
         hot_up = 0.0
         if len(hot) and (got["hot_tables"] > 1).any():
             above = got["hot_tables"][got["hot_tables"] > 1]
@@ -781,7 +810,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int
             parent_strength=resample_strength(state.parent_strength,
                                               np.array([got["tables"].sum() + other_tables]),
                                               np.array([up]), rng))
-    return Model(state, buckets, n_buckets, totals, common)
+    return Model(state, buckets, n_buckets, totals, common, tuple(changes))
 
 
 def _bucket_rows(buckets: DataFrame, totals: DataFrame | None, n_buckets: int) -> DataFrame:
@@ -790,8 +819,11 @@ def _bucket_rows(buckets: DataFrame, totals: DataFrame | None, n_buckets: int) -
         "bucket", "file", "places", F.lit(None).cast("int").alias("part"),
         F.lit(None).cast("binary").alias("c"), F.lit(None).cast("binary").alias("t"))
     if totals is None:  # a task takes about one
-        return cells.repartition(n_buckets)
-    back = totals.filter("part >= 0 AND bucket IS NOT NULL").select(*cells.columns)
+        return cells.withColumn("seat", F.lit(None).cast("string")).repartition(n_buckets)
+    seats = totals.filter("kind = 'seat'").select("bucket", F.col("file").alias("seat"))
+    cells = cells.join(seats, "bucket", "left")
+    back = totals.filter("part >= 0 AND bucket IS NOT NULL").select(
+        *[c for c in cells.columns if c != "seat"], F.lit(None).cast("string").alias("seat"))
     return cells.unionByName(back).repartition(n_buckets, "bucket").sortWithinPartitions("bucket", "part")
 
 
@@ -807,9 +839,7 @@ def score(model: Model) -> DataFrame:
             cells, blobs = file.cells(), file.blobs()
             seen = np.flatnonzero(cells.c > 0)
             x = Sampler(s, cells.words, cells.at[seen], cells.phi[seen], cells.c[seen],
-                        _rng(1 << 20, r["bucket"]), other_tables)
-            for _ in range(SWEEPS):
-                x.sweep()
+                        _rng(1 << 20, r["bucket"]), other_tables, _seating(r))
             total = np.zeros(len(cells.c))
             left = s.strength + DISCOUNT * x.tables
             room = s.strength + np.concatenate([s.customers, other_customers])
@@ -831,7 +861,7 @@ def score(model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([blob["chunk"]], pa.int64()),
                      *[pa.array([y.tobytes()], pa.binary()) for y in (
-                         docs, sums[0], sums[1].astype(np.float32), sums[2].astype(np.uint32))]],
+                         docs, sums[0], sums[1], sums[2].astype(np.uint32))]],
                     names=["chunk", "doc", "base", "score", "known"])
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -856,7 +886,7 @@ def score(model: Model) -> DataFrame:
                 else:
                     doc = np.frombuffer(r["doc"], np.uint16)
                     base[doc] += np.frombuffer(r["base"], np.float64)
-                    got[doc] += np.frombuffer(r["score"], np.float32)
+                    got[doc] += np.frombuffer(r["score"], np.float64)
                     known[doc] += np.frombuffer(r["known"], np.uint32)
         if ids is not None:
             yield out()
