@@ -17,6 +17,8 @@ Links are confirmed on full sets, and no bucket is expanded into all pairs:
 3. The links' components are found. Members of a bucket that lie in different
    components are compared across components, so that pairs inside a group of
    near copies, already joined, are never listed.
+4. The second links join components, so their own components are found on that small
+   graph; every document takes the label of its class.
 
 Members of shared buckets get a finer sketch, two bits of each of 1024 min-max
 values, which rules out pairs below J = 0.67 or so before sets are compared (a
@@ -25,7 +27,8 @@ pair at J = 0.75 is ruled out with probability 1e-6).
 Defined results: null or empty text, or white space only, has an empty set and
 is linked with nothing; a text of one to four words has one shingle, the whole
 sequence; rows with a null id are linked with nothing and kept; rows that share
-an id are one node of the graph; an empty table gives an empty table; extra
+an id are one node of the graph; very long texts are hashed whole; ties (of hubs, of equal sets) go
+to the least id; an empty table gives an empty table; extra
 columns are ignored by ``near_duplicates`` and carried by ``keep_first``.
 """
 
@@ -37,11 +40,12 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm.common import arrow_tasks, byte_chunks, fresh, mix64, word_hashes
 from foldwise.llm.components import components
+from foldwise.llm.hotkeys import hot_keys, salted_join
 from foldwise.session import write_table
 
 WORDS = 5
@@ -167,13 +171,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           s.view(np.int64))], names=["id", "n", "sketch", "s"])
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _hub_join(pairs: DataFrame, sets: DataFrame, n_pairs: int) -> DataFrame:
+    """``pairs`` with the columns of ``sets`` (which holds ``a``); a hub's pairs are dealt out by ``b``."""
+    return salted_join(pairs, sets, ["a"], hot_keys(pairs, ["a"], n_pairs), ["b"])
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, n_pairs: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the threshold."""
     one = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
-    return (pairs.join(one, "a").join(two, "b")
+    return (_hub_join(pairs, one, n_pairs).join(two, "b")
             .filter(DEN * both >= NUM * union).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
@@ -194,40 +203,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     filled = sig.filter((F.col("n") > 0) & F.col("id").isNotNull())
 
     # 1. Classes of equal sets; the least id stands for the class.
-    narrow = filled.select("id", "n", "f1", "f2")
-    first = narrow.groupBy("n", "f1", "f2").agg(F.min("id").alias("first"))
-    same = (narrow.join(first, ["n", "f1", "f2"]).filter("id <> first")
-            .select(F.col("id").alias("u"), F.col("first").alias("v")))
-    reps = filled.join(first.select(F.col("first").alias("id")), "id", "left_semi")
+    content = ["n", "f1", "f2"]
+    classes = write_table(filled.groupBy(*content).agg(F.min(F.struct("id", "keys")).alias("m"))
+                          .select(*content, "m.id", "m.keys"), "minhash-classes")
+    # an id of several texts belongs to several classes and links them
+    several = (filled.groupBy("id").agg(F.min(F.struct(*content)).alias("lo"), F.max(F.struct(*content)).alias("hi"))
+               .filter("lo <> hi").select("id"))
+    twins = (filled.select("id", *content).join(several, "id", "left_semi")
+             .join(classes.select(*content, F.col("id").alias("v")), content).select(F.col("id").alias("u"), "v"))
 
     # 2. Buckets of two classes or more, each member against the hub.
-    members = reps.select("id", F.explode("keys").alias("key"))
-    buckets = (members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
-                                          F.count(F.lit(1)).alias("size"))
-               .filter("lo <> hi").select("key", "size"))
-    shared = write_table(members.join(buckets, "key"), "minhash-buckets")
-    fellows = shared.groupBy("id").agg(F.sum("size").alias("fellows"))
-    sets = write_table(arrow_tasks(texts.join(fellows, "id", "left_semi").select("id", "t"), _sets,
+    members = classes.select("id", F.explode("keys").alias("key"))
+    buckets = write_table(members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
+                                                     F.count(F.lit(1)).alias("size"))
+                          .filter("lo <> hi").select("key", "size"), "minhash-keys")
+    n_members = buckets.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    crowded = hot_keys(buckets, ["key"], n_members, "size")
+    shared = write_table(salted_join(members, buckets, ["key"], crowded, ["id"])
+                         .withColumn("fellows", F.sum("size").over(Window.partitionBy("id"))), "minhash-buckets")
+    sets = write_table(arrow_tasks(texts.join(shared.select("id").distinct(), "id", "left_semi").select("id", "t"), _sets,
                                    "id long, n long, sketch array<long>, s array<long>"),
                        "minhash-sets")
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
-    hubs = (shared.join(fellows, "id").groupBy("key")
+    hubs = (shared.groupBy("key")
             .agg((-F.max(F.struct("fellows", (-F.col("id")).alias("minus")))["minus"]).alias("a")))
-    stars = (shared.join(hubs, "key").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
-             .join(left, "a").join(right, "b").filter(_near("ka", "kb", "na", "nb")).select("a", "b"))
-    stars = write_table(stars, "minhash-stars")
-    links = write_table(_similar(stars, sets), "minhash-links")
+    rays = write_table(salted_join(shared.select("key", "id"), hubs, ["key"], crowded, ["id"])
+                       .filter("a <> id").select("a", F.col("id").alias("b")).distinct(), "minhash-rays")
+    stars = write_table(_hub_join(rays, left, rays.count()).join(right, "b")
+                        .filter(_near("ka", "kb", "na", "nb")).select("a", "b"), "minhash-stars")
+    links = _similar(stars, sets, stars.count()).unionByName(twins)
 
     # 3. What is left: members of one bucket in different components.
-    comp = components(links).withColumnRenamed("id", "b").withColumnRenamed("component_id", "at")
-    placed = (shared.select("key", F.col("id").alias("b")).distinct().join(comp, "b", "left")
+    comp = components(links)
+    placed = (shared.select("key", F.col("id").alias("b")).distinct()
+              .join(comp.select(F.col("id").alias("b"), F.col("component_id").alias("at")), "b", "left")
               .withColumn("at", F.coalesce("at", "b")))
     mixed = (placed.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
              .filter("lo <> hi").select("key"))
     # Sizes of similar sets differ by a factor of 4/3 at most: compare neighbouring classes.
     cls = F.floor(F.log(F.col("nb")) / F.log(F.lit(DEN / NUM))).cast("int")
-    keys = reps.select(F.col("id").alias("b"), F.col("keys").alias("all"))
+    keys = classes.select(F.col("id").alias("b"), F.col("keys").alias("all"))
     rows = write_table(placed.join(mixed, "key").join(right, "b").join(keys, "b")
                        .withColumn("cls", cls), "minhash-mixed")
     mine = rows.select("key", F.col("b").alias("a"), F.col("at").alias("ata"),
@@ -241,15 +257,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                       & (F.array_intersect("mine", "all")[0] == mine["key"])
                       ).select("a", "b").distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _similar(write_table(cross.join(tried, ["a", "b"], "left_anti"), "minhash-cross"), sets)
-
-    label = components(links.unionByName(more).unionByName(same))
-    out = (sig.select("id", F.col("n").alias("n_shingles"))
-           .join(label, "id", "left"))
-    return out.select(F.col("id").alias("doc_id"), "n_shingles",
-                      F.coalesce("component_id", "id").alias("component_id"),
-                      (F.col("id").isNull() | (F.coalesce("component_id", "id") == F.col("id")))
-                      .alias("kept"))
+    cross = write_table(cross.join(tried, ["a", "b"], "left_anti"), "minhash-cross")
+    more = _similar(cross, sets, cross.count())
+
+    # 4. The components of the first links are the nodes of the second; every row gets its class's.
+    def at(side: str) -> DataFrame:
+        return comp.select(F.col("id").alias(side), F.col("component_id").alias(f"c{side}"))
+
+    between = (more.join(at("u"), "u", "left").join(at("v"), "v", "left")
+               .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+    joined = components(between)
+    label = (classes.select(*content, "id").join(comp.withColumnRenamed("component_id", "c1"), "id", "left")
+             .withColumn("c1", F.coalesce("c1", "id"))
+             .join(joined.select(F.col("id").alias("c1"), F.col("component_id").alias("c2")), "c1", "left")
+             .select(*content, F.coalesce("c2", "c1").alias("component_id")))
+    narrow = filled.select("id", *content)
+    big = hot_keys(narrow, content, narrow.count())
+    found = (salted_join(narrow, label, content, big, ["id"])
+             .select("id", F.col("n").alias("n_shingles"), "component_id"))
+    alone = (sig.filter("n = 0 OR id IS NULL")
+             .select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
+    out = found.unionByName(alone)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                      (F.col("id").isNull() | (F.col("component_id") == F.col("id"))).alias("kept"))
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
