@@ -150,8 +150,8 @@ def word_counts(packs: DataFrame, n_packs: int) -> DataFrame:
 
 
 def _candidates(ex: Exchange) -> DataFrame:
-    """The distinct candidates: ``lang, phrase, words, pair`` (hash of the first two words), codes
-    ``c1, c2, c3`` (0 without a third word)."""
+    """The distinct candidates: ``lang, phrase, pair`` (hash of the first two words), codes ``c1, c2, c3``
+    (0 without a third word). Packs send the strings alone; the codes are made from those that are left."""
 
     def use(packs_of_task):
         for a, two, three in packs_of_task:
@@ -159,14 +159,24 @@ def _candidates(ex: Exchange) -> DataFrame:
                 at = np.flatnonzero(mask)
                 _, i = np.unique(_pair_hash(a["code"], at, words), return_index=True)
                 at = at[i]
-                code = [a["code"][at + k] if k < words else np.zeros(len(at), np.uint64) for k in range(3)]
-                yield pa.RecordBatch.from_arrays(
-                    [_langs(a, at), _strings(a, at, words).cast(pa.string()), pa.array(np.full(len(at), words, np.int32)),
-                     pa.array(_pair_hash(a["code"], at, 2).view(np.int64)), *(pa.array(c.view(np.int64)) for c in code)],
-                    ["lang", "phrase", "words", "pair", "c1", "c2", "c3"])
+                yield pa.RecordBatch.from_arrays([_langs(a, at), _strings(a, at, words).cast(pa.string())],
+                                                 ["lang", "phrase"])
+
+    def coded(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            a = load(b)
+            first = np.searchsorted(a["row"], np.arange(b.num_rows))
+            size = np.diff(np.append(first, a["n"]))
+            code = [a["code"][first], a["code"][first + 1],
+                    np.where(size > 2, a["code"][np.minimum(first + 2, a["n"] - 1)], np.uint64(0))]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(_pair_hash(a["code"], first, 2).view(np.int64)),
+                 *(pa.array(c.view(np.int64)) for c in code)], ["lang", "phrase", "pair", "c1", "c2", "c3"])
 
-    schema = "lang string, phrase string, words int, pair bigint, c1 bigint, c2 bigint, c3 bigint"
-    return ex.finish(use, schema).distinct()
+    return arrow_tasks(ex.finish(use, "lang string, phrase string").distinct(), coded,
+                       "lang string, phrase string, pair bigint, c1 bigint, c2 bigint, c3 bigint")
 
 
 def _shard(pair: np.ndarray, shards: int) -> np.ndarray:
@@ -270,7 +280,7 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, text_col: str = "text",
         .withColumn("idx", F.row_number().over(Window.partitionBy("shard").orderBy("lang", "phrase")) - 1), "phrase-shards")
     counts = _counts(ex, write_table(_tries(cand), "tries"), shards)
     found = write_table(cand.join(counts, ["shard", "idx"]).filter(F.col("a") >= min_count)
-                        .select("lang", "phrase", "words", "a"), "phrases")
+                        .select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "a"), "phrases")
 
     w = F.split("phrase", " ")
     cut = lambda k, side, i, m: F.struct(F.lit(k).alias("k"), F.lit(side).alias("side"),
