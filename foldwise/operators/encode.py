@@ -24,24 +24,36 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..spec import FeatureSpec
 
-# Levels are collected to the driver and become dense columns: keep the total bounded.
+# The literal form collects levels to the driver and makes dense columns of them, so their total is bounded;
+# beyond it, operators/dictionary.py and operators/coded.py do the same with tables and codes.
 DEFAULT_MAX_LEVELS = 10_000
 
 
-def _nominal(c: str) -> Column:
+def nominal_value(c: str) -> Column:
+    """A nominal column's level; null is the empty level."""
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
+def numeric_value(c: str, nulls: str = "error") -> Column:
+    """A numeric column as a double; an empty value raises, or is 0 with ``nulls="zero"``."""
+    x = F.col(c).cast("double")
+    if nulls == "error":
+        x = F.when(x.isNull(), F.raise_error(F.lit(f"numeric column {c} has an empty value"))).otherwise(x)
+    elif nulls == "zero":
+        x = F.coalesce(x, F.lit(0.0))
+    return x.cast("double")
+
+
 def distinct_levels(df: DataFrame, nominal: tuple[str, ...] | list[str]) -> DataFrame:
     """``(col, level)`` for every distinct value of every nominal column, in one job."""
     cols = list(nominal)
-    long = df.select(*[_nominal(c).alias(c) for c in cols]).unpivot(
+    long = df.select(*[nominal_value(c).alias(c) for c in cols]).unpivot(
         [], cols, "col", "level")
     return long.distinct()
 
@@ -52,18 +64,12 @@ def level_counts(levels: DataFrame) -> DataFrame:
         "col", "levels", (F.col("levels") - 1).alias("dummies"))
 
 
-def level_index(levels: DataFrame, max_levels: int | None = None) -> DataFrame:
-    """``(col, level, idx)``: 0-based rank of the level within its column.
+def level_index(levels: DataFrame) -> DataFrame:
+    """``(col, level, idx)``: 0-based rank of the level within its column, for any number of levels
+    (see :func:`~foldwise.operators.dictionary.ranked`)."""
+    from .dictionary import ranked
 
-    The window groups one column's distinct levels; their number is checked
-    against ``max_levels`` first (as in :func:`fit_encoder`), so no task
-    receives an unbounded group.
-    """
-    cap = DEFAULT_MAX_LEVELS if max_levels is None else max_levels
-    if levels.limit(cap + 1).count() > cap:
-        raise ValueError(f"nominal columns have more than {cap} levels in total")
-    w = Window.partitionBy("col").orderBy("level")
-    return levels.select("col", "level", (F.row_number().over(w) - 1).cast("int").alias("idx"))
+    return ranked(levels.select("col", "level")).select("col", "level", F.col("idx").cast("int").alias("idx"))
 
 
 @dataclass
@@ -116,23 +122,17 @@ class Encoder:
         cols = []
         for name, slot in self.layout():
             if slot is None:
-                x = F.col(name).cast("double")
-                if self.numeric_nulls == "error":
-                    x = F.when(x.isNull(), F.raise_error(
-                        F.lit(f"numeric column {name} has an empty value"))).otherwise(x)
-                elif self.numeric_nulls == "zero":
-                    x = F.coalesce(x, F.lit(0.0))
-                cols.append(x.cast("double"))
+                cols.append(numeric_value(name, self.numeric_nulls))
             else:
                 c, level = slot
                 if level is None:
                     cols.append(F.lit(0.0))
                     continue
-                cols.append(F.when(_nominal(c) == F.lit(level), F.lit(1.0)).otherwise(F.lit(0.0)))
+                cols.append(F.when(nominal_value(c) == F.lit(level), F.lit(1.0)).otherwise(F.lit(0.0)))
         return cols
 
     def unseen_column(self) -> Column:
-        terms = [F.when(_nominal(c).isin(*self.levels.get(c, [])), F.lit(0)).otherwise(F.lit(1))
+        terms = [F.when(nominal_value(c).isin(*self.levels.get(c, [])), F.lit(0)).otherwise(F.lit(1))
                  for c in self.spec.nominal]
         if not terms:
             return F.lit(0)

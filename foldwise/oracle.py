@@ -733,5 +733,29 @@ SELECT s.id, {half_up('m.b + m.w * s.n2')} AS prediction, u.unseen_levels FROM s
     q["m16_pooled_cv_least_squares"] = f"""{_LS_PRED}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('y', 'raw')} FROM pr WHERE k >= 0) s"""
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"]
+    lines = """SELECT l_orderkey::VARCHAR AS l_orderkey, l_partkey::VARCHAR AS l_partkey, l_suppkey::VARCHAR AS l_suppkey,
+  l_returnflag FROM lineitem"""
+    ranks = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, {c} AS level, row_number() OVER (ORDER BY {c}) - 1 AS idx, n FROM "
+        f"(SELECT {c}, count(*) AS n FROM li GROUP BY {c})" for c in keys)
+    q["e3_wide_level_index"] = f"WITH li AS ({lines}) {ranks}"
+    codes = ", ".join(f"sum(k{i}.idx)::BIGINT AS code_{i}" for i in range(4))
+    lookups = " ".join(f"JOIN rk k{i} ON k{i}.col = '{c}' AND k{i}.level = li.{c}" for i, c in enumerate(keys))
+    q["j2_wide_lookup"] = f"""WITH li AS ({lines}), rk AS ({ranks})
+SELECT li.l_orderkey::BIGINT AS l_orderkey, count(*) AS n, {codes} FROM li {lookups} GROUP BY li.l_orderkey"""
+    slots = ", ".join(f"max(CASE WHEN jl.col = 'c{i}' THEN CASE WHEN lv.idx = 0 THEN -1 ELSE off.start + lv.idx - 1 END END)::BIGINT AS c{i}"
+                      for i in range(1, 6))
+    q["e5_coded_design"] = f"""WITH {_encoding_ctes()}
+SELECT jl.id, {slots}, any_value(round(r.n2, 4)) AS n2 FROM jl JOIN lv ON lv.col = jl.col AND lv.level = jl.level
+JOIN off ON off.col = jl.col JOIN rows r ON r.id = jl.id GROUP BY jl.id"""
+    q["a9_coded_moments"] = f"""WITH {_encoding_ctes()},
+one AS (SELECT n.id, n.pos::BIGINT AS pos, {fold_expr('n.id')} AS fold FROM nom n WHERE n.value = 1.0)
+SELECT fold, pos AS a, (-1)::BIGINT AS b, count(*) AS n, round(sum(r.n2), 2) AS sum_n2, round(sum(r.label), 6) AS sum_label
+FROM one JOIN rows r ON r.id = one.id GROUP BY fold, pos
+UNION ALL
+SELECT x.fold, x.pos, y.pos, count(*), NULL, NULL FROM one x JOIN one y ON x.id = y.id AND x.pos < y.pos GROUP BY 1, 2, 3"""
+    q["m2_wide_least_squares"] = _LS_COEF
+    q["m16_wide_cv_least_squares"] = q["m16_pooled_cv_least_squares"]
     # DuckDB rounds a tiny negative to -0.0 where Spark's decimal rounding gives 0.0
     return {k: v.replace("round(", "0.0 + round(") for k, v in q.items()}

@@ -10,18 +10,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.linear import fit_ols, fit_sgd
+from ..functions.columns import round_half_up
+from ..operators.linear import LinearModel, fit_ols, fit_sgd
 from ..operators.metrics import macro_average, regression_metrics
 from ..operators.moments import total
 from ..operators.trees import (DEFAULT_SEED, FOREST_MEMORY_MB, TREE_MEMORY_MB, BaggedForest, forest_estimator,
                                tree_estimator)
+from ..operators.wide import REFIT, coded_predictions, wide_least_squares
 from . import grid as G
 from . import select as S
 from .score import predictions, training_error
-from .training import TrainingTable
+from .training import CodedTable, TrainingTable
 
 
 @dataclass
@@ -128,6 +131,23 @@ def least_squares_program(tt: TrainingTable, rounded: bool = False, average: str
                      {"fold_models": fm, "predictions": S.score_fold_models(tt, fm, rounded=rounded)})
 
 
+def wide_least_squares_program(ct: CodedTable, rounded: bool = False) -> RunResult:
+    """Least squares on a coded table of any width (see :mod:`~foldwise.operators.wide`): pooled
+    cross-validated metrics, training metrics and the refit."""
+    models = wide_least_squares(ct.df, ct.moments())
+    nd = ct.dictionary.dummy_width
+    refit = models.get(REFIT) or LinearModel(np.zeros(ct.dictionary.width), float("nan"))
+
+    def metrics(of: dict) -> DataFrame:
+        pred = coded_predictions(ct.df, of, nd)
+        return regression_metrics(pred.withColumn("prediction", round_half_up("raw_prediction") if rounded
+                                                  else F.col("raw_prediction")))
+
+    cv = metrics({k: m for k, m in models.items() if k != REFIT} or {0: refit})
+    return RunResult({"rounded": rounded}, cv.withColumn("folds", F.lit(ct.n_folds)), metrics({REFIT: refit}), refit,
+                     None, {"fold_models": models})
+
+
 def _estimator_program(tt: TrainingTable, make, default: tuple, first: list, second: list,
                        names: tuple[str, str], model_selection: bool, parallelism: int | None,
                        scaled: bool, grid_metrics=None) -> RunResult:

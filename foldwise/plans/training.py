@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import required
+from ..operators.coded import CodedMoments, coded_moments, coded_rows
+from ..operators.dictionary import LevelDictionary, build_dictionary
 from ..operators.encode import DEFAULT_MAX_LEVELS, Encoder, fit_encoder
 from ..operators.folds import assign_balanced_folds, assign_folds
 from ..operators.moments import (Moments, Summary, collect_summaries, fold_scaled_training,
@@ -190,3 +192,30 @@ def prepare_training(features: DataFrame, labels: DataFrame | None, spec: Featur
     if materialize:
         df = write_table(df, "training", cluster_by=("fold",))
     return TrainingTable(df, enc, n_folds, spec)
+
+
+@dataclass
+class CodedTable:
+    """A training table for columns of many levels: ``df`` holds ``id, label, slots, x, fold``."""
+    df: DataFrame
+    dictionary: LevelDictionary
+    n_folds: int
+    _moments: CodedMoments | None = None
+
+    def moments(self) -> CodedMoments:
+        if self._moments is None:
+            self._moments = coded_moments(self.df, self.dictionary)
+        return self._moments
+
+
+def prepare_coded(features: DataFrame, labels: DataFrame | None, spec: FeatureSpec, n_folds: int = 10,
+                  seed: int | None = None, skew: str = "auto",
+                  dictionary: LevelDictionary | None = None) -> CodedTable:
+    """As :func:`prepare_training`, with level codes in place of dense dummies: no limit on levels, and
+    files whose size does not grow with them."""
+    d = dictionary or build_dictionary(features, spec)
+    joined = (join_labels(features, labels, spec, skew=skew) if labels is not None else features.withColumns({
+        spec.id: required(spec.id, spec.id), spec.label: required(F.col(spec.label).cast("double"), spec.label)}))
+    rows = assign_folds(coded_rows(joined, d, (spec.id, spec.label)), n_folds, spec.id, seed).select(
+        F.col(spec.id).alias("id"), F.col(spec.label).alias("label"), "slots", "x", "fold")
+    return CodedTable(write_table(rows, "coded", cluster_by=("fold",)), d, n_folds)

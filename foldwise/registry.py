@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.columns import fold_of, join_fields, round_half_up, split_line
+from .operators import dictionary as D
 from .operators import encode as E
 from .operators import folds as K
 from .operators import metrics as A
@@ -36,7 +37,8 @@ from .plans import grid as G
 from .plans import programs as PR
 from .plans import select as S
 from .plans.score import linear_predictions, score_table, training_error
-from .plans.training import TrainingTable, combined_frame, join_labels, prepare_training, scoring_frame
+from .plans.training import (TrainingTable, combined_frame, join_labels, prepare_coded, prepare_training,
+                             scoring_frame)
 from .session import scratch_path
 from .sources import csv as CSV
 from .sources import sinks as SK
@@ -316,6 +318,52 @@ def e3_level_index(spark, sf):
     return E.level_index(E.distinct_levels(_of(spark, sf), ORDER_SPEC.nominal))
 
 
+# Columns of line items with many levels.
+KEYS_SPEC = FeatureSpec(id="id", nominal=("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"), numeric=("l_quantity",),
+                        label="label")
+
+
+def _line_keys(spark, sf) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    return li.select(F.col("l_orderkey").alias("id"), "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag",
+                     "l_quantity", F.col("l_extendedprice").alias("label"))
+
+
+def e3_wide_level_index(spark, sf):
+    """Ranks of the levels of columns with about as many levels as orders, parts and suppliers."""
+    d = _memo(spark, ("keys", sf), lambda: D.build_dictionary(_line_keys(spark, sf), KEYS_SPEC))
+    return d.table.select("col", "level", "idx", "n")
+
+
+def j2_wide_lookup(spark, sf):
+    """Level codes of every line item, by joins with the dictionary table."""
+    d = _memo(spark, ("keys", sf), lambda: D.build_dictionary(_line_keys(spark, sf), KEYS_SPEC))
+    rows = d.with_codes(_line_keys(spark, sf))
+    return rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(F.col("codes")[i]).alias(f"code_{i}") for i in range(4)])
+
+
+def _ct(spark, sf):
+    return _memo(spark, ("ct", sf), lambda: prepare_coded(_of(spark, sf), _ol(spark, sf), ORDER_SPEC, n_folds=G.N_FOLDS))
+
+
+def e5_coded_design(spark, sf):
+    """Dummy slots of every order as codes, -1 for the baseline."""
+    slots = F.col("slots")
+    return _ct(spark, sf).df.select("id", *[slots[i].alias(f"c{i + 1}") for i in range(5)],
+                                    r(F.col("x")[1], 4).alias("n2"))
+
+
+def a9_coded_moments(spark, sf):
+    """Rows that hold each pair of levels, and each level's count and means, by fold."""
+    m = _ct(spark, sf).moments()
+    means = m.levels.select("fold", F.col("slot").alias("a"), F.lit(-1).cast("bigint").alias("b"), "n",
+                            r(F.col("n") * F.col("mean")[1], 2).alias("sum_n2"),
+                            r(F.col("n") * F.col("mean")[4], 6).alias("sum_label"))
+    empty = F.lit(None).cast("double")
+    return means.unionByName(m.pairs.select("fold", "a", "b", "n", empty.alias("sum_n2"), empty.alias("sum_label")))
+
+
 def e4_dummy_width(spark, sf):
     counts = E.level_counts(E.distinct_levels(_of(spark, sf), ORDER_SPEC.nominal))
     k = len(ORDER_SPEC.numeric)
@@ -653,6 +701,20 @@ def m2_least_squares_two(spark, sf):
                      .otherwise(r("coefficient", 8)).alias("coefficient"))
 
 
+def m2_wide_least_squares(spark, sf):
+    """Least squares on all encoded features by matrix-free conjugate gradients on level codes."""
+    ct = _ct(spark, sf)
+    res = PR.wide_least_squares_program(ct)
+    rows = res.model.coefficient_rows(_encoder(spark, sf).feature_names)
+    return spark.createDataFrame(rows, "feature string, coefficient double").select("feature", _coefficient())
+
+
+def m16_wide_cv_least_squares(spark, sf):
+    """Pooled cross-validation of the same fits."""
+    m = PR.wide_least_squares_program(_ct(spark, sf)).cv
+    return m.select("n", r("corr", 8).alias("corr"), r("mae", 4).alias("mae"), r("rmse", 4).alias("rmse"))
+
+
 def m3_ridge_regression(spark, sf):
     tt = _tt(spark, sf)
     model = fit_regularised(tt.df, reg_param=0.1, l1_ratio=0.0)
@@ -857,21 +919,21 @@ QUERIES = (
     s12_model_coefficients, s13_result_report,
     p1_id_and_rest, p2_nominal_column, p3_ids_only, p4_drop_id, p5_label_last, p6_unlabelled_rows, p7_labeled_point,
     p8_fold_filter, p9_column_roles,
-    e1_distinct_levels, e2_level_counts, e3_level_index, e4_dummy_width, e5_dummy_coding,
+    e1_distinct_levels, e2_level_counts, e3_level_index, e3_wide_level_index, e4_dummy_width, e5_dummy_coding, e5_coded_design,
     e6_numeric_passthrough, e7_flatten, e8_nominal_to_binary, e9_scaler_fit, e10_scaler_transform,
     e11_scaling_switch,
-    j1_label_join, j2_level_lookup, j4_param_grid, j5_grid_by_fold,
+    j1_label_join, j2_level_lookup, j2_wide_lookup, j4_param_grid, j5_grid_by_fold,
     a1_row_count, a2_mse, a3_rmse, a4_mae, a5_pearson, a6_macro_average, a7_pooled_metrics,
-    a8_metrics_one_pass, a9_fold_moments,
+    a8_metrics_one_pass, a9_fold_moments, a9_coded_moments,
     k1_fold_assignment, k2_fold_pairs, k3_union_all, k4_seeded_folds, k4_balanced_folds, k4_balanced_fold_sizes, k5_distinct,
     t1_take_first, t2_best_point, t3_ranked_points,
     f1_string_split, f2_string_to_double, f3_concat, f4_power, f5_sqrt, f6_abs, f7_round_half_up,
     f8_array_ops, f9_map_lookup, f10_int_ranges,
-    m1_sgd_one_feature, m2_least_squares_two, m3_ridge_regression, m3_lasso, m3_ridge_descent, m3_lasso_descent, m3_penalty_grid, m4_decision_tree_cv, m4_tree_exact,
+    m1_sgd_one_feature, m2_least_squares_two, m2_wide_least_squares, m3_ridge_regression, m3_lasso, m3_ridge_descent, m3_lasso_descent, m3_penalty_grid, m4_decision_tree_cv, m4_tree_exact,
     m5_random_forest_cv, m5_forest_exact, m5_bagged_exact, m6_best_split, m7_linear_predict, m8_rounded_prediction, m9_cv_one_point,
     m9_sgd_cv_all_features,
     m10_linear_grid, m11_tree_grid, m11_tree_grid_exact, m12_forest_grid, m12_forest_grid_exact, m13_refit_sgd, m14_training_error,
-    m15_score_table, m16_pooled_cv_least_squares, flagship_least_squares_cv,
+    m15_score_table, m16_pooled_cv_least_squares, m16_wide_cv_least_squares, flagship_least_squares_cv,
 )
 
 
