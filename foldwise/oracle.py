@@ -757,5 +757,8 @@ UNION ALL
 SELECT x.fold, x.pos, y.pos, count(*), NULL, NULL FROM one x JOIN one y ON x.id = y.id AND x.pos < y.pos GROUP BY 1, 2, 3"""
     q["m2_wide_least_squares"] = _LS_COEF
     q["m16_wide_cv_least_squares"] = q["m16_pooled_cv_least_squares"]
+    q["j1_bucketed_join"] = f"SELECT id, c1, n1, round(n2, 4) AS n2, round(label, 6) AS label FROM ({TJ}) t"
+    q["c1_reused_table"] = f"""SELECT fold, count(*) AS n, round(sum(n2), 2) AS n2, round(sum(label), 2) AS label
+FROM ({TF}) t GROUP BY fold"""
     # DuckDB rounds a tiny negative to -0.0 where Spark's decimal rounding gives 0.0
     return {k: v.replace("round(", "0.0 + round(") for k, v in q.items()}

@@ -39,9 +39,11 @@ from .plans import select as S
 from .plans.score import linear_predictions, score_table, training_error
 from .plans.training import (TrainingTable, combined_frame, join_labels, prepare_coded, prepare_training,
                              scoring_frame)
-from .session import scratch_path
+from .plans.reuse import reusable_training
+from .session import scratch_path, temporary_path
 from .sources import csv as CSV
 from .sources import sinks as SK
+from .sources.bucketed import join_bucketed, write_bucketed
 from .sources.tables import ORDER_SPEC, SCORING_CUTOFF, order_features, order_labels, table
 from .spec import FeatureSpec
 
@@ -53,6 +55,7 @@ GRID_A = [0.95, 1.0, 1.05]
 GRID_B = [100.0, 1000.0, 3000.0]
 
 CSV_ROWS = 5_000
+BUCKETS = 8
 
 RIDGE_REG, LASSO_REG = 0.1, 2000.0
 PENALTY_GRID = [(None, 0.0), ("l1", 10.0), ("l1", 100.0), ("l1", 1000.0), ("l1", 10000.0),
@@ -440,6 +443,25 @@ def j1_label_join(spark, sf):
                         for n in ("n_features", "n_labels", "n_joined")])
 
 
+def j1_bucketed_join(spark, sf):
+    """Features and labels written in buckets of the id and joined without an exchange."""
+    of = write_bucketed(_of(spark, sf), "id", BUCKETS, "features")
+    ol = write_bucketed(_ol(spark, sf), "id", BUCKETS, "labels")
+    return join_bucketed(of, ol, "id", "label").select("id", "c1", "n1", r("n2", 4).alias("n2"), r("label", 6).alias("label"))
+
+
+def c1_reused_table(spark, sf):
+    """The training table as a second program finds it: by its manifest, with nothing built."""
+    root = temporary_path(spark, "reuse")
+    inputs = (_of(spark, sf), _ol(spark, sf), ORDER_SPEC, root, "orders")
+    if reusable_training(*inputs).hit or not (again := reusable_training(*inputs)).hit:
+        raise RuntimeError("the first program builds the table, the second finds it")
+    t = again.table
+    n2 = t.feature_names.index("n2")
+    return t.df.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), r(F.sum(F.col("f")[n2]), 2).alias("n2"),
+                                    r(F.sum("label"), 2).alias("label"))
+
+
 def j2_level_lookup(spark, sf):
     of = _of(spark, sf)
     # the fitted dictionary passed the level-count check, so broadcasting it is bounded
@@ -922,10 +944,10 @@ QUERIES = (
     e1_distinct_levels, e2_level_counts, e3_level_index, e3_wide_level_index, e4_dummy_width, e5_dummy_coding, e5_coded_design,
     e6_numeric_passthrough, e7_flatten, e8_nominal_to_binary, e9_scaler_fit, e10_scaler_transform,
     e11_scaling_switch,
-    j1_label_join, j2_level_lookup, j2_wide_lookup, j4_param_grid, j5_grid_by_fold,
+    j1_label_join, j1_bucketed_join, j2_level_lookup, j2_wide_lookup, j4_param_grid, j5_grid_by_fold,
     a1_row_count, a2_mse, a3_rmse, a4_mae, a5_pearson, a6_macro_average, a7_pooled_metrics,
     a8_metrics_one_pass, a9_fold_moments, a9_coded_moments,
-    k1_fold_assignment, k2_fold_pairs, k3_union_all, k4_seeded_folds, k4_balanced_folds, k4_balanced_fold_sizes, k5_distinct,
+    c1_reused_table, k1_fold_assignment, k2_fold_pairs, k3_union_all, k4_seeded_folds, k4_balanced_folds, k4_balanced_fold_sizes, k5_distinct,
     t1_take_first, t2_best_point, t3_ranked_points,
     f1_string_split, f2_string_to_double, f3_concat, f4_power, f5_sqrt, f6_abs, f7_round_half_up,
     f8_array_ops, f9_map_lookup, f10_int_ranges,
