@@ -17,8 +17,9 @@ The text is scanned once; everything after it works on narrow rows. All scans
 are linear in the text, also for long runs of digits or letters.
 
 Defined results: null and empty texts have no spans; rows with a null id are
-scanned like others; repeated rows get equal spans; an empty table gives an
-empty table; extra columns are ignored by ``find`` and carried by ``masked``.
+scanned like others; repeated rows get equal spans; very long texts and words are scanned whole (long
+words and instances are told apart by their digest); a place that two kinds explain gets the surer, of
+equally sure ones the first of email, ip, card, phone; an empty table gives an empty table; extra columns are ignored by ``find`` and carried by ``masked``.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 MIN_CONFIDENCE = 0.8
 MIN_FORMS = 3
+LONG = 64               # longer words and instances are nodes of the graph by their digest
+OTHER = "other"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -97,44 +100,76 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
-    """(kind or "other", start, end) of looser forms that overlap no strict one."""
-    found: list[tuple[str, int, int]] = []
+def _candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[tuple[str, ...], int, int]]:
+    """(kinds, start, end) of looser forms that overlap no strict one. A number of 12 to 15 digits may
+    be a card or a phone; its context decides."""
+    found: list[tuple[tuple[str, ...], int, int]] = []
     at = text.find("@")
     while at >= 0:  # anything around an @ without white space
         s, e = at, at + 1
-        while s and s > at - 64 and not text[s - 1].isspace() and text[s - 1] != "@":
+        while s and not text[s - 1].isspace() and text[s - 1] != "@":
             s -= 1
-        while e < len(text) and e < at + 64 and not text[e].isspace() and text[e] != "@":
+        while e < len(text) and not text[e].isspace() and text[e] != "@":
             e += 1
         if s < at and e > at + 1:
-            found.append(("email", s, e))
+            found.append((("email",), s, e))
         at = text.find("@", e)
     for m in _NUMBER.finditer(text):
         x = m.group()
         n = sum(map(len, _DIGITS.findall(x)))
         if x.count(".") == 3 and " " not in x and n >= 4:
-            found.append(("ip", m.start(), m.end()))
-        elif 12 <= n <= 19:
-            found.append(("card", m.start(), m.end()))
-        elif 7 <= n < 12:
-            found.append(("phone", m.start(), m.end()))
-    found += [("other", m.start(), m.end()) for m in _WORD_DIGIT.finditer(text)]
+            found.append((("ip",), m.start(), m.end()))
+        elif 7 <= n <= 19:
+            kinds = (("card",) if n >= 12 else ()) + (("phone",) if n <= 15 else ())
+            found.append((kinds, m.start(), m.end()))
+    found += [((OTHER,), m.start(), m.end()) for m in _WORD_DIGIT.finditer(text)]
     out, busy = [], sorted((s, e) for s, _, e in taken)
     k = 0
-    for kind, s, e in sorted(found, key=lambda x: (x[1], x[0] == "other")):
+    for kinds, s, e in sorted(found, key=lambda x: (x[1], x[0] == (OTHER,))):
         while k < len(busy) and busy[k][1] <= s:
             k += 1
         if (k == len(busy) or busy[k][0] >= e) and not (out and out[-1][2] > s):
-            out.append((kind, s, e))
+            out.append((kinds, s, e))
     return out
 
 
-def _context(text: str, start: int) -> str:
-    """The two words before, lower-cased, digits as 0; a text's start is ^."""
-    left = _WORD.findall(text[max(0, start - 80):start].lower())
-    words = [x.strip(_TRIM) or x for x in left[-2:]]
-    return re.sub("[0-9]", "0", " ".join((["^"] * 2 + words)[-2:]))
+def _short(word: str) -> str:
+    """A word, or its digest if it is long: whole, but bounded in size."""
+    return word if len(word) <= LONG else "#" + hashlib.md5(word.encode()).hexdigest()
+
+
+def _pattern(word: str) -> str:
+    return _short(re.sub("[0-9]", "0", word.strip(_TRIM) or word))
+
+
+def _contexts(text: str, marks: list[tuple[int, int]]) -> list[str]:
+    """For each mark (start, end), in order: the two words before it, lower-cased, digits as 0; a
+    text's start is ^. A word that a mark begins inside of counts from the mark before. The text's words
+    are found once and each is normalised once, so the work is linear in the text."""
+    lower = text.lower()
+    if len(lower) != len(text):  # a few characters grow in lower case
+        lower = "".join(x if len(x) == 1 else c for c, x in ((c, c.lower()) for c in text))
+    words = [(m.start(), m.end()) for m in _WORD.finditer(lower)]
+    known: dict[int, str] = {}
+
+    def word(i: int) -> str:
+        if i < 0:
+            return "^"
+        if i not in known:
+            known[i] = _pattern(lower[slice(*words[i])])
+        return known[i]
+
+    out, k, done = [], 0, 0
+    for s, e in marks:
+        while k < len(words) and words[k][1] < s:
+            k += 1
+        own = max(words[k][0], done) if k < len(words) else s
+        if own < s:  # the mark begins inside of word k
+            out.append(f"{word(k - 1)} {_pattern(lower[own:s])}")
+        else:
+            out.append(f"{word(k - 2)} {word(k - 1)}")
+        done = e
+    return out
 
 
 def spans_text(spans: list[tuple[int, int, int]]) -> str:
@@ -142,8 +177,9 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
 
 
 _ROW = ("doc_id long, tag long, n array<long>, base string, "
-        "seen array<struct<seed:boolean,kind:string,s:int,e:int,form:string,ctx:string>>")
-_SEEN = pa.list_(pa.struct([("seed", pa.bool_()), ("kind", pa.string()), ("s", pa.int32()),
+        "seen array<struct<seed:boolean,again:boolean,kind:string,s:int,e:int,form:string,ctx:string>>")
+# ``again`` marks the further kinds of a place, which count once for its pattern
+_SEEN = pa.list_(pa.struct([("seed", pa.bool_()), ("again", pa.bool_()), ("kind", pa.string()), ("s", pa.int32()),
                             ("e", pa.int32()), ("form", pa.string()), ("ctx", pa.string())]))
 
 
@@ -155,23 +191,26 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = base_spans(text)
             n.append([sum(k == i for _, k, _ in spans) for i in range(len(KINDS))])
             base.append(spans_text(spans))
-            marks = [(True, KINDS[k], s, e) for s, k, e in spans]
+            marks = [(s, e, True, (KINDS[k],)) for s, k, e in spans]
             if "@" in text or _DIGITS.search(text):
-                marks += [(False, *x) for x in _candidates(text, spans)]
-            seen.append([{"seed": seed, "kind": kind, "s": s, "e": e,
-                          "form": text[s:e].strip(_TRIM).lower()[:64], "ctx": _context(text, s)}
-                         for seed, kind, s, e in marks])
+                marks += [(s, e, False, kinds) for kinds, s, e in _candidates(text, spans)]
+            marks.sort()
+            seen.append([{"seed": seed, "again": i > 0, "kind": kind, "s": s, "e": e,
+                          "form": _short(text[s:e].strip(_TRIM).lower()), "ctx": ctx}
+                         for (s, e, seed, kinds), ctx in zip(marks, _contexts(text, [m[:2] for m in marks]))
+                         for i, kind in enumerate(kinds)])
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(n, pa.list_(pa.int64())), pa.array(base, pa.string()),
              pa.array(seen, _SEEN)], names=["doc_id", "tag", "n", "base", "seen"])
 
 
 def pattern_scores(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Scores of the graph ``ctx, kind, form, w, seed`` after some rounds.
+    """Scores of the graph ``ctx, kind, form, w, first, seed`` after some rounds; ``w`` counts an edge's
+    places, ``first`` those at which its kind is the place's first.
 
     Returns ``ctx, kind, confidence, forms`` and ``kind, form, score``.
     """
-    total = edges.groupBy("ctx").agg(F.sum("w").alias("total"))
+    total = edges.groupBy("ctx").agg(F.sum("first").alias("total"))
     own = edges.filter("kind <> 'other'")
     inst = own.groupBy("kind", "form").agg(F.max(F.col("seed").cast("double")).alias("score"))
     for _ in range(rounds):
@@ -197,11 +236,17 @@ def _spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     found = write_table(arrow_tasks(rows, _scan, _ROW), "pii-found")
     occ = found.select("doc_id", "tag", F.explode("seen").alias("o")).select("doc_id", "tag", "o.*")
     edges = write_table(occ.groupBy("ctx", "kind", "form")
-                        .agg(F.count(F.lit(1)).alias("w"), F.max("seed").alias("seed")), "pii-edges")
+                        .agg(F.count(F.lit(1)).alias("w"), F.count_if(~F.col("again")).alias("first"),
+                             F.max("seed").alias("seed")), "pii-edges")
     pats, inst = pattern_scores(edges)
     sure = pats.filter((F.col("confidence") >= MIN_CONFIDENCE) & (F.col("forms") >= MIN_FORMS))
+    names = F.array(*[F.lit(k) for k in KINDS])
+    place = F.array_position(names, F.col("kind"))
     added = (occ.filter("not seed and kind <> 'other'").join(sure, ["ctx", "kind"])
              .join(inst.filter(F.col("score") >= MIN_CONFIDENCE), ["kind", "form"])
+             # a place gets its surest kind, of equally sure ones the first in order
+             .groupBy("doc_id", "tag", "s", "e").agg(F.max(F.struct("confidence", (-place).alias("place"))).alias("m"))
+             .withColumn("kind", F.element_at(names, (-F.col("m.place")).cast("int")))
              .groupBy(F.col("doc_id").alias("d"), F.col("tag").alias("g"))
              .agg(F.collect_set(F.concat_ws(":", "kind", "s", "e")).alias("more")))
     on = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("g"))

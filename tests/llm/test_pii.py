@@ -44,11 +44,13 @@ def test_luhn():
 
 
 @pytest.mark.parametrize("text", ["1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1 " * 60_000,
-                                  "a@" * 100_000, "1 " * 100_000, "x1" * 100_000])
+                                  "a@" * 100_000, "1 " * 100_000, "x1" * 100_000, "w" * 200_000 + " a1,b2,c3;" * 20_000,
+                                  "w" * 200_000 + " " + "1234567x," * 20_000])
 def test_long_runs_are_linear(text):
     t = time.process_time()
     spans = pii.base_spans(text)
-    pii._candidates(text, spans)
+    found = pii._candidates(text, spans)
+    pii._contexts(text, sorted([(s, e) for s, _, e in spans] + [(s, e) for _, s, e in found]))
     assert time.process_time() - t < 5
 
 
@@ -78,6 +80,30 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[101].spans == got[102].spans == ""
 
 
+def test_contexts_are_the_two_words_before():
+    text = "Call me: +1 2 at=7,b=8 end\n9"
+    at = lambda x: (text.index(x), text.index(x) + len(x))
+    got = pii._contexts(text, [at("+1 2"), at("7"), at("8"), at("9")])
+    assert got == ["call me", "0 at=", "0 b=", "at=0,b=0 end"]
+    assert pii._contexts("5 x", [(0, 1)]) == ["^ ^"]
+    long = "w" * 90
+    assert pii._contexts(f"{long} 5", [(91, 92)])[0].startswith("^ #")
+    assert pii._contexts(f"{long}1 5", [(92, 93)]) == pii._contexts(f"{long}2 5", [(92, 93)])
+    assert pii._contexts(f"{long}a 5", [(92, 93)]) != pii._contexts(f"{long}b 5", [(92, 93)])
+
+
+def test_long_addresses_and_numbers_of_either_kind(spark):
+    local = "x" * 100
+    rows = [(i, f"please dial now +49 30 1234 {5000 + i} thanks") for i in range(20)]
+    rows += [(i, f"mail the box b{i}@example.com thanks") for i in range(50, 70)]
+    rows += [(100, "please dial now 0049 30 12345678 thanks"), (101, f"mail the box {local}@localhost thanks"),
+             (102, "please pay with 0049 30 12345678 thanks")]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100] == "phone:16:32"
+    assert got[101] == f"email:13:{13 + 100 + len('@localhost')}"
+    assert got[102] == ""
+
+
 def test_masked(spark, edge, no_rows):
     out = pii.masked(edge)
     assert out.schema == edge.schema
