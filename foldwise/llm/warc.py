@@ -13,7 +13,7 @@ Defined results: null html is an empty payload; a null url has an empty key;
 rows with a null id never become the response that others revisit unless no
 other row has their payload, and then all of them are responses; rows that
 repeat an id and payload are written as often as they occur, and all of the
-largest id are responses; an empty table writes nothing; extra columns are
+largest id are responses; very long pages are records like others; an empty table writes nothing; extra columns are
 ignored.
 """
 
@@ -32,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import arrow_tasks
+from foldwise.llm.common import arrow_tasks, splits
 from foldwise.llm.files import attempt_name, reader, writer
 from foldwise.session import scratch_path, write_table
 
 MIN_REVISIT = 1000
 BLOCK_LINES = 1000
+SHARD_BYTES = 32 << 20     # archive bytes that the captures of an index shard take
 GZIP_LEVEL = 5
 CAPTURE_DATE = "2000-01-01T00:00:00Z"
 RECORD_SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122's name space for URLs
@@ -127,12 +128,13 @@ def write(pages: DataFrame, folder: str | None = None, page_id: str = "page_id",
         F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
         F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    # One row per digest; hashes alone are shuffled for it.
-    firsts = (rows.filter(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest")
-              .agg(F.max("page_id").alias("first")))
-    first = F.when((F.octet_length("payload") >= MIN_REVISIT)
-                   & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    rows = rows.join(firsts, "digest", "left").withColumn("refers_to", first)
+    large = F.octet_length("payload") >= MIN_REVISIT
+    # One row per digest; hashes alone are shuffled for it. Small payloads never revisit and are
+    # written where they are read.
+    firsts = rows.filter(large).groupBy("digest").agg(F.max("page_id").alias("first"))
+    first = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
+    rows = (rows.filter(large).join(firsts, "digest", "left").withColumn("refers_to", first).drop("first")
+            .unionByName(rows.filter(~large).withColumn("refers_to", F.lit(None).cast("long"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, name = attempt_name()
@@ -209,7 +211,10 @@ def build_index(captures: DataFrame, folder: str | None = None) -> list[dict]:
                        ("first_id", pa.int64()), ("last_key", pa.string()), ("last_id", pa.int64())]))
 
     by = [F.col("key"), F.col("page_id").asc_nulls_first()]
-    shards = arrow_tasks(captures.repartitionByRange(*by).sortWithinPartitions(*by), run,
+    # as many shards as the archives need tasks to read them back; the index alone is much smaller
+    size = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    n = splits(captures.sparkSession, size, SHARD_BYTES)
+    shards = arrow_tasks(captures.repartitionByRange(n, *by).sortWithinPartitions(*by), run,
                          "shard int, file string, first_key string, first_id long, "
                          "last_key string, last_id long")
     # one row per shard, that is per partition
@@ -298,6 +303,7 @@ def fetch(wanted: DataFrame, shards: list[dict], page_id: str = "page_id", url:
     routed = arrow_tasks(wanted.select(F.col(page_id).cast("long").alias("page_id"),
                                        F.col(url).alias("url")), route,
                          "shard int, key string, page_id long").distinct()
-    return arrow_tasks(routed.repartition("shard").sortWithinPartitions("shard", "key", "page_id"),
+    n = max(1, len(shards))
+    return arrow_tasks(routed.repartitionByRange(n, "shard").sortWithinPartitions("shard", "key", "page_id"),
                        read, "page_id long, payload_bytes long, payload_digest string, "
                              "record_type string, refers_to long")
