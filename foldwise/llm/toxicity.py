@@ -15,8 +15,8 @@ passages. A text's evidence x is the sum of -ln E over its passages, its score
 x / (x + x0), where x0 separates the sample's classes best.
 
 Defined results: null and empty texts score 0; rows with a null id count as
-held out; repeated rows score alike; without labels of both classes everything
-scores 0; an empty table gives an empty table; extra columns are ignored, and
+held out; repeated rows score alike; very long texts are scanned whole; of thresholds with equally few
+errors the lowest is taken; without labels of both classes everything scores 0; an empty table gives an empty table; extra columns are ignored, and
 labels, language, source and id never enter a score.
 """
 
@@ -36,7 +36,6 @@ from foldwise.llm.common import arrow_tasks
 from foldwise.session import write_table
 
 FIT_ROWS = 20_000       # labelled rows that fit the model
-LEXICON = 20_000        # words with a score, by absolute z
 PRIOR = 500.0           # strength of the Dirichlet prior, in documents
 MIN_Z = 4.0
 DRIFT = 0.2             # paid by every token
@@ -136,8 +135,8 @@ def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: st
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", rows: int = FIT_ROWS) -> ToxicModel:
-    """Fit on the sample; at most ``LEXICON`` words and one pair per sampled row come to
-    the driver."""
+    """Fit on the sample; its significant words and one pair per sampled row come to the driver, both
+    bounded by the sample of ``rows`` ids."""
     rows_ = write_table(sample(docs, labels, doc_id, text, label, rows), "toxic-sample")
     counts = (arrow_tasks(rows_, _count_words, "word string, toxic boolean, n long")
               .groupBy("word").agg(
@@ -154,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     z = delta / F.sqrt(1 / t + 1 / c)
     lex = (counts.filter((F.col("word") != "") & (F.col("t") + F.col("c") < nt + nc))
            .select("word", "c", delta.alias("s"), F.abs(z).alias("z"))
-           .filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(LEXICON).collect())
+           .filter(F.col("z") >= MIN_Z).collect())
     scores = {r["word"]: float(r["s"]) for r in lex}
     if not any(s > DRIFT for s in scores.values()):
         return ToxicModel({})
