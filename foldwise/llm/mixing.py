@@ -14,13 +14,16 @@ way over slices of virtual time; only one row comes to the driver.
 
 Defined results: null text has size 0 and is never taken; a null source is a
 source of its own, ordered last; repeated rows queue one by one; rows with a
-null id share one shuffle key and queue by size; an empty table gives an empty
+null id share one shuffle key and queue by size; very long texts are only counted; an empty table gives an empty
 table; if no text has words every target is 0. Extra columns are ignored by
 ``mix`` and carried by ``mixed_documents``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 SEED = 17
 SLICES = 16384  # slices of virtual time below the water level
+SALTS = 64      # parts in which rows that agree in id, source and text are numbered
 
 
 def sources(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS,
@@ -138,21 +142,37 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     source: str = "source") -> DataFrame:
     """The mix itself: each document as often as it was taken, all columns as they are.
 
-    Takes are decided on narrow rows and joined back on id, source and a hash of
-    the text. Rows that agree in all three share their takes: each gets the
-    mean, rounded up.
+    Takes are decided on narrow rows and joined back on id, source and a hash of the text. Rows
+    that agree in all three share their takes: each gets the floor of the mean and the first ones
+    one more, so that the sum is kept. Only such rows are numbered, in ``SALTS`` parts of
+    a group whose sizes are added up first.
     """
     tag = F.xxhash64(F.col(text))
-    took = (mix(docs, doc_id, text, source, tag=tag)
-            .groupBy("doc_id", "from", "tag")
-            .agg(F.ceil(F.avg(F.when(F.col("size") > 0, F.col("taken") / F.col("size"))))
-                 .cast("int").alias("times"))
-            .filter("times > 0"))
-    whole, a, b, c = fresh(docs, "q_row", "q_id", "q_source", "q_tag")
+    whole, a, b, c, at, salt, number = fresh(docs, "q_row", "q_id", "q_source", "q_tag", "q_at", "q_salt", "q_number")
+    took = write_table(mix(docs, doc_id, text, source, tag=tag).groupBy("doc_id", "from", "tag")
+                       .agg(F.count(F.lit(1)).alias("rows"),
+                            F.sum(F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(0)).alias("takes"))
+                       .filter("takes > 0"), "mix-takes")
     rows = docs.select(F.struct("*").alias(whole), F.col(doc_id).alias(a), F.col(source).alias(b),
-                       tag.alias(c))
+                       tag.alias(c)).withColumn(at, F.monotonically_increasing_id())
     on = (F.col(a).eqNullSafe(F.col("doc_id")) & F.col(b).eqNullSafe(F.col("from"))
           & F.col(c).eqNullSafe(F.col("tag")))
-    return (rows.select(whole, a, b, c).join(took, on)
-            .withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    single = rows.join(took.filter("rows = 1"), on).select(whole, F.col("takes").alias("times"))
+
+    # rows that agree: their place in the part, after the parts before
+    group = [a, b, c]
+    several = took.filter("rows > 1")
+    many = rows.withColumn(salt, F.pmod(F.col(at), F.lit(SALTS)))
+    sizes = (many.select(*group, salt).join(several, on).groupBy(*group, salt).agg(F.count(F.lit(1)).alias("n")))
+    before = W.partitionBy(*group).orderBy(salt).rowsBetween(W.unboundedPreceding, -1)
+    base = sizes.select(*(F.col(x).alias(f"{x}_") for x in (*group, salt)),
+                        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    same = reduce(and_, (F.col(x).eqNullSafe(F.col(f"{x}_")) for x in (*group, salt)))
+    order = W.partitionBy(*group, salt).orderBy(at)
+    shared = (many.join(several, on).join(base, same)
+              .withColumn(number, F.col("base") + F.row_number().over(order))
+              .select(whole, (F.expr("takes div rows") + F.when(F.col(number) <= F.col("takes") % F.col("rows"), 1)
+                              .otherwise(0)).alias("times")).filter("times > 0"))
+    return (single.unionByName(shared)
+            .withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
             .select(f"{whole}.*"))

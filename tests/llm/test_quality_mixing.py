@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from foldwise.llm import mixing, quality
 from llm_cases import WORD
@@ -108,3 +109,17 @@ def test_mixed_documents(spark, edge, no_rows):
 def test_no_words(spark):
     d = spark.createDataFrame([(1, None, "a"), (2, "  ", None)], "doc_id long, text string, source string")
     assert [(r.size, r.target, r.taken) for r in mixing.mix(d).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_rows_that_agree_keep_the_sum_of_their_takes(spark):
+    rows = [(None, "a b c d e f g h i j", "s", k) for k in range(2000)]
+    rows += [(k, "u v w " * (k % 5 + 1), "t", 0) for k in range(400)] + [(7, "same id", "t", 0)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, key int")
+    taken = {r.source: r.w for r in mixing.mix(df).join(df.select("doc_id", "source").distinct(), "doc_id", "left")
+             .groupBy("source").agg(F.sum("taken").alias("w")).collect()}
+    out = mixing.mixed_documents(df)
+    assert out.schema == df.schema
+    words = {r.source: r.w for r in out.groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("w")).collect()}
+    assert words["s"] == taken[None] and words["t"] == taken["t"]
+    own = [r["count"] for r in out.filter("source = 's'").groupBy("key").count().collect()]
+    assert max(own) - min(own) <= 1
