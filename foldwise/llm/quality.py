@@ -164,20 +164,16 @@ def keep_documents(docs: DataFrame, text: str = "text", host: str = "source",
     All columns stay as they are. The verdicts are joined on the host, so no
     document needs an id.
     """
-    counted = with_counts(docs.select(F.col(host).alias("host"), F.col(text).alias("t")), "t")
-    verdict = host_verdicts(write_table(host_rates(counted.drop("t")), "quality-hosts"), max_rate)
-    rows = docs.select(F.struct("*").alias("q_row"), F.col(host).alias("host"),
-                       F.col(text).alias("t"))
-    # The optimiser would push the filter below the counts and copy their expressions into
-    # every lambda, which makes them quadratic in the text; it does not push a filter past a
-    # row number.
-    rows = (with_counts(rows.withColumn("salt", F.pmod(F.xxhash64("t"), F.lit(SALTS))), "t")
-            .withColumn("q_at_row", F.monotonically_increasing_id())
-            .filter(~base_failed(F.col("c")) & (F.col("q_at_row") >= 0)).select("q_row", "host", "salt"))
+    # every text is counted once: rows and counts are written, the verdicts read the counts alone
+    rows = docs.select(F.struct("*").alias("q_row"), F.col(host).alias("host"), F.col(text).alias("t"))
+    counted = write_table(with_counts(rows, "t").withColumn("salt", F.pmod(F.xxhash64("t"), F.lit(SALTS))).drop("t"),
+                          "quality-rows")
+    verdict = host_verdicts(write_table(host_rates(counted), "quality-hosts"), max_rate)
+    left = counted.filter(~base_failed(F.col("c")))
     bad = write_table(verdict.filter("rejected").select("host"), "quality-rejected")
     if not bad.take(1):  # nothing to look up: the texts need no shuffle
-        return rows.select("q_row.*")
+        return left.select("q_row.*")
     # a hot host's documents meet copies of its verdict in several tasks
     bad = bad.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
                          ).withColumn("salt", F.col("salt").cast("long"))
-    return rows.join(bad, ["host", "salt"], "left_anti").select("q_row.*")
+    return left.join(bad, ["host", "salt"], "left_anti").select("q_row.*")
