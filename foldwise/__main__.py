@@ -35,13 +35,9 @@ def _spec_from_header(spark, path: str, n_nominal: int, label_last: bool = False
 def _print_report(title: str, run) -> None:
     rows = {r.stage: r for r in run.report().collect()}
     cv, tr = rows["cv"], rows["training"]
-    print(f"Chosen parameters: {run.params}")
-    print(f"{title} Correlation Coefficient = {cv.corr}")
-    print(f"{title} Mean Absolute Error = {cv.mae}")
-    print(f"{title} Root Mean Squared Error = {cv.rmse}")
-    print(f"Training Correlation Coefficient = {tr.corr}")
-    print(f"Training Mean Absolute Error = {tr.mae}")
-    print(f"Training Root Mean Squared Error = {tr.rmse}")
+    print(f"{title}: {run.params}")
+    for name, m in (("cross-validation", cv), ("training rows", tr)):
+        print(f"  {name}: r {m.corr}, mae {m.mae}, rmse {m.rmse}")
 
 
 def main(argv: list[str] | None = None) -> int:

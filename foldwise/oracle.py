@@ -46,7 +46,6 @@ def _joined(features: str = OF) -> str:
 TJ = _joined()
 TJ_TRAIN = _joined(OF_TRAIN)
 TF = f"SELECT t.*, {fold_expr()} AS fold FROM ({TJ}) t"
-TF_N2 = f"SELECT id, n2 AS x, label AS y, {fold_expr()} AS fold FROM ({TJ}) t"
 FOLDS = "(SELECT CAST(range AS INTEGER) AS k FROM range(10))"
 
 
@@ -87,20 +86,6 @@ num AS (SELECT r.id, CAST(nd.total + k.k AS INTEGER) AS pos,
 enc AS (SELECT * FROM nom UNION ALL SELECT * FROM num)"""
 
 
-# --- least squares on one feature (n2) ------------------------------------------------
-
-# per-fold model trained on all other folds, closed form
-_FOLD_OLS = f"""t AS ({TF_N2}),
-m AS (SELECT k.k AS fold, regr_slope(t.y, t.x) AS w, regr_intercept(t.y, t.x) AS b
-      FROM t JOIN {FOLDS} k ON t.fold <> k.k GROUP BY k.k),
-pr AS (SELECT t.fold, t.id, t.y, m.b + m.w * t.x AS raw FROM t JOIN m ON m.fold = t.fold)"""
-
-_FULL_OLS = f"""t AS (SELECT id, n2 AS x, label AS y FROM ({TJ}) s),
-m AS (SELECT regr_slope(y, x) AS w, regr_intercept(y, x) AS b FROM t)"""
-
-_TRAIN_OLS = f"""t AS (SELECT id, n2 AS x, label AS y FROM ({TJ_TRAIN}) s),
-m AS (SELECT regr_slope(y, x) AS w, regr_intercept(y, x) AS b FROM t)"""
-
 # fixed linear predictions on the joined orders (no fit needed)
 P0 = "0.99 * n2"
 TP = f"SELECT id, label AS y, {half_up(P0)} AS p, {fold_expr()} AS fold FROM ({TJ}) t"
@@ -171,7 +156,8 @@ sol AS (SELECT cg.k, cg.x FROM cg JOIN (SELECT k, max(it) AS it FROM cg GROUP BY
 
 # least squares on all encoded features: per fold k (and -1, all rows) the coefficients ``coef``
 # over z, the intercept ``icpt``, and the unfinished predictions ``cvp`` and ``trp``
-_LS_ALL = f"""WITH RECURSIVE {_encoding_ctes()},
+def _ls_ctes(features: str = OF, rows: str = TJ) -> str:
+    return f"""WITH RECURSIVE {_encoding_ctes(features, rows)},
 st AS (SELECT pos, avg(value) AS m, stddev_samp(value) AS s FROM enc GROUP BY pos),
 zf AS (SELECT e.id, e.pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0::DOUBLE ELSE (e.value - st.m) / st.s END AS z,
               {fold_expr('e.id')} AS fold FROM enc e JOIN st ON st.pos = e.pos),
@@ -204,6 +190,9 @@ cvp AS (SELECT zf.id, zf.fold AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON
 trp AS (SELECT zf.id, -1 AS k, sum(coef.a * zf.z) AS s FROM zf JOIN coef ON coef.k = -1 AND coef.i = zf.pos
         GROUP BY zf.id),
 """
+
+
+_LS_ALL = _ls_ctes()
 _LS_PRED = f"""{_LS_ALL}pr AS (SELECT p.k, p.id, lab.fold, lab.y, icpt.b0 + p.s AS raw, {half_up('icpt.b0 + p.s')} AS p
        FROM (SELECT * FROM cvp UNION ALL SELECT * FROM trp) p JOIN icpt ON icpt.k = p.k JOIN lab ON lab.id = p.id)"""
 # coefficients of the fit on all rows in raw units
@@ -344,9 +333,23 @@ unseen AS (SELECT jl.id, CAST(sum(CASE WHEN lv.level IS NULL THEN 1 ELSE 0 END)
 SELECT e.id, e.pos, round(e.value, 4) AS value, u.unseen_levels FROM enc e JOIN unseen u ON u.id = e.id"""
     q["s6_combined_table"] = f"""SELECT c1, c2, c3, c4, c5, n1, round(n2, 4) AS n2, n3, n4, round(label, 6) AS label
 FROM ({TJ}) t"""
-    q["s7_prediction_sink"] = f"""WITH {_TRAIN_OLS},
-s AS (SELECT id, n2 AS x FROM ({OF_SCORE}) f)
-SELECT CAST(s.id AS VARCHAR) || ',' || CAST({half_up('m.b + m.w * s.x')} AS VARCHAR) AS value FROM s, m"""
+    # rows since the cutoff under the least squares of those before it: ``scored(id, raw, unseen_levels)``
+    scored = f"""{_ls_ctes(OF_TRAIN, TJ_TRAIN)}raw AS (
+  SELECT coef.i AS pos, CASE WHEN st.s = 0 OR st.s IS NULL THEN 0.0 ELSE coef.a / st.s END AS c, st.m
+  FROM coef JOIN st ON st.pos = coef.i WHERE coef.k = -1),
+sc AS ({OF_SCORE}),
+lev AS (UNPIVOT (SELECT id, c1, c2, c3, c4, c5 FROM sc) ON c1, c2, c3, c4, c5 INTO NAME col VALUE level),
+seen AS (SELECT lev.id, lv.idx, off.start FROM lev LEFT JOIN lv ON lv.col = lev.col AND lv.level = lev.level
+         LEFT JOIN off ON off.col = lev.col),
+dums AS (SELECT seen.id, coalesce(sum(raw.c), 0.0) AS s, CAST(sum(CASE WHEN seen.idx IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS unseen_levels
+         FROM seen LEFT JOIN raw ON seen.idx >= 1 AND raw.pos = seen.start + seen.idx - 1 GROUP BY seen.id),
+w AS (SELECT (SELECT c FROM raw WHERE pos = nd.total) AS w1, (SELECT c FROM raw WHERE pos = nd.total + 1) AS w2,
+             (SELECT c FROM raw WHERE pos = nd.total + 2) AS w3, (SELECT c FROM raw WHERE pos = nd.total + 3) AS w4,
+             (SELECT b0 FROM icpt WHERE k = -1) - (SELECT sum(c * m) FROM raw) AS b FROM nd),
+scored AS (SELECT sc.id, w.b + dums.s + w1 * n1 + w2 * n2 + w3 * n3 + w4 * n4 AS raw, dums.unseen_levels
+           FROM sc JOIN dums ON dums.id = sc.id, w)"""
+    q["s7_prediction_sink"] = f"""{scored}
+SELECT CAST(id AS VARCHAR) || ',' || CAST({half_up('raw')} AS VARCHAR) AS value FROM scored"""
     q["s8_model_sink"] = f"""{_LS_COEF}"""
     q["s9_first_rows"] = f"""SELECT id, c1, c2, c3, c4, c5, n1, round(n2, 4) AS n2, n3, n4, round(label, 6) AS label
 FROM ({TJ}) t ORDER BY id LIMIT 10"""
@@ -723,13 +726,8 @@ UNION ALL SELECT 'training', round(corr, 8), round(mae, 4), round(rmse, 4) FROM
     q["m14_training_error"] = f"""{_LS_PRED}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql()} FROM pr WHERE k = -1) s"""
-    q["m15_score_table"] = f"""WITH {_TRAIN_OLS},
-lv AS ({_levels(OF_TRAIN)}),
-s AS ({OF_SCORE}),
-jl AS (UNPIVOT (SELECT id, c1, c2, c3, c4, c5 FROM s) ON c1, c2, c3, c4, c5 INTO NAME col VALUE level),
-u AS (SELECT jl.id, CAST(sum(CASE WHEN lv.level IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS unseen_levels
-      FROM jl LEFT JOIN lv ON lv.col = jl.col AND lv.level = jl.level GROUP BY jl.id)
-SELECT s.id, {half_up('m.b + m.w * s.n2')} AS prediction, u.unseen_levels FROM s JOIN u ON u.id = s.id, m"""
+    q["m15_score_table"] = f"""{scored}
+SELECT id, {half_up('raw')} AS prediction, unseen_levels FROM scored"""
     q["m16_pooled_cv_least_squares"] = f"""{_LS_PRED}
 SELECT n, round(corr, 8) AS corr, round(mae, 4) AS mae, round(rmse, 4) AS rmse
 FROM (SELECT {metrics_sql('y', 'raw')} FROM pr WHERE k >= 0) s"""

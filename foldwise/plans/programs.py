@@ -105,17 +105,19 @@ def penalised_program(tt: TrainingTable, penalties: list[tuple[str | None, float
 def _cv_and_training(tt: TrainingTable, fm, model, rounded: bool, average: str):
     """Cross-validated and training metrics from one scoring pass (see ``score_with_refit``).
 
-    The metric rows are tiny (folds + 1); they are persisted so that reading
-    the CV and the training result separately does not score the table twice.
+    The metric rows (folds + 1) come to the driver, so that reading the CV and the training result
+    separately does not score the table twice.
     """
+    def fetched(rows: DataFrame) -> DataFrame:
+        return tt.df.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
     pred = S.score_with_refit(tt, fm, model, rounded)
     if average == "pooled":
-        per = regression_metrics(pred.withColumn("is_refit", F.col("fold") == S.REFIT),
-                                 ["is_refit"]).persist()
+        per = fetched(regression_metrics(pred.withColumn("is_refit", F.col("fold") == S.REFIT), ["is_refit"]))
         cv = per.filter(~F.col("is_refit")).select(F.lit(tt.n_folds).alias("folds"), "corr", "mae", "rmse")
         training = per.filter(F.col("is_refit")).drop("is_refit")
     else:
-        per = S.fold_metrics(pred).persist()
+        per = fetched(S.fold_metrics(pred))
         cv = _cv_row(per.filter(F.col("fold") != S.REFIT))
         training = per.filter(F.col("fold") == S.REFIT).drop("grid_pos", "fold")
     return cv, training

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +29,7 @@ from .operators import folds as K
 from .operators import metrics as A
 from .operators import splits as SP
 from .operators.inspect import first_rows, row_count
-from .operators.linear import LinearModel, fit_ols, fit_regularised, fit_sgd
+from .operators.linear import fit_ols, fit_regularised, fit_sgd
 from .operators.moments import total
 from .operators.scale import column_stats
 from .plans import grid as G
@@ -115,13 +114,14 @@ def _ols_all(spark, sf):
     return tt, per_fold, fit_ols(total(per_fold, tt.width), tt.scaler)
 
 
-def _train_ols_n2(spark, sf):
+def _train_ols(spark, sf):
+    """Encoder and least squares on all features of the orders before the cutoff."""
     def build():
         feats = _of(spark, sf, before=SCORING_CUTOFF)
-        tt = prepare_training(feats, _ol(spark, sf), N2_SPEC, n_folds=G.N_FOLDS)
+        tt = prepare_training(feats, _ol(spark, sf), ORDER_SPEC, n_folds=G.N_FOLDS)
         per_fold = S.fold_moments(tt)
-        return fit_ols(total(per_fold, tt.width), tt.scaler)
-    return _memo(spark, ("train_ols_n2", sf), build)
+        return tt.encoder, fit_ols(total(per_fold, tt.width), tt.scaler)
+    return _memo(spark, ("train_ols", sf), build)
 
 
 def _csv_copy(spark, df: DataFrame, name: str) -> str:
@@ -180,8 +180,8 @@ def s6_combined_table(spark, sf):
 
 
 def s7_prediction_sink(spark, sf):
-    model = _train_ols_n2(spark, sf)
-    enc = E.fit_encoder(_of(spark, sf, before=SCORING_CUTOFF), N2_SPEC)
+    """Predictions for the orders since the cutoff, as text lines read back."""
+    enc, model = _train_ols(spark, sf)
     scored = score_table(_of(spark, sf, since=SCORING_CUTOFF), enc, model)
     path = scratch_path(spark, "predictions")
     SK.write_predictions(scored, path)
@@ -911,13 +911,9 @@ def m14_training_error(spark, sf):
 
 
 def m15_score_table(spark, sf):
-    """``score_table`` with an encoder of all nominal columns; the model weighs n2 alone."""
-    one = _train_ols_n2(spark, sf)
-    enc = E.fit_encoder(_of(spark, sf, before=SCORING_CUTOFF),
-                        FeatureSpec(id="id", nominal=ORDER_SPEC.nominal, numeric=("n2",)))
-    coef = np.zeros(enc.width)
-    coef[enc.feature_names.index("n2")] = one.coef[0]
-    return score_table(_of(spark, sf, since=SCORING_CUTOFF), enc, LinearModel(coef, one.intercept))
+    """Orders since the cutoff, scored by the encoder and the model of those before it."""
+    enc, model = _train_ols(spark, sf)
+    return score_table(_of(spark, sf, since=SCORING_CUTOFF), enc, model)
 
 
 def m16_pooled_cv_least_squares(spark, sf):
