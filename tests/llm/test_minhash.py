@@ -94,3 +94,9 @@ def test_components_of_a_chain(spark):
     got = {r.id: r.component_id for r in components(e).collect()}
     assert got == {i: 1 for i in range(2, 201)}
     assert components(e.filter("u < 0")).count() == 0
+
+
+def test_an_id_of_several_texts_links_their_classes(spark):
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, b + " x"), (None, a)]
+    check(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), rows)
