@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from foldwise.llm.common import _GOLD, _powers, arrow_tasks, mix64
 from foldwise.llm.hotkeys import hot_keys, salted_join
 from foldwise.llm.units import _BASES, _INVERSES
-from foldwise.session import write_table
+from foldwise.session import drop_table, write_table
 
 MIN_LENGTH = 7
 MIN_COUNT = 2
@@ -82,52 +82,36 @@ def _prefixes(strings: pa.Array, least: int):
     return row, depth, node.view(np.int64), follow.astype(np.int64)
 
 
-def _sorted(strings: DataFrame) -> DataFrame:
-    return strings.repartitionByRange("s").sortWithinPartitions("s")
-
-
-def _trie(strings: DataFrame, least: int, n_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _trie(strings: DataFrame, least: int, n_words: int) -> tuple[DataFrame, DataFrame, list]:
     """For the column ``s``: each string's branching nodes at depth ``least`` and below
-    (``s, points``), the edges from them (``node, first, label, child, term``), and the hot nodes.
+    (``s, points``), the edges from them (``node, first, label, child, term, nexts``), and the hot nodes.
 
     ``term`` is the string that ends at the edge's end if nothing goes on there; a string that ends at
-    a branching node has an edge with an empty label.
+    a branching node has an edge with an empty label. ``nexts`` are the first characters of the edges
+    that go on from the child (``$``, which no word holds, for the empty label).
     """
 
-    def children(batches):
-        for b in batches:
-            if b.num_rows:
-                _, _, node, follow = _prefixes(b.column(0), least)
-                order = np.lexsort((follow, node))
-                node, follow = node[order], follow[order]
-                new = np.ones(len(node), bool)
-                new[1:] = (node[1:] != node[:-1]) | (follow[1:] != follow[:-1])
-                at = np.flatnonzero(new)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[at]), pa.array(follow[at]), pa.array(np.diff(np.append(at, len(node))))],
-                    ["node", "follow", "n"])
-
     def paths(batches):
         for b in batches:
             if b.num_rows:
-                row, depth, node, _ = _prefixes(b.column(0), least)
+                row, depth, node, follow = _prefixes(b.column(0), least)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(row)), pa.array(depth.astype(np.int32)), pa.array(node)],
-                    ["s", "depth", "node"])
+                    [b.column(0).take(pa.array(row)), pa.array(depth.astype(np.int32)), pa.array(node),
+                     pa.array(follow.astype(np.int32))], ["s", "depth", "node", "follow"])
 
-    each = (arrow_tasks(_sorted(strings), children, "node bigint, follow bigint, n bigint")
-            .groupBy("node", "follow").agg(F.sum("n").alias("n")))
-    nodes = write_table(each.groupBy("node").agg(F.count(F.lit(1)).alias("fan"), F.sum("n").alias("n"))
+    shared = write_table(arrow_tasks(strings.repartitionByRange("s").sortWithinPartitions("s"), paths,
+                                     "s string, depth int, node bigint, follow int"), "trie-prefixes")
+    nodes = write_table(shared.groupBy("node", "follow").agg(F.count(F.lit(1)).alias("n"))
+                        .groupBy("node").agg(F.count(F.lit(1)).alias("fan"), F.sum("n").alias("n"))
                         .filter("fan > 1").select("node", "n"), "trie-nodes")
-    hot = write_table(hot_keys(nodes, ["node"], n_words, "n"), "trie-hot")
-    on_path = salted_join(arrow_tasks(_sorted(strings), paths, "s string, depth int, node bigint"),
-                          nodes.select("node"), ["node"], hot, ["s"])
+    hot = hot_keys(nodes, ["node"], n_words, "n")
+    on_path = salted_join(shared.drop("follow"), nodes.select("node"), ["node"], hot, ["s"])
     points = write_table(on_path.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("points")),
                          "trie-points")
-    size = F.char_length("s")
+    drop_table(shared)
     # behind the last branching node comes the end of the string; a string that ends at that node
     # gets an empty label
-    stops = F.array_append("points", F.struct(size.alias("depth"), F.lit(None).cast("bigint").alias("node")))
+    stops = F.array_append("points", F.struct(F.char_length("s").alias("depth"), F.lit(None).cast("bigint").alias("node")))
     edges = (points.select("s", stops.alias("stops"))
              .select("s", F.explode(F.arrays_zip(F.expr("slice(stops, 1, size(stops) - 1)").alias("a"),
                                                  F.expr("slice(stops, 2, size(stops) - 1)").alias("b"))).alias("e"))
@@ -135,28 +119,36 @@ def _trie(strings: DataFrame, least: int, n_words: int) -> tuple[DataFrame, Data
                      F.col("e.b.node").alias("child"), F.expr("if(e.b.node is null, s, null)").alias("term"))
              .groupBy("node", "label").agg(F.max("child").alias("child"), F.max("term").alias("term"))
              .withColumn("first", F.expr("substr(label, 1, 1)")))
-    return points, write_table(edges, "trie-edges"), hot
+    edges = write_table(edges, "trie-edges")
+    nexts = (edges.groupBy(F.col("node").alias("child"))
+             .agg(F.array_join(F.collect_set(F.expr("if(first = '', '$', first)")), "").alias("nexts")))
+    return points, write_table(edges.join(nexts, "child", "left"), "trie-edges"), hot
 
 
-_STEP = "array<struct<rest:string,label:string>>"
+# A rest of a word goes along a rest of an edge's label: to a string's end, or to a node from which an
+# edge goes on with the character that comes next.
+_GOES = """if(term is null, startswith({rest}, {label}) and
+           contains(nexts, if({rest} = {label}, '$', substr({rest}, char_length({label}) + 1, 1))), {rest} = {label})"""
 
 
 def _search(strings: DataFrame, kept: str, least: int, n_words: int) -> DataFrame:
     """``s, near``: the strings at one edit behind the first ``kept`` (an expression of the length
     ``m``) characters."""
     points, edges, hot = _trie(strings, least, n_words)
-    # states without an edit, at the branching nodes of the string's own path
+    # states without an edit, at the branching nodes of the string's own path; x and x2 come next
     own = (points.withColumn("m", F.char_length("s")).withColumn("p", F.explode("points"))
            .filter(F.expr(f"p.depth >= {kept}"))
-           .select("s", F.col("p.node").alias("node"), F.expr("substr(s, p.depth + 1)").alias("rest")))
-    left = salted_join(own, edges, ["node"], hot, ["s"])
-    # one edit: (rest of the word, rest of the label) to be matched; x is the word's next character
-    left = left.withColumn("x", F.expr("substr(rest, 1, 1)")).withColumn("todo", F.expr(f"""cast(filter(array(
-        if(first <> '' and x <> '' and first <> x, struct(substr(rest, 2) as rest, substr(label, 2) as label), null),
-        if(first <> '' and first <> x, struct(rest as rest, substr(label, 2) as label), null),
-        if(x <> '' and substr(rest, 2, 1) = first and first <> x, struct(substr(rest, 2) as rest, label as label), null)
-      ), e -> e is not null and if(term is null, startswith(e.rest, e.label), e.rest = e.label)) as {_STEP})"""))
-    left = left.withColumn("e", F.explode("todo"))
+           .select("s", F.col("p.node").alias("node"), F.expr("substr(s, p.depth + 1)").alias("rest"))
+           .selectExpr("*", "substr(rest, 1, 1) as x", "substr(rest, 2, 1) as x2", "substr(rest, 2) as rest1"))
+    left = salted_join(own, edges.withColumn("label1", F.expr("substr(label, 2)")), ["node"], hot, ["s"])
+    # one edit: replaced, inserted, deleted
+    left = left.filter("first <> x").selectExpr(
+        "*", f"first <> '' and x <> '' and {_GOES.format(rest='rest1', label='label1')} as replaced",
+        f"first <> '' and {_GOES.format(rest='rest', label='label1')} as inserted",
+        f"x <> '' and x2 = first and {_GOES.format(rest='rest1', label='label')} as deleted")
+    left = left.filter("replaced or inserted or deleted").withColumn("e", F.explode(F.expr("""array_compact(array(
+        if(replaced, struct(rest1 as rest, label1 as label), null), if(inserted, struct(rest as rest, label1 as label), null),
+        if(deleted, struct(rest1 as rest, label as label), null)))""")))
     front = write_table(_ahead(left, F.col("e.rest"), F.col("e.label")), "frontier")
     found = [front.filter("near is not null").select("s", "near")]
     while True:
@@ -166,7 +158,7 @@ def _search(strings: DataFrame, kept: str, least: int, n_words: int) -> DataFram
             break
         now = front.select("s", "node", "rest", F.expr("substr(rest, 1, 1)").alias("first"))
         left = salted_join(now, edges, ["node", "first"], hot_keys(now, ["node", "first"], n), ["s", "rest"])
-        left = left.filter("if(term is null, startswith(rest, label), rest = label)")
+        left = left.filter(_GOES.format(rest="rest", label="label"))
         front = write_table(_ahead(left, F.col("rest"), F.col("label")), "frontier")
         found.append(front.filter("near is not null").select("s", "near"))
     whole = found[0]
