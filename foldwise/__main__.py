@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
                        help="levels of all nominal columns that the driver may hold")
         p.add_argument("--folds", type=int, default=10)
         p.add_argument("--seed", type=int, default=None, help="fold seed (default: folds from the hash of the id alone)")
+        p.add_argument("--balanced", action="store_true", help="folds whose sizes differ by one row at most")
         if name != "show-fold":
             p.add_argument("--scale", action="store_true")
             p.add_argument("--select", action="store_true", help="grid search before the final CV")
@@ -65,11 +66,16 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--rows", type=int, default=10)
     sub.choices["linear"].add_argument("--iterations", type=int, default=200)
     sub.choices["linear"].add_argument("--step", type=float, default=1.0)
+    sub.choices["linear"].add_argument("--penalty", choices=("l1", "l2"), default=None, help="lasso or ridge by descent")
+    sub.choices["linear"].add_argument("--reg", type=float, nargs="+", default=[0.1],
+                                       help="strengths of the penalty; the best is chosen by cross-validation")
     sub.choices["tree"].add_argument("--depth", type=int, default=12)
     sub.choices["tree"].add_argument("--bins", type=int, default=16)
     sub.choices["forest"].add_argument("--trees", type=int, default=20)
     sub.choices["forest"].add_argument("--depth", type=int, default=18)
     sub.choices["forest"].add_argument("--bins", type=int, default=32)
+    sub.choices["forest"].add_argument("--bags", choices=("partition", "row"), default="partition",
+                                       help="row: bags from a hash of the id")
     sc = sub.add_parser("score")
     sc.add_argument("model")
     sc.add_argument("features")
@@ -82,6 +88,10 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     if getattr(args, "test", None) and not args.output:
         ap.error("--test needs --output, where every prediction is written")
+    if getattr(args, "penalty", None) and args.select:
+        ap.error("--penalty chooses among --reg; --select searches iterations and steps")
+    if getattr(args, "bags", None) == "row" and args.select:
+        ap.error("--bags row is for one forest, --select for a grid")
 
     from pyspark.sql import SparkSession
 
@@ -106,7 +116,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "least-squares":
         spec = _spec_from_header(spark, args.combined, args.nominal, label_last=True)
         df = CSV.read_combined(spark, args.combined, spec, keep_id=True)
-        tt = prepare_training(df, None, spec, n_folds=args.folds, seed=args.seed, coding="binary")
+        tt = prepare_training(df, None, spec, n_folds=args.folds, seed=args.seed, coding="binary", folds="balanced")
         run = PR.least_squares_program(tt, rounded=False, average="pooled")
         _print_report(f"{args.folds}-Fold CV", run)
         for name, c in run.model.coefficient_rows(tt.feature_names):
@@ -118,7 +128,7 @@ def main(argv: list[str] | None = None) -> int:
     feats = CSV.read_features(spark, args.features, spec)
     labels = CSV.read_labels(spark, args.labels, spec)
     tt = prepare_training(feats, labels, spec, n_folds=args.folds, seed=args.seed,
-                          max_levels=args.max_levels)
+                          max_levels=args.max_levels, folds="balanced" if args.balanced else "hash")
 
     if args.job == "show-fold":
         from .operators.inspect import show_fold
@@ -126,7 +136,9 @@ def main(argv: list[str] | None = None) -> int:
         drop_scratch(spark, mark)
         return 0
 
-    if args.job == "linear":
+    if args.job == "linear" and args.penalty:
+        run = PR.penalised_program(tt, [(args.penalty, x) for x in args.reg], args.iterations, args.step, args.scale)
+    elif args.job == "linear":
         run = PR.linear_sgd_program(tt, scaled=args.scale, model_selection=args.select,
                                     iterations=args.iterations, step=args.step)
     elif args.job == "tree":
@@ -134,7 +146,7 @@ def main(argv: list[str] | None = None) -> int:
                               max_bins=args.bins, scaled=args.scale)
     else:
         run = PR.forest_program(tt, model_selection=args.select, num_trees=args.trees,
-                                max_depth=args.depth, max_bins=args.bins, scaled=args.scale)
+                                max_depth=args.depth, max_bins=args.bins, scaled=args.scale, bags=args.bags)
     _print_report(f"{args.folds}-Fold CV", run)
 
     from .operators.linear import LinearModel

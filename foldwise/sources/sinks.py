@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.columns import join_fields
+from ..operators.trees import BaggedForestModel
 
 log = logging.getLogger(__name__)
 
@@ -77,15 +78,19 @@ def save_ml_model(model, path: str, encoder=None, scaler=None) -> bool:
     the path exists."""
     from pyspark.sql import SparkSession
 
+    trees = model.trees if isinstance(model, BaggedForestModel) else None
     try:
-        model.write().save(f"{path}/model")
+        if trees is None:
+            model.write().save(f"{path}/model")
+        for i, tree in enumerate(trees or []):
+            tree.write().save(f"{path}/model/tree-{i}")
     except Exception as err:  # py4j wraps the Hadoop exception
         if _already_exists(err):
             log.warning("model not saved: %s already exists", path)
             return False
         raise
     _write_json(SparkSession.getActiveSession(), f"{path}/parts", json.dumps({
-        "class": type(model).__name__,
+        "class": type(model).__name__, "trees": len(trees or []),
         "encoder": json.loads(encoder.to_json()) if encoder is not None else None,
         "scaler": None if scaler is None else {
             "means": list(map(float, scaler.means)), "stds": list(map(float, scaler.stds)),
@@ -101,7 +106,10 @@ def load_ml_model(spark: SparkSession, path: str):
     from ..operators.scale import Scaler
 
     parts = _read_json(spark, f"{path}/parts")
-    model = getattr(R, parts["class"]).load(f"{path}/model")
+    if parts["class"] == BaggedForestModel.__name__:
+        model = BaggedForestModel([R.RandomForestRegressionModel.load(f"{path}/model/tree-{i}") for i in range(parts["trees"])])
+    else:
+        model = getattr(R, parts["class"]).load(f"{path}/model")
     enc = Encoder.from_json(json.dumps(parts["encoder"])) if parts["encoder"] else None
     sc = parts["scaler"]
     scaler = sc and Scaler(np.array(sc["means"]), np.array(sc["stds"]), sc["n"], sc["label_mean"])

@@ -49,3 +49,14 @@ def test_least_squares_job_on_combined_file(spark, capsys):
     assert main(["least-squares", combined]) == 0
     text = capsys.readouterr().out
     assert "(intercept) =" in text and "cross-validation: r " in text
+
+
+def test_penalty_and_row_bags(spark, capsys):
+    feats, labels, test = _csvs(spark)
+    model, out = scratch_path(spark, "cli-model"), scratch_path(spark, "cli-out")
+    assert main(["linear", feats, labels, "--scale", "--balanced", "--penalty", "l1", "--reg", "10", "1000"]) == 0
+    assert main(["forest", feats, labels, "--trees", "2", "--depth", "3", "--bags", "row", "--model", model]) == 0
+    assert main(["score", model, test, "--output", out]) == 0
+    assert spark.read.text(out).count() == order_features(spark, SF_SMALL, since=SCORING_CUTOFF).count()
+    text = capsys.readouterr().out
+    assert "'penalty': 'l1'" in text and text.count("cross-validation: r ") == 2

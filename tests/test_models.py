@@ -510,3 +510,17 @@ def test_training_table_with_balanced_folds(spark):
     sizes = [r["count"] for r in t.df.groupBy("fold").count().collect()]
     assert len(sizes) == 10 and max(sizes) - min(sizes) <= 1
     assert PR.least_squares_program(t).cv.collect()[0]["corr"] > .99
+
+
+def test_bagged_forest_round_trip(spark, tt, tmp_path):
+    from foldwise.plans.score import predictions
+    from foldwise.sources.sinks import load_model, save_ml_model
+
+    with S.estimator_rows(tt) as data:
+        model = TR.BaggedForest(2, 3).fit(data)
+    assert save_ml_model(model, f"{tmp_path}/bagged", tt.encoder)
+    assert not save_ml_model(model, f"{tmp_path}/bagged", tt.encoder)
+    back, enc, scaler = load_model(spark, f"{tmp_path}/bagged")
+    assert scaler is None and enc.levels == tt.encoder.levels
+    a, b = (sorted(map(str, predictions(tt.df, m, rounded=False).collect())) for m in (model, back))
+    assert a == b
