@@ -143,3 +143,111 @@ def test_every_context_has_its_own_restaurant(spark):
     got = {r.doc_id: r.score for r in py.score(m).filter(f"doc_id >= {10**6}").collect()}
     # after a word seen twice, always before the same word, that word is no surprise; another one is
     assert got[held[0]] - got[held[1]] > 2.5 * len(sure[::97])
+
+
+def plain_sampler(docs, v, sweeps=90, burn=30, seed=3):
+    """(context, word) -> posterior mean of the predictive probability: one restaurant a context, every
+    customer reseated in turn, tables and their customers kept one by one."""
+    import random
+    rnd, np_rng, d = random.Random(seed), np.random.default_rng(seed), py.DISCOUNT
+    rest, parent = {}, {}
+    s = {"u": 10.0, "p": 10.0}
+    size = {"C0": 0, "T0": 0}
+
+    def p_parent(w):
+        t = parent.get(w, [])
+        return ((sum(t) - d * len(t) + (s["p"] + d * size["T0"]) / (v + 1)) / (s["p"] + size["C0"]))
+
+    def pick(tables, new):
+        x = rnd.random() * (sum(tables) - d * len(tables) + new)
+        for k, n in enumerate(tables):
+            x -= n - d
+            if x < 0:
+                return k
+        return -1
+
+    def seat(u, w):
+        r = rest.setdefault(u, {"C": 0, "T": 0, "w": {}})
+        tables = r["w"].setdefault(w, [])
+        k = pick(tables, (s["u"] + d * r["T"]) * p_parent(w))
+        r["C"] += 1
+        if k >= 0:
+            tables[k] += 1
+            return
+        tables.append(1)
+        r["T"] += 1
+        above = parent.setdefault(w, [])
+        k = pick(above, (s["p"] + d * size["T0"]) / (v + 1))
+        size["C0"] += 1
+        if k >= 0:
+            above[k] += 1
+        else:
+            above.append(1)
+            size["T0"] += 1
+
+    def leave(u, w):
+        r = rest[u]
+        tables = r["w"][w]
+        k = rnd.choices(range(len(tables)), tables)[0]
+        tables[k] -= 1
+        r["C"] -= 1
+        if not tables[k]:
+            del tables[k]
+            r["T"] -= 1
+            above = parent[w]
+            k = rnd.choices(range(len(above)), above)[0]
+            above[k] -= 1
+            size["C0"] -= 1
+            if not above[k]:
+                del above[k]
+                size["T0"] -= 1
+
+    def p(u, w):
+        r = rest.get(u, {"C": 0, "T": 0, "w": {}})
+        t = r["w"].get(w, [])
+        return (sum(t) - d * len(t) + (s["u"] + d * r["T"]) * p_parent(w)) / (s["u"] + r["C"])
+
+    events = [(u, w) for doc in docs for u, w in zip([None, *doc[:-1]], doc)]
+    for e in events:
+        seat(*e)
+    mean, n = Counter(), 0
+    for k in range(sweeps):
+        for e in events:
+            leave(*e)
+            seat(*e)
+        c, t = (np.array([r[x] for r in rest.values()], float) for x in "CT")
+        s["u"] = py.resample_strength(s["u"], c, t, np_rng)
+        s["p"] = py.resample_strength(s["p"], np.array([float(size["C0"])]), np.array([float(size["T0"])]), np_rng)
+        if k >= burn:
+            n += 1
+            for e in {*events, *((u, "unseen") for u in rest)}:
+                mean[e] += p(*e)
+    return {e: x / n for e, x in mean.items()}, lambda u, w: mean[u, w] / n if (u, w) in mean else p(u, w)
+
+
+def test_scores_equal_a_plain_sampler(spark):
+    import random
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    rows = []
+    for i in range(400):
+        w, out = rnd.choice(words), []
+        for _ in range(rnd.randint(3, 10)):
+            out.append(w)
+            # a few likely successors, and sometimes any word
+            w = words[(words.index(w) * 5 + rnd.choice((1, 1, 1, 2, 4))) % 12] if rnd.random() < .8 else rnd.choice(words)
+        rows.append((i, " ".join(out)))
+    rows += [(1000, "w1 unseen w2"), (1001, "")]
+    m = py.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    train = [tokens(t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    _, p = plain_sampler(train, len({w for doc in train for w in doc}))
+    apart = []
+    for r in py.score(m).collect():
+        doc = tokens(dict(rows)[r.doc_id])
+        want = sum(math.log10(p(u, w)) for u, w in zip([None, *doc[:-1]], doc))
+        apart.append((r.score - want) / len(doc))
+    apart = np.array(apart)
+    print("per token", apart.mean(), np.abs(apart).mean(), np.abs(apart).max())
+    assert abs(apart.mean()) < 0.02 and np.abs(apart).mean() < 0.03
+    # the rounds go on from each other: the last moves little
+    assert len(m.changes) == py.ROUNDS and m.changes[-1] < 0.1
