@@ -63,8 +63,23 @@ PENALTY_GRID = [(None, 0.0), ("l1", 10.0), ("l1", 100.0), ("l1", 1000.0), ("l1",
 _cache: dict = {}
 
 
+_INPUTS = ("orders", "lineitem", "customer", "nation", "region")
+
+
+def _inputs_state(spark: SparkSession, sf: str) -> tuple:
+    """Time and size of each input table, so that a changed one is seen."""
+    out = []
+    for name in _INPUTS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out.append((fs.getFileStatus(path).getModificationTime(), fs.getContentSummary(path).getLength()))
+    return tuple(out)
+
+
 def _memo(spark: SparkSession, key: tuple, build: Callable):
-    k = (spark.sparkContext.applicationId, id(spark), key)
+    """What ``build`` made for a ``key`` (its second part is the folder of the tables) of this session
+    while the tables are as they were."""
+    k = (spark.sparkContext.applicationId, id(spark), key, _inputs_state(spark, key[1]))
     if k not in _cache:
         _cache[k] = build()
     return _cache[k]
