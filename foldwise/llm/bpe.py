@@ -14,7 +14,10 @@ A pair made by a merge of rank r ranks above r whenever every vocabulary entry
 is reachable by merges, as in vocabularies that were trained; then taking a
 bucket at once equals taking its entries one by one.
 
-Defined results: null and empty texts have no ids; extra columns are ignored.
+Defined results: null and empty texts have no ids; rows with a null id are encoded like others;
+repeated rows are encoded each; very long texts and pre-tokens are encoded whole; equal ranks at
+overlapping places go to the left one; an empty table gives an empty table; extra columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations

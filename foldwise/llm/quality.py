@@ -7,8 +7,8 @@ reaches ``max_rate`` is rejected: its verdict is joined back to its documents.
 
 Defined results: null or empty text has no words (and so fails ``short``); a
 null host is no host: its documents are judged by their own base rule only and
-take no part in the prior; repeated rows count as often as they occur; an empty
-table gives an empty table. Extra columns, whatever their names, are carried by
+take no part in the prior; repeated rows count as often as they occur; very long
+texts are counted whole; no result depends on an order, so ties do not matter; an empty table gives an empty table. Extra columns, whatever their names, are carried by
 ``keep_documents`` and ignored by ``judge``.
 """
 
