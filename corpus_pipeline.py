@@ -4,6 +4,12 @@ Every stage gets the documents its predecessor kept, read back from Parquet, and
 all but the last return rows with the columns of ``documents``. ``run`` applies
 them to the ``documents`` table; the last stage's rows are one per document of
 the mix (repeats counted): ``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``.
+
+Defined results: null, empty and white-space texts fail the quality rules and go; rows with a null
+id are nobody's duplicate and stay; of near duplicates and of equal texts the least id stays, and
+rows that repeat that id stay together; very long texts are handled whole; rows that agree in id,
+source and text share their takes of the mix; an empty table gives empty stages; further columns,
+whatever their names, are carried to the mix.
 """
 
 from __future__ import annotations
