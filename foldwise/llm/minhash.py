@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from foldwise.llm.common import arrow_tasks, byte_chunks, fresh, mix64, word_hashes
 from foldwise.llm.components import components
 from foldwise.llm.hotkeys import hot_keys, salted_join
+from foldwise.llm.packs import read_packs, spread, write_packs
 from foldwise.session import write_table
 
 WORDS = 5
@@ -140,7 +141,8 @@ def _lists(x: np.ndarray) -> pa.Array:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    """Packs of ``id, t`` -> each row's place, id, set size, set sums and band keys."""
+    for place, b in read_packs(batches):
         for at, data, off in byte_chunks(b.column(1)):
             n_rows = len(off) - 1
             s, bounds = shingle_sets(data, off)
@@ -151,13 +153,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(some):
                 sums[some], keys[some] = _signatures(s, bounds[some])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(at, n_rows), pa.array(n.astype(np.int64)),
+                [pa.array(np.full(n_rows, place["pack"])), pa.array(np.arange(at, at + n_rows, dtype=np.int32)),
+                 b.column(0).slice(at, n_rows), pa.array(n.astype(np.int64)),
                  pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].view(np.int64)),
-                 _lists(keys)], names=["id", "n", "f1", "f2", "keys"])
+                 _lists(keys)], names=["pack", "row", "id", "n", "f1", "f2", "keys"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    """The wanted ``rows`` of packs -> their ids, set sizes, sketches and sets."""
+    for place, whole in read_packs(batches):
+        b = whole.take(pa.array(place["rows"], pa.int32()))
         for at, data, off in byte_chunks(b.column(1)):
             s, bounds = shingle_sets(data, off)
             some = np.flatnonzero(np.diff(bounds))
@@ -198,14 +203,16 @@ def _near(sketch_a: str, sketch_b: str, n_a: str, n_b: str):
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-    sig = write_table(arrow_tasks(texts, _sign, "id long, n long, f1 long, f2 long, keys array<long>"),
-                      "minhash-signatures")
+    packs = write_packs(texts, "t")
+    n_packs = packs.count()
+    sig = write_table(arrow_tasks(spread(packs, n_packs), _sign, "pack long, row int, id long, n long, f1 long, f2 long, "
+                                                                 "keys array<long>"), "minhash-signatures")
     filled = sig.filter((F.col("n") > 0) & F.col("id").isNotNull())
 
     # 1. Classes of equal sets; the least id stands for the class.
     content = ["n", "f1", "f2"]
-    classes = write_table(filled.groupBy(*content).agg(F.min(F.struct("id", "keys")).alias("m"))
-                          .select(*content, "m.id", "m.keys"), "minhash-classes")
+    classes = write_table(filled.groupBy(*content).agg(F.min(F.struct("id", "pack", "row", "keys")).alias("m"))
+                          .select(*content, "m.id", "m.pack", "m.row", "m.keys"), "minhash-classes")
     # an id of several texts belongs to several classes and links them
     several = (filled.groupBy("id").agg(F.min(F.struct(*content)).alias("lo"), F.max(F.struct(*content)).alias("hi"))
                .filter("lo <> hi").select("id"))
@@ -213,7 +220,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
              .join(classes.select(*content, F.col("id").alias("v")), content).select(F.col("id").alias("u"), "v"))
 
     # 2. Buckets of two classes or more, each member against the hub.
-    members = classes.select("id", F.explode("keys").alias("key"))
+    members = classes.select("id", "pack", "row", F.explode("keys").alias("key"))
     buckets = write_table(members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"),
                                                      F.count(F.lit(1)).alias("size"))
                           .filter("lo <> hi").select("key", "size"), "minhash-keys")
@@ -221,9 +228,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     crowded = hot_keys(buckets, ["key"], n_members, "size")
     shared = write_table(salted_join(members, buckets, ["key"], crowded, ["id"])
                          .withColumn("fellows", F.sum("size").over(Window.partitionBy("id"))), "minhash-buckets")
-    sets = write_table(arrow_tasks(texts.join(shared.select("id").distinct(), "id", "left_semi").select("id", "t"), _sets,
-                                   "id long, n long, sketch array<long>, s array<long>"),
-                       "minhash-sets")
+    # the texts stay where they are: their packs are told which rows are wanted
+    wanted = (shared.select("pack", "row").distinct().groupBy("pack").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+              .join(packs.select("pack", "uri", "at"), "pack"))
+    sets = write_table(arrow_tasks(spread(wanted, n_packs), _sets,
+                                   "id long, n long, sketch array<long>, s array<long>"), "minhash-sets")
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("kb"))
     hubs = (shared.groupBy("key")
