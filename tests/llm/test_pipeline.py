@@ -72,7 +72,7 @@ def test_pipeline_equals_brute_force(spark):
 def test_run_is_registered_and_repeats(spark):
     import __spark_entry__ as entry
     q = entry.queries()
-    assert set(queries()) <= set(q) and len([x for x in queries() if x.startswith("op")]) == 10
+    assert set(queries()) <= set(q) and len([x for x in queries() if x.startswith("op")]) == 13
     a = q["pipeline"](spark, SF).drop("ids").collect()
     b = corpus_pipeline.run(spark, SF).drop("ids").collect()
     assert sorted(map(str, a)) == sorted(map(str, b)) and a
