@@ -4,14 +4,15 @@ The literal form of :mod:`~foldwise.operators.encode` keeps all levels on the dr
 them in a table ``col, level, idx, n`` (``n`` rows hold the level), so a column may have as many
 levels as rows. Ranks: the distinct levels are range-partitioned in their order and numbered by a
 sum over the partitions before plus the place in the own one (two-level prefix sums); no task
-sees more than a partition. Codes: one equi-join a column. A level that holds a large share of the rows
-is known from ``n``; its rows are dealt to several tasks and its one dictionary row is repeated.
-Only the number of levels of each column comes to the driver.
+sees more than a partition. Codes: one equi-join a column. The levels of a column that has few are
+broadcast, so its rows move for no join; the others' rows are joined by level. A level that holds a large share of
+the rows is known from ``n``; its rows are dealt to several tasks and its one dictionary row is repeated.
+Only the number of levels of each column and its largest ``n`` come to the driver.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from .encode import nominal_value
 
 #: A level is hot if more than this share of a column's rows hold it (so at most 1 / HOT_SHARE are).
 HOT_SHARE, HOT_ROWS, SALTS = 0.005, 1000, 32
+#: Most levels of a column whose part of the dictionary is broadcast.
+BROADCAST_LEVELS = 10_000
 
 
 def ranked(levels: DataFrame) -> DataFrame:
@@ -39,11 +42,13 @@ def ranked(levels: DataFrame) -> DataFrame:
 
 @dataclass
 class LevelDictionary:
-    """The levels of a spec's nominal columns: ``table`` and the number of levels of each column."""
+    """The levels of a spec's nominal columns: ``table``, and of each column the number of levels and the
+    rows of its most frequent one (``most``; a column not listed may have hot levels)."""
     spec: FeatureSpec
     table: DataFrame
     sizes: dict[str, int]
     n_rows: int
+    most: dict[str, int] = field(default_factory=dict)
 
     @property
     def offsets(self) -> dict[str, int]:
@@ -67,15 +72,24 @@ class LevelDictionary:
         the dictionary lacks. Rows stay as many as they are."""
         keep = df.columns
         out = df
-        for i, c in enumerate(self.spec.nominal):
+        hot_rows = max(HOT_ROWS, HOT_SHARE * self.n_rows)
+        # broadcast columns first: what only they need is dropped before any row is shuffled
+        for i, c in sorted(enumerate(self.spec.nominal), key=lambda x: self.sizes.get(x[1], 0) > BROADCAST_LEVELS):
             d = self.table.filter(F.col("col") == c)
-            hot = F.broadcast(d.filter(F.col("n") > max(HOT_ROWS, HOT_SHARE * self.n_rows))
-                              .select(F.col("level").alias("_level"), F.lit(SALTS).alias("_salts")))
+            plain = d.select(F.col("level").alias("_level"), F.col("idx").alias(f"_code_{i}"))
+            out = out.withColumn("_level", nominal_value(c))
+            if self.sizes.get(c, 0) <= BROADCAST_LEVELS:
+                out = out.join(F.broadcast(plain), "_level", "left").drop("_level")
+                continue
+            if self.most.get(c, self.n_rows) <= hot_rows:
+                out = out.join(plain, "_level", "left").drop("_level")
+                continue
+            hot = F.broadcast(d.filter(F.col("n") > hot_rows).select(F.col("level").alias("_level"), F.lit(SALTS).alias("_salts")))
             salts = F.coalesce("_salts", F.lit(1))
-            one = (d.select(F.col("level").alias("_level"), F.col("idx").alias(f"_code_{i}")).join(hot, "_level", "left")
+            one = (plain.join(hot, "_level", "left")
                    .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
             # the salt is a hash of the row, so a recomputed task deals the rows alike
-            out = (out.withColumn("_level", nominal_value(c)).join(hot, "_level", "left")
+            out = (out.join(hot, "_level", "left")
                    .withColumn("_salt", F.pmod(F.xxhash64(*keep), salts).cast("int")).drop("_salts")
                    .join(one, ["_level", "_salt"], "left").drop("_level", "_salt"))
         codes = F.array(*[F.coalesce(f"_code_{i}", F.lit(-1)).cast("bigint") for i in range(len(self.spec.nominal))])
@@ -97,6 +111,7 @@ def build_dictionary(df: DataFrame, spec: FeatureSpec) -> LevelDictionary:
         return LevelDictionary(spec, empty, {}, df.count())
     long = df.select(*[nominal_value(c).alias(c) for c in cols]).unpivot([], cols, "col", "level")
     table = write_table(ranked(long.groupBy("col", "level").agg(F.count(F.lit(1)).alias("n"))), "dictionary")
-    sizes = {r["col"]: (r["levels"], r["n"]) for r in
-             table.groupBy("col").agg(F.count(F.lit(1)).alias("levels"), F.sum("n").alias("n")).collect()}
-    return LevelDictionary(spec, table, {c: s for c, (s, _) in sizes.items()}, max((n for _, n in sizes.values()), default=0))
+    sizes = {r["col"]: r for r in table.groupBy("col").agg(
+        F.count(F.lit(1)).alias("levels"), F.sum("n").alias("n"), F.max("n").alias("most")).collect()}
+    return LevelDictionary(spec, table, {c: r["levels"] for c, r in sizes.items()}, max((r["n"] for r in sizes.values()), default=0),
+                           {c: r["most"] for c, r in sizes.items()})

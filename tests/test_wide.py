@@ -71,6 +71,32 @@ def test_codes_of_unknown_null_and_repeated_rows(spark, monkeypatch):
     assert empty.width == 1 and C.coded_rows(df, empty).count() == len(rows)
 
 
+def test_rows_move_for_columns_of_many_levels_alone(spark, monkeypatch):
+    n = 400
+    df = spark.range(n).select("id", (F.col("id") % 5).cast("string").alias("few"), F.col("id").cast("string").alias("key"),
+                               F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("skewed"))
+    monkeypatch.setattr(D, "BROADCAST_LEVELS", 10)
+    monkeypatch.setattr(D, "HOT_ROWS", 50)
+    spec = FeatureSpec("id", ("few", "key", "skewed"), (), "y")
+    d = D.build_dictionary(df, spec)
+    assert d.most == {"few": 80, "key": 1, "skewed": 200}
+    want = {c: {v: i for i, v in enumerate(sorted({str(r[c]) for r in df.collect()}))} for c in spec.nominal}
+    got = d.with_codes(df).collect()
+    assert sorted(r["id"] for r in got) == list(range(n))
+    assert all(list(r["codes"]) == [want[c][r[c]] for c in spec.nominal] for r in got)
+    # no exchange of the rows for few levels, no salt where no level is hot
+    monkeypatch.setattr(D, "HOT_ROWS", 1000)
+    plan = d.with_codes(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" not in plan
+    few = D.build_dictionary(df, FeatureSpec("id", ("few",), (), "y")).with_codes(df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = few._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_coded_rows_expand_to_the_dense_form(ct, tt):
     nd, width = ct.dictionary.dummy_width, ct.dictionary.width
     dense = {r["id"]: r["f"] for r in tt.df.collect()}
