@@ -36,6 +36,7 @@ MAX_PASSES = 3
 SEED = 17
 SLICES = 16384  # slices of virtual time below the water level
 SALTS = 64      # parts in which rows that agree in id, source and text are numbered
+FEW_GROUPS = 100_000  # groups of such rows whose takes are broadcast, so that the other rows move once
 
 
 def sources(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS,
@@ -145,7 +146,8 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Takes are decided on narrow rows and joined back on id, source and a hash of the text. Rows
     that agree in all three share their takes: each gets the floor of the mean and the first ones
     one more, so that the sum is kept. Only such rows are numbered, in ``SALTS`` parts of
-    a group whose sizes are added up first.
+    a group whose sizes are added up first; with at most ``FEW_GROUPS`` of these groups no other text
+    is shuffled for them.
     """
     tag = F.xxhash64(F.col(text))
     whole, a, b, c, at, salt, number = fresh(docs, "q_row", "q_id", "q_source", "q_tag", "q_at", "q_salt", "q_number")
@@ -162,6 +164,11 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # rows that agree: their place in the part, after the parts before
     group = [a, b, c]
     several = took.filter("rows > 1")
+    n_several = several.count()
+    if not n_several:
+        return _repeated(single, whole)
+    if n_several <= FEW_GROUPS:
+        several = F.broadcast(several)
     many = rows.withColumn(salt, F.pmod(F.col(at), F.lit(SALTS)))
     sizes = (many.select(*group, salt).join(several, on).groupBy(*group, salt).agg(F.count(F.lit(1)).alias("n")))
     before = W.partitionBy(*group).orderBy(salt).rowsBetween(W.unboundedPreceding, -1)
@@ -173,6 +180,10 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               .withColumn(number, F.col("base") + F.row_number().over(order))
               .select(whole, (F.expr("takes div rows") + F.when(F.col(number) <= F.col("takes") % F.col("rows"), 1)
                               .otherwise(0)).alias("times")).filter("times > 0"))
-    return (single.unionByName(shared)
-            .withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return _repeated(single.unionByName(shared), whole)
+
+
+def _repeated(rows: DataFrame, whole: str) -> DataFrame:
+    """The columns of the struct ``whole``, each row ``times`` over."""
+    return (rows.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
             .select(f"{whole}.*"))

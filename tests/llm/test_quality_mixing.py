@@ -106,6 +106,24 @@ def test_mixed_documents(spark, edge, no_rows):
     assert Counter(r.doc_id for r in mixing.mixed_documents(d).select("doc_id").collect()) == want
 
 
+@pytest.mark.parametrize("copies", [0, 3])
+def test_texts_are_shuffled_once(spark, copies):
+    rows = [(k, "u v w " * (k % 5 + 1), "t") for k in range(100)] + [(7, "same id", "t")] * copies
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = mixing.mixed_documents(df)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # one join by shuffle on the takes of rows that nobody agrees with
+    wide = [x for x in plan.splitlines() if "SortMergeJoin" in x and "q_tag" in x and "q_salt" not in x]
+    assert len(wide) == 1, plan
+    assert Counter(r.doc_id for r in out.collect()).keys() <= set(range(100))
+
+
 def test_no_words(spark):
     d = spark.createDataFrame([(1, None, "a"), (2, "  ", None)], "doc_id long, text string, source string")
     assert [(r.size, r.target, r.taken) for r in mixing.mix(d).collect()] == [(0, 0.0, 0)] * 2
