@@ -432,6 +432,20 @@ def test_bag_weights_are_poisson_and_depend_on_the_id_alone(spark):
     assert abs(np.corrcoef(w[:, 0], w[:, 1])[0, 1]) < .03
 
 
+def test_partitions_of_large_tables_hold_more_rows():
+    # as before up to 64 partitions; then at most 64 until one holds 400,000 rows
+    assert [TR.layout_partitions(n) for n in (0, 1, 20_000, 20_001, 900_000, 1_280_000)] == [1, 1, 1, 2, 45, 64]
+    assert [TR.layout_partitions(n) for n in (1_280_001, 9_000_000, 25_600_000, 54_000_000)] == [64, 64, 64, 135]
+
+
+def test_forests_of_few_levels_cache_no_node_ids(spark, tt):
+    assert [TR.forest_estimator(2, d).getCacheNodeIds() for d in (3, 6, 7, 18)] == [False, False, True, True]
+    with S.estimator_rows(tt) as data:
+        rows = data.filter("fold < 5")
+        one, other = (TR.forest_estimator(3, 4, seed=5).setCacheNodeIds(c).fit(rows) for c in (False, True))
+    assert one.toDebugString.split("\n")[1:] == other.toDebugString.split("\n")[1:]
+
+
 def test_row_bags_do_not_depend_on_layout(spark, tt):
     with S.estimator_rows(tt) as data:
         rows = data.filter("fold < 5")
