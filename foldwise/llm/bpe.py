@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import arrow_tasks
+from foldwise.llm.common import arrow_tasks, worker_kept
 from foldwise.llm.units import SPACE, as_ids, encoded
 
 _NONE = np.int32(2**31 - 1)
@@ -218,14 +218,9 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, as_ids(raw).tolist()))
 
 
-_LOADED: dict[tuple[str, str], tuple[Bpe, dict[bytes, bytes]]] = {}
-
-
 def loaded(path: str, pattern: str) -> tuple[Bpe, dict[bytes, bytes]]:
     """This worker's encoder and its table of units."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = (Bpe.load(path, pattern), {})
-    return _LOADED[path, pattern]
+    return worker_kept(("bpe", path, pattern), lambda: (Bpe.load(path, pattern), {}))
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id",
@@ -242,7 +237,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id",
                     names=["doc_id", "n_tokens", "ids"])
 
     return arrow_tasks(docs.select(F.col(doc_id).cast("long"), text), run,
-                       "doc_id long, n_tokens long, ids binary")
+                       "doc_id long, n_tokens long, ids binary", ("bpe", ranks, pattern))
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -255,7 +250,7 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 [b.column(0), pa.array([bpe.decode(x.as_py() or b"") for x in b.column(1)],
                                        pa.binary())], names=["doc_id", "bytes"])
 
-    return arrow_tasks(encoded.select("doc_id", "ids"), run, "doc_id long, bytes binary")
+    return arrow_tasks(encoded.select("doc_id", "ids"), run, "doc_id long, bytes binary", ("bpe", ranks, pattern))
 
 
 def round_trip(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id",
@@ -280,4 +275,4 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id"
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return arrow_tasks(docs.select(F.col(doc_id).cast("long"), text), run,
-                       schema + (", ids binary" if with_ids else ""))
+                       schema + (", ids binary" if with_ids else ""), ("bpe", ranks, pattern))

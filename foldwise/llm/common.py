@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -142,10 +144,35 @@ def splits(spark: SparkSession, nbytes: int, per_task: int, least: int = 1) -> i
     return max(least, conf, -(-int(nbytes) // per_task))
 
 
-def arrow_tasks(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` whose function gets tables and yields record batches."""
+_KEPT: dict[tuple, object] = {}
+
+
+def worker_kept(key: tuple, make: Callable[[], object]) -> object:
+    """What this worker keeps from task to task under ``key``, made when it is missing."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release_others(key: tuple | None) -> None:
+    """Drop what this worker keeps under any other key: workers live on after their stage, and the
+    next operator's tasks need the memory."""
+    others = [k for k in _KEPT if k != key]
+    for k in others:
+        del _KEPT[k]
+    if others:
+        pa.default_memory_pool().release_unused()
+        # freed blocks stay with the C library otherwise; other libraries than glibc have no such call
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def arrow_tasks(df: DataFrame, fn, schema: str, keeps: tuple | None = None) -> DataFrame:
+    """``mapInArrow`` whose function gets tables and yields record batches; ``keeps`` is the key of
+    what it takes from :func:`worker_kept`."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others(keeps)
         yield from fn(batches)
 
     let_workers_import(df.sparkSession)

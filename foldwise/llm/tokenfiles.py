@@ -24,26 +24,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foldwise.llm.common import arrow_tasks
+from foldwise.llm.common import arrow_tasks, worker_kept
 from foldwise.llm.files import attempt_name, mapped, writer
 from foldwise.llm.units import as_ids, encoded
 from foldwise.session import scratch_path, write_table
 
 MARKS = ",.;:!?"
 MANIFEST = "part int, file string, width int, n_docs long, n_tokens long"
-_LOADED: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str):
     """This worker's tokenizer and its table of units."""
-    if path not in _LOADED:
+    def load():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _LOADED[path] = (t, {})
-    return _LOADED[path]
+        return t, {}
+
+    return worker_kept(("tokenfiles", path), load)
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str | None = None, doc_id: str = "doc_id",

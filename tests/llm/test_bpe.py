@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from foldwise.llm import bpe
+from foldwise.llm import bpe, common
 from foldwise.llm.units import UNIT, encoded, unit_starts
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -89,3 +89,23 @@ def test_documents(spark, edge, no_rows, theirs):
     assert bpe.round_trip(no_rows, RANKS, P.PATTERN).count() == 0
     two = bpe.decode(bpe.encode(edge, RANKS, P.PATTERN), RANKS, P.PATTERN).collect()
     assert sorted(bytes(r.bytes) for r in two) == sorted((r.text or "").encode() for r in edge.collect())
+
+
+def test_workers_drop_another_operators_tables(spark):
+    """A worker that goes on to other tasks gives back the encoder and its table of units."""
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)], pa.int64())], ["n"])
+
+    docs = spark.createDataFrame([(1, "some words"), (2, "more words")], "doc_id long, text string").coalesce(1)
+    bpe.round_trip(docs, RANKS, P.PATTERN).collect()
+    same = common.arrow_tasks(docs, held, "n long", ("bpe", RANKS, P.PATTERN)).collect()
+    assert {r["n"] for r in same} <= {0, 1}  # a worker may be new
+    assert {r["n"] for r in common.arrow_tasks(docs, held, "n long").collect()} == {0}
+    common.worker_kept(("a",), dict)["x"] = 1
+    assert common.worker_kept(("a",), dict) == {"x": 1}
+    common.release_others(("a",))
+    assert common.worker_kept(("a",), dict) == {"x": 1}
+    common.release_others(None)
+    assert not common._KEPT
