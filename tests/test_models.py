@@ -538,3 +538,19 @@ def test_bagged_forest_round_trip(spark, tt, tmp_path):
     assert scaler is None and enc.levels == tt.encoder.levels
     a, b = (sorted(map(str, predictions(tt.df, m, rounded=False).collect())) for m in (model, back))
     assert a == b
+
+
+def test_deep_trees_cache_node_ids_and_stay_the_same(spark):
+    """Beyond ROUTED_TREE_DEPTH a tree caches node ids; the tree is the one that routing grows."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.range(600).select(
+        "id", (F.col("id") * 7919 % 601).cast("double").alias("label"),
+        array_to_vector(F.array((F.col("id") * 31 % 97).cast("double"), (F.col("id") * 17 % 53).cast("double"),
+                                (F.col("id") % 2).cast("double"))).alias("features")).repartition(3, "id").cache()
+    assert not TR.tree_estimator(TR.ROUTED_TREE_DEPTH, 16).getCacheNodeIds()
+    deep = TR.tree_estimator(TR.ROUTED_TREE_DEPTH + 4, 16)
+    assert deep.getCacheNodeIds()
+    a, b = deep.fit(rows), deep.copy().setCacheNodeIds(False).fit(rows)
+    assert a.depth > TR.ROUTED_TREE_DEPTH and a.toDebugString.split("\n")[1:] == b.toDebugString.split("\n")[1:]
+    rows.unpersist()
