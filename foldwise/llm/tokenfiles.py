@@ -33,6 +33,11 @@ MARKS = ",.;:!?"
 MANIFEST = "part int, file string, width int, n_docs long, n_tokens long"
 
 
+def _key(path: str) -> tuple:
+    """Under which a worker keeps its tokenizer from task to task."""
+    return "tokenfiles", path
+
+
 def _tokenizer(path: str):
     """This worker's tokenizer and its table of units."""
     def load():
@@ -43,7 +48,7 @@ def _tokenizer(path: str):
         t.encode_special_tokens = True  # their strings in a text are ordinary text
         return t, {}
 
-    return worker_kept(("tokenfiles", path), load)
+    return worker_kept(_key(path), load)
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str | None = None, doc_id: str = "doc_id",
@@ -118,7 +123,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, doc_id: st
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
     by = [F.col("id").asc_nulls_first(), F.xxhash64("t")]
     manifest = write_table(arrow_tasks(rows.repartitionByRange(*by).sortWithinPartitions(*by),
-                                       run, MANIFEST), "tokens-manifest")
+                                       run, MANIFEST, _key(tokenizer)), "tokens-manifest")
     # one row per part, not per document
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before),

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
-from foldwise.llm import tokenfiles
+from foldwise.llm import common, tokenfiles
 from foldwise.llm.files import mapped
 
 PATH = P.path("byte_bpe_50k.json")
@@ -47,3 +47,19 @@ def test_special_token_text(spark):
                               "doc_id long, text string")
     got = sorted(tuple(r) for r in tokenfiles.read(tokenfiles.write(d, PATH)).collect())
     assert got == expected([(r.doc_id, r.text) for r in d.collect()])
+
+
+def test_workers_keep_the_tokenizer(spark, monkeypatch):
+    """The next task of a worker finds the tokenizer and its table of units."""
+    keys = []
+
+    def noted(df, fn, schema, keeps=None):
+        keys.append(keeps)
+        return common.arrow_tasks(df, fn, schema, keeps)
+
+    monkeypatch.setattr(tokenfiles, "arrow_tasks", noted)
+    tokenfiles.write(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), PATH)
+    first = tokenfiles._tokenizer(PATH)
+    common.release_others(keys[0])
+    assert tokenfiles._tokenizer(PATH) is first
+    common.release_others(None)
