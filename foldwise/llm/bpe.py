@@ -218,7 +218,7 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, as_ids(raw).tolist()))
 
 
-def loaded(path: str, pattern: str) -> tuple[Bpe, dict[bytes, bytes]]:
+def loaded(path: str, pattern: str) -> tuple[Bpe, dict]:
     """This worker's encoder and its table of units."""
     return worker_kept(("bpe", path, pattern), lambda: (Bpe.load(path, pattern), {}))
 

@@ -161,10 +161,15 @@ def release_others(key: tuple | None) -> None:
     for k in others:
         del _KEPT[k]
     if others:
-        pa.default_memory_pool().release_unused()
-        # freed blocks stay with the C library otherwise; other libraries than glibc have no such call
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
+        release_freed()
+
+
+def release_freed() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    # freed blocks stay with the C library otherwise; other libraries than glibc have no such call
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def arrow_tasks(df: DataFrame, fn, schema: str, keeps: tuple | None = None) -> DataFrame:
@@ -174,6 +179,8 @@ def arrow_tasks(df: DataFrame, fn, schema: str, keeps: tuple | None = None) -> D
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_others(keeps)
         yield from fn(batches)
+        if keeps:  # the worker stays, with what it keeps, when other stages need the memory
+            release_freed()
 
     let_workers_import(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -29,7 +29,6 @@ from foldwise.llm.files import attempt_name, mapped, writer
 from foldwise.llm.units import as_ids, encoded
 from foldwise.session import scratch_path, write_table
 
-MARKS = ",.;:!?"
 MANIFEST = "part int, file string, width int, n_docs long, n_tokens long"
 
 
@@ -39,14 +38,17 @@ def _key(path: str) -> tuple:
 
 
 def _tokenizer(path: str):
-    """This worker's tokenizer and its table of units."""
+    """This worker's tokenizer, the bytes of each id and its table of units."""
     def load():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True  # their strings in a text are ordinary text
-        return t, {}
+        vocab = t.get_vocab()
+        n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        n_bytes[list(vocab.values())] = [len(x) for x in vocab]  # a character stands for a byte
+        return t, n_bytes, {}
 
     return worker_kept(_key(path), load)
 
@@ -62,36 +64,21 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, doc_id: st
     folder = folder or scratch_path(docs.sparkSession, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, kept = _tokenizer(tokenizer)
+        tok, n_bytes, kept = _tokenizer(tokenizer)
         width = 2 if max(tok.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], f"<u{width}").tobytes()
 
-        def library(units: list[str]) -> list[bytes]:
-            # one call for all units: a unit is a "word" of the pre-tokenised input
-            e = tok.encode(units, is_pretokenized=True, add_special_tokens=False)
-            raw, word = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
-            cut = (4 * np.searchsorted(word, np.arange(1, len(units) + 1))).tolist()
-            return [raw[i:j] for i, j in zip([0, *cut[:-1]], cut)]
-
         def encode(units: list[str]) -> list[bytes]:
-            # letters and the marks after them are different matches of the pattern: the
-            # letters are often known
-            whole: dict[str, bytes] = {}
-            parts: list[tuple[str, ...]] = []
-            for u in units:
-                core = u.rstrip(MARKS)
-                if 0 < len(core) < len(u) and (core[1:] if core[0] == " " else core).isalpha():
-                    parts.append((core, u[len(core):]))
-                else:
-                    parts.append((u,))
-            for p in parts:
-                for x in p:
-                    if x not in whole:
-                        whole[x] = kept.get(x.encode(), b"")
-            new = [x for x, raw in whole.items() if not raw]
-            if new:
-                whole.update(zip(new, library(new)))
-            return [whole[p[0]] if len(p) == 1 else whole[p[0]] + whole[p[1]] for p in parts]
+            # one call for all units: a unit is a "word" of the pre-tokenised input, and ends where
+            # the bytes of its ids do
+            (e,) = tok.encode_batch_fast([units], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            ends, sizes = np.cumsum(n_bytes[ids]), np.cumsum([len(u.encode()) for u in units])
+            cut = np.searchsorted(ends, sizes) + 1
+            if len(ends) < cut[-1] or (ends[cut - 1] != sizes).any():
+                raise ValueError(f"{tokenizer} is no byte-level tokenizer")
+            raw, cut = ids.tobytes(), (4 * cut).tolist()
+            return [raw[i:j] for i, j in zip([0, *cut[:-1]], cut)]
 
         part, name = attempt_name()
         ids_out, ids, offsets, valid = None, [], [0], []

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from foldwise.llm import bpe, common
+from foldwise.llm import bpe, common, units
 from foldwise.llm.units import UNIT, encoded, unit_starts
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -109,3 +109,28 @@ def test_workers_drop_another_operators_tables(spark):
     assert common.worker_kept(("a",), dict) == {"x": 1}
     common.release_others(None)
     assert not common._KEPT
+
+
+def test_units_end_before_marks_and_are_encoded_once(own, theirs):
+    """A word's mark is a unit of its own, so that a known word is not encoded again with it."""
+    asked, kept = [], {}
+
+    def noted(units):
+        asked.extend(units)
+        return own.encode(units)
+
+    for text in ["ab cé ×", "ab, cé. ×, ab;x é cé!", "ab. cé, a,b ½, cé　ab?"]:
+        (_, (raw,)), = encoded(pa.array([text]), noted, kept)
+        assert bpe.as_ids(raw).tolist() == theirs.encode_ordinary(text)
+    assert len(asked) == len(set(asked))
+    assert {" ab", " cé", ",", ".", " ×,"} <= set(asked) and not {" ab,", " cé."} & set(asked)
+
+
+def test_table_of_units_shrinks_when_full(own, theirs, monkeypatch):
+    monkeypatch.setattr(units, "KEPT_UNITS", 30)
+    rnd, kept = random.Random(3), {}
+    for _ in range(40):
+        rows = [" ".join(rnd.choices("ab. c, dé xyz 12   -".split(" ") + [str(rnd.randrange(99))], k=12)) for _ in range(3)]
+        (_, got), = encoded(pa.array(rows), own.encode, kept)
+        assert [bpe.as_ids(x).tolist() for x in got] == [theirs.encode_ordinary(r) for r in rows]
+        assert len(kept["first"]) <= 60 and (np.diff(kept["first"].astype(object)) > 0).all()
