@@ -16,6 +16,8 @@ HOT_SHARE, HOT_ROWS, SALTS = 0.005, 1000, 32
 def hot_keys(left: DataFrame, keys: list[str], n_rows: int, weight: str | None = None) -> list[Row]:
     """The hot keys among ``n_rows`` rows, at most 1 / HOT_SHARE of them. ``weight`` is a column of
     row counts where ``left`` is aggregated already."""
+    if not weight and n_rows <= HOT_ROWS:
+        return []
     n = F.sum(weight) if weight else F.count(F.lit(1))
     (c,) = fresh(left, "rows_of_key")
     return (left.groupBy(*keys).agg(n.alias(c)).filter(F.col(c) > max(float(HOT_ROWS), HOT_SHARE * n_rows))

@@ -47,8 +47,11 @@ def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """``word, n``: the words of at least ``MIN_LENGTH`` characters that occur ``MIN_COUNT`` times."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     run = F.explode(F.regexp_extract_all(text, F.lit(f"[{LETTERS}]{{{MIN_LENGTH},}}"), F.lit(0)))
+    # runs of A-Z and a-z alone take the quick way to the same result
+    low = F.when(F.octet_length("run") == F.char_length("run"), F.lower("run")).otherwise(
+        F.translate("run", string.ascii_uppercase, string.ascii_lowercase))
     runs = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), run.alias("run")).select(
-        "id", F.translate("run", string.ascii_uppercase, string.ascii_lowercase).alias("run"))
+        "id", low.alias("run"))
     h, at = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")), F.char_length("run")
     runs = runs.withColumn("h", h).withColumn("at", (F.col("h") % at).cast("int"))
     word = F.when(F.col("h") % DROP_EVERY == 0, F.expr("concat(substr(run, 1, at), substr(run, at + 2))")).otherwise(F.col("run"))
@@ -117,7 +120,7 @@ def _trie(strings: DataFrame, least: int, n_words: int) -> tuple[DataFrame, Data
                                                  F.expr("slice(stops, 2, size(stops) - 1)").alias("b"))).alias("e"))
              .select(F.col("e.a.node").alias("node"), F.expr("substr(s, e.a.depth + 1, e.b.depth - e.a.depth)").alias("label"),
                      F.col("e.b.node").alias("child"), F.expr("if(e.b.node is null, s, null)").alias("term"))
-             .groupBy("node", "label").agg(F.max("child").alias("child"), F.max("term").alias("term"))
+             .distinct()  # a node and a label lead to one end
              .withColumn("first", F.expr("substr(label, 1, 1)")))
     edges = write_table(edges, "trie-edges")
     nexts = (edges.groupBy(F.col("node").alias("child"))
@@ -146,9 +149,9 @@ def _search(strings: DataFrame, kept: str, least: int, n_words: int) -> DataFram
         "*", f"first <> '' and x <> '' and {_GOES.format(rest='rest1', label='label1')} as replaced",
         f"first <> '' and {_GOES.format(rest='rest', label='label1')} as inserted",
         f"x <> '' and x2 = first and {_GOES.format(rest='rest1', label='label')} as deleted")
-    left = left.filter("replaced or inserted or deleted").withColumn("e", F.explode(F.expr("""array_compact(array(
+    left = left.filter("replaced or inserted or deleted").withColumn("e", F.explode(F.expr("""array(
         if(replaced, struct(rest1 as rest, label1 as label), null), if(inserted, struct(rest as rest, label1 as label), null),
-        if(deleted, struct(rest1 as rest, label as label), null)))""")))
+        if(deleted, struct(rest1 as rest, label as label), null))"""))).filter("e is not null")
     front = write_table(_ahead(left, F.col("e.rest"), F.col("e.label")), "frontier")
     found = [front.filter("near is not null").select("s", "near")]
     while True:

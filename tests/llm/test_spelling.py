@@ -98,3 +98,20 @@ def test_edges(edge, spark):
 
 def test_no_rows(no_rows):
     assert spelling.variants(no_rows).count() == 0
+
+
+def test_only_latin_capitals_are_lower_cased(spark):
+    texts = ["ABCDEFgh ÀBCDEFGH ÉabcdeFGÿ", "abcdefGH ÀbcdefgH éABCDEfgÿ ÉABCDEfgÿ", None]
+    d = spark.createDataFrame([(i, t) for i in range(4) for t in texts], "doc_id long, text string")
+    got = {r["word"]: r["n"] for r in spelling.words(d).collect()}
+    want = Counter()
+    for r in d.collect():
+        for run in re.findall("[A-Za-zÀ-ÿ]{7,}", r["text"] or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{r['doc_id']}:{run}".encode())
+            want[run if h % 31 else run[:h % len(run)] + run[h % len(run) + 1:]] += 1
+    assert got == {w: n for w, n in want.items() if n > 1 and len(w) >= 7}
+
+
+def test_no_rows_are_counted_where_no_key_can_be_hot():
+    assert hotkeys.hot_keys(None, ["node"], hotkeys.HOT_ROWS) == []
