@@ -438,6 +438,41 @@ def test_partitions_of_large_tables_hold_more_rows():
     assert [TR.layout_partitions(n) for n in (1_280_001, 9_000_000, 25_600_000, 54_000_000)] == [64, 64, 64, 135]
 
 
+def test_deep_forests_of_large_tables_have_few_partitions():
+    # every partition sends all nodes: up to 8 partitions as before, then 8 until one holds 400,000 rows
+    rows = (0, 20_001, 160_000, 160_001, 883_416, 3_200_001, 54_000_000)
+    assert [TR.forest_partitions(n, 18) for n in rows] == [1, 2, 8, 8, 8, 9, 135]
+    assert all(TR.forest_partitions(n, d) == TR.layout_partitions(n) for n in rows for d in (3, 6))
+
+
+def test_forest_fits_read_the_forest_layout(spark, tt, monkeypatch):
+    seen = []
+    monkeypatch.setattr(PR, "forest_partitions", lambda n, d: seen.append((n, d)) or 3)
+    held = S.estimator_rows
+
+    def rows(*args, **kwargs):
+        seen.append(args[2:] or kwargs.get("partitions"))
+        return held(*args, **kwargs)
+
+    monkeypatch.setattr(S, "estimator_rows", rows)
+    PR.forest_program(tt, num_trees=2, max_depth=4)
+    assert seen == [(tt.n_rows, 4), (3,)]   # the refit is one of the fits on the same rows
+    seen.clear()
+    PR.forest_program(tt, model_selection=True, trees=[1, 2], depths=[2, 3])
+    assert seen == [(tt.n_rows, 3), (3,), (3,)]
+
+
+@pytest.mark.parametrize("parallelism", [1, 4])
+def test_refit_beside_the_folds_is_the_model_of_all_rows(spark, tt, parallelism):
+    make = lambda t, d: TR.forest_estimator(t, d, seed=7)
+    per_fold, model = S.estimator_cv_and_refit(tt, make, (3, 4), parallelism)
+    with S.estimator_rows(tt) as data:
+        alone = make(3, 4).fit(data)
+    assert model.toDebugString.split("\n")[1:] == alone.toDebugString.split("\n")[1:]
+    want = S.estimator_grid_metrics(tt, make, {0: (3, 4)}, parallelism)
+    assert sorted(map(tuple, per_fold.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_forests_of_few_levels_cache_no_node_ids(spark, tt):
     assert [TR.forest_estimator(2, d).getCacheNodeIds() for d in (3, 6, 7, 18)] == [False, False, True, True]
     with S.estimator_rows(tt) as data:
