@@ -589,3 +589,17 @@ def test_deep_trees_cache_node_ids_and_stay_the_same(spark):
     a, b = deep.fit(rows), deep.copy().setCacheNodeIds(False).fit(rows)
     assert a.depth > TR.ROUTED_TREE_DEPTH and a.toDebugString.split("\n")[1:] == b.toDebugString.split("\n")[1:]
     rows.unpersist()
+
+
+def test_registered_tree_grid_holds_every_bin_count(spark, monkeypatch):
+    """The registered grid is the program's: each depth at each of its bin counts."""
+    from foldwise import registry as R
+    from foldwise.plans import grid as G
+
+    rows = [(str(i), float(i % 7), float(i * 31 % 97), i * 13 % 89 + i % 7 * 5.0) for i in range(120)]
+    tiny = prepare_training(spark.createDataFrame(rows, "id string, n1 double, n2 double, label double"), None,
+                            FeatureSpec("id", (), ("n1", "n2"), "label"))
+    monkeypatch.setattr(R, "_tt", lambda *a: tiny)
+    monkeypatch.setattr(G, "TREE_DEPTHS", [1, 2])
+    got = {(r.max_depth, r.max_bins) for r in R.m11_tree_grid(spark, "").collect()}
+    assert got == {(d, b) for d in [1, 2] for b in G.TREE_BINS}
