@@ -603,3 +603,23 @@ def test_registered_tree_grid_holds_every_bin_count(spark, monkeypatch):
     monkeypatch.setattr(G, "TREE_DEPTHS", [1, 2])
     got = {(r.max_depth, r.max_bins) for r in R.m11_tree_grid(spark, "").collect()}
     assert got == {(d, b) for d in [1, 2] for b in G.TREE_BINS}
+
+
+def test_trees_grown_in_a_task_are_the_estimators(spark, monkeypatch):
+    """A table that a task can hold takes no estimator fit; the trees are the estimators', also where split
+    candidates come from a sample (more than 10,000 training rows) and with repeated rows."""
+    x = F.col("i")
+    rows = spark.range(26_000).select((F.col("id") % 25_000).alias("i")).select(
+        x.cast("string").alias("id"), (x * 7919 % 10_007).cast("double").alias("n1"), (x * 31 % 13).cast("double").alias("n2"),
+        (x * 48_271 % 997 - 300.5).alias("n3"), (x * 613 % 4001 * (x % 5) + x * 7 % 311 / 7).alias("label"))
+    tt = prepare_training(rows, None, FeatureSpec("id", (), ("n1", "n2", "n3"), "label"), n_folds=2)
+    depths, bins = [1, 6, 17], [8, 33]
+    make = lambda d, b: TR.tree_estimator(d, b, leaf_col="leaf")
+    monkeypatch.setattr(S, "tree_rows", lambda df, n, **k: TR.tree_rows(df, n, partitions=1))
+    want = S.tree_depth_metrics(tt, make, depths, bins, parallelism=2).collect()
+    monkeypatch.setattr(S, "estimator_rows", None)
+    got = S.tree_depth_metrics(tt, make, depths, bins).collect()
+    a, b = ({(r.grid_pos, r.fold): (r.n, r.corr, r.mae, r.mse, r.rmse) for r in x} for x in (got, want))
+    assert set(a) == set(b) and len(a) == len(depths) * len(bins) * 2
+    for k in a:
+        assert a[k] == pytest.approx(b[k], rel=1e-9)
