@@ -623,3 +623,25 @@ def test_trees_grown_in_a_task_are_the_estimators(spark, monkeypatch):
     assert set(a) == set(b) and len(a) == len(depths) * len(bins) * 2
     for k in a:
         assert a[k] == pytest.approx(b[k], rel=1e-9)
+
+
+def test_row_bags_are_fitted_on_groups_of_equal_features(spark, monkeypatch):
+    """Rows that agree in fold and features reach a bagged forest as one, with the trees of the rows."""
+    from pyspark.ml.functions import array_to_vector
+
+    x = F.col("id")
+    rows = spark.range(4000).select(x.cast("string").alias("id"), (x % 4).cast("double").alias("n1"),
+                                    (x * 7 % 5).cast("double").alias("n2"), (x % 4 * 50 + x * 7 % 5 * 9 + x * 31 % 17).alias("y"))
+    tt = prepare_training(rows.withColumn("label", F.col("y").cast("double")).drop("y"), None,
+                          FeatureSpec("id", (), ("n1", "n2"), "label"), n_folds=3)
+    with S.estimator_rows(tt) as data:
+        alone = TR.BaggedForest(3, 3, 64, subset="all").fit(data)
+    sizes = []
+    fit = TR.BaggedForest.fit
+    monkeypatch.setattr(TR.BaggedForest, "fit", lambda self, df: sizes.append(df.count()) or fit(self, df))
+    per_fold, model = S.estimator_cv_and_refit(tt, lambda t, d: TR.BaggedForest(t, d, 64, subset="all"), (3, 3))
+    assert len(sizes) == 4 and max(sizes) <= 3 * 20
+    every = tt.df.select("id", array_to_vector("f").alias("features"))
+    a, b = ([r.prediction for r in m.transform(every).orderBy("id").collect()] for m in (alone, model))
+    assert a == pytest.approx(b, rel=1e-9)
+    assert {r.fold: r.n for r in per_fold.collect()} == {r.fold: r["count"] for r in tt.df.groupBy("fold").count().collect()}
