@@ -645,3 +645,29 @@ def test_row_bags_are_fitted_on_groups_of_equal_features(spark, monkeypatch):
     a, b = ([r.prediction for r in m.transform(every).orderBy("id").collect()] for m in (alone, model))
     assert a == pytest.approx(b, rel=1e-9)
     assert {r.fold: r.n for r in per_fold.collect()} == {r.fold: r["count"] for r in tt.df.groupBy("fold").count().collect()}
+
+
+def test_deep_forests_of_large_tables_grow_in_tasks(spark, monkeypatch):
+    """Deep forests of large tables take a task per fold, no estimator fit, and predict as well as the estimator's."""
+    x = F.col("id")
+    rows = spark.range(6000).select(x.cast("string").alias("id"), (x * 7919 % 1009).cast("double").alias("n1"),
+                                    (x * 31 % 13).cast("double").alias("n2"), (x * 613 % 97).cast("double").alias("n3"),
+                                    (x * 7919 % 1009 + x * 31 % 13 * (x * 613 % 97) + x * 11 % 7).cast("double").alias("label"))
+    tt = prepare_training(rows, None, FeatureSpec("id", (), ("n1", "n2", "n3"), "label"), n_folds=3)
+    make = lambda t, d: TR.forest_estimator(t, d, leaf_col="leaf")
+    trees, depths = [1, 3, 8], [4, 9]
+    want = {(r.grid_pos, r.fold): r for r in S.forest_prefix_metrics(tt, make, trees, depths).collect()}
+    cv = S.estimator_cv_and_refit(tt, make, (8, 9))[0].collect()
+    monkeypatch.setattr(S, "layout_partitions", lambda n: 9)
+    fits, fit = [], type(make(2, 9)).fit
+    monkeypatch.setattr(type(make(2, 9)), "fit", lambda self, df: fits.append(1) or fit(self, df))
+    got = {(r.grid_pos, r.fold): r for r in S.forest_prefix_metrics(tt, make, trees, depths, partitions=2).collect()}
+    assert not fits and set(got) == set(want)
+    again = S.forest_prefix_metrics(tt, make, trees, depths, partitions=2).collect()
+    assert {(r.grid_pos, r.fold): r for r in again} == got
+    assert all(got[k].n == r.n for k, r in want.items())
+    one, other = (np.mean([x[(5, k)].rmse for k in range(3)]) for x in (got, want))  # eight trees of depth 9
+    assert one == pytest.approx(other, rel=0.35)
+    other, model = S.estimator_cv_and_refit(tt, make, (8, 9), partitions=2)
+    assert len(fits) == 1 and model.getNumTrees == 8
+    assert {r.fold: r.rmse for r in other.collect()} == {r.fold: got[(5, r.fold)].rmse for r in cv}
